@@ -33,15 +33,15 @@ SCHEME = Scheme(
     coupon_item_obsolete_floor=date(1996, 1, 1),
     status_launch=date(1998, 6, 1),
     reference_prefix_change=date(1999, 1, 1),
-    status_campaign=731,
-    club_campaign=1235,
-    earners_excluded_campaign=812,
+    status_campaign=1833,
+    club_campaign=635,
+    earners_excluded_campaign=708,
     saver_scheme=7,
     deleted_item=-1,
-    excluded_star_campaigns=(317, 418),
-    excluded_coupon_campaigns=(537, 638),
+    excluded_star_campaigns=(216, 1225),
+    excluded_coupon_campaigns=(442, 1340),
     excluded_voucher_wallets=(66,),
-    food_to_go_campaign=520,
+    food_to_go_campaign=420,
 )
 
 TABLES = (
@@ -210,7 +210,7 @@ ROLES: dict[str, str] = {
     CASE o_orderstatus WHEN 'P' THEN 'CANCELLED' ELSE 'NO_PENDING_ACTION' END AS order_status_nm,
     CAST(o_totalprice AS DECIMAL(12, 2)) AS pos_tot_amt, CAST(o_totalprice AS DECIMAL(12, 2)) AS web_order_tot_amt,
     CAST(1 + o_custkey % 40 AS STRING) AS outbase_store_id, CAST(1 + o_custkey % 40 AS STRING) AS store_nbr,
-    CAST(o_totalprice / 100 AS DECIMAL(12, 2)) AS evouch_tot_amt, o_orderdate AS src_create_ts FROM orders""",
+    CAST(FLOOR(o_totalprice / 100) AS BIGINT) AS evouch_tot_amt, o_orderdate AS src_create_ts FROM orders""",
     "order_promos": """SELECT CAST(l_orderkey AS STRING) AS web_order_id, l_partkey AS promo_id, l_linenumber AS seq_nbr,
     CASE WHEN l_discount > 0 THEN 'C' || CAST(l_suppkey AS STRING) END AS disc_coupn_cd,
     'PROMO ' || l_returnflag AS promo_nm FROM lineitem""",
@@ -218,7 +218,7 @@ ROLES: dict[str, str] = {
     CAST(l_shipdate AS DATE) AS order_dlvr_dt, l_shipdate AS upd_ts,
     CAST(l_extendedprice * 4 AS DECIMAL(14, 2)) AS rfnd_amt,
     CASE l_returnflag WHEN 'N' THEN 'OPEN' WHEN 'R' THEN 'COMPLETE' END AS rfnd_status_cd FROM lineitem""",
-    "sends": """SELECT date_trunc('month', o_orderdate) AS eventdate,
+    "sends": """SELECT date_trunc('quarter', o_orderdate) AS eventdate,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Abandoned basket' ELSE 'J ' || o_orderpriority END AS campaignname,
     CASE WHEN o_custkey % 4 = 0 THEN 'Control' ELSE 'Send' END AS sendtype,
     o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid FROM orders""",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.dq.metrics import PercentageOfMedian, daily_counts
-from stampbook.operators import latest_per_key
+from stampbook.operators import first_per_key, latest_per_key
 
 Tables = Mapping[str, DataFrame]
 HISTORY_TYPES = (
@@ -204,8 +204,6 @@ class History:
     def daily(self, tables: Tables, last_day: Column, extra: DataFrame | None = None) -> DataFrame:
         rows = _rows(tables, self.table, self.where)
         if self.first_per:
-            from stampbook.operators import first_per_key
-
             rows = first_per_key(rows, list(self.first_per), [F.col(self.by).asc()])
         if extra is not None:
             rows = rows.crossJoin(extra)  # one row: the snapshot day
@@ -355,8 +353,9 @@ class PerGroupCount:
             (day > F.lit(context.as_of - timedelta(days=self.window))) & (day < F.lit(context.as_of))
         )
         return (
-            rows.groupBy(self.group)
-            .pivot(day.cast("string"), [d.isoformat() for d in days])
+            rows.select(self.group, day.cast("string").alias("dt"))
+            .groupBy(self.group)
+            .pivot("dt", [d.isoformat() for d in days])
             .agg(F.count(F.lit(1)))
         )
 
