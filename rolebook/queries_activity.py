@@ -41,9 +41,9 @@ def calendar(r: Bound):
     FROM last_week_v""",
 )
 def last_complete_week(r: Bound):
-    days = r.last_week.crossJoin(r.scans.groupBy("visit_dt").agg(F.count(F.lit(1)).alias("n")))
-    inside = days.filter("visit_dt between start_date and end_date")
-    return inside.groupBy("start_date", "end_date").agg(F.sum("n").alias("n_scans"))
+    start, end = r.last_week.select("start_date").scalar(), r.last_week.select("end_date").scalar()
+    inside = r.scans.filter(F.col("visit_dt").between(start, end)).agg(F.count(F.lit(1)).alias("n_scans"))
+    return r.last_week.withColumn("n_scans", inside.scalar())
 
 
 @query(

@@ -9,13 +9,14 @@ covers its source tables whole.
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.functions import retail_calendar
 from stampbook.scheme import Scheme
+from stampbook.sources import read_table
 
 AS_OF = date(2001, 8, 2)
 EVENTS_AS_OF = date(2024, 1, 31)
@@ -23,7 +24,7 @@ CALENDAR_START, CALENDAR_END = date(1994, 12, 31), date(2002, 1, 31)
 
 SCHEME = Scheme(
     launch=date(1995, 2, 1),
-    star_value_change=datetime(1998, 1, 1),
+    star_value_change=date(1998, 1, 1),
     series_start=date(1995, 3, 1),
     trading_start=date(1995, 6, 1),
     scanners_start=date(1995, 6, 1),
@@ -305,19 +306,26 @@ class Roles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        key = f"table {name}"
+        if key not in self._built:
+            self._built[key] = read_table(self.spark, self.folder, name)
+        return self._built[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in ROLES:
             raise AttributeError(name)
+        if name in self._built:
+            return self._built[name]
         sql = ROLES[name]
         used = [t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", sql)]
         sql = sql.replace("{", "{{").replace("}", "}}")
         for t in used:
             sql = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", sql)
-        return self.spark.sql(sql, **{t: self.table(t) for t in used})
+        self._built[name] = self.spark.sql(sql, **{t: self.table(t) for t in used})
+        return self._built[name]
 
     @property
     def calendar(self) -> DataFrame:

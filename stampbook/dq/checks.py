@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.dq.metrics import PercentageOfMedian, daily_counts
+from stampbook.functions import on_days
 from stampbook.operators import first_per_key, latest_per_key
 
 Tables = Mapping[str, DataFrame]
@@ -78,9 +79,9 @@ class DailyCount:
 
     def daily(self, tables: Tables, context: Context) -> DataFrame:
         day = _day(self.day, self.day_format)
-        rows = _rows(tables, self.table, self.where).filter(
-            day > F.lit(context.as_of - timedelta(days=self.window))
-        )
+        first = context.as_of - timedelta(days=self.window - 1)
+        recent = day >= F.lit(first) if self.day_format else on_days(self.day, first, None)
+        rows = _rows(tables, self.table, self.where).filter(recent)
         return daily_counts(rows, day, F.expr(self.value) if self.value else None)
 
     def evaluate(self, tables: Tables, context: Context) -> DataFrame:
@@ -106,13 +107,15 @@ class RatioAgainstMedian:
         target = F.lit(context.as_of - timedelta(days=1))
         value = F.try_divide(F.sum(self.numerator).cast("double") * 100, F.sum(self.denominator).cast("double"))
         daily = daily_counts(
-            _rows(tables, self.table, self.where).filter(day > F.lit(context.as_of - timedelta(days=self.window))),
+            _rows(tables, self.table, self.where).filter(
+                on_days(self.day, context.as_of - timedelta(days=self.window - 1), None)
+            ),
             day,
             value,
         )
         cutoff = daily.filter(F.col("dt") < target).agg((F.median("row_count") * self.tolerance).alias("cutoff"))
-        passed = (F.col("dt") == target) & (F.col("row_count") >= F.col("cutoff"))
-        return _verdict(daily.crossJoin(cutoff), F.bool_or(F.coalesce(passed, F.lit(False))))
+        passed = (F.col("dt") == target) & (F.col("row_count") >= cutoff.scalar())
+        return _verdict(daily, F.bool_or(F.coalesce(passed, F.lit(False))))
 
 
 @dataclass(frozen=True)
@@ -130,7 +133,7 @@ class Duplicates:
         rows = _rows(tables, self.table, self.where)
         day = _day(self.day)
         recent = rows.filter(
-            (day > F.lit(context.as_of - timedelta(days=self.scope))) & (day < F.lit(context.as_of))
+            on_days(self.day, context.as_of - timedelta(days=self.scope - 1), context.as_of)
         ).withColumn("dt", day)
         # one grouping gives both numbers: copies per distinct row, then rows per day
         columns = list(self.distinct_on or rows.columns)
@@ -201,12 +204,10 @@ class History:
     first_per: Sequence[str] = ()
     check_id: int = 0
 
-    def daily(self, tables: Tables, last_day: Column, extra: DataFrame | None = None) -> DataFrame:
+    def daily(self, tables: Tables, last_day: Column) -> DataFrame:
         rows = _rows(tables, self.table, self.where)
         if self.first_per:
             rows = first_per_key(rows, list(self.first_per), [F.col(self.by).asc()])
-        if extra is not None:
-            rows = rows.crossJoin(extra)  # one row: the snapshot day
         for column in (self.by, *self.up_to):
             rows = rows.filter(_day(column) <= last_day)
         return daily_counts(rows, _day(self.by))
@@ -227,12 +228,12 @@ class History:
         if context.history is None:
             return spark.range(1).select(F.lit(True).alias("passed"), F.lit(NO_HISTORY).alias("message"))
         snapshot = latest_snapshot(context.history, self.check_id)
-        day = snapshot.agg(F.max("snapshot_day").alias("_snapshot_day"), F.count(F.lit(1)).alias("_known"))
-        current = history_statistics(self.daily(tables, F.col("_snapshot_day"), day))
+        day = snapshot.agg(F.max("snapshot_day").alias("d")).scalar()
+        current = history_statistics(self.daily(tables, day))
         compared = compare_history(current.filter("value is not null"), snapshot, self.tolerance)
-        return compared.crossJoin(day).select(
-            F.when(F.col("_known") == 0, F.lit(True)).otherwise(F.col("passed")).alias("passed"),
-            F.when(F.col("_known") == 0, F.lit(NO_HISTORY)).alias("message"),
+        return compared.select(
+            F.when(day.isNull(), F.lit(True)).otherwise(F.col("passed")).alias("passed"),
+            F.when(day.isNull(), F.lit(NO_HISTORY)).alias("message"),
         )
 
 
@@ -305,14 +306,14 @@ class WeekLoaded:
 
     def evaluate(self, tables: Tables, context: Context) -> DataFrame:
         day = F.lit(context.as_of - timedelta(days=7))
+        newest = _rows(tables, self.table, None).agg(F.max(self.week).alias("newest")).scalar()
         expected = (
             _rows(tables, self.finder, None)
             .filter((F.col("week_start_day") < day) & (F.col("week_end_day") > day))
             .agg(F.max("week").alias("expected"), F.count(F.lit(1)).alias("matches"))
         )
-        newest = _rows(tables, self.table, None).agg(F.max(self.week).alias("newest"))
-        return newest.crossJoin(expected).select(
-            F.coalesce((F.col("newest") == F.col("expected")) & (F.col("matches") == 1), F.lit(False)).alias("passed"),
+        return expected.select(
+            F.coalesce((newest == F.col("expected")) & (F.col("matches") == 1), F.lit(False)).alias("passed"),
             F.when(F.col("matches") != 1, F.lit("Could not find the last complete week")).alias("message"),
         )
 
@@ -331,7 +332,7 @@ class PerGroupCount:
         day = _day(self.day)
         target = context.as_of - timedelta(days=1)
         rows = _rows(tables, self.table, None).filter(
-            (day > F.lit(context.as_of - timedelta(days=self.window))) & (day <= F.lit(target))
+            on_days(self.day, context.as_of - timedelta(days=self.window - 1), context.as_of)
         )
         daily = rows.groupBy(self.group, day.alias("dt")).agg(F.count(F.lit(1)).alias("n"))
         before = F.when(F.col("dt") != F.lit(target), F.col("n"))
@@ -350,7 +351,7 @@ class PerGroupCount:
         day = _day(self.day)
         days = [context.as_of - timedelta(days=n) for n in range(self.window - 1, 0, -1)]
         rows = _rows(tables, self.table, None).filter(
-            (day > F.lit(context.as_of - timedelta(days=self.window))) & (day < F.lit(context.as_of))
+            on_days(self.day, context.as_of - timedelta(days=self.window - 1), context.as_of)
         )
         return (
             rows.select(self.group, day.cast("string").alias("dt"))
@@ -374,19 +375,16 @@ class CheckSpec:
     rules: Sequence[object] = field(default_factory=tuple)
 
     def result(self, tables: Tables, context: Context) -> DataFrame:
+        # one row per rule
         verdicts = None
-        for i, rule in enumerate(self.rules):
-            one = rule.evaluate(tables, context).select(F.col("passed").alias(f"p{i}"), F.col("message").alias(f"m{i}"))
-            verdicts = one if verdicts is None else verdicts.crossJoin(one)  # one row each
-        n = len(self.rules)
-        status = F.lit(True)
-        for i in range(n):
-            status = status & F.col(f"p{i}")
-        return verdicts.select(
+        for rule in self.rules:
+            one = rule.evaluate(tables, context).select("passed", "message")
+            verdicts = one if verdicts is None else verdicts.unionByName(one)
+        return verdicts.agg(F.bool_and("passed").alias("status"), F.max("message").alias("error_message")).select(
             F.lit(self.check_id).alias("check_id"),
             F.lit(self.definition).alias("definition"),
-            status.alias("status"),
-            F.coalesce(*[F.col(f"m{i}") for i in range(n)]).alias("error_message"),
+            "status",
+            "error_message",
             F.lit(context.clock).alias("dts"),
         )
 

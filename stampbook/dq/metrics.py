@@ -18,8 +18,9 @@ class PercentageOfMedian:
         """Adds ``low_count_cutoff`` and ``pass_check``; one row per day in ``daily``."""
         cutoff = daily.agg((F.median(value) * F.lit(self.tolerance)).alias("low_count_cutoff"))
         passed = F.col(value) > F.col("low_count_cutoff") if strict else F.col(value) >= F.col("low_count_cutoff")
-        # the cut-off is a single row
-        return daily.crossJoin(cutoff).withColumn("pass_check", F.coalesce(passed, F.lit(False)))
+        return daily.withColumn("low_count_cutoff", cutoff.scalar()).withColumn(
+            "pass_check", F.coalesce(passed, F.lit(False))
+        )
 
 
 def require_rows(daily: DataFrame) -> DataFrame:

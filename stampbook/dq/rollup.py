@@ -7,13 +7,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stampbook.functions import first_match, ratio
+from stampbook.functions import first_match, on_days, ratio
 from stampbook.operators import first_per_key, latest_per_key
 
 
 def latest_check_status(status_log: DataFrame, day=None) -> DataFrame:
     """Newest status per check, optionally of one day only."""
-    rows = status_log if day is None else status_log.filter(F.to_date("dts") == F.lit(day))
+    rows = status_log if day is None else status_log.filter(on_days("dts", day, day + timedelta(days=1)))
     return latest_per_key(rows, ["check_id"], "dts")
 
 
@@ -75,10 +75,10 @@ def pass_rates(status_log: DataFrame, key: str, status: str, as_of: datetime, al
     """
     week, month = as_of - timedelta(days=7), as_of - timedelta(days=30)
     ts = F.col("dts")
-    recent = F.to_date(ts) >= F.lit(week.date())
+    recent = on_days(ts, week.date(), None)
     passed = F.col(status)
     rates = (
-        status_log.filter((F.to_date(ts) >= F.lit(month.date())) & F.col(key).isNotNull())
+        status_log.filter(on_days(ts, month.date(), None) & F.col(key).isNotNull())
         .groupBy(key, F.hour("dts").alias("hour_of_day"))
         .agg(
             ratio(F.count_if(recent & passed), F.count(F.when(recent, passed))).alias("pass_rate_last_7_days"),
@@ -87,9 +87,8 @@ def pass_rates(status_log: DataFrame, key: str, status: str, as_of: datetime, al
     )
     if not all_hours:
         return rates
-    hours = status_log.sparkSession.range(24).select(F.col("id").cast("int").alias("hour_of_day"))
-    # 24 rows per id
-    grid = rates.select(key).distinct().crossJoin(hours)
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_of_day")
+    grid = rates.select(key).distinct().select(key, hours)
     return grid.join(rates, [key, "hour_of_day"], "left").fillna(
         0.0, ["pass_rate_last_7_days", "pass_rate_last_30_days"]
     )

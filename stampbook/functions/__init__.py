@@ -1,5 +1,5 @@
 from stampbook.functions.bands import Band, band_label, band_order, bands_from_edges
-from stampbook.functions.dates import day_window, midnight, month_key, on_days, retail_calendar
+from stampbook.functions.dates import day_window, month_key, on_days, retail_calendar
 from stampbook.functions.values import (
     first_match,
     is_numeric_store,
@@ -17,7 +17,6 @@ __all__ = [
     "day_window",
     "first_match",
     "is_numeric_store",
-    "midnight",
     "minor_to_major",
     "month_key",
     "on_days",

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, time, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def midnight(day: date) -> Column:
-    """Timestamp literal at the start of ``day``."""
-    return F.lit(datetime.combine(day, time.min))
-
-
 def on_days(ts: str | Column, start: date | None, end: date | None) -> Column:
-    """``ts`` falls in ``[start, end)``, written on the raw timestamp so that it reaches the scan."""
+    """``ts`` falls in ``[start, end)``, written on the raw column so that it reaches the scan.
+
+    The bounds are date literals: Spark folds them to the column's own type, so
+    the filter is pushed down for dates and for both timestamp types.
+    """
     column = F.col(ts) if isinstance(ts, str) else ts
     test = None
     if start is not None:
-        test = column >= midnight(start)
+        test = column >= F.lit(start)
     if end is not None:
-        below = column < midnight(end)
+        below = column < F.lit(end)
         test = below if test is None else test & below
     if test is None:
         return column.isNotNull()

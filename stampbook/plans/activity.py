@@ -166,14 +166,10 @@ def active_earning_ratio(missions: DataFrame, scans: DataFrame, as_of: date) ->
             )
         )
 
-    # two one-row frames
-    return (
-        reach(missions, "cmpgn_cmplt_ts", "earn")
-        .crossJoin(reach(scans, "event_ts", "scan"))
-        .select(
-            ratio("earn_year", "scan_year").alias("active_earning_ytd"),
-            ratio("earn_week", "scan_week").alias("active_earning_7days"),
-        )
+    earners, scanners = reach(missions, "cmpgn_cmplt_ts", "earn"), reach(scans, "event_ts", "scan")
+    return earners.select(
+        ratio("earn_year", scanners.select("scan_year").scalar()).alias("active_earning_ytd"),
+        ratio("earn_week", scanners.select("scan_week").scalar()).alias("active_earning_7days"),
     )
 
 
@@ -378,53 +374,43 @@ def measures_row(
     vouchers: DataFrame,
     last_week: DataFrame,
 ) -> DataFrame:
-    """Headline measures as one row; every joined frame has exactly one row."""
+    """Headline measures as one row; the thresholds are scalar subqueries."""
+    week_end = last_week.select("end_date").scalar()
+    newest = sign_up_rows.agg(F.max("signup_dt").alias("d")).scalar()
     first_ts = scan_rows.groupBy("wallet_id").agg(F.min("event_ts").alias("first_ts"))
     scanned_profiles = (
         account_rows.select("singl_profl_id", "wallet_id").join(first_ts, "wallet_id", "left_semi").select("singl_profl_id")
     )
-    wallets = first_ts.crossJoin(last_week).agg(
+    wallets = first_ts.agg(
         F.count(F.lit(1)).alias("num_wallet_id"),
-        F.count_if(F.col("first_ts") <= F.col("end_date").cast("timestamp")).alias("num_wallet_id_last_wk"),
+        F.count_if(F.col("first_ts") <= week_end).alias("num_wallet_id_last_wk"),
     )
     permanent = F.col("acct_status_id") == "DEFAULT"
-    totals = sign_up_rows.agg(
-        F.max("signup_dt").alias("newest"),
+    opt_in_rate = sign_up_rows.agg(
         ratio(
             F.count_if(permanent & (F.col("opt_in_flag") == 1)), F.count_if(permanent & (F.col("new_ind") == 1))
-        ).alias("new_spid_opt_in"),
-    )
-    unscanned = sign_up_rows.join(scanned_profiles, "singl_profl_id", "left_anti")
-    day, newest, week_end = F.col("signup_dt"), F.col("newest"), F.col("end_date")
-    waiting = (
-        unscanned.select("signup_dt")
-        .crossJoin(totals.select("newest"))
-        .crossJoin(last_week)
-        .agg(
-            F.count_if(day == newest).alias("register_never_scanned_24_hrs"),
-            F.count_if(day.between(F.date_sub(newest, 6), newest)).alias("register_never_scanned_7_days"),
-            F.count_if(day == week_end).alias("register_never_scanned_24_hrs_last_wk"),
-            F.count_if(day.between(F.date_sub(week_end, 6), week_end)).alias("register_never_scanned_7_days_last_wk"),
-        )
+        ).alias("rate")
     )
     held = vouchers.filter("reward_redm_ts is not null").select(
         F.timestamp_diff("SECOND", F.col("reward_gained_ts"), F.col("reward_redm_ts")).alias("seconds")
     )
-    hold = exact_median(held, "seconds").select((F.col("median") / 60.0).alias("avg_time_voucher_held_mins"))
-    return (
-        waiting.crossJoin(hold)
-        .crossJoin(wallets)
-        .crossJoin(totals.select("new_spid_opt_in"))
-        .select(
-            "register_never_scanned_24_hrs",
-            "register_never_scanned_7_days",
-            "avg_time_voucher_held_mins",
-            "num_wallet_id",
-            "new_spid_opt_in",
-            "num_wallet_id_last_wk",
-            "register_never_scanned_24_hrs_last_wk",
-            "register_never_scanned_7_days_last_wk",
-        )
+    unscanned = sign_up_rows.join(scanned_profiles, "singl_profl_id", "left_anti")
+    day = F.col("signup_dt")
+    waiting = unscanned.agg(
+        F.count_if(day == newest).alias("register_never_scanned_24_hrs"),
+        F.count_if(day.between(F.date_sub(newest, 6), newest)).alias("register_never_scanned_7_days"),
+        F.count_if(day == week_end).alias("register_never_scanned_24_hrs_last_wk"),
+        F.count_if(day.between(F.date_sub(week_end, 6), week_end)).alias("register_never_scanned_7_days_last_wk"),
+    )
+    return waiting.select(
+        "register_never_scanned_24_hrs",
+        "register_never_scanned_7_days",
+        (exact_median(held, "seconds").scalar() / F.lit(60.0)).alias("avg_time_voucher_held_mins"),
+        wallets.select("num_wallet_id").scalar().alias("num_wallet_id"),
+        opt_in_rate.scalar().alias("new_spid_opt_in"),
+        wallets.select("num_wallet_id_last_wk").scalar().alias("num_wallet_id_last_wk"),
+        "register_never_scanned_24_hrs_last_wk",
+        "register_never_scanned_7_days_last_wk",
     )
 
 
@@ -443,12 +429,8 @@ def expiring_balances(
     balance = F.col("curr_cash_bnk_pnts_qty")
     days_left = F.datediff(F.date_add("reg_dt", scheme.guest_expiry_days), F.lit(as_of))
     expires = F.timestamp_add("DAY", F.lit(scheme.guest_expiry_days), F.col("regtn_ts"))
-    now = F.lit(as_of).cast("timestamp")
     inside = [
-        F.when(
-            expires.between(now, F.lit(as_of + timedelta(days=h)).cast("timestamp")), F.lit(str(h))
-        )
-        for h in horizons
+        F.when(expires.between(F.lit(as_of), F.lit(as_of + timedelta(days=h))), F.lit(str(h))) for h in horizons
     ]
     return (
         account_rows.filter(F.col("singl_profl_id").startswith("no") & (days_left >= -1))

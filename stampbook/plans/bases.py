@@ -13,7 +13,6 @@ from stampbook.functions import (
     bands_from_edges,
     day_window,
     is_numeric_store,
-    midnight,
     on_days,
     profile_or_wallet,
 )
@@ -57,9 +56,17 @@ def retail_years(calendar_days: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def this_year(day: Column, calendar_days: DataFrame, as_of: date) -> Column:
+    """``day`` lies in the retail year that holds ``as_of``."""
+    year = retail_years(calendar_days, as_of).filter("yr_flag = 1")
+    start = year.agg(F.min("start_dt").alias("d")).scalar()
+    end = year.agg(F.max("end_dt").alias("d")).scalar()
+    return day.between(start, end)
+
+
 def expired_guest(as_of: date, days: int, ts: str = "regtn_ts") -> Column:
     """1 for a temporary account registered more than ``days`` before ``as_of``."""
-    old = F.col(ts) < midnight(as_of - timedelta(days=days))
+    old = F.col(ts) < F.lit(as_of - timedelta(days=days))
     return F.when(old & (F.col("acct_status_id") == "TEMP"), 1).otherwise(0)
 
 
@@ -191,13 +198,8 @@ def wallet_activity(
         for family, lengths in spans.items()
         for length, (first, last) in lengths.items()
     ]
-    # one row: the year that holds as_of
-    year = retail_years(calendar_days, as_of).filter("yr_flag = 1").select("start_dt", "end_dt")
-    return (
-        days.join(year, day.between(F.col("start_dt"), F.col("end_dt")), "left")
-        .groupBy("wallet_id")
-        .agg(*flags, F.max(F.col("start_dt").isNotNull().cast("int")).alias("ytd_flag"))
-    )
+    in_year = F.coalesce(this_year(day, calendar_days, as_of), F.lit(False))
+    return days.groupBy("wallet_id").agg(*flags, F.max(in_year.cast("int")).alias("ytd_flag"))
 
 
 def store_details(stores: DataFrame, regions: DataFrame, extra: DataFrame | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from stampbook.functions import (
     strip_check_digit,
 )
 from stampbook.operators import latest_per_key, next_event_day, reach_in_windows, sync_point_events, with_total_row
-from stampbook.plans.bases import retail_years
+from stampbook.plans.bases import this_year
 from stampbook.scheme import Scheme
 
 STAR_TYPES = ("Super Star Product", "Star Product")
@@ -214,12 +214,9 @@ def mission_completions(
         )
         .distinct()
     )
-    year = retail_years(calendar_days, as_of).filter("yr_flag = 1").select("start_dt", "end_dt")
-    # year and last_week have one row each
+    in_year = F.coalesce(this_year(day, calendar_days, as_of), F.lit(False))
     return (
-        attributed.join(year, day.between(F.col("start_dt"), F.col("end_dt")), "left")
-        .crossJoin(last_week.select(F.col("end_date").alias("_week_end")))
-        .join(account_rows.select("wallet_id", "acct_status_id"), "wallet_id", "left")
+        attributed.join(account_rows.select("wallet_id", "acct_status_id"), "wallet_id", "left")
         .select(
             "wallet_id",
             "cmpgn_id",
@@ -235,8 +232,8 @@ def mission_completions(
             "activity_type",
             F.when(day_window(day, as_of, 7, 0), F.col("wallet_id")).alias("cmplt_lst_wk"),
             F.when(day_window(day, as_of, 14, 8), F.col("wallet_id")).alias("cmplt_prior_wk"),
-            F.col("start_dt").isNotNull().cast("int").alias("cmplt_ytd"),
-            (day <= F.col("_week_end")).cast("int").alias("last_week_flag"),
+            in_year.cast("int").alias("cmplt_ytd"),
+            (day <= last_week.select("end_date").scalar()).cast("int").alias("last_week_flag"),
             "acct_status_id",
         )
     )
@@ -269,7 +266,7 @@ def mission_activity(
     The participation base is the number of scans in the same period.
     """
     day = F.to_date("cmpgn_cmplt_ts")
-    week_end = F.col("end_date")
+    week_end = last_week.select("end_date").scalar()
     rolling = F.col("cmplt_lst_wk").isNotNull()
     prior = F.col("cmplt_prior_wk").isNotNull()
     week = day.between(F.date_sub(week_end, 6), week_end)
@@ -289,8 +286,7 @@ def mission_activity(
         "week_before": week_before,
     }
     per_wallet = (
-        completions.crossJoin(last_week)
-        .groupBy("activity_type", "wallet_id")
+        completions.groupBy("activity_type", "wallet_id")
         .agg(
             *[pounds(condition).alias(name) for name, condition in sums.items()],
             F.max(rolling.cast("int")).alias("in_rolling"),
@@ -310,17 +306,14 @@ def mission_activity(
         .withColumn("week_total", F.sum("week").over(types))
     )
     scan_day = F.to_date("event_ts")
-    base = (
-        scans.filter(on_days("event_ts", scheme.launch, as_of) & is_numeric_store())
-        .crossJoin(last_week)
-        .agg(
-            F.count_if(day_window(scan_day, as_of, 7, 0)).alias("scans_rolling"),
-            F.count_if(scan_day.between(F.date_sub(week_end, 6), week_end)).alias("scans_week"),
-        )
+    base = scans.filter(on_days("event_ts", scheme.launch, as_of) & is_numeric_store()).agg(
+        F.count_if(day_window(scan_day, as_of, 7, 0)).alias("rolling"),
+        F.count_if(scan_day.between(F.date_sub(week_end, 6), week_end)).alias("week"),
     )
     return (
         per_type.filter("activity_type is not null and in_rolling > 0 and in_week > 0")
-        .crossJoin(base)
+        .withColumn("scans_rolling", base.select("rolling").scalar())
+        .withColumn("scans_week", base.select("week").scalar())
         .select(
             "activity_type",
             minor_to_major("rolling").alias("rdmpt_val"),
@@ -367,7 +360,7 @@ def mission_participation(
             F.count(F.lit(1)).alias("reached"),
         )
     )
-    base = activity.agg(F.sum("yesterday_7_day_active_flag").alias("total"))  # one row
+    base = activity.agg(F.sum("yesterday_7_day_active_flag").alias("total"))
 
     def line(condition: Column, kind: str, calc: str, count: str) -> Column:
         return F.when(
@@ -386,7 +379,7 @@ def mission_participation(
     return (
         per_campaign.join(kinds, "cmpgn_id")
         .select("cmpgn_id", F.inline(lines))
-        .crossJoin(base)
+        .withColumn("total", base.scalar())
         .withColumn("proportion", ratio("dist_cmplt", "total"))
     )
 

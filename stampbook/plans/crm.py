@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stampbook.functions import bands_from_edges, ratio
+from stampbook.functions import bands_from_edges, on_days, ratio
 from stampbook.functions.bands import band_label
 from stampbook.operators import window_sums
 
@@ -31,7 +31,7 @@ def journeys(sends: DataFrame, start: date, end: date, key: str) -> DataFrame:
     for name in EXCLUDED_JOURNEYS:
         measured = measured & ~F.col("campaignname").contains(name)
     day = F.to_date("eventdate")
-    return sends.filter(day.between(F.lit(start), F.lit(end)) & measured).select(
+    return sends.filter(on_days("eventdate", start, end + timedelta(days=1)) & measured).select(
         F.col(key).alias("_key"),
         F.col("campaignname").alias("journey_name"),
         F.when(F.col("sendtype") == "Send", "Emailed").otherwise(F.col("sendtype")).alias("groups"),
@@ -235,11 +235,5 @@ def store_test_vs_control(
 
 def previous_week(calendar_days: DataFrame, as_of: date) -> DataFrame:
     """Retail week before the one holding ``as_of``, read from the calendar (one row)."""
-    this_week = calendar_days.filter(F.col("day_date") == F.lit(as_of)).select(F.col("retail_week").alias("_this"))
-    return (
-        calendar_days.select("retail_week")
-        .distinct()
-        .crossJoin(this_week)
-        .filter("retail_week < _this")
-        .agg(F.max("retail_week").alias("retail_week"))
-    )
+    this_week = calendar_days.filter(F.col("day_date") == F.lit(as_of)).agg(F.max("retail_week").alias("w")).scalar()
+    return calendar_days.filter(F.col("retail_week") < this_week).agg(F.max("retail_week").alias("retail_week"))

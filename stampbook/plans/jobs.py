@@ -157,13 +157,13 @@ def kpi_row(
     invested_from: date,
     scheme: Scheme = Scheme(),
 ) -> DataFrame:
-    """Key figures of one day; each joined frame is a one-row aggregate."""
+    """Key figures of one day, each an aggregate read as a scalar subquery."""
     window_start = as_of - timedelta(days=scheme.active_days)
     active = scans.filter(on_days("event_ts", window_start, as_of)).agg(
         F.countDistinct("wallet_id").alias("active_members")
     )
     connected = baskets.filter(
-        F.to_date("timestamp").between(F.lit(window_start), F.lit(as_of))
+        on_days("timestamp", window_start, as_of + timedelta(days=1))
         & F.col("is_spid_connected")
         & F.col("is_active")
         & F.col("is_spid_connected_direct")
@@ -172,13 +172,12 @@ def kpi_row(
         F.round(F.sum("earn_value_gbp"), 2).alias("invested_into_cashpot")
     )
     rating = ratings.agg(F.avg("rating").alias("app_rating"))
-    return (
-        rating.crossJoin(active)
-        .crossJoin(connected)
-        .crossJoin(invested)
-        .select(
-            F.lit(as_of).alias("date"), "app_rating", "active_members", "active_connected_cust", "invested_into_cashpot"
-        )
+    return rating.select(
+        F.lit(as_of).alias("date"),
+        "app_rating",
+        active.scalar().alias("active_members"),
+        connected.scalar().alias("active_connected_cust"),
+        invested.scalar().alias("invested_into_cashpot"),
     )
 
 

@@ -414,7 +414,20 @@ def liability(
     card = F.col("chnl_nm").startswith(scheme.card_channel_prefix)
     moved = movements.join(account_rows.select("wallet_id", "acct_status_id"), "wallet_id", "left")
     voucher_value = F.col("value_pence")
-    expired = F.col("reward_redm_ts").isNull() & on_days("reward_end_ts", None, as_of)
+    redeemed = F.col("reward_redm_ts").isNotNull()
+    expired = ~redeemed & on_days("reward_end_ts", None, as_of)
+
+    def entry(index: int, ts: str, value: Column) -> Column:
+        return F.struct(F.lit(index).alias("index"), F.col(ts).alias("ts"), value.alias("value"))
+
+    # a voucher is created and then expires or is redeemed: up to two entries from one read
+    entries = F.array(
+        entry(8, "reward_gained_ts", voucher_value),
+        F.when(expired, entry(9, "reward_end_ts", -F.coalesce(voucher_value, F.lit(0)))).when(
+            redeemed, entry(10, "reward_redm_ts", -voucher_value)
+        ),
+    )
+    voucher_lines = voucher_rows.select(F.inline(F.array_compact(entries)))
     lines = [
         line(
             completions,
@@ -430,9 +443,7 @@ def liability(
             "event_ts",
             F.coalesce(F.col("cashpot_val_exp"), F.lit(0)),
         ),
-        line(voucher_rows, 8, "reward_gained_ts", voucher_value),
-        line(voucher_rows.filter(expired), 9, "reward_end_ts", -F.coalesce(voucher_value, F.lit(0))),
-        line(voucher_rows.filter("reward_redm_ts is not null"), 10, "reward_redm_ts", -voucher_value),
+        line(voucher_lines, F.col("index"), "ts", F.col("value")),
     ]
     ledger = lines[0]
     for more in lines[1:]:

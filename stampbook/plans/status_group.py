@@ -36,7 +36,7 @@ def status_activity_funnel(
         .agg(F.max("event_ts").alias("last_scan"))
     )
     recent = holders(accounts, archive).join(last, "wallet_id").filter(
-        F.col("status_upd_dt").cast("timestamp") <= F.col("last_scan")
+        F.col("status_upd_dt") <= F.col("last_scan")
     )
 
     def since(days: int) -> Column:

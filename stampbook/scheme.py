@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import date
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,7 @@ class Scheme:
     coupon_start: date = date(2023, 10, 1)
     item_obsolete_floor: date = date(2022, 6, 1)
     coupon_item_obsolete_floor: date = date(2022, 8, 1)
-    star_value_change: datetime = datetime(2022, 5, 19)
+    star_value_change: date = date(2022, 5, 19)
     status_launch: date = date(2023, 5, 3)
     reference_prefix_change: date = date(2023, 6, 1)
     evergreen_end_floor: date = date(2031, 12, 31)

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # no Python stack capture per expression; it dominates planning of wide reports
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -44,9 +44,9 @@ def incremental_start(
     cutoff = as_of - timedelta(days=trailing_days)
     due = calendar_days.filter(F.col("day_date").between(F.lit(full_start), F.lit(cutoff)))
     missing = due.join(target.select(F.col("full_date").alias("day_date")).distinct(), "day_date", "left_anti")
-    state = target.agg(F.count(F.lit(1)).alias("n")).crossJoin(missing.agg(F.count(F.lit(1)).alias("gaps")))
-    full = (F.col("n") == 0) | (F.col("gaps") > 0)
-    return state.select(
+    gaps = missing.agg(F.count(F.lit(1)).alias("gaps")).scalar()
+    full = (F.col("n") == 0) | (gaps > 0)
+    return target.agg(F.count(F.lit(1)).alias("n")).select(
         F.when(full, F.lit(full_start)).otherwise(F.lit(cutoff + timedelta(days=1))).alias("load_from"),
         F.when(full, "full").otherwise("incremental").alias("mode"),
     )
