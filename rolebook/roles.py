@@ -3,7 +3,7 @@
 Each role is one SELECT in the SQL that Spark and DuckDB share, so both sides
 of the correctness check read the same rows; the reports themselves are
 written twice, as DataFrame operators and as independent SQL. Every role
-covers its source tables whole.
+covers its source tables whole. Money is in pence unless a role says otherwise.
 """
 
 from __future__ import annotations
@@ -63,11 +63,11 @@ ROLES: dict[str, str] = {
     o_orderdate AS event_ts, CAST(o_orderdate AS DATE) AS visit_dt, {_CHANNEL} AS chnl_nm,
     CAST(o_orderkey AS STRING) AS trans_rcpt_nbr, CAST(o_orderkey % 9 AS INT) AS reg_nbr,
     CAST(o_orderkey % 1000 AS INT) AS trans_nbr, o_orderkey AS basket_id,
-    CAST(o_totalprice AS DECIMAL(12, 2)) AS sale_amt_inc_vat
+    CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS sale_amt_inc_vat
     FROM orders""",
     "event_scans": """SELECT user_id AS wallet_id, ts AS event_ts, event_id AS basket_id,
     CASE event_type WHEN 'purchase' THEN 'store' WHEN 'view' THEN 'ecom' ELSE event_type END AS chnl_nm,
-    CAST(value AS DECIMAL(12, 2)) AS sale_amt_inc_vat
+    CAST(FLOOR(value * 100 + 0.5) AS BIGINT) AS sale_amt_inc_vat
     FROM events""",
     "accounts": f"""SELECT c_custkey AS wallet_id,
     CASE WHEN {_GUEST} THEN NULL ELSE 'P' || CAST(c_custkey AS STRING) END AS singl_profl_id,
@@ -166,13 +166,13 @@ ROLES: dict[str, str] = {
     "coupon_adjustments": f"""SELECT {_CMPGN} AS cmpgn_id, l_partkey AS item_nbr, p_name AS prod_disp_nm,
     l_shipdate AS coupn_redm_ts, CASE WHEN l_linenumber > 4 THEN 'ecom' ELSE 'store' END AS chnl_nm,
     l_linenumber AS rdmpt_cnt, CAST(FLOOR(l_extendedprice / 50) AS BIGINT) AS rdmpt_val,
-    CAST(l_extendedprice AS DECIMAL(12, 2)) AS vat_sell_price_amt, CAST(l_shipdate AS DATE) AS visit_dt,
+    CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS vat_sell_price_amt, CAST(l_shipdate AS DATE) AS visit_dt,
     CASE l_linestatus WHEN 'F' THEN 1 ELSE 0 END AS supplier_bill_ind,
     CASE l_returnflag WHEN 'N' THEN 0 ELSE 1 END AS in_cmpgn_ind
     FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "basket_items": """SELECT l_partkey AS cons_item_nbr, CAST(l_shipdate AS DATE) AS visit_dt,
     l_orderkey AS basket_id, CAST(l_quantity AS INT) AS unmeasured_qty,
-    CAST(l_extendedprice AS DECIMAL(12, 2)) AS sale_amt_inc_vat,
+    CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS sale_amt_inc_vat,
     CASE l_returnflag WHEN 'A' THEN 2 ELSE 1 END AS channel_src_id FROM lineitem""",
     "stores": """SELECT CAST(s_suppkey AS INT) AS store_nbr,
     s_name || CASE WHEN s_acctbal < 0 THEN ' (north), x' WHEN s_acctbal < 5000 THEN ' (north)' ELSE '' END AS store_nm,
@@ -224,23 +224,23 @@ ROLES: dict[str, str] = {
     CASE WHEN o_custkey % 4 = 0 THEN 'Control' ELSE 'Send' END AS sendtype,
     o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid FROM orders""",
     "fashion_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS creation_date,
-    CAST(o_orderkey % 6 AS INT) + 1 AS sum_order_quantity, CAST(o_totalprice AS DECIMAL(12, 2)) AS total_order_value
+    CAST(o_orderkey % 6 AS INT) + 1 AS sum_order_quantity, CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS total_order_value
     FROM orders WHERE o_orderstatus = 'F'""",
     "grocery_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS order_sbmtd_ts,
     o_orderkey AS web_order_id, CAST(SUM(l_quantity) AS INT) AS item_qty,
-    CAST(o_totalprice AS DECIMAL(12, 2)) AS pos_tot_amt
+    CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS pos_tot_amt
     FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P'
     GROUP BY o_custkey, o_orderdate, o_orderkey, o_totalprice""",
     "control_population": """SELECT 'master1996-01-01' AS control_group, c_mktsegment AS segment,
     'P' || CAST(c_custkey AS STRING) AS spid FROM customer""",
     "week_orders": """SELECT CAST(o_orderkey AS STRING) AS order_id, 'P' || CAST(o_custkey AS STRING) AS spid,
-    CAST(o_totalprice AS DECIMAL(12, 2)) AS sales, CAST(o_orderdate AS DATE) AS order_day
+    CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS sales, CAST(o_orderdate AS DATE) AS order_day
     FROM orders WHERE o_orderstatus <> 'P'""",
     "fuel_lines": """SELECT CAST(o_orderdate AS DATE) AS visit_dt, CAST(o_orderkey % 1000 AS INT) AS trans_nbr,
     '7' AS store_nbr, CAST(o_orderkey % 9 AS INT) AS reg_nbr, 'PFS' AS store_type,
     CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS wallet_id,
     CASE WHEN l_linenumber <= 4 THEN 'FUEL' || CAST(l_linenumber - 1 AS STRING) ELSE 'SHOP' END AS upc_nbr,
-    CAST(l_extendedprice AS DECIMAL(12, 2)) AS sale_amt_inc_vat, CAST(l_quantity AS INT) AS qty,
+    CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS sale_amt_inc_vat, CAST(l_quantity AS INT) AS qty,
     CASE WHEN l_tax = 0 THEN 'x' ELSE CAST(CAST(-l_quantity AS INT) AS STRING) END AS sales_adj
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "forecourt_scans": """SELECT o_custkey AS wallet_id, '7' AS store_nbr, CAST(o_orderdate AS DATE) AS visit_dt,
@@ -249,7 +249,7 @@ ROLES: dict[str, str] = {
     CAST(o_orderkey % 9 AS INT) AS reg_nbr, CAST(o_orderkey % 1000 AS INT) AS trans_nbr FROM orders""",
     "store_visits": """SELECT '7' AS store_nbr, CAST(o_orderdate AS DATE) AS visit_dt,
     CAST(o_orderkey % 9 AS INT) AS reg_nbr, CAST(o_orderkey % 1000 AS INT) AS trans_nbr,
-    CAST(SUM(o_totalprice) AS DECIMAL(14, 2)) AS tot_visit_amt, CAST(COUNT(*) AS INT) + 3 AS tot_scan_cnt
+    SUM(CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT)) AS tot_visit_amt, CAST(COUNT(*) AS INT) + 3 AS tot_scan_cnt
     FROM orders GROUP BY CAST(o_orderdate AS DATE), CAST(o_orderkey % 9 AS INT), CAST(o_orderkey % 1000 AS INT)""",
     "supplier_bill": f"""SELECT {_CMPGN} AS cmpgn_id, p_name AS cmpgn_nm, p_type AS offr_type_desc,
     p_brand AS offr_group_desc, l_shipdate AS cmpgn_start_ts, l_shipdate AS cmpgn_end_ts,

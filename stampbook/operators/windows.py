@@ -26,12 +26,12 @@ def window_sums(
     ``points`` and ``events`` both carry ``key`` and ``day``. Returns one row per
     distinct point with columns ``<frame>_<measure>``; NULL when the window is empty.
     """
-    daily = events.groupBy(key, day).agg(*[F.sum(m).alias(m) for m in measures])
-    marks = points.select(key, day).distinct().withColumn("_point", F.lit(1))
+    marks = points.select(key, day, F.lit(1).alias("_point"))
     merged = (
-        daily.unionByName(marks, allowMissingColumns=True)
+        events.select(key, day, *measures)
+        .unionByName(marks, allowMissingColumns=True)
         .groupBy(key, day)
-        .agg(*[F.max(m).alias(m) for m in measures], F.max("_point").alias("_point"))
+        .agg(*[F.sum(m).alias(m) for m in measures], F.max("_point").alias("_point"))
         .withColumn("_n", F.unix_date(day))
     )
     window = Window.partitionBy(key).orderBy("_n")
@@ -45,10 +45,10 @@ def window_sums(
 
 def next_event_day(points: DataFrame, events: DataFrame, key: str, day: str, alias: str = "next_day") -> DataFrame:
     """For each distinct point, the first event day on or after it (NULL if none)."""
-    marks = points.select(key, day).distinct().withColumn("_event", F.lit(None).cast("date"))
-    hits = events.select(key, day).distinct().withColumn("_event", F.col(day))
+    marks = points.select(key, day, F.lit(None).cast("date").alias("_event"))
+    hits = events.select(key, day, F.col(day).alias("_event"))
     merged = hits.unionByName(marks).groupBy(key, day).agg(
-        F.max("_event").alias("_event"), F.max(F.col("_event").isNull()).alias("_point")
+        F.max("_event").alias("_event"), F.bool_or(F.col("_event").isNull()).alias("_point")
     )
     # descending order keeps this a growing frame, computed in one pass
     window = (

@@ -61,12 +61,15 @@ def crm_send_level(sends: DataFrame, channels: dict[str, DataFrame]) -> DataFram
     keys = ["journey_name", "groups", "journey_date"]
     frames = {"Pre": PRE_FRAME, "Post": POST_FRAME}
     per_customer = sends.groupBy(*keys, "_key").agg(F.count(F.lit(1)).alias("sends"))
-    rows = per_customer
     measures = ("orders", "items", "sales")
-    for name, orders in channels.items():
-        sums = window_sums(per_customer, orders, "_key", "journey_date", frames, measures)
-        renamed = [F.col(f"{f}_{m}").alias(f"{f}_{name}_{m}") for f in frames for m in measures]
-        rows = rows.join(sums.select("_key", "journey_date", *renamed), ["_key", "journey_date"], "left")
+    # all channels share one pass: each brings its own measure columns
+    orders = None
+    for name, rows in channels.items():
+        named = rows.select("_key", "journey_date", *[F.col(m).alias(f"{name}_{m}") for m in measures])
+        orders = named if orders is None else orders.unionByName(named, allowMissingColumns=True)
+    columns = [f"{name}_{m}" for name in channels for m in measures]
+    sums = window_sums(per_customer, orders, "_key", "journey_date", frames, columns)
+    rows = per_customer.join(sums, ["_key", "journey_date"], "left")
     times = F.col("sends")
     aggregates = [F.count("_key").alias("customers")]
     for f in frames:

@@ -29,16 +29,10 @@ class FuelReports:
     visits: DataFrame
 
 
-def fuel_visits(
-    fuel_lines: DataFrame,
-    calendar_days: DataFrame,
-    store: str,
-    start: date,
-    as_of: date,
-    outage: tuple[date, date] | None = OUTAGE,
+def forecourt_lines(
+    fuel_lines: DataFrame, store: str, start: date, as_of: date, outage: tuple[date, date] | None
 ) -> DataFrame:
-    """One row per receipt, wallet and product: the line(s) with the largest adjustment."""
-    adjustment = F.abs(F.col("sales_adj").try_cast("double"))
+    """Fuel lines of one store from 91 days before ``start``, outage days left out."""
     day = F.col("visit_dt")
     lines = fuel_lines.filter(
         (F.col("store_nbr") == store)
@@ -48,6 +42,20 @@ def fuel_visits(
     )
     if outage is not None:
         lines = lines.filter(~day.between(F.lit(outage[0]), F.lit(outage[1])))
+    return lines
+
+
+def fuel_visits(
+    fuel_lines: DataFrame,
+    calendar_days: DataFrame,
+    store: str,
+    start: date,
+    as_of: date,
+    outage: tuple[date, date] | None = OUTAGE,
+) -> DataFrame:
+    """One row per receipt, wallet and product: the line(s) with the largest adjustment."""
+    adjustment = F.abs(F.col("sales_adj").try_cast("double"))
+    lines = forecourt_lines(fuel_lines, store, start, as_of, outage)
     largest = first_per_key(
         lines.withColumn("sales_adj", adjustment), RECEIPT, [F.col("sales_adj").desc()], ties=True
     ).select(*RECEIPT, "store_type", "wallet_id", "upc_nbr", "sale_amt_inc_vat", "qty", "sales_adj").distinct()
@@ -104,14 +112,14 @@ def store_days(scans: DataFrame, store_visits: DataFrame, store: str, start: dat
     )
 
 
-def cross_shop_flags(visits: DataFrame, store_visit_rows: DataFrame) -> DataFrame:
-    """Per fuel receipt of a wallet: nearest period with a store visit, and spend per visit.
+def cross_shop_flags(fuel_days: DataFrame, store_visit_rows: DataFrame) -> DataFrame:
+    """Per wallet and fuel day: nearest period with a store visit, and spend per visit.
 
     Store visits are summed per wallet and day and read through day frames
     before each fuel day, so visits are never paired with each other. Wallets
     without any earlier store visit have no flags.
     """
-    points = visits.filter("wallet_id is not null").select("wallet_id", "visit_dt").distinct()
+    points = fuel_days.filter("wallet_id is not null").select("wallet_id", "visit_dt")
     frames = {**CROSS_SHOP_FRAMES, "ever": (Window.unboundedPreceding, 0)}
     sums = window_sums(points, store_visit_rows, "wallet_id", "visit_dt", frames, ["sv", "sv_sales", "sv_units"])
     count = {f: F.coalesce(F.col(f"{f}_sv"), F.lit(0)) for f in CROSS_SHOP_FRAMES}
@@ -150,7 +158,7 @@ def fuel_cross_shop(
     rows = (
         visits.join(first_scan, keys, "left")
         .join(first_fuel, keys, "left")
-        .join(cross_shop_flags(visits, shop), ["wallet_id", "visit_dt"], "left")
+        .join(cross_shop_flags(forecourt_lines(fuel_lines, store, start, as_of, outage), shop), ["wallet_id", "visit_dt"], "left")
     )
     return FuelReports(
         customers=_customer_level(rows, as_of),
