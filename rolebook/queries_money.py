@@ -10,6 +10,7 @@ from rolebook.oracle import A, E, LAUNCH, day, pounds, total
 from rolebook.registry import Bound, query
 from rolebook.roles import AS_OF, EVENTS_AS_OF, SCHEME
 from stampbook.plans import campaigns, crm, fuel, jobs, money
+from stampbook.sources import upsert
 
 # --- vouchers ---
 
@@ -526,6 +527,25 @@ def kpi_row(r: Bound):
     )
 
 
+@query(
+    "kpi_upsert",
+    f"""SELECT visit_dt AS date, CAST(NULL AS DOUBLE) AS app_rating, COUNT(DISTINCT wallet_id) AS active_members, CAST(NULL AS BIGINT) AS active_connected_cust,
+      CAST(NULL AS DOUBLE) AS invested_into_cashpot FROM scans WHERE visit_dt <> {A} GROUP BY 1
+    UNION ALL SELECT {A}, (SELECT AVG(rating) FROM ratings), (SELECT COUNT(DISTINCT wallet_id) FROM scans WHERE visit_dt BETWEEN {A} - 91 AND {A} - 1),
+      (SELECT COUNT(DISTINCT spid) FROM baskets WHERE {day('timestamp')} BETWEEN {A} - 91 AND {A} AND is_spid_connected AND is_active AND is_spid_connected_direct),
+      (SELECT round({pounds('mission_value_pence')}, 2) FROM completion_v WHERE {day('cmpgn_cmplt_ts')} >= DATE '2001-01-01')""",
+)
+def kpi_upsert(r: Bound):
+    older = (
+        r.scans.groupBy(F.col("visit_dt").alias("date"))
+        .agg(F.countDistinct("wallet_id").alias("active_members"))
+        .withColumn("app_rating", F.lit(None).cast("double"))
+        .withColumn("active_connected_cust", F.lit(None).cast("long"))
+        .withColumn("invested_into_cashpot", F.lit(None).cast("double"))
+    )
+    return upsert(older, kpi_row(r), ["date"])
+
+
 @query(
     "app_usage_merge",
     "SELECT o.*, clicks, removes FROM app_opens o JOIN app_engagement g ON g.date = o.date JOIN app_removes x ON x.date = o.date",

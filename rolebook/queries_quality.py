@@ -14,6 +14,7 @@ from stampbook.dq import checks, metrics, rollup
 from stampbook.dq.registry import check
 from stampbook.plans import activity, bases, crm, jobs
 from stampbook.sources import append_rows, delete_where, incremental_start, sync_replace, upsert
+from stampbook.streaming import daily_activity
 
 # --- table maintenance: a target as of an older load, and the newest slice ---
 
@@ -71,6 +72,20 @@ def append(r: Bound):
     return append_rows(_target(r), _daily(r.scans.filter(F.col("visit_dt") >= F.lit(OLD))))
 
 
+@query("archive_load", "SELECT * FROM archive")
+def archive_load(r: Bound):
+    current = r.accounts.select("wallet_id", "status_id_last_upd_ts")
+    return sync_replace(current, r.archive)
+
+
+@query(
+    "daily_activity",
+    "SELECT visit_dt AS full_date, chnl_nm, COUNT(*) AS num_transactions, CAST(SUM(sale_amt_inc_vat) AS BIGINT) AS sales FROM scans GROUP BY 1, 2",
+)
+def daily_activity_batch(r: Bound):
+    return daily_activity(r.scans.withColumn("event_ts", F.col("event_ts").cast("timestamp")))
+
+
 @query("dedup_rewrite", "SELECT DISTINCT wallet_id, visit_dt AS full_date FROM scans")
 def dedup(r: Bound):
     return r.scans.select("wallet_id", F.col("visit_dt").alias("full_date")).dropDuplicates(["wallet_id", "full_date"])
@@ -358,6 +373,12 @@ def dq_pass_rates_filled(r: Bound):
     return rollup.pass_rates(r.check_log, "check_id", "status", _NOW)
 
 
+@query("dq_dependency_pass_rates", _rates_sql("(SELECT dependency_id, dts, status FROM check_log l JOIN check_mapping m ON m.check_id = l.check_id)", "dependency_id", "status", True))
+def dq_dependency_pass_rates(r: Bound):
+    log = r.check_log.join(r.check_mapping.select("check_id", "dependency_id"), "check_id")
+    return rollup.pass_rates(log, "dependency_id", "status", _NOW)
+
+
 _RUN_LOG_SQL = """, l AS (SELECT * FROM (SELECT i.*, d.type, d.name, d.parameter, row_number() OVER (PARTITION BY i.dependency_id ORDER BY dts DESC) AS k
       FROM dependency_info i JOIN dependency_definitions d ON d.dependency_id = i.dependency_id) WHERE k = 1),
     f AS (SELECT dependency_id, dts, type, name, json_extract_string(parameter, '$."schedule type"') AS schedule,
@@ -379,6 +400,19 @@ def dq_run_log(r: Bound):
     return rollup.run_log(r.dependency_info, r.dependency_definitions, _NOW)
 
 
+@query(
+    "dq_run_log_upsert",
+    f"""{_RUN_LOG_SQL.replace('SELECT *, status IN', ', n AS (SELECT *, status IN', 1)})
+    SELECT * FROM n UNION ALL SELECT dependency_id, dts, type, name, schedule, workflow_id || '-old', status, start_time, end_time, duration_in_seconds,
+      error_message, run_status_flag FROM n""",
+)
+def dq_run_log_upsert(r: Bound):
+    newest = rollup.run_log(r.dependency_info, r.dependency_definitions, _NOW)
+    stale = newest.withColumn("error_message", F.lit("stale"))
+    kept = newest.withColumn("workflow_id", F.concat("workflow_id", F.lit("-old")))
+    return upsert(stale.unionByName(kept), newest, rollup.RUN_LOG_KEYS)
+
+
 @query(
     "dq_schedule_decision",
     f""", x AS (SELECT user_id, MAX(ts) AS last_run, max_by(event_type <> 'error', ts) AS last_ok,

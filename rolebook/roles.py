@@ -149,9 +149,9 @@ ROLES: dict[str, str] = {
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "reward_wallets": """SELECT o_custkey AS wallet_id,
     CAST((1 + o_custkey % 25) * 100 + 1 + o_orderkey % 50 AS INT) AS cmpgn_id,
-    o_orderdate AS reward_gained_ts, CAST(CAST(o_orderdate AS DATE) + 60 AS TIMESTAMP) AS reward_end_ts,
-    CASE WHEN o_orderstatus = 'F'
-         THEN lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) END AS reward_redm_ts,
+    o_orderdate - INTERVAL '37' MINUTE * CAST(o_orderkey % 300 AS INT) AS reward_gained_ts,
+    CAST(CAST(o_orderdate AS DATE) + 60 AS TIMESTAMP) AS reward_end_ts,
+    CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS reward_redm_ts,
     'V_' || o_orderpriority AS cmpgn_type_desc,
     CASE WHEN o_orderstatus = 'F' THEN 'USED' ELSE 'OPEN' END AS reward_status_desc,
     CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'HISTORIC' ELSE 'CURRENT' END AS rec_status_ind

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, time, timedelta
+from time import monotonic
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from stampbook.dq.metrics import PercentageOfMedian, daily_counts
 from stampbook.functions import on_days
 from stampbook.operators import first_per_key, latest_per_key
+from stampbook.sources import VersionedTable, append_rows, upsert
 
 Tables = Mapping[str, DataFrame]
 HISTORY_TYPES = (
@@ -374,44 +376,143 @@ class CheckSpec:
     definition: str
     rules: Sequence[object] = field(default_factory=tuple)
 
-    def result(self, tables: Tables, context: Context) -> DataFrame:
-        # one row per rule
-        verdicts = None
-        for rule in self.rules:
-            one = rule.evaluate(tables, context).select("passed", "message")
-            verdicts = one if verdicts is None else verdicts.unionByName(one)
-        return verdicts.agg(F.bool_and("passed").alias("status"), F.max("message").alias("error_message")).select(
-            F.lit(self.check_id).alias("check_id"),
-            F.lit(self.definition).alias("definition"),
-            "status",
-            "error_message",
-            F.lit(context.clock).alias("dts"),
-        )
 
+def shared_daily_verdicts(
+    rows: DataFrame, day: str, rules: Sequence[tuple[int, DailyCount]], context: Context
+) -> DataFrame:
+    """Verdicts of many plain daily-count rules from one read of their table.
 
-def _failure(spark: SparkSession, spec: CheckSpec, context: Context, error: Exception) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(spec.check_id).alias("check_id"),
-        F.lit(spec.definition).alias("definition"),
-        F.lit(False).alias("status"),
-        F.lit(str(error).split("\n")[0]).alias("error_message"),
-        F.lit(context.clock).alias("dts"),
+    Each row is repeated once per rule it belongs to and folded at once to a
+    count per rule and day, so only rules x days rows are shuffled.
+    """
+    numbered = []
+    for i, (_, rule) in enumerate(rules):
+        inside = on_days(day, context.as_of - timedelta(days=rule.window - 1), None)
+        numbered.append(F.when(inside & F.expr(rule.where) if rule.where else inside, F.lit(i)))
+    widest = max(rule.window for _, rule in rules)
+    counts = (
+        rows.filter(on_days(day, context.as_of - timedelta(days=widest - 1), None))
+        .select(_day(day).alias("dt"), F.explode(F.array_compact(F.array(*numbered))).alias("rule"))
+        .groupBy("rule", "dt")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    checked = [F.when(F.col("rule") == i, F.lit(r.checked_day(context))) for i, (_, r) in enumerate(rules)]
+    share = [F.when(F.col("rule") == i, F.lit(r.tolerance)) for i, (_, r) in enumerate(rules)]
+    ids = [F.when(F.col("rule") == i, F.lit(check_id)) for i, (check_id, _) in enumerate(rules)]
+    return (
+        counts.groupBy("rule")
+        .agg(F.median("n").alias("median"), F.max(F.when(F.col("dt") == F.coalesce(*checked), F.col("n"))).alias("n"))
+        .select(
+            F.coalesce(*ids).alias("check_id"),
+            F.coalesce(F.col("n") >= F.col("median") * F.coalesce(*share), F.lit(False)).alias("passed"),
+            F.lit(None).cast("string").alias("message"),
+        )
     )
 
 
 def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables, context: Context) -> DataFrame:
-    """One status row per check, as a single lazy union.
+    """One status row per check, as a single lazy plan.
 
-    A check whose tables or columns are missing yields a failed row with the
-    error text. Checks on the same table are planned together, so Spark can
-    share their scans.
+    Plain daily counts on the same table and day column are read together. A
+    rule whose table or columns are missing, or that yields no row at all,
+    fails its check; the error text is kept.
     """
-    result = None
-    for spec in specs:
+    shared: dict[tuple[str, str], list[tuple[int, DailyCount]]] = {}
+    verdicts, errors = [], []
+
+    def attempt(check_ids: Sequence[int], build) -> None:
         try:
-            row = spec.result(tables, context)
-            row.schema
-        except Exception as e:  # noqa: BLE001 - a broken check must not stop the others
-            row = _failure(spark, spec, context, e)
-        result = row if result is None else result.unionByName(row)
-    return result
+            df = build()
+            df.schema  # resolves the plan, so that one broken rule does not stop the others
+            verdicts.append(df)
+        except Exception as e:  # noqa: BLE001
+            errors.extend((check_id, False, str(e).split("\n")[0]) for check_id in check_ids)
+
+    for spec in specs:
+        for rule in spec.rules:
+            if isinstance(rule, DailyCount) and rule.value is None and rule.day_format is None:
+                shared.setdefault((rule.table, rule.day), []).append((spec.check_id, rule))
+            else:
+                attempt(
+                    [spec.check_id],
+                    lambda rule=rule, spec=spec: rule.evaluate(tables, context).select(
+                        F.lit(spec.check_id).alias("check_id"), "passed", "message"
+                    ),
+                )
+    for (table, day), rules in shared.items():
+        attempt(
+            [check_id for check_id, _ in rules],
+            lambda table=table, day=day, rules=rules: shared_daily_verdicts(
+                _rows(tables, table, None), day, rules, context
+            ),
+        )
+    schema = "check_id int, passed boolean, message string"
+    combined = spark.createDataFrame(errors, schema)
+    for df in verdicts:
+        combined = combined.unionByName(df)
+    listed = spark.createDataFrame(
+        [(s.check_id, s.definition, len(s.rules)) for s in specs], "check_id int, definition string, rules int"
+    )
+    outcome = combined.groupBy("check_id").agg(
+        F.bool_and("passed").alias("all_passed"), F.count(F.lit(1)).alias("seen"), F.max("message").alias("error_message")
+    )
+    return listed.join(outcome, "check_id", "left").select(
+        "check_id",
+        "definition",
+        F.coalesce(F.col("all_passed") & (F.col("seen") == F.col("rules")), F.lit(False)).alias("status"),
+        "error_message",
+        F.lit(context.clock).alias("dts"),
+    )
+
+
+NOT_COMPLETED = "Check did not complete."
+
+
+def record_checks(
+    spark: SparkSession,
+    specs: Sequence[CheckSpec],
+    tables: Tables,
+    context: Context,
+    log: VersionedTable,
+    run_url: str | None = None,
+    history_log: VersionedTable | None = None,
+) -> DataFrame:
+    """Run the checks and keep their results in ``log``.
+
+    A failed row per check is written first and replaced by the result, so a
+    run that dies leaves no older pass standing. Checks with a history rule that
+    passed append a new snapshot to ``history_log``. Returns this run's rows.
+    """
+    began = monotonic()
+    columns = ["check_id", "definition", "status", "error_message", "dts", "run_url", "run_duration_seconds"]
+
+    def stamped(df: DataFrame, seconds: float | None) -> DataFrame:
+        return df.select(
+            *columns[:5],
+            F.lit(run_url).cast("string").alias("run_url"),
+            F.lit(seconds).cast("float").alias("run_duration_seconds"),
+        )
+
+    pessimistic = spark.createDataFrame(
+        [(s.check_id, s.definition, False, NOT_COMPLETED) for s in specs],
+        "check_id int, definition string, status boolean, error_message string",
+    ).withColumn("dts", F.lit(context.clock))
+    first = stamped(pessimistic, None)
+    log.write(append_rows(log.read(), first) if log.exists() else first)
+    # one row per check: the statuses fit the driver
+    found = run_checks(spark, specs, tables, context).collect()
+    results = stamped(spark.createDataFrame(found, schema=pessimistic.schema), monotonic() - began)
+    log.write(upsert(log.read(), results, ["check_id", "dts"]))
+    if history_log is not None:
+        passed = {row["check_id"] for row in found if row["status"]}
+        snapshots = [
+            rule.snapshot(tables, context)
+            for spec in specs
+            for rule in spec.rules
+            if isinstance(rule, History) and spec.check_id in passed
+        ]
+        for i, snapshot in enumerate(snapshots):
+            merged = snapshot if i == 0 else merged.unionByName(snapshot)
+        if snapshots:
+            history_log.write(append_rows(history_log.read(), merged) if history_log.exists() else merged)
+    return results

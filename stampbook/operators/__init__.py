@@ -1,4 +1,4 @@
-from stampbook.operators.keyed import first_per_key, latest_per_key, sync_point_events
+from stampbook.operators.keyed import first_per_key, latest_per_key, scan_points
 from stampbook.operators.median import exact_median
 from stampbook.operators.skew import salted_join
 from stampbook.operators.stocks import first_days, rolling_distinct, running_totals
@@ -16,7 +16,7 @@ __all__ = [
     "rolling_distinct",
     "running_totals",
     "salted_join",
-    "sync_point_events",
+    "scan_points",
     "window_sums",
     "with_total_row",
 ]

@@ -33,13 +33,19 @@ def first_per_key(
     return _best_per_key(df, keys, order, ties)
 
 
-def sync_point_events(
-    scans: DataFrame, columns: Sequence[str] = ("store_nbr", "chnl_nm"), ts_alias: str = "_scan_ts"
+def scan_points(
+    scans: DataFrame, columns: Sequence[str | Column] = ("store_nbr", "chnl_nm"), ts_alias: str = "event_ts"
 ) -> DataFrame:
-    """Scans reduced to one row per (wallet, timestamp, attributes).
+    """Scans reduced to one row per (wallet, timestamp, attributes), laid out for a join on the first two.
 
     Redemptions are attributed to the scan with the same wallet and timestamp;
-    the reduction stops repeated scan rows from multiplying redemptions. The
-    join key (wallet, timestamp) also spreads a wallet that holds many rows.
+    the reduction stops repeated scan rows from multiplying redemptions. Scans
+    are nearly unique, so they are shuffled once on the join key, which serves
+    both the reduction and the join. The timestamp in the key spreads a wallet
+    that holds many rows.
     """
-    return scans.select("wallet_id", F.col("event_ts").alias(ts_alias), *columns).distinct()
+    return (
+        scans.select("wallet_id", F.col("event_ts").alias(ts_alias), *columns)
+        .repartition("wallet_id", ts_alias)
+        .distinct()
+    )

@@ -97,6 +97,8 @@ def account_base(accounts: DataFrame, scans: DataFrame, as_of: date, scheme: Sch
             expired_guest(as_of, scheme.guest_expiry_days).alias("acct_del_ind_1"),
             "src_modfd_ts",
         )
+        # one shuffle on the join key serves the reduction and the join
+        .repartition("wallet_id", "reg_dt")
         .distinct()
     )
     balance = F.col("curr_cash_bnk_pnts_qty")

@@ -16,7 +16,7 @@ from stampbook.functions import (
     ratio,
     strip_check_digit,
 )
-from stampbook.operators import latest_per_key, next_event_day, reach_in_windows, sync_point_events, with_total_row
+from stampbook.operators import latest_per_key, next_event_day, reach_in_windows, scan_points, with_total_row
 from stampbook.plans.bases import this_year
 from stampbook.scheme import Scheme
 
@@ -130,7 +130,7 @@ def vouchers(
         & (redeemed.isNull() | on_days(redeemed, scheme.launch, as_of))
         & ~F.col("wallet_id").isin(*scheme.excluded_voucher_wallets)
     ).select("wallet_id", "cmpgn_id", "reward_gained_ts", "reward_end_ts", "reward_redm_ts", "cmpgn_type_desc")
-    points = sync_point_events(scans, ts_alias="reward_redm_ts")
+    points = scan_points(scans, ts_alias="reward_redm_ts")
     value = setup.select("cmpgn_id", "value_pence", F.col("pound_value").alias("voucher_value_pounds"))
     status = account_rows.select("wallet_id", "acct_status_id")
     return (
@@ -192,7 +192,7 @@ def mission_completions(
     completed = missions.filter(
         on_days("cmpgn_cmplt_ts", scheme.launch, as_of) & (always_on | (F.col("rec_status_ind") == CURRENT))
     ).select("wallet_id", "cmpgn_id", "cmpgn_seen_ts", "cmpgn_cmplt_ts", "rdmpt_cnt", "rdmpt_val", "rec_status_ind")
-    points = sync_point_events(scans, ts_alias="cmpgn_cmplt_ts").filter(is_numeric_store())
+    points = scan_points(scans, ts_alias="cmpgn_cmplt_ts").filter(is_numeric_store())
     attributed = (
         completed.join(points, ["wallet_id", "cmpgn_cmplt_ts"])
         .join(setup.select("cmpgn_id", "activity_type", "value_pence"), "cmpgn_id", "left")
@@ -466,7 +466,7 @@ def mission_summary(
         .distinct()
         .join(spend_needed, "cmpgn_id", "left")
     )
-    points = scans.select("wallet_id", "event_ts").distinct().withColumn("_scan", F.lit(1))
+    points = scan_points(scans, [F.lit(1).alias("_scan")])
     seen = F.col("cmpgn_seen_ts").isNotNull()
     per_day = (
         missions.filter(_is_current() & on_days("event_ts", scheme.trading_start, as_of))
@@ -616,10 +616,10 @@ def coupon_daily_items(adjustments: DataFrame, details: DataFrame, scheme: Schem
 
 
 def _redeeming_channel(coupons: DataFrame, scans: DataFrame, scheme: Scheme) -> DataFrame:
-    points = (
-        scans.filter(on_days("event_ts", scheme.coupon_start, None))
-        .select("wallet_id", F.col("event_ts").alias("coupn_redm_ts"), F.upper("chnl_nm").alias("_channel"))
-        .distinct()
+    points = scan_points(
+        scans.filter(on_days("event_ts", scheme.coupon_start, None)),
+        [F.upper("chnl_nm").alias("_channel")],
+        "coupn_redm_ts",
     )
     return coupons.join(points, ["wallet_id", "coupn_redm_ts"], "left")
 
@@ -701,9 +701,7 @@ def coupon_alloc(coupons: DataFrame, as_of: date) -> DataFrame:
 
 def coupon_redm(coupons: DataFrame, scans: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
     """Redemptions per day, campaign, store and channel; store '-1' is taken from the order."""
-    points = scans.select(
-        "wallet_id", F.col("event_ts").alias("coupn_redm_ts"), "store_nbr", "chnl_nm", "trans_rcpt_nbr"
-    ).distinct()
+    points = scan_points(scans, ["store_nbr", "chnl_nm", "trans_rcpt_nbr"], "coupn_redm_ts")
     order_store = orders.select(F.col("web_order_id").alias("trans_rcpt_nbr"), F.col("store_nbr").alias("_order_store"))
     count, value = F.col("rdmpt_cnt"), F.col("rdmpt_val")
     online, store = F.col("chnl_nm") == "ecom", F.col("chnl_nm") == "store"

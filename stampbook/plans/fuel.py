@@ -18,6 +18,8 @@ CROSS_SHOP_FRAMES = {"1d": (0, 0), "7d": (-7, -1), "30d": (-30, -8), "13wk": (-9
 # fixed values: fuel product codes
 PRODUCTS = {"FUEL1": "petrol", "FUEL2": "diesel", "FUEL0": "other_fuel", "FUEL3": "other_fuel"}
 OUTAGE = (date(2024, 1, 11), date(2024, 1, 16))
+# fixed values: marks of receipts that are not store visits
+OTHER_RECEIPTS = ("ZD", "WMT")
 
 
 @dataclass(frozen=True)
@@ -98,8 +100,7 @@ def store_days(scans: DataFrame, store_visits: DataFrame, store: str, start: dat
     receipts = scans.filter(
         (F.col("store_nbr") == store)
         & (F.col("chnl_nm") == "store")
-        & ~F.col("trans_rcpt_nbr").contains("ZD")
-        & ~F.col("trans_rcpt_nbr").contains("WMT")
+        & ~F.col("trans_rcpt_nbr").rlike("|".join(OTHER_RECEIPTS))
         & (F.col("visit_dt") >= F.lit(start - timedelta(days=91)))
         & (F.col("visit_dt") < F.lit(as_of))
     ).select("wallet_id", *RECEIPT)

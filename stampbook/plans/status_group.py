@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stampbook.functions import minor_to_major, on_days
-from stampbook.operators import sync_point_events
+from stampbook.operators import scan_points
 from stampbook.plans.bases import archive_columns
 from stampbook.scheme import Scheme
 
@@ -52,7 +52,7 @@ def status_activity_funnel(
 
 def status_earns(missions: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()) -> DataFrame:
     """Redemptions and pounds of the status campaign per day and store."""
-    points = sync_point_events(scans, columns=("store_nbr",), ts_alias="cmpgn_cmplt_ts")
+    points = scan_points(scans, columns=("store_nbr",), ts_alias="cmpgn_cmplt_ts")
     return (
         missions.filter(
             (F.col("cmpgn_id") == scheme.status_campaign)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.functions import minor_to_major, on_days, strip_check_digit
-from stampbook.operators import first_days, reach_in_windows, salted_join, with_total_row
+from stampbook.operators import first_days, reach_in_windows, salted_join, scan_points, with_total_row
 from stampbook.plans.campaigns import (
     STAR_TYPES,
     item_columns,
@@ -119,7 +119,7 @@ def star_products_daily(
 ) -> DataFrame:
     """Customers, first-scan customers, items and earn per star campaign, day and channel."""
     campaigns = star_products.select("activity_type", "cmpgn_nm", "cmpgn_id", "value_pence").distinct()
-    points = scans.select("wallet_id", "event_ts", online_or_store().alias("chnl_nm")).distinct()
+    points = scan_points(scans, [online_or_store().alias("chnl_nm")])
     firsts = first_days(scans, "wallet_id", "event_ts", "first_swipe")
     redemptions = (
         missions.filter(
@@ -226,7 +226,7 @@ def sp_redeemers(
     spans = star_products.select(
         "cmpgn_id", F.to_date("cmpgn_start_ts").alias("start_dt"), F.to_date("cmpgn_end_ts").alias("end_dt")
     ).distinct()
-    points = scans.select("wallet_id", "event_ts", online_or_store().alias("chnl_nm")).distinct()
+    points = scan_points(scans, [online_or_store().alias("chnl_nm")])
     day = F.to_date("event_ts")
     redeemers = (
         missions.filter(

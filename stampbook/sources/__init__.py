@@ -1,5 +1,6 @@
-from stampbook.sources.files import newest_file, read_newest, read_table
+from stampbook.sources.files import catalog_tables, newest_file, read_newest, read_table
 from stampbook.sources.maintenance import (
+    add_columns,
     append_rows,
     delete_where,
     incremental_start,
@@ -10,7 +11,9 @@ from stampbook.sources.versioned import VersionedTable
 
 __all__ = [
     "VersionedTable",
+    "add_columns",
     "append_rows",
+    "catalog_tables",
     "delete_where",
     "incremental_start",
     "newest_file",

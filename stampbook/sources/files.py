@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,12 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def catalog_tables(spark: SparkSession, database: str) -> dict[str, Callable[[], DataFrame]]:
+    """Loader per table and view of a database, for the row-count monitor."""
+    names = [t.name for t in spark.catalog.listTables(database)]
+    return {name: (lambda name=name: spark.table(f"{database}.{name}")) for name in names}
+
+
 def newest_file(spark: SparkSession, folder: str) -> str:
     """Path of the most recently modified file in ``folder`` (contents are not read)."""
     listing = spark.read.format("binaryFile").load(folder).select("path", "modificationTime")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     """Source rows replace target rows with equal keys; the others are kept.
 
     Keys match by plain equality, so a row with a NULL key is always inserted.
+    The source is read twice, once for its keys; write a costly source to a
+    staging table first.
     """
     return target.join(source.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns).unionByName(
         source.select(*target.columns)
@@ -33,6 +35,12 @@ def append_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows, allowMissingColumns=True)
 
 
+def add_columns(table: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
+    """Additive schema change: columns the table lacks are appended with their default."""
+    missing = {name: value for name, value in defaults.items() if name not in table.columns}
+    return table.withColumns(missing) if missing else table
+
+
 def incremental_start(
     target: DataFrame, calendar_days: DataFrame, as_of: date, full_start: date, trailing_days: int = 31
 ) -> DataFrame:

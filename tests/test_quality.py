@@ -112,6 +112,33 @@ def test_missing_table_or_column_is_a_failed_row(spark):
     assert [r["status"] for r in rows] == [False] * 3 and all(r["error_message"] for r in rows)
 
 
+def test_record_checks_replaces_the_pessimistic_rows(spark, tmp_path):
+    from stampbook.sources import VersionedTable
+
+    log, kept = VersionedTable(spark, str(tmp_path / "log")), VersionedTable(spark, str(tmp_path / "history"))
+    specs = [check(3), check(5), check(67)]
+    tables = {"scans": scans(spark), "visits": scans(spark).withColumnRenamed("event_ts", "visit_dt")}
+    checks.record_checks(spark, specs, tables, checks.Context(AS_OF), log, "url", kept)
+    rows = {r["check_id"]: r for r in log.read().collect()}
+    assert {i: r["status"] for i, r in rows.items()} == {3: True, 5: False, 67: True}
+    assert rows[3]["run_duration_seconds"] > 0 and "table not found" in rows[5]["error_message"]
+    assert {r["error_message"] for r in log.read(1).collect()} == {checks.NOT_COMPLETED}
+    assert {r["history_type"] for r in kept.read().collect()} == set(checks.HISTORY_TYPES)
+    later = checks.Context(AS_OF, datetime(2024, 2, 7, 18), history=kept.read())
+    checks.record_checks(spark, specs, tables, later, log, "url", kept)
+    assert log.read().count() == 6 and kept.read().count() == 10
+
+
+def test_shared_daily_counts_equal_single_ones(spark):
+    table = {"scans": scans(spark)}
+    rules = [checks.DailyCount("scans", "event_ts", w, t, lag, where) for w, t, lag, where in (
+        (15, 0.25, 1, None), (4, 1.5, 1, None), (15, 0.5, 2, "trans_rcpt_nbr > 'c'"), (15, 0.9, 0, None), (2, 0.1, 1, "wallet_id = 'none'"))]
+    context = checks.Context(AS_OF)
+    specs = [checks.CheckSpec(i, "", (rule,)) for i, rule in enumerate(rules)]
+    together = {r["check_id"]: r["status"] for r in checks.run_checks(spark, specs, table, context).collect()}
+    assert together == {i: rule.evaluate(table, context).first()["passed"] for i, rule in enumerate(rules)}
+
+
 def test_job_ran_today(spark):
     log = spark.createDataFrame(
         [("key_objectives", True, datetime(2024, 2, 7, 5)), ("app_usage", True, datetime(2024, 2, 6, 5)),

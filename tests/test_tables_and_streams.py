@@ -46,6 +46,16 @@ def test_sync_delete_append(spark):
     assert append_rows(target, target.drop("d")).count() == 4
 
 
+def test_add_columns_and_catalog(spark):
+    from stampbook.sources import add_columns, catalog_tables
+
+    table = add_columns(frame(spark, [(1, "a", 1)]), {"v": F.lit(9), "w": F.lit("x")})
+    assert rows(table) == [(1, "a", 1, "x")]
+    table.createOrReplaceTempView("catalog_probe")
+    assert catalog_tables(spark, "default")["catalog_probe"]  # listed
+    spark.catalog.dropTempView("catalog_probe")
+
+
 def test_versioned_table_reads_while_rewriting(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     assert not table.exists()
