@@ -390,7 +390,7 @@ _RUN_LOG_SQL = """, l AS (SELECT * FROM (SELECT i.*, d.type, d.name, d.parameter
         ELSE make_timestamp(CAST(json_extract_string(info, '$.start_time') AS BIGINT) * 1000) END AS start_time,
       CASE type WHEN 'Report' THEN CAST(json_extract_string(info, '$.refresh_end_time') AS TIMESTAMP)
         ELSE make_timestamp(CAST(json_extract_string(info, '$.end_time') AS BIGINT) * 1000) END AS end_time,
-      CASE type WHEN 'Report' THEN 600.0 ELSE 60.5 END AS duration_in_seconds, CAST(NULL AS VARCHAR) AS error_message FROM l)
+      CAST(CASE type WHEN 'Report' THEN 600.0 ELSE 60.5 END AS DOUBLE) AS duration_in_seconds, CAST(NULL AS VARCHAR) AS error_message FROM l)
     SELECT *, status IN ('Refresh Successful', 'Run Completed') AND CASE schedule WHEN 'Daily' THEN CAST(start_time AS DATE) = DATE '2024-01-31'
       ELSE DATE '2024-01-31' - CAST(start_time AS DATE) < 7 END AS run_status_flag FROM f"""
 
