@@ -211,7 +211,7 @@ class History:
         if self.first_per:
             rows = first_per_key(rows, list(self.first_per), [F.col(self.by).asc()])
         for column in (self.by, *self.up_to):
-            rows = rows.filter(_day(column) <= last_day)
+            rows = rows.filter(F.col(column) < F.date_add(last_day, 1))
         return daily_counts(rows, _day(self.by))
 
     def snapshot(self, tables: Tables, context: Context) -> DataFrame:

@@ -8,10 +8,13 @@ its window, and then reads the answer off one ordered pass per key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BEFORE_ALL_DAYS = date(1000, 1, 1)
+
 
 def window_sums(
     points: DataFrame,
@@ -67,30 +70,50 @@ def reach_in_windows(
     window_key: str,
     start: str,
     end: str,
-    split: str | None = None,
     alias: str = "reach",
 ) -> DataFrame:
-    """Distinct keys with at least one event in each window ``[start, end]``.
+    """Distinct keys with at least one event in each window ``[start, end]`` (one window per ``window_key``).
 
     A key is counted for a window on its first event day inside it, that is on
     the event whose previous event lies before ``start``. Events therefore
-    collapse to a count per (previous day, day) pair, which is bounded by the
-    calendar, and the windows are matched against that table only. With
-    ``split`` the counts are made per value of that column.
+    collapse to a count per (day, previous day), which is bounded by the
+    calendar. From there on, one ordered pass per day answers "how many of this
+    day's keys were last seen before s" for every start day s in use, and one
+    ordered pass per start day adds the days up; windows only look their
+    (start, end) pair up. No step depends on the number of events or windows.
     """
-    by = [split] if split else []
-    days = events.select(key, day, *by).distinct()
-    previous = F.lag(day).over(Window.partitionBy(key, *by).orderBy(day))
+    days = events.select(key, day).distinct()
+    previous = F.lag(day).over(Window.partitionBy(key).orderBy(day))
     gaps = (
-        days.withColumn("_previous", previous)
-        .groupBy(F.col(day).alias("_day"), "_previous", *by)
+        days.withColumn("_previous", F.coalesce(previous, F.lit(BEFORE_ALL_DAYS)))
+        .groupBy(F.col(day).alias("_day"), F.col("_previous").alias("_seen"))
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_asks", F.lit(0))
+    )
+    spans = windows.select(window_key, F.col(start).alias("_start"), F.col(end).alias("_end")).filter("_start <= _end")
+    asked = (
+        spans.groupBy("_start")
+        .agg(F.max("_end").alias("_last"))
+        .select(
+            F.explode(F.sequence("_start", "_last")).alias("_day"),
+            F.col("_start").alias("_seen"),
+            F.lit(0).cast("long").alias("_n"),
+            F.lit(1).alias("_asks"),
+        )
     )
-    spans = windows.select(window_key, start, end).distinct().filter(F.col(start) <= F.col(end))
-    cover = spans.select(
-        window_key, F.col(start).alias("_start"), F.explode(F.sequence(F.col(start), F.col(end))).alias("_day")
+    # at equal dates the question comes first: seen on the start day is not before it
+    strictly_before = (
+        Window.partitionBy("_day")
+        .orderBy("_seen", F.col("_asks").desc())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    first_inside = F.col("_previous").isNull() | (F.col("_previous") < F.col("_start"))
-    return (
-        cover.join(gaps, "_day").filter(first_inside).groupBy(window_key, *by).agg(F.sum("_n").alias(alias))
+    so_far = Window.partitionBy("_start").orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = (
+        gaps.unionByName(asked)
+        .withColumn("_n", F.sum("_n").over(strictly_before))
+        .filter("_asks = 1")
+        .select(F.col("_seen").alias("_start"), F.col("_day").alias("_end"), F.col("_n"), "_day")
+        .withColumn(alias, F.sum("_n").over(so_far))
+        .select("_start", "_end", alias)
     )
+    return spans.join(reached, ["_start", "_end"]).filter(F.col(alias) > 0).select(window_key, alias)

@@ -144,8 +144,9 @@ def crm_monthly(
     # orders fold to one row per customer and week before they meet the segments
     per_customer = (
         orders.select("order_id", "spid", "sales", order_day)
-        .distinct()
         .join(weeks, order_day)
+        .drop(order_day)
+        .distinct()
         .groupBy("spid", "week_id")
         .agg(F.count("order_id").alias("orders"), F.sum("sales").alias("sales"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -149,9 +149,15 @@ def fuel_cross_shop(
     start: date,
     outage: tuple[date, date] | None = OUTAGE,
     store_scan_store: str | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> FuelReports:
-    """Customer, product and visit-day reports on fuel purchases and cross-shopping."""
-    visits = fuel_visits(fuel_lines, calendar_days, store, start, as_of, outage)
+    """Customer, product and visit-day reports on fuel purchases and cross-shopping.
+
+    With ``stage`` (``stampbook.sources.stage``) the visits that the three
+    reports share are written once; without it each report computes its own.
+    """
+    stage = stage or (lambda df, name: df)
+    visits = stage(fuel_visits(fuel_lines, calendar_days, store, start, as_of, outage), "fuel_visits")
     shop = store_days(scans, store_visits, store_scan_store or store, start, as_of)
     first_scan = _first_receipts(scans, "first_ar_visit")
     first_fuel = _first_receipts(visits, "first_fuel")
@@ -161,6 +167,7 @@ def fuel_cross_shop(
         .join(first_fuel, keys, "left")
         .join(cross_shop_flags(forecourt_lines(fuel_lines, store, start, as_of, outage), shop), ["wallet_id", "visit_dt"], "left")
     )
+    rows = stage(rows, "fuel_rows")
     return FuelReports(
         customers=_customer_level(rows, as_of),
         products=rows.groupBy("prod_type").agg(F.countDistinct("wallet_id").alias("eof_custs")),

@@ -7,6 +7,7 @@ from stampbook.sources.maintenance import (
     sync_replace,
     upsert,
 )
+from stampbook.sources.staging import shared_folder, stage
 from stampbook.sources.versioned import VersionedTable
 
 __all__ = [
@@ -19,6 +20,8 @@ __all__ = [
     "newest_file",
     "read_newest",
     "read_table",
+    "shared_folder",
+    "stage",
     "sync_replace",
     "upsert",
 ]

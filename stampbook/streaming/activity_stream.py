@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from stampbook.sources import VersionedTable, upsert
+from stampbook.sources import VersionedTable, shared_folder, upsert
 
 
 def daily_activity(scans: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -23,17 +23,24 @@ def daily_activity(scans: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 
 def stream_into(
-    counts: DataFrame, table: VersionedTable, keys: tuple[str, ...], checkpoint: str, available_now: bool = True
+    counts: DataFrame,
+    table: VersionedTable,
+    keys: tuple[str, ...],
+    checkpoint: str | None = None,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Upsert each micro-batch's changed rows into ``table``.
 
-    The upsert is idempotent, so a batch replayed after a lost executor or a
+    The query state is kept in ``checkpoint``, or under the cluster's shared
+    folder in a place named after the table. The upsert is idempotent, so a batch replayed after a lost executor or a
     restart leaves the same table.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         table.write(upsert(table.read(), batch, keys) if table.exists() else batch)
 
+    if checkpoint is None:
+        checkpoint = f"{shared_folder(counts.sparkSession)}/streams/{table.root.rsplit('/', 1)[-1]}"
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -93,19 +93,13 @@ def test_next_event_day(spark, events, events_df):
         assert r["next_day"] == (min(later) if later else None)
 
 
-@pytest.mark.parametrize("split", [None, "parity"])
-def test_reach_in_windows(spark, events, events_df, split):
-    rows = events_df.withColumn("parity", F.col("amount") % 2)
-    spans = [(i, d(3 * i), d(3 * i + (i * 7) % 40)) for i in range(30)]
+def test_reach_in_windows(spark, events, events_df):
+    spans = [(i, d(3 * (i % 40) - 10), d(3 * (i % 40) - 10 + (i * 7) % 40)) for i in range(90)]
+    spans += [(200, d(5), d(4)), (201, d(900), d(950)), (202, d(-50), d(500))]
     spans_df = spark.createDataFrame(spans, "id long, s date, e date")
-    got = reach_in_windows(rows, "wallet_id", "day", spans_df, "id", "s", "e", split=split).collect()
-    expected = {}
-    for i, s, e in spans:
-        for w, day, a in events:
-            if s <= day <= e:
-                expected.setdefault((i, a % 2) if split else (i,), set()).add(w)
-    found = {((r["id"], r["parity"]) if split else (r["id"],)): r["reach"] for r in got}
-    assert found == {k: len(v) for k, v in expected.items()}
+    got = reach_in_windows(events_df, "wallet_id", "day", spans_df, "id", "s", "e").collect()
+    expected = {i: len({w for w, day, _ in events if s <= day <= e}) for i, s, e in spans}
+    assert {r["id"]: r["reach"] for r in got} == {i: n for i, n in expected.items() if n}
 
 
 @pytest.mark.parametrize("values", [[5], [1, 2], [7, 7, 7, 1000000], list(range(0, 100000, 37)), [0, 3599, 3600, 7200]])

@@ -71,6 +71,17 @@ def test_versioned_table_reads_while_rewriting(spark, tmp_path):
     assert table.write(frame(spark, [(8, "y", 8)])) == 3 and rows(table.read()) == [(8, "y", 8)]
 
 
+def test_stage_uses_the_folder_of_the_session(spark, tmp_path):
+    from stampbook.sources import shared_folder, stage
+
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(ValueError):
+            shared_folder(spark)
+    staged = stage(frame(spark, [(1, "a", 1)]), "probe", str(tmp_path))
+    assert rows(staged) == [(1, "a", 1)]
+    assert "FileScan parquet" in staged._jdf.queryExecution().executedPlan().toString()
+
+
 def test_newest_file_decides_the_format(spark, tmp_path):
     folder = tmp_path / "drop"
     folder.mkdir()
