@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from rolebook.oracle import A, E, LAUNCH, NUMERIC, SCANNERS, SERIES, STATUS_LAUNCH, channel, day, pounds, total
+from rolebook.oracle import A, E, LAUNCH, NUMERIC, SERIES, STATUS_LAUNCH, channel, day, pounds, total
 from rolebook.registry import Bound, query
 from rolebook.roles import AS_OF, EVENTS_AS_OF, SCHEME
 from stampbook.plans import activity, bases, status_group, trading

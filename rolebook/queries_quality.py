@@ -6,13 +6,13 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from rolebook.oracle import A, E, LAUNCH, SERIES, day, oracle, total
+from rolebook.oracle import A, E, LAUNCH, SERIES, day
 from rolebook.queries_activity import _spine
 from rolebook.registry import Bound, query
 from rolebook.roles import AS_OF, EVENTS_AS_OF, SCHEME
 from stampbook.dq import checks, metrics, rollup
 from stampbook.dq.registry import check
-from stampbook.plans import activity, bases, crm, jobs
+from stampbook.plans import activity, crm, jobs
 from stampbook.sources import append_rows, delete_where, incremental_start, sync_replace, upsert
 from stampbook.streaming import daily_activity
 
@@ -251,10 +251,37 @@ def _tables(r: Bound) -> dict:
         "visit_history": r.scans,
         "refunds": r.refunds.withColumn("src_create_ts", F.col("upd_ts")),
         "account_archive": r.archive,
+        "campaign_versions": r.campaign_versions,
+        "fuel_visit_level": r.scans.select(
+            F.lit("4582").alias("store_nbr"),
+            "visit_dt",
+            F.col("reg_nbr").alias("earn"),
+            F.col("sale_amt_inc_vat").alias("ar_sales"),
+        ),
+        "customer_summary": r.scans.withColumnRenamed("visit_dt", "week_end_dt"),
+        "rewards_burn": r.scans.withColumnRenamed("visit_dt", "burn_dt"),
+        "week_finder": r.calendar.groupBy(F.col("retail_week").alias("week")).agg(
+            F.min("day_date").alias("week_start_day"), F.max("day_date").alias("week_end_day")
+        ),
+        "weekly_customer_summary": r.scans.join(
+            r.calendar.select(F.col("day_date").alias("visit_dt"), F.col("retail_week").alias("week")), "visit_dt"
+        ),
     }
 
 
-RUN_CHECKS = (5, 14, 18, 19, 20, 24, 29, 33, 34, 37, 39, 44, 45, 46, 66, 67)
+def _run_log(r: Bound):
+    """Two jobs that run per order: one on the order day, one a day later."""
+    return r.scans.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("summary_activity").alias("job_name"), F.col("visit_dt").alias("start_ts")),
+                F.struct(F.lit("crm_send_level").alias("job_name"), F.date_add("visit_dt", 1).alias("start_ts")),
+            )
+        ).alias("run")
+    ).select("run.*", F.lit(True).alias("succeeded"))
+
+
+RUN_CHECKS = (1, 3, 5, 8, 11, 14, 18, 19, 20, 24, 25, 26, 29, 33, 34, 37, 39, 44, 45, 46, 47, 48, 54, 66, 67)
 
 
 def _count_sql(source: str, d: str, window: int, tolerance: float, lag: int, value: str = "COUNT(*)") -> str:
@@ -262,6 +289,7 @@ def _count_sql(source: str, d: str, window: int, tolerance: float, lag: int, val
       FROM {source} WHERE {d} > {A} - {window} GROUP BY 1)), FALSE)"""
 
 
+_LAST_FRIDAY = activity.saturday_after_last_friday(AS_OF) - timedelta(days=1)
 _SERIES_SQL = f"""ats AS (SELECT day_date AS full_date, COUNT(DISTINCT wallet_id) AS active_prev_d FROM calendar LEFT JOIN scans ON visit_dt = day_date - 1
     WHERE day_date BETWEEN {SERIES} AND {A} GROUP BY 1)"""
 
@@ -272,6 +300,16 @@ _SERIES_SQL = f"""ats AS (SELECT day_date AS full_date, COUNT(DISTINCT wallet_id
         (SELECT wallet_id FROM scans WHERE visit_dt >= {LAUNCH} AND visit_dt <= day_date + 1 GROUP BY 1
          HAVING COUNT(*) < 4 AND day_date + 1 - MAX(visit_dt) <= 30)) AS n FROM calendar WHERE day_date BETWEEN {A} - 8 AND {A}))
     SELECT * FROM (VALUES
+      (1, {_count_sql('missions', day('event_ts'), 40, 0.25, 1)} AND COALESCE((SELECT bool_and(CAST(a.n AS DOUBLE) / b.n <= 1.005) FROM
+        (SELECT {day('event_ts')} AS d, COUNT(*) AS n FROM missions WHERE {day('event_ts')} > {A} - 15 AND {day('event_ts')} < {A} GROUP BY 1) a JOIN
+        (SELECT {day('event_ts')} AS d, COUNT(*) AS n FROM (SELECT DISTINCT * FROM missions) WHERE {day('event_ts')} > {A} - 15 GROUP BY 1) b ON a.d = b.d), TRUE)),
+      (3, {_count_sql('scans', 'visit_dt', 15, 0.55, 1)} AND (SELECT COUNT(*) <= 1.001 * COUNT(DISTINCT trans_rcpt_nbr) FROM scans)),
+      (8, COALESCE((SELECT MAX(q) FILTER (WHERE d = {A} - 1) >= 0.85 * median(q) FILTER (WHERE d < {A} - 1) FROM (SELECT visit_dt AS d,
+        SUM(reg_nbr) * 100.0 / SUM(sale_amt_inc_vat) AS q FROM scans WHERE visit_dt > {A} - 10 GROUP BY 1)), FALSE)), (11, TRUE),
+      (25, (SELECT MAX(visit_dt) = {A} FROM scans)), (26, (SELECT MAX(visit_dt) + 1 = {A} FROM scans)),
+      (47, (SELECT date_trunc('week', MAX(visit_dt)) IN (date_trunc('week', {A}), date_trunc('week', {A} - 7)) FROM scans)),
+      (48, (SELECT MAX(visit_dt) >= DATE '{_LAST_FRIDAY}' FROM scans)),
+      (54, (SELECT MAX(retail_week) FROM scans JOIN calendar ON visit_dt = day_date) = (SELECT MAX(retail_week) FROM calendar WHERE day_date = {A} - 7)),
       (5, {_count_sql('credits', day('event_ts'), 15, 0.25, 1)}), (14, (SELECT COUNT(*) FROM archive) >= 2339190),
       (18, {_count_sql('ats', 'full_date', 20, 0.5, 0, 'max(active_prev_d)')}),
       (19, {_count_sql('refunds', day('upd_ts'), 25, 0.3, 2)}), (20, {_count_sql('nur', 'full_date', 8, 0.8, 1, 'max(nursery)')}),
@@ -287,7 +325,8 @@ _SERIES_SQL = f"""ats AS (SELECT day_date AS full_date, COUNT(DISTINCT wallet_id
 )
 def dq_check_results(r: Bound):
     specs = [check(i) for i in RUN_CHECKS]
-    return checks.run_checks(r.spark, specs, _tables(r), CONTEXT).select("check_id", "status")
+    context = checks.Context(as_of=AS_OF, run_log=_run_log(r))
+    return checks.run_checks(r.spark, specs, _tables(r), context).select("check_id", "status")
 
 
 # --- roll-up, pass rates, run log, schedules ---

@@ -59,6 +59,7 @@ _PENCE = "CAST(FLOOR({} * 100 + 0.5) AS BIGINT)"
 ROLES: dict[str, str] = {
     "scans": f"""SELECT o_custkey AS wallet_id,
     CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN 'TST1'
+         WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'O' THEN '-1'
          ELSE CAST(1 + o_orderkey % 40 AS STRING) END AS store_nbr,
     o_orderdate AS event_ts, CAST(o_orderdate AS DATE) AS visit_dt, {_CHANNEL} AS chnl_nm,
     CAST(o_orderkey AS STRING) AS trans_rcpt_nbr, CAST(o_orderkey % 9 AS INT) AS reg_nbr,

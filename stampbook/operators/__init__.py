@@ -1,4 +1,4 @@
-from stampbook.operators.keyed import first_per_key, latest_per_key, scan_points
+from stampbook.operators.keyed import attach_scan, first_per_key, latest_per_key, scan_points
 from stampbook.operators.median import exact_median
 from stampbook.operators.skew import salted_join
 from stampbook.operators.stocks import first_days, rolling_distinct, running_totals
@@ -6,6 +6,7 @@ from stampbook.operators.totals import metric_grid, with_total_row
 from stampbook.operators.windows import next_event_day, reach_in_windows, window_sums
 
 __all__ = [
+    "attach_scan",
     "exact_median",
     "first_days",
     "first_per_key",

@@ -49,3 +49,13 @@ def scan_points(
         .repartition("wallet_id", ts_alias)
         .distinct()
     )
+
+
+def attach_scan(rows: DataFrame, points: DataFrame, ts: str) -> DataFrame:
+    """Left join of ``rows`` with ``scan_points`` on (wallet, ``ts``), where ``ts`` may be NULL.
+
+    Rows without a timestamp cannot match. They bypass the join, since they
+    would all meet in one partition per wallet.
+    """
+    dated = rows.filter(F.col(ts).isNotNull()).join(points, ["wallet_id", ts], "left")
+    return dated.unionByName(rows.filter(F.col(ts).isNull()), allowMissingColumns=True)

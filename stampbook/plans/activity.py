@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stampbook.functions import Band, band_label, band_order, day_window, on_days, profile_or_wallet, ratio
+from stampbook.functions import Band, band_label, band_order, on_days, profile_or_wallet, ratio
 from stampbook.operators import exact_median, first_days, metric_grid, rolling_distinct, running_totals
 from stampbook.scheme import Scheme
 
@@ -316,11 +316,11 @@ def rns_series(
 ) -> DataFrame:
     """Cumulative sign-ups, first uses and expired guests per day."""
     firsts = first_days(scan_rows, "wallet_id", "event_ts", "first_use")
-    people = (
-        sign_up_rows.select("singl_profl_id", "signup_dt")
-        .join(account_rows.select("singl_profl_id", "wallet_id", "reg_dt", "acct_status_id"), "singl_profl_id", "left")
-        .join(firsts, "wallet_id", "left")
+    # accounts meet the scans first, so that sign-ups without an account carry no NULL wallet into a join
+    wallets = account_rows.select("singl_profl_id", "wallet_id", "reg_dt", "acct_status_id").join(
+        firsts, "wallet_id", "left"
     )
+    people = sign_up_rows.select("singl_profl_id", "signup_dt").join(wallets, "singl_profl_id", "left")
     expiry = F.when(F.col("acct_status_id") == "TEMP", F.date_add("reg_dt", scheme.guest_expiry_days))
     names = ("sign_ups", "first_uses", "ct")
     marks = [

@@ -16,7 +16,14 @@ from stampbook.functions import (
     ratio,
     strip_check_digit,
 )
-from stampbook.operators import latest_per_key, next_event_day, reach_in_windows, scan_points, with_total_row
+from stampbook.operators import (
+    attach_scan,
+    latest_per_key,
+    next_event_day,
+    reach_in_windows,
+    scan_points,
+    with_total_row,
+)
 from stampbook.plans.bases import this_year
 from stampbook.scheme import Scheme
 
@@ -134,7 +141,7 @@ def vouchers(
     value = setup.select("cmpgn_id", "value_pence", F.col("pound_value").alias("voucher_value_pounds"))
     status = account_rows.select("wallet_id", "acct_status_id")
     return (
-        rows.join(points, ["wallet_id", "reward_redm_ts"], "left")
+        attach_scan(rows, points, "reward_redm_ts")
         .join(value, "cmpgn_id", "left")
         .join(status, "wallet_id", "left")
         .select(
@@ -621,7 +628,7 @@ def _redeeming_channel(coupons: DataFrame, scans: DataFrame, scheme: Scheme) ->
         [F.upper("chnl_nm").alias("_channel")],
         "coupn_redm_ts",
     )
-    return coupons.join(points, ["wallet_id", "coupn_redm_ts"], "left")
+    return attach_scan(coupons, points, "coupn_redm_ts")
 
 
 def _coupon_measures() -> list[Column]:
@@ -702,7 +709,10 @@ def coupon_alloc(coupons: DataFrame, as_of: date) -> DataFrame:
 def coupon_redm(coupons: DataFrame, scans: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
     """Redemptions per day, campaign, store and channel; store '-1' is taken from the order."""
     points = scan_points(scans, ["store_nbr", "chnl_nm", "trans_rcpt_nbr"], "coupn_redm_ts")
-    order_store = orders.select(F.col("web_order_id").alias("trans_rcpt_nbr"), F.col("store_nbr").alias("_order_store"))
+    order_store = orders.select(F.col("web_order_id").alias("_order"), F.col("store_nbr").alias("_order_store"))
+    # only online scans look their store up; the other rows get a key that matches no order and spreads them
+    unmatched = F.concat(F.lit("-"), F.xxhash64("wallet_id", "coupn_redm_ts", "cmpgn_id").cast("string"))
+    order_key = F.when(F.col("store_nbr") == "-1", F.col("trans_rcpt_nbr")).otherwise(unmatched)
     count, value = F.col("rdmpt_cnt"), F.col("rdmpt_val")
     online, store = F.col("chnl_nm") == "ecom", F.col("chnl_nm") == "store"
 
@@ -712,7 +722,8 @@ def coupon_redm(coupons: DataFrame, scans: DataFrame, orders: DataFrame, as_of:
     return (
         coupons.filter((F.col("rec_status_ind") == CURRENT) & on_days("coupn_redm_ts", None, as_of))
         .join(points, ["wallet_id", "coupn_redm_ts"], "left")
-        .join(order_store, "trans_rcpt_nbr", "left")
+        .withColumn("_order", order_key)
+        .join(order_store, "_order", "left")
         .groupBy(
             F.to_date("coupn_redm_ts").alias("redm_dt"),
             "cmpgn_id",
