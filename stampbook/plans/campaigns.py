@@ -707,27 +707,42 @@ def coupon_alloc(coupons: DataFrame, as_of: date) -> DataFrame:
 
 
 def coupon_redm(coupons: DataFrame, scans: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
-    """Redemptions per day, campaign, store and channel; store '-1' is taken from the order."""
-    points = scan_points(scans, ["store_nbr", "chnl_nm", "trans_rcpt_nbr"], "coupn_redm_ts")
+    """Redemptions per day, campaign, store and channel; store '-1' is taken from the order.
+
+    Both sides are folded per (wallet, timestamp) before they meet: redemptions
+    to sums per campaign, scans to a count per store and channel that the sums
+    are multiplied by. Many rows at one instant therefore do not pair up.
+    """
+    redeemed = (
+        coupons.filter((F.col("rec_status_ind") == CURRENT) & on_days("coupn_redm_ts", None, as_of))
+        .groupBy("wallet_id", "coupn_redm_ts", "cmpgn_id")
+        .agg(F.sum("rdmpt_cnt").alias("cnt"), F.sum("rdmpt_val").alias("val"))
+    )
+    elsewhere = F.col("store_nbr") == "-1"
+    points = (
+        scan_points(scans, ["store_nbr", "chnl_nm", "trans_rcpt_nbr"], "coupn_redm_ts")
+        .withColumn("_receipt", F.when(elsewhere, F.col("trans_rcpt_nbr")))
+        .groupBy("wallet_id", "coupn_redm_ts", "store_nbr", "chnl_nm", "_receipt")
+        .agg(F.count(F.lit(1)).alias("scans"))
+    )
     order_store = orders.select(F.col("web_order_id").alias("_order"), F.col("store_nbr").alias("_order_store"))
-    # only online scans look their store up; the other rows get a key that matches no order and spreads them
+    # only scans without a store look it up; the other rows get a key that matches no order and spreads them
     unmatched = F.concat(F.lit("-"), F.xxhash64("wallet_id", "coupn_redm_ts", "cmpgn_id").cast("string"))
-    order_key = F.when(F.col("store_nbr") == "-1", F.col("trans_rcpt_nbr")).otherwise(unmatched)
-    count, value = F.col("rdmpt_cnt"), F.col("rdmpt_val")
+    times = F.coalesce(F.col("scans"), F.lit(1))
+    count, value = F.col("cnt") * times, F.col("val") * times
     online, store = F.col("chnl_nm") == "ecom", F.col("chnl_nm") == "store"
 
     def only(condition: Column, measure: Column) -> Column:
         return F.sum(F.when(condition, measure).otherwise(0))
 
     return (
-        coupons.filter((F.col("rec_status_ind") == CURRENT) & on_days("coupn_redm_ts", None, as_of))
-        .join(points, ["wallet_id", "coupn_redm_ts"], "left")
-        .withColumn("_order", order_key)
+        redeemed.join(points, ["wallet_id", "coupn_redm_ts"], "left")
+        .withColumn("_order", F.coalesce(F.col("_receipt"), unmatched))
         .join(order_store, "_order", "left")
         .groupBy(
             F.to_date("coupn_redm_ts").alias("redm_dt"),
             "cmpgn_id",
-            F.when(F.col("store_nbr") == "-1", F.col("_order_store")).otherwise(F.col("store_nbr")).alias("store_nbr"),
+            F.when(elsewhere, F.col("_order_store")).otherwise(F.col("store_nbr")).alias("store_nbr"),
             "chnl_nm",
         )
         .agg(

@@ -153,11 +153,12 @@ def voucher_shortfall(
         "cmpgn_clsfctn_nm = 'COUPON' and cmpgn_status_desc = 'ACTIVE' and rec_status_ind = 'CURRENT' and disc_amt > 0"
     ).select("cmpgn_id", "disc_amt")
     ids = accounts.select("wallet_id", "loyalty_id")
+    # vouchers used at one instant are one sum before they meet the orders
+    paid = used.join(value, "cmpgn_id").groupBy("wallet_id", "event_ts").agg(F.sum("disc_amt").alias("disc_amt"))
     return (
         online.join(placed, "web_order_id")
         .join(refunded, "web_order_id")
-        .join(used, ["wallet_id", "event_ts"])
-        .join(value, "cmpgn_id")
+        .join(paid, ["wallet_id", "event_ts"])
         .join(ids, "wallet_id", "left")
         .groupBy(
             "wallet_id",
