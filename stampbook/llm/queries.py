@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stampbook.llm import substring, suffix
+from stampbook.llm import scoring, simhash, substring, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,5 +20,7 @@ def _over_documents(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, folder: build(table(spark, folder, "documents"))
 
 
+_over_documents("op1_lm_scoring", scoring.op1)
+_over_documents("op2_simhash_near_dedup", simhash.op2)
 _over_documents("op3_suffix_array_dedup", suffix.op3)
 _over_documents("op4_substring_dedup", substring.op4)
