@@ -86,12 +86,12 @@ _FORWARD = _power_table(int(_BASE), _STEP)
 _BACKWARD = _power_table(pow(int(_BASE), -1, _WRAP), _STEP)
 
 
-def prefix_sums(symbols: np.ndarray) -> np.ndarray:
-    """Prefix sums of a polynomial modulo 2^64 in the symbols, for span_hashes."""
+def prefix_sums(symbols: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """Prefix sums of a polynomial modulo 2^64 in the symbols (or in their values), for span_hashes."""
     sums = np.zeros(len(symbols) + 1, _U)
     factor, before, step = 1, _U(0), pow(int(_BASE), _STEP, _WRAP)
     for a in range(0, len(symbols), _STEP):
-        part = symbols[a : a + _STEP]
+        part = symbols[a : a + _STEP] if values is None else values[symbols[a : a + _STEP]]
         out = sums[a + 1 : a + 1 + len(part)]
         np.cumsum(part * (_FORWARD[: len(part)] * _U(factor)), out=out)
         out += before

@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
-from stampbook.llm.blocks import BLOCK, ID, TEXT, blocked, block_count
+from stampbook.llm.blocks import BLOCK, ID, TEXT, blocked, parts, text_bytes
 
 ASK = "bucket int, block int, keys binary, multi binary"
 ANSWER = "block int, kind int, bucket int, bits binary"
+STRETCH = 4  # bytes of strings, if all are repeated, for each byte of text
 _CHUNK = 1 << 15  # symbols whose hashes fit in a core's cache
 SENT = "bucket int, block int, data binary, ends binary, ids binary, places binary"
 
@@ -39,10 +40,14 @@ class Sequence:
     """The symbols of a block's texts, one text after the other, and where they are in the bytes."""
 
     data: np.ndarray
-    symbols: np.ndarray  # 64-bit values
+    symbols: np.ndarray  # 64-bit values, or numbers of values
     first: np.ndarray  # number of the first symbol of each text, n + 1 entries
     starts: np.ndarray | None = None  # of the symbols in data; None: a symbol is a byte
     ends: np.ndarray | None = None
+    values: np.ndarray | None = None
+
+    def part(self, a: int, b: int) -> np.ndarray:
+        return self.symbols[a:b] if self.values is None else self.values[self.symbols[a:b]]
 
     def bytes_of(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte spans of runs of symbols first..last."""
@@ -76,7 +81,7 @@ class Windows:
         """
         changes, keys = [], []
         for a in range(0, len(seq.symbols) - self.length + 1, _CHUNK):
-            grams = A.gram_hashes(seq.symbols[a : a + _CHUNK + self.length], self.minimiser)
+            grams = A.gram_hashes(seq.part(a, a + _CHUNK + self.length), self.minimiser)
             least = A.sliding_min(grams, self.length - self.minimiser + 1)
             at = np.flatnonzero((least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1])) + 1
             at = at if a else np.append(0, at)
@@ -188,7 +193,7 @@ def _strings(windows: Windows, seq: Sequence, answers: pa.Table, buckets: int) -
     often = _bits(_answers(answers, 0), _bucket_edges(keys, buckets))
     kept = often[np.searchsorted(keys, runs.keys)] if len(keys) else np.zeros(0, bool)
     runs = Runs(runs.keys[kept], runs.text[kept], runs.window[kept], runs.count[kept])
-    names = A.span_hashes(A.prefix_sums(seq.symbols), runs.window, runs.window + runs.count + windows.length - 1)
+    names = A.span_hashes(A.prefix_sums(seq.symbols, seq.values), runs.window, runs.window + runs.count + windows.length - 1)
     order = np.lexsort((np.arange(len(names)), names, runs.keys))
     fresh = np.ones(len(order), bool)
     fresh[1:] = (names[order][1:] != names[order][:-1]) | (runs.keys[order][1:] != runs.keys[order][:-1])
@@ -267,12 +272,13 @@ def _finishes(windows: Windows, buckets: int, result: Callable, schema: pa.Schem
 
 def judged(docs: DataFrame, windows: Windows, result: Callable[[pa.Table, Sequence, np.ndarray], pa.Table], schema: str, arrow: pa.Schema) -> DataFrame:
     """result's rows (schema, the same as arrow without _row) for each block, given the symbols that earlier windows cover."""
-    blocks = block_count(docs)
-    texts = blocked(docs, blocks)
+    size = text_bytes(docs)
+    texts = blocked(docs, parts(docs, size))
+    buckets = parts(docs, STRETCH * size)
     kind = texts.schema["_row"].dataType.simpleString()
     dealt = texts.groupBy(BLOCK)
-    shared = dealt.applyInArrow(_asks(windows, blocks), ASK).groupBy("bucket").applyInArrow(_shared, ANSWER)
-    sent = dealt.cogroup(shared.groupBy("block")).applyInArrow(_sends(windows, blocks), SENT)
+    shared = dealt.applyInArrow(_asks(windows, buckets), ASK).groupBy("bucket").applyInArrow(_shared, ANSWER)
+    sent = dealt.cogroup(shared.groupBy("block")).applyInArrow(_sends(windows, buckets), SENT)
     earlier = sent.groupBy("bucket").applyInArrow(_judges(windows), ANSWER)
     both = shared.unionByName(earlier)
-    return dealt.cogroup(both.groupBy("block")).applyInArrow(_finishes(windows, blocks, result, arrow), f"_row {kind}, {schema}")
+    return dealt.cogroup(both.groupBy("block")).applyInArrow(_finishes(windows, buckets, result, arrow), f"_row {kind}, {schema}")

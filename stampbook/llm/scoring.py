@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
-from stampbook.llm.blocks import BLOCK, ROW, TEXT, block_count, blocked
+from stampbook.llm.blocks import BLOCK, ROW, TEXT, blocked, parts, text_bytes
 from stampbook.llm.repeats import _bucket_edges
 from stampbook.llm.working import kept
 
@@ -196,7 +196,7 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, prior: float
     empty text is its end token alone. Without training rows every token is unknown, with probability 1.
     Repeated rows count as often as they occur; an empty table gives no rows; extra columns pass through.
     """
-    buckets = block_count(docs, BLOCK_BYTES)
+    buckets = parts(docs, text_bytes(docs), BLOCK_BYTES)
     texts = blocked(docs, buckets, {_FLAG: F.coalesce(train, F.lit(False))})
     dealt = texts.groupBy(BLOCK)
     replies = kept(dealt.applyInArrow(_asks(order, buckets), _ASK).groupBy("bucket", "size").applyInArrow(lambda t: _replies(t), _REPLY))

@@ -19,7 +19,7 @@ _RESULT = "kept_text string, n_words long, n_removed long"
 
 def _read(data: np.ndarray, offsets: np.ndarray) -> Sequence:
     starts, ends, first = A.words(data, offsets, A.separators())
-    return Sequence(data, A.span_hashes(A.prefix_sums(A.byte_values()[data]), starts, ends), first, starts, ends)
+    return Sequence(data, A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends), first, starts, ends)
 
 
 def _earlier(length: int):

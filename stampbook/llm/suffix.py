@@ -23,6 +23,7 @@ from stampbook.llm.repeats import Sequence, Windows, judged
 
 WINDOW_BYTES = 100
 MINIMISER_BYTES = 40
+_STEP = 1 << 18
 
 _RESULT = "kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -106,7 +107,7 @@ def suffix_order(symbols: list[int]) -> list[int]:
 
 def _piece_ranks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The rank of each piece among all by its bytes, from 1."""
-    names = A.span_hashes(A.prefix_sums(A.byte_values()[data]), starts, ends)
+    names = A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends)
     _, which, back = np.unique(names, return_index=True, return_inverse=True)
     raw = data.tobytes()
     pieces = [raw[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]
@@ -148,7 +149,7 @@ def _groups(data: np.ndarray, offsets: np.ndarray, string: np.ndarray, at: np.nd
     same = np.zeros(len(order), np.int64)
     if len(order) > 1:
         same[1:] = _common(data, starts[order[1:]], starts[order[:-1]], np.minimum(np.minimum(left[1:], left[:-1]), length))
-    sums = A.prefix_sums(A.byte_values()[data])
+    sums = A.prefix_sums(data, A.byte_values())
     next_piece = np.searchsorted(starts, at, "right")  # the first to begin after the window does
     rest = np.append(starts, offsets[-1])[next_piece] - at
     within = (rest < length) & (next_piece < first[string + 1])
@@ -174,11 +175,24 @@ def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
 
 
+def _smallest_grams(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
+    """The smallest gram hash of each string, some strings at a time."""
+    out, a, n, values = [], 0, len(offsets) - 1, A.byte_values()
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _STEP)) - 1)
+        own = offsets[a : b + 1] - offsets[a]
+        grams = np.append(A.gram_hashes(values[data[offsets[a] : offsets[b]]], size), ~np.uint64(0))
+        out.append(np.minimum.reduceat(grams, np.stack((own[:-1], own[1:] - size + 1), 1).ravel())[::2])
+        a = b
+    return np.concatenate(out)
+
+
 def _earlier(length: int, minimiser: int):
     def earlier(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = np.diff(offsets) - length + 1
-        sums = A.prefix_sums(A.byte_values()[data])
+        sums = A.prefix_sums(data, A.byte_values())
         names = A.span_hashes(sums, offsets[:-1], offsets[1:])
+        del sums
         by_place = np.lexsort((places, ids, names))
         fresh = np.append(True, names[by_place][1:] != names[by_place][:-1])
         text = np.empty(len(names), np.int64)
@@ -191,8 +205,7 @@ def _earlier(length: int, minimiser: int):
         size = np.diff(offsets)[lead]
         own = A.gather(data, offsets[:-1][lead], offsets[1:][lead])
         own_offsets = np.concatenate(([0], np.cumsum(size)))
-        grams = A.gram_hashes(A.byte_values()[own], minimiser)
-        smallest = np.minimum.reduceat(grams, np.stack((own_offsets[:-1], own_offsets[:-1] + length - minimiser + 1), 1).ravel()[:-1])[::2]
+        smallest = _smallest_grams(own, own_offsets, minimiser)
         _, back, often = np.unique(smallest, return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(often[back] > 1)
 
@@ -217,7 +230,7 @@ def _earlier(length: int, minimiser: int):
 
 
 def _read(data: np.ndarray, offsets: np.ndarray) -> Sequence:
-    return Sequence(data, A.byte_values()[data], offsets)
+    return Sequence(data, data, offsets, values=A.byte_values())
 
 
 def _result(table: pa.Table, seq: Sequence, gone: np.ndarray) -> pa.Table:
