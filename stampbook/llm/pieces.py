@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
-from stampbook.llm.blocks import BLOCK, ROW, TEXT, blocked, parts, text_bytes
+from stampbook.llm.blocks import BLOCK, ID, ROW, TEXT, blocked, parts, text_bytes
 from stampbook.llm.columns import let
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -286,8 +286,11 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     texts = blocked(marked, max(2 * spark.sparkContext.defaultParallelism, parts(docs, size, BLOCK_BYTES)))
     texts = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), BLOCK)  # words stay with their block
     words = F.regexp_extract_all(F.col(TEXT).cast("string"), F.lit(" *[^ ]+| +"), F.lit(0))
-    distinct = texts.select(F.col(BLOCK).alias("block"), F.explode(words).alias("word")).distinct()
-    encoded = encode_words(distinct, ["block"], vocab)
+    # a hash of the row rides along, so that both uses of the exchange need the same columns and it runs once
+    texts = texts.drop(ID)
+    rows = texts.select(F.col(BLOCK).alias("block"), F.xxhash64(ROW).alias("some"), F.explode(words).alias("word"))
+    distinct = rows.groupBy("block", "word").agg(F.max("some").alias("some"))
+    encoded = encode_words(distinct, ["block", "some"], vocab)
     kind = texts.schema[ROW].dataType.simpleString()
     schema = f"{ROW} {kind}, ids array<int>, n_tokens long, round_trip boolean"
     dealt = texts.groupBy(BLOCK).cogroup(encoded.groupBy("block"))
