@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -15,6 +15,12 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def spread(df: DataFrame, row: str, *names: str) -> DataFrame:
+    """The fields of the struct row as columns, then the named columns; a field with a name of theirs gives way."""
+    fields = [c for c in df.schema[row].dataType.names if c.lower() not in {n.lower() for n in names}]
+    return df.select(*[F.col(f"{row}.`{c}`").alias(c) for c in fields], *names)
+
+
 def words_of(text: Column, separator: str = BLANKS) -> Column:
     return F.array_remove(F.split(text, separator), "")
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stampbook.llm.columns import KEY, grams, hashes, let, lower_ascii, places, row_key, smallest, words_of
+from stampbook.llm.columns import KEY, grams, hashes, let, lower_ascii, places, row_key, smallest, spread, words_of
 
 WINDOW_WORDS = 13
 GRAM_WORDS = 6
@@ -95,12 +95,10 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     named = of_items.select(*KEY, "item").distinct().groupBy(*KEY).agg(F.array_sort(F.collect_list("item")).alias("items"))
     found = n_hit.join(named, KEY)
     base = docs.select(F.struct("*").alias("_row"), *row_key(), F.size(_words(F.col("text"))).cast("long").alias("n_words"))
-    joined = base.join(found, KEY, "left")
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return joined.select(
-        "_row.*", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ((n_hit > 0) & (n_hit * HIT_SHARE >= F.col("n_words"))).alias("contaminated"),
-    )
+    joined = base.join(found, KEY, "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
+    joined = joined.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    judged = joined.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words")))
+    return spread(judged, "_row", "n_words", "n_hit", "items", "contaminated")
 
 
 def op6(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

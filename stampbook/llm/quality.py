@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stampbook.llm.columns import BLANKS, KEY, grams, hashes, let, row_key, words_of
+from stampbook.llm.columns import BLANKS, KEY, grams, hashes, let, row_key, spread, words_of
 
 FEWEST_WORDS = 50
 MOST_REPEATED = 0.5  # of the words
@@ -87,7 +87,8 @@ def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LIN
     common_words = F.coalesce("n_common_words", F.lit(0)).cast("long")
     named = found.select("_row", "_w.*", "n_symbols", "n_dup_lines", common_words.alias("n_common_words"))
     depleted = F.col("n_words") - F.col("n_common_words") < left * F.col("n_words")
-    return named.select("_row.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "n_common_words", (~failed & ~depleted).alias("kept"))
+    judged = named.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
+    return spread(judged, "_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "kept")
 
 
 def op9(docs: DataFrame) -> DataFrame:

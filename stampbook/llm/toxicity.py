@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
+from stampbook.llm.columns import spread
 
 MOST_FIT_ROWS = 20_000  # labelled rows the classifier is fitted on, those with the smallest hash of doc_id
 FEWEST_DOCUMENTS = 5  # of the fitted rows that hold a feature,
@@ -168,14 +169,14 @@ def fit(labelled: DataFrame, rows: int = MOST_FIT_ROWS, penalty: float = SWAP_PE
     return Model(keys[own].view(np.uint64)[order], weights[own][order], float(weights[~own][0]))
 
 
-def toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs but text, and score (0 to 1).
+def toxicity(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
+    """All columns of docs but text (unless with_text), and score (0 to 1).
 
     A text is judged by the different words and beginnings of words in it, whole. Nulls and empty texts get the score of a text
     without known words. Repeated rows get the same score; an empty table gives no rows; extra columns
     pass through. A model fitted on no rows gives 0.5 throughout.
     """
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rest = [F.col(f"`{c}`") for c in docs.columns if with_text or c != "text"]
     rows = docs.select(F.struct(*rest).alias("_row"), F.col("text").cast("binary").alias("_text"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +184,7 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "score": model.scores(*A.texts(batch["_text"]))})
 
     kind = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(scored, f"_row {kind}, score double").select("_row.*", "score")
+    return spread(rows.mapInArrow(scored, f"_row {kind}, score double"), "_row", "score")
 
 
 def held_out() -> Column:

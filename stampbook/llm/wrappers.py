@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stampbook.llm.columns import spread
+
 SALTS = 16  # tasks that align a host's streams before their wrappers meet
 LONGEST_REPEAT = 32  # tokens of a repeated group
 CONSTANT_PAGES = 5  # a slot is the template's if at least so many pages have it,
@@ -324,7 +326,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     template = template_slots(named).groupBy("host").agg(F.collect_list("path").alias("template"))
     known = wrappers.join(template, "host", "left").select(F.col("host").alias("_host"), "stream", "template")
     joined = rows.join(known, "_host", "left").select("_row", "_html", "stream", "template")
-    return joined.mapInArrow(_extracted, f"_row {rows.schema['_row'].dataType.simpleString()}, text string").select("_row.*", "text")
+    out = joined.mapInArrow(_extracted, f"_row {rows.schema['_row'].dataType.simpleString()}, text string")
+    return spread(out, "_row", "text")
 
 
 def op8(pages: DataFrame) -> DataFrame:
