@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stampbook.llm import decontamination, pieces, quality, scoring, simhash, substring, suffix, toxicity, wrappers
+from stampbook.llm import decontamination, pieces, quality, scoring, simhash, substring, suffix, tokens, toxicity, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,7 @@ _over_documents("op1_lm_scoring", scoring.op1)
 _over_documents("op2_simhash_near_dedup", simhash.op2)
 _over_documents("op3_suffix_array_dedup", suffix.op3)
 _over_documents("op4_substring_dedup", substring.op4)
+_over_documents("op5_training_order", tokens.op5)
 QUERIES["op6_benchmark_decontamination"] = lambda spark, folder: decontamination.op6(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 _over_documents("op7_sentencepiece", pieces.op7)
 QUERIES["op8_html_extraction"] = lambda spark, folder: wrappers.op8(table(spark, folder, "pages"))
