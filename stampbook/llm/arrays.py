@@ -5,6 +5,8 @@ Everything here works on one batch or one group inside a task; Spark partitions
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -50,6 +52,16 @@ def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about so many bytes in a binary column, one row at least."""
+    ends = texts(batch[column])[1]
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + size, "right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text the number of the first word in it (n + 1 entries).
 
@@ -106,6 +118,17 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * back + (ends - starts).astype(_U) * _SECOND)
 
 
+def text_hashes(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """span_hashes of neighbouring texts, some at a time."""
+    out, a, n = [np.zeros(0, _U)], 0, len(offsets) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _STEP)) - 1)
+        own = offsets[a : b + 1] - offsets[a]
+        out.append(span_hashes(prefix_sums(data[offsets[a] : offsets[b]], values), own[:-1], own[1:]))
+        a = b
+    return np.concatenate(out)
+
+
 def gram_hashes(symbols: np.ndarray, k: int, base: np.uint64 = _SECOND) -> np.ndarray:
     """A 64-bit hash of each k consecutive symbols (which are 64-bit values), made by doubling."""
     if len(symbols) < k:

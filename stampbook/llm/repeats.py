@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
-from stampbook.llm.blocks import BLOCK, ID, TEXT, blocked, parts, text_bytes
+from stampbook.llm.blocks import BLOCK, BLOCK_BYTES, ID, TEXT, blocked, parts, text_bytes
 
 ASK = "bucket int, block int, keys binary, multi binary"
 ANSWER = "block int, kind int, bucket int, bits binary"
@@ -270,11 +270,11 @@ def _finishes(windows: Windows, buckets: int, result: Callable, schema: pa.Schem
     return finish
 
 
-def judged(docs: DataFrame, windows: Windows, result: Callable[[pa.Table, Sequence, np.ndarray], pa.Table], schema: str, arrow: pa.Schema) -> DataFrame:
+def judged(docs: DataFrame, windows: Windows, result: Callable[[pa.Table, Sequence, np.ndarray], pa.Table], schema: str, arrow: pa.Schema, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """result's rows (schema, the same as arrow without _row) for each block, given the symbols that earlier windows cover."""
     size = text_bytes(docs)
-    texts = blocked(docs, parts(docs, size))
-    buckets = parts(docs, STRETCH * size)
+    texts = blocked(docs, parts(docs, size, block_bytes))
+    buckets = parts(docs, STRETCH * size, block_bytes)
     kind = texts.schema["_row"].dataType.simpleString()
     dealt = texts.groupBy(BLOCK)
     shared = dealt.applyInArrow(_asks(windows, buckets), ASK).groupBy("bucket").applyInArrow(_shared, ANSWER)

@@ -10,6 +10,7 @@ their suffixes, which the array and its common-prefix lengths show.
 
 from __future__ import annotations
 
+from array import array
 from itertools import pairwise
 
 import numpy as np
@@ -19,17 +20,19 @@ from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
 from stampbook.llm.blocks import ROW
+from stampbook.llm.columns import spread
 from stampbook.llm.repeats import Sequence, Windows, judged
 
 WINDOW_BYTES = 100
 MINIMISER_BYTES = 40
+BLOCK_BYTES = 2 << 20  # a byte is a symbol here, and takes more memory than a word's bytes do
 _STEP = 1 << 18
 
 _RESULT = "kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def suffix_order(symbols: list[int]) -> list[int]:
+def suffix_order(symbols: np.ndarray) -> np.ndarray:
     """The suffix array of symbols, which end with a single smallest one.
 
     Phase 1 puts suffixes with the same Lyndon prefix in one group. Groups are processed in
@@ -40,20 +43,19 @@ def suffix_order(symbols: list[int]) -> list[int]:
     for each suffix, those whose next smaller suffix it is, each at the front of its group.
     """
     n = len(symbols)
-    values = sorted(set(symbols))
-    number = {v: g for g, v in enumerate(values)}
-    group = [number[v] for v in symbols]
-    members: list[list[int]] = [[] for _ in values]
-    for i, g in enumerate(group):
-        members[g].append(i)
-    size = [len(x) for x in members]
-    lower = list(range(-1, len(values) - 1))
-    upper = [*range(1, len(values)), -1]
-    done, before = bytearray(n), [-1] * n
+    values, numbers, counts = np.unique(symbols, return_inverse=True, return_counts=True)
+    group = array("i", numbers.astype(np.int32).tobytes())
+    by_value = np.argsort(numbers, kind="stable")
+    members = [array("i", x.astype(np.int32).tobytes()) for x in np.split(by_value, np.cumsum(counts)[:-1])]
+    size = array("i", counts.astype(np.int32).tobytes())
+    lower = array("i", range(-1, len(values) - 1))
+    upper = array("i", [*range(1, len(values)), -1])
+    done, before = bytearray(n), array("i", [-1]) * n
     g = len(values) - 1
     while g >= 0:
-        own = [i for i in members[g] if group[i] == g] if len(members[g]) != size[g] else members[g]
-        members[g] = own
+        own, members[g] = members[g], None  # processed once
+        if len(own) != size[g]:
+            own = array("i", [i for i in own if group[i] == g])
         repeats: dict[int, int] = {}
         for i in own:
             p = i - 1
@@ -76,7 +78,7 @@ def suffix_order(symbols: list[int]) -> list[int]:
                 new = len(size)
                 size[old] -= len(moved)
                 size.append(len(moved))
-                members.append(moved)
+                members.append(array("i", moved))
                 for p in moved:
                     group[p] = new
                 above = upper[old]
@@ -86,12 +88,12 @@ def suffix_order(symbols: list[int]) -> list[int]:
                 if above >= 0:
                     lower[above] = new
         g = lower[g]
-    front, g, at = [0] * len(size), 0, 0
+    front, g, at = array("i", bytes(4 * len(size))), 0, 0
     while g >= 0:
         front[g] = at
         at += size[g]
         g = upper[g]
-    order, placed = [-1] * n, bytearray(n)
+    order, placed = array("i", [-1]) * n, bytearray(n)
     order[0] = n - 1
     placed[n - 1] = 1
     for i in range(n):
@@ -102,12 +104,12 @@ def suffix_order(symbols: list[int]) -> list[int]:
             front[g] += 1
             placed[p] = 1
             p = before[p]
-    return order
+    return np.frombuffer(order, np.int32)
 
 
 def _piece_ranks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The rank of each piece among all by its bytes, from 1."""
-    names = A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends)
+    names = A.text_hashes(data, np.append(starts, len(data)), A.byte_values())
     _, which, back = np.unique(names, return_index=True, return_inverse=True)
     raw = data.tobytes()
     pieces = [raw[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]
@@ -139,7 +141,7 @@ def _groups(data: np.ndarray, offsets: np.ndarray, string: np.ndarray, at: np.nd
     place = np.arange(len(starts)) + np.repeat(np.arange(len(first) - 1), np.diff(first))
     piece_at = np.full(len(symbols) + 1, -1)
     piece_at[place[suffix]] = suffix
-    order = piece_at[suffix_order([*symbols.tolist(), 0])]
+    order = piece_at[suffix_order(np.append(symbols, 0))]
     order = order[order >= 0]
     rank = np.full(len(starts), -1)
     rank[order] = np.arange(len(order))
@@ -190,9 +192,7 @@ def _smallest_grams(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndar
 def _earlier(length: int, minimiser: int):
     def earlier(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = np.diff(offsets) - length + 1
-        sums = A.prefix_sums(data, A.byte_values())
-        names = A.span_hashes(sums, offsets[:-1], offsets[1:])
-        del sums
+        names = A.text_hashes(data, offsets, A.byte_values())
         by_place = np.lexsort((places, ids, names))
         fresh = np.append(True, names[by_place][1:] != names[by_place][:-1])
         text = np.empty(len(names), np.int64)
@@ -263,8 +263,8 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW_BYTES, minimiser
     if not 0 < minimiser <= window:
         raise ValueError("a minimiser has at least one byte and at most a window's")
     arrow = pa.schema([(ROW, pa.null()), ("kept", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", _SPANS)])
-    out = judged(docs, Windows(window, minimiser, True, _read, _earlier(window, minimiser)), _result, _RESULT, arrow)
-    return out.select(f"{ROW}.*", "kept", "n_bytes", "n_removed", "spans")
+    out = judged(docs, Windows(window, minimiser, True, _read, _earlier(window, minimiser)), _result, _RESULT, arrow, BLOCK_BYTES)
+    return spread(out, ROW, "kept", "n_bytes", "n_removed", "spans")
 
 
 def op3(docs: DataFrame) -> DataFrame:
