@@ -292,7 +292,7 @@ def active_breakdown(r: Bound):
     WHERE reactivated IS NOT NULL OR lapsed > 0 OR nursery > 0""",
 )
 def nursery_time_series(r: Bound):
-    return activity.nursery_time_series(r.scans, _spine(r, SCHEME.series_start, AS_OF), SCHEME)
+    return activity.nursery_time_series(r.scans, _spine(r, SCHEME.series_start, AS_OF), SCHEME, AS_OF)
 
 
 @query(

@@ -294,10 +294,12 @@ def _crm(r: Bound, key: str, channels: dict):
 
 
 def _fashion(r: Bound, key: str):
-    return crm.channel_orders(r.fashion_orders, key, "creation_date", "sum_order_quantity", "total_order_value")
+    return crm.channel_orders(
+        r.fashion_orders, "order_id", key, "creation_date", "sum_order_quantity", "total_order_value", (SEND_START, SEND_END)
+    )
 
 
-_FASHION_SQL = f"SELECT {{}} AS k, {day('creation_date')} AS d, 1 AS id, sum_order_quantity AS items, total_order_value AS sales FROM fashion_orders"
+_FASHION_SQL = f"SELECT {{}} AS k, {day('creation_date')} AS d, order_id AS id, sum_order_quantity AS items, total_order_value AS sales FROM (SELECT DISTINCT * FROM fashion_orders)"
 
 
 @query(
@@ -311,7 +313,9 @@ _FASHION_SQL = f"SELECT {{}} AS k, {day('creation_date')} AS d, 1 AS id, sum_ord
     ),
 )
 def crm_send_level(r: Bound):
-    grocery = crm.channel_orders(r.grocery_orders, "spid", "order_sbmtd_ts", "item_qty", "pos_tot_amt")
+    grocery = crm.channel_orders(
+        r.grocery_orders, "web_order_id", "spid", "order_sbmtd_ts", "item_qty", "pos_tot_amt", (SEND_START, SEND_END)
+    )
     return _crm(r, "spid", {"fashion": _fashion(r, "spid"), "grocery": grocery})
 
 
@@ -323,7 +327,9 @@ def crm_send_level(r: Bound):
     ),
 )
 def crm_send_level_store(r: Bound):
-    store = crm.channel_orders(r.scans.filter("chnl_nm = 'store'"), "wallet_id", "event_ts", "reg_nbr", "sale_amt_inc_vat")
+    store = crm.channel_orders(
+        r.scans.filter("chnl_nm = 'store'"), "basket_id", "wallet_id", "event_ts", "reg_nbr", "sale_amt_inc_vat", (SEND_START, SEND_END)
+    )
     return _crm(r, "walletid", {"store": store})
 
 

@@ -243,7 +243,7 @@ def _tables(r: Bound) -> dict:
         "orders": r.online_orders,
         "order_items": r.order_promos,
         "activity_time_series": activity.activity_time_series(r.scans, spine),
-        "nursery_time_series": activity.nursery_time_series(r.scans, spine, SCHEME),
+        "nursery_time_series": activity.nursery_time_series(r.scans, spine, SCHEME, AS_OF),
         "store_visits": r.store_visits,
         "supplier_bill": r.supplier_bill,
         "basket_items": r.basket_items.withColumn("visit_ts", F.col("visit_dt")),
@@ -455,7 +455,7 @@ def dq_run_log_upsert(r: Bound):
 @query(
     "dq_schedule_decision",
     f""", x AS (SELECT user_id, MAX(ts) AS last_run, max_by(event_type <> 'error', ts) AS last_ok,
-        CASE user_id % 3 WHEN 0 THEN 'Daily' WHEN 1 THEN 'Twice Daily' ELSE 'None' END AS schedule FROM events GROUP BY user_id)
+        CASE user_id % 3 WHEN 0 THEN 'Daily' WHEN 1 THEN 'Twice Daily' ELSE '' END AS schedule FROM events GROUP BY user_id)
     SELECT *, CASE WHEN NOT last_ok THEN TRUE WHEN schedule = 'Daily' THEN CAST(last_run AS DATE) <> DATE '2024-01-30'
       WHEN schedule = 'Twice Daily' THEN NOT (CAST(last_run AS DATE) = DATE '2024-01-30' AND hour(last_run) >= 13) ELSE TRUE END AS run_required FROM x""",
 )
@@ -466,7 +466,7 @@ def dq_schedule_decision(r: Bound):
         .agg(F.max("ts").alias("last_run"), F.max_by(F.col("event_type") != "error", "ts").alias("last_ok"))
         .withColumn(
             "schedule",
-            F.when(F.col("user_id") % 3 == 0, "Daily").when(F.col("user_id") % 3 == 1, "Twice Daily").otherwise("None"),
+            F.when(F.col("user_id") % 3 == 0, "Daily").when(F.col("user_id") % 3 == 1, "Twice Daily").otherwise(""),
         )
     )
     due = rollup.run_required(F.col("schedule"), F.col("last_run"), F.col("last_ok"), datetime(2024, 1, 30, 18))

@@ -224,9 +224,9 @@ ROLES: dict[str, str] = {
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Abandoned basket' ELSE 'J ' || o_orderpriority END AS campaignname,
     CASE WHEN o_custkey % 4 = 0 THEN 'Control' ELSE 'Send' END AS sendtype,
     o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid FROM orders""",
-    "fashion_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS creation_date,
+    "fashion_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS creation_date, o_orderkey AS order_id,
     CAST(o_orderkey % 6 AS INT) + 1 AS sum_order_quantity, CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS total_order_value
-    FROM orders WHERE o_orderstatus = 'F'""",
+    FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 9 = 0) WHERE o_orderstatus = 'F'""",
     "grocery_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS order_sbmtd_ts,
     o_orderkey AS web_order_id, CAST(SUM(l_quantity) AS INT) AS item_qty,
     CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS pos_tot_amt

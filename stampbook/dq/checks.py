@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, time, timedelta
 from time import monotonic
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.dq.metrics import PercentageOfMedian, daily_counts
@@ -81,8 +81,8 @@ class DailyCount:
 
     def daily(self, tables: Tables, context: Context) -> DataFrame:
         day = _day(self.day, self.day_format)
-        first = context.as_of - timedelta(days=self.window - 1)
-        recent = day >= F.lit(first) if self.day_format else on_days(self.day, first, None)
+        first, after = context.as_of - timedelta(days=self.window - 1), context.as_of + timedelta(days=1)
+        recent = (day >= F.lit(first)) & (day < F.lit(after)) if self.day_format else on_days(self.day, first, after)
         rows = _rows(tables, self.table, self.where).filter(recent)
         return daily_counts(rows, day, F.expr(self.value) if self.value else None)
 
@@ -182,15 +182,13 @@ def latest_snapshot(history: DataFrame, check_id: int) -> DataFrame:
 
 
 def compare_history(current: DataFrame, snapshot: DataFrame, tolerance: float) -> DataFrame:
-    """Verdict over all types; differing sets of types raise when the row is computed."""
+    """Verdict over all types; differing sets of types fail with a message."""
     both = current.join(snapshot, "history_type", "full")
     unmatched = F.count_if(F.col("value").isNull() != F.col("reference").isNull())
     inside = F.bool_and(F.coalesce(within_tolerance(F.col("value"), F.col("reference"), tolerance), F.lit(False)))
     return both.agg(unmatched.alias("_unmatched"), inside.alias("_inside")).select(
-        F.when(F.col("_unmatched") > 0, F.raise_error(F.lit("history types do not match")).cast("boolean"))
-        .otherwise(F.coalesce("_inside", F.lit(False)))
-        .alias("passed"),
-        F.lit(None).cast("string").alias("message"),
+        ((F.col("_unmatched") == 0) & F.coalesce("_inside", F.lit(False))).alias("passed"),
+        F.when(F.col("_unmatched") > 0, F.lit("history types do not match")).alias("message"),
     )
 
 
@@ -235,7 +233,7 @@ class History:
         compared = compare_history(current.filter("value is not null"), snapshot, self.tolerance)
         return compared.select(
             F.when(day.isNull(), F.lit(True)).otherwise(F.col("passed")).alias("passed"),
-            F.when(day.isNull(), F.lit(NO_HISTORY)).alias("message"),
+            F.when(day.isNull(), F.lit(NO_HISTORY)).otherwise(F.col("message")).alias("message"),
         )
 
 
@@ -385,13 +383,13 @@ def shared_daily_verdicts(
     Each row is repeated once per rule it belongs to and folded at once to a
     count per rule and day, so only rules x days rows are shuffled.
     """
-    numbered = []
+    numbered, after = [], context.as_of + timedelta(days=1)
     for i, (_, rule) in enumerate(rules):
-        inside = on_days(day, context.as_of - timedelta(days=rule.window - 1), None)
+        inside = on_days(day, context.as_of - timedelta(days=rule.window - 1), after)
         numbered.append(F.when(inside & F.expr(rule.where) if rule.where else inside, F.lit(i)))
     widest = max(rule.window for _, rule in rules)
     counts = (
-        rows.filter(on_days(day, context.as_of - timedelta(days=widest - 1), None))
+        rows.filter(on_days(day, context.as_of - timedelta(days=widest - 1), after))
         .select(_day(day).alias("dt"), F.explode(F.array_compact(F.array(*numbered))).alias("rule"))
         .groupBy("rule", "dt")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -465,6 +463,26 @@ def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables,
     )
 
 
+def collected_checks(
+    spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables, context: Context
+) -> list[Row]:
+    """The rows of ``run_checks``; if that job fails, each check runs in a job of its own.
+
+    A check whose own job fails gets a failed row with the error's first line, so
+    one bad value in one table leaves the verdicts of the other checks standing.
+    """
+    try:
+        return run_checks(spark, specs, tables, context).collect()
+    except Exception as e:  # noqa: BLE001
+        if len(specs) > 1:
+            return [row for spec in specs for row in collected_checks(spark, [spec], tables, context)]
+        message = str(e).split("\n")[0]
+        return [
+            Row(check_id=s.check_id, definition=s.definition, status=False, error_message=message, dts=context.clock)
+            for s in specs
+        ]
+
+
 NOT_COMPLETED = "Check did not complete."
 
 
@@ -500,7 +518,7 @@ def record_checks(
     first = stamped(pessimistic, None)
     log.write(append_rows(log.read(), first) if log.exists() else first)
     # one row per check: the statuses fit the driver
-    found = run_checks(spark, specs, tables, context).collect()
+    found = collected_checks(spark, specs, tables, context)
     results = stamped(spark.createDataFrame(found, schema=pessimistic.schema), monotonic() - began)
     log.write(upsert(log.read(), results, ["check_id", "dts"]))
     if history_log is not None:

@@ -181,14 +181,19 @@ HALF_DAY_CUTOFF_HOUR = 13
 
 
 def run_required(schedule: Column, last_run: Column, last_ok: Column, now: datetime) -> Column:
-    """Whether a workflow is due: failed, never run, or not yet run in its slot."""
+    """Whether a workflow is due: failed, never run, or not yet run in its slot.
+
+    A schedule other than 'Daily', 'Twice Daily' and '' (none) is an error.
+    """
+    unexpected = F.raise_error(F.concat(F.lit("unexpected schedule type "), schedule)).cast("boolean")
     ran_today = F.to_date(last_run) == F.lit(now.date())
     same_half = (F.hour(last_run) < HALF_DAY_CUTOFF_HOUR) == F.lit(now.hour < HALF_DAY_CUTOFF_HOUR)
     due = first_match(
         [
             (schedule == "Daily", ~ran_today),
             (schedule == "Twice Daily", ~(ran_today & same_half)),
+            (schedule.isNull() | (schedule == ""), True),
         ],
-        F.lit(True),
+        unexpected,
     )
     return first_match([(~F.coalesce(last_ok, F.lit(True)), True), (last_run.isNull(), True)], due)

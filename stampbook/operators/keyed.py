@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stampbook.functions import on_days
+
 
 def _best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: bool) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -34,21 +37,24 @@ def first_per_key(
 
 
 def scan_points(
-    scans: DataFrame, columns: Sequence[str | Column] = ("store_nbr", "chnl_nm"), ts_alias: str = "event_ts"
+    scans: DataFrame,
+    columns: Sequence[str | Column] = ("store_nbr", "chnl_nm"),
+    ts_alias: str = "event_ts",
+    first: date | None = None,
+    before: date | None = None,
 ) -> DataFrame:
-    """Scans reduced to one row per (wallet, timestamp, attributes), laid out for a join on the first two.
+    """Scans on days ``[first, before)``, reduced to one row per (wallet, timestamp, attributes).
+
+    The days are those of the rows that look for their scan: equal timestamps lie
+    on equal days, so the bounds change no result and let the reader skip files.
 
     Redemptions are attributed to the scan with the same wallet and timestamp;
-    the reduction stops repeated scan rows from multiplying redemptions. Scans
-    are nearly unique, so they are shuffled once on the join key, which serves
-    both the reduction and the join. The timestamp in the key spreads a wallet
-    that holds many rows.
+    the reduction stops repeated scan rows from multiplying redemptions. The
+    timestamp in the key spreads a wallet that holds many rows.
     """
-    return (
-        scans.select("wallet_id", F.col("event_ts").alias(ts_alias), *columns)
-        .repartition("wallet_id", ts_alias)
-        .distinct()
-    )
+    if first is not None or before is not None:
+        scans = scans.filter(on_days("event_ts", first, before))
+    return scans.select("wallet_id", F.col("event_ts").alias(ts_alias), *columns).distinct()
 
 
 def attach_scan(rows: DataFrame, points: DataFrame, ts: str) -> DataFrame:

@@ -14,9 +14,9 @@ def salted_join(
     on: Sequence[str],
     spread_by: Sequence[str | Column],
     how: str = "inner",
-    salts: int = 16,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Equi-join that splits every key of ``fact`` over ``salts`` tasks.
+    """Equi-join that splits every key of ``fact`` over ``salts`` tasks (as many as shuffle partitions, if not given).
 
     ``spread_by`` names columns of the fact that vary within a key (an id, a
     timestamp); ``side`` is repeated once per salt. Only joins that keep the
@@ -25,6 +25,8 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"salted_join cannot do a {how} join")
+    if salts is None:
+        salts = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_fact.join(salted_side, [*on, "_salt"], how).drop("_salt")

@@ -8,7 +8,7 @@ its window, and then reads the answer off one ordered pass per key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,9 +71,12 @@ def reach_in_windows(
     start: str,
     end: str,
     alias: str = "reach",
+    before: date | None = None,
 ) -> DataFrame:
     """Distinct keys with at least one event in each window ``[start, end]`` (one window per ``window_key``).
 
+    Windows that go beyond the last event day end there: with ``before``, on the day before it.
+
     A key is counted for a window on its first event day inside it, that is on
     the event whose previous event lies before ``start``. Events therefore
     collapse to a count per (day, previous day), which is bounded by the
@@ -90,7 +93,8 @@ def reach_in_windows(
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_asks", F.lit(0))
     )
-    spans = windows.select(window_key, F.col(start).alias("_start"), F.col(end).alias("_end")).filter("_start <= _end")
+    last = F.col(end) if before is None else F.least(F.col(end), F.lit(before - timedelta(days=1)))
+    spans = windows.select(window_key, F.col(start).alias("_start"), last.alias("_end")).filter("_start <= _end")
     asked = (
         spans.groupBy("_start")
         .agg(F.max("_end").alias("_last"))

@@ -157,7 +157,7 @@ def active_earning_ratio(missions: DataFrame, scans: DataFrame, as_of: date) ->
     def reach(rows: DataFrame, ts: str, prefix: str) -> DataFrame:
         # latest day per wallet answers both windows with one plain aggregate
         return (
-            rows.filter(on_days(ts, year_ago, None))
+            rows.filter(on_days(ts, year_ago, as_of))
             .groupBy("wallet_id")
             .agg(F.max(ts).alias("last"))
             .agg(
@@ -247,7 +247,9 @@ def active_breakdown(current: DataFrame, previous: DataFrame) -> DataFrame:
     )
 
 
-def nursery_time_series(scans: DataFrame, spine: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
+def nursery_time_series(
+    scans: DataFrame, spine: DataFrame, scheme: Scheme = Scheme(), as_of: date | None = None
+) -> DataFrame:
     """Reactivated, lapsed and nursery wallets per day.
 
     A row for day D looks at scans up to D+1: lapsed when the last scan is more
@@ -255,7 +257,7 @@ def nursery_time_series(scans: DataFrame, spine: DataFrame, scheme: Scheme = Sch
     30 days back, reactivated when D itself follows a gap of more than 92 days.
     """
     per_day = (
-        scans.filter(on_days("event_ts", scheme.launch, None))
+        scans.filter(on_days("event_ts", scheme.launch, as_of))
         .groupBy("wallet_id", F.to_date("event_ts").alias("scan_day"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -137,7 +137,7 @@ def vouchers(
         & (redeemed.isNull() | on_days(redeemed, scheme.launch, as_of))
         & ~F.col("wallet_id").isin(*scheme.excluded_voucher_wallets)
     ).select("wallet_id", "cmpgn_id", "reward_gained_ts", "reward_end_ts", "reward_redm_ts", "cmpgn_type_desc")
-    points = scan_points(scans, ts_alias="reward_redm_ts")
+    points = scan_points(scans, ts_alias="reward_redm_ts", first=scheme.launch, before=as_of)
     value = setup.select("cmpgn_id", "value_pence", F.col("pound_value").alias("voucher_value_pounds"))
     status = account_rows.select("wallet_id", "acct_status_id")
     return (
@@ -199,7 +199,7 @@ def mission_completions(
     completed = missions.filter(
         on_days("cmpgn_cmplt_ts", scheme.launch, as_of) & (always_on | (F.col("rec_status_ind") == CURRENT))
     ).select("wallet_id", "cmpgn_id", "cmpgn_seen_ts", "cmpgn_cmplt_ts", "rdmpt_cnt", "rdmpt_val", "rec_status_ind")
-    points = scan_points(scans, ts_alias="cmpgn_cmplt_ts").filter(is_numeric_store())
+    points = scan_points(scans, ts_alias="cmpgn_cmplt_ts", first=scheme.launch, before=as_of).filter(is_numeric_store())
     attributed = (
         completed.join(points, ["wallet_id", "cmpgn_cmplt_ts"])
         .join(setup.select("cmpgn_id", "activity_type", "value_pence"), "cmpgn_id", "left")
@@ -419,7 +419,7 @@ def mission_scanners(
         "wallet_id", F.to_date("event_ts").alias("scan_day")
     )
     reach = reach_in_windows(
-        days, "wallet_id", "scan_day", spans, "cmpgn_id", "start_dt", "end_dt", alias="rewards_swipers"
+        days, "wallet_id", "scan_day", spans, "cmpgn_id", "start_dt", "end_dt", alias="rewards_swipers", before=as_of
     )
     seen = (
         missions.filter(
@@ -473,7 +473,7 @@ def mission_summary(
         .distinct()
         .join(spend_needed, "cmpgn_id", "left")
     )
-    points = scan_points(scans, [F.lit(1).alias("_scan")])
+    points = scan_points(scans, [F.lit(1).alias("_scan")], first=scheme.trading_start, before=as_of)
     seen = F.col("cmpgn_seen_ts").isNotNull()
     per_day = (
         missions.filter(_is_current() & on_days("event_ts", scheme.trading_start, as_of))
@@ -622,11 +622,9 @@ def coupon_daily_items(adjustments: DataFrame, details: DataFrame, scheme: Schem
     return totals.join(_per_coupon(details.filter("win is not null")).drop("coupon_type"), "cmpgn_id")
 
 
-def _redeeming_channel(coupons: DataFrame, scans: DataFrame, scheme: Scheme) -> DataFrame:
+def _redeeming_channel(coupons: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme) -> DataFrame:
     points = scan_points(
-        scans.filter(on_days("event_ts", scheme.coupon_start, None)),
-        [F.upper("chnl_nm").alias("_channel")],
-        "coupn_redm_ts",
+        scans, [F.upper("chnl_nm").alias("_channel")], "coupn_redm_ts", first=scheme.coupon_start, before=as_of
     )
     return attach_scan(coupons, points, "coupn_redm_ts")
 
@@ -652,7 +650,7 @@ def coupon_daily_redemptions(
         "cmpgn_id", "wallet_id", "coupn_redm_ts", "rdmpt_cnt", "rdmpt_val"
     )
     daily = (
-        _redeeming_channel(redeemed, scans, scheme)
+        _redeeming_channel(redeemed, scans, as_of, scheme)
         .groupBy("cmpgn_id", F.to_date("coupn_redm_ts").alias("coupn_redm_dt"))
         .agg(F.count("wallet_id").alias("redeemers"), *_coupon_measures())
     )
@@ -670,7 +668,7 @@ def coupon_summary(
     spans = details.groupBy("cmpgn_id").agg(
         F.to_date(F.min("cmpgn_start_ts")).alias("start_dt"), F.to_date(F.max("cmpgn_end_ts")).alias("end_dt")
     )
-    days = scans.filter(on_days("event_ts", scheme.coupon_start, None)).select(
+    days = scans.filter(on_days("event_ts", scheme.coupon_start, as_of)).select(
         "wallet_id", F.to_date("event_ts").alias("scan_day")
     )
     current = coupons.filter(_is_current() & on_days("event_ts", None, as_of)).select(
@@ -678,7 +676,7 @@ def coupon_summary(
     )
     targets = current.select("cmpgn_id", "wallet_id").distinct().join(spans, "cmpgn_id")
     scanned = scanned_in_window(targets, days).filter("scanned").select("cmpgn_id", "wallet_id", "scanned")
-    rows = _redeeming_channel(current, scans, scheme).join(scanned, ["cmpgn_id", "wallet_id"], "left")
+    rows = _redeeming_channel(current, scans, as_of, scheme).join(scanned, ["cmpgn_id", "wallet_id"], "left")
     redeemed = F.col("coupn_redm_ts").isNotNull()
     totals = rows.groupBy("cmpgn_id").agg(
         F.countDistinct("acct_id").alias("allocated"),
@@ -720,7 +718,7 @@ def coupon_redm(coupons: DataFrame, scans: DataFrame, orders: DataFrame, as_of:
     )
     elsewhere = F.col("store_nbr") == "-1"
     points = (
-        scan_points(scans, ["store_nbr", "chnl_nm", "trans_rcpt_nbr"], "coupn_redm_ts")
+        scan_points(scans, ["store_nbr", "chnl_nm", "trans_rcpt_nbr"], "coupn_redm_ts", before=as_of)
         .withColumn("_receipt", F.when(elsewhere, F.col("trans_rcpt_nbr")))
         .groupBy("wallet_id", "coupn_redm_ts", "store_nbr", "chnl_nm", "_receipt")
         .agg(F.count(F.lit(1)).alias("scans"))

@@ -39,15 +39,32 @@ def journeys(sends: DataFrame, start: date, end: date, key: str) -> DataFrame:
     )
 
 
-def channel_orders(orders: DataFrame, customer: str, day: Column, items: str, sales: str) -> DataFrame:
-    """Order rows in the common shape used by ``crm_send_level``."""
-    return orders.select(
+def channel_orders(
+    orders: DataFrame,
+    order_id: str,
+    customer: str,
+    day: str,
+    items: str,
+    sales: str,
+    sent: tuple[date, date] | None = None,
+) -> DataFrame:
+    """Orders in the common shape used by ``crm_send_level``, one row per customer, order and day.
+
+    Repeated rows of an order count once; its different rows add up. ``sent`` gives the
+    first and last send day: only orders within the frames around them are read.
+    """
+    if sent is not None:
+        first, last = sent[0] + timedelta(days=PRE_FRAME[0]), sent[1] + timedelta(days=POST_FRAME[1] + 1)
+        orders = orders.filter(on_days(day, first, last))
+    rows = orders.select(
         F.col(customer).alias("_key"),
         F.to_date(day).alias("journey_date"),
-        F.lit(1).alias("orders"),
+        F.col(order_id).alias("_order"),
         F.col(items).alias("items"),
         F.col(sales).alias("sales"),
-    )
+    ).distinct()
+    folded = rows.groupBy("_key", "journey_date", "_order").agg(F.sum("items").alias("items"), F.sum("sales").alias("sales"))
+    return folded.select("_key", "journey_date", F.lit(1).alias("orders"), "items", "sales")
 
 
 def crm_send_level(sends: DataFrame, channels: dict[str, DataFrame]) -> DataFrame:
@@ -68,6 +85,8 @@ def crm_send_level(sends: DataFrame, channels: dict[str, DataFrame]) -> DataFram
         named = rows.select("_key", "journey_date", *[F.col(m).alias(f"{name}_{m}") for m in measures])
         orders = named if orders is None else orders.unionByName(named, allowMissingColumns=True)
     columns = [f"{name}_{m}" for name in channels for m in measures]
+    # only customers who were sent something
+    orders = orders.join(per_customer.select("_key").distinct(), "_key", "left_semi")
     sums = window_sums(per_customer, orders, "_key", "journey_date", frames, columns)
     rows = per_customer.join(sums, ["_key", "journey_date"], "left")
     times = F.col("sends")

@@ -186,6 +186,33 @@ def app_usage_merge(opens: DataFrame, engagement: DataFrame, removes: DataFrame)
     return opens.join(engagement, "date").join(removes, "date")
 
 
+def counted_rows(
+    spark: SparkSession,
+    tables: Mapping[str, Callable[[], DataFrame]],
+    checked_at: datetime,
+    filters: Mapping[str, str] | None = None,
+    catalog: str = "spark_catalog",
+    schema: str = "default",
+) -> DataFrame:
+    """``row_count_monitor``, computed; if that job fails, each table is counted in a job of its own.
+
+    A table whose count fails reports the error's first line and no count.
+    """
+    whole = row_count_monitor(spark, tables, checked_at, filters, catalog, schema)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in whole.schema)
+    try:
+        return spark.createDataFrame(whole.collect(), columns)
+    except Exception as e:  # noqa: BLE001 - any failure becomes the table's error text
+        if len(tables) > 1:
+            rows = []
+            for name, load in tables.items():
+                rows += counted_rows(spark, {name: load}, checked_at, filters, catalog, schema).collect()
+            return spark.createDataFrame(rows, columns)
+        (name,) = tables
+        row = (catalog, schema, name, (filters or {}).get(name), None, checked_at, str(e).split("\n")[0])
+        return spark.createDataFrame([row], columns)
+
+
 def row_count_monitor(
     spark: SparkSession,
     tables: Mapping[str, Callable[[], DataFrame]],

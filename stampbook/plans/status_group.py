@@ -52,7 +52,7 @@ def status_activity_funnel(
 
 def status_earns(missions: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()) -> DataFrame:
     """Redemptions and pounds of the status campaign per day and store."""
-    points = scan_points(scans, columns=("store_nbr",), ts_alias="cmpgn_cmplt_ts")
+    points = scan_points(scans, columns=("store_nbr",), ts_alias="cmpgn_cmplt_ts", before=as_of)
     return (
         missions.filter(
             (F.col("cmpgn_id") == scheme.status_campaign)

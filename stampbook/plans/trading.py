@@ -119,7 +119,9 @@ def star_products_daily(
 ) -> DataFrame:
     """Customers, first-scan customers, items and earn per star campaign, day and channel."""
     campaigns = star_products.select("activity_type", "cmpgn_nm", "cmpgn_id", "value_pence").distinct()
-    points = scan_points(scans, [online_or_store().alias("chnl_nm")])
+    points = scan_points(
+        scans, [online_or_store().alias("chnl_nm")], first=scheme.trading_start, before=as_of
+    )
     firsts = first_days(scans, "wallet_id", "event_ts", "first_swipe")
     redemptions = (
         missions.filter(
@@ -226,7 +228,9 @@ def sp_redeemers(
     spans = star_products.select(
         "cmpgn_id", F.to_date("cmpgn_start_ts").alias("start_dt"), F.to_date("cmpgn_end_ts").alias("end_dt")
     ).distinct()
-    points = scan_points(scans, [online_or_store().alias("chnl_nm")])
+    points = scan_points(
+        scans, [online_or_store().alias("chnl_nm")], first=scheme.trading_start, before=as_of
+    )
     day = F.to_date("event_ts")
     redeemers = (
         missions.filter(
@@ -265,6 +269,7 @@ def sp_scanners(
         "start_dt",
         "end_dt",
         alias="rewards_swipers",
+        before=as_of,
     )
     return reach.select("cmpgn_id", F.lit(channel or "All").alias("chnl_nm"), "rewards_swipers")
 

@@ -41,7 +41,7 @@ class Scheme:
     excluded_coupon_campaigns: tuple[int, ...] = (522461, 524842, 524843)
     food_to_go_campaign: int = 494401
     evergreen_voucher_name: str = "Rewards Voucher"
-    excluded_voucher_wallets: tuple[int, ...] = (66819689,)
+    excluded_voucher_wallets: tuple[int, ...] = ()
     card_channel_prefix: str = "Card"
     card_channel: str = "Card"
     status_label: str = "Status Group"

@@ -41,7 +41,8 @@ class VersionedTable:
         """Write ``df`` (which may read the current version) as the next version."""
         finished = self.versions()
         number = finished[-1] + 1 if finished else 1
-        writer = df.write.mode("overwrite")
+        # static: replaces what an unfinished write left, and marks the commit for partitioned tables too
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/v={number}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -9,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from stampbook.sources import VersionedTable, shared_folder, upsert
 
 
-def daily_activity(scans: DataFrame, lateness: str = "1 day") -> DataFrame:
+def daily_activity(scans: DataFrame, lateness: str = "31 days") -> DataFrame:
     """Scans per day and channel from a stream; state is dropped ``lateness`` after the day ends.
 
     Works on a batch frame too, where the watermark has no effect.
@@ -40,7 +42,7 @@ def stream_into(
         table.write(upsert(table.read(), batch, keys) if table.exists() else batch)
 
     if checkpoint is None:
-        checkpoint = f"{shared_folder(counts.sparkSession)}/streams/{table.root.rsplit('/', 1)[-1]}"
+        checkpoint = f"{shared_folder(counts.sparkSession)}/streams/{re.sub(r"[^A-Za-z0-9._-]+", "_", table.root)}"
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge)
     if available_now:
         writer = writer.trigger(availableNow=True)

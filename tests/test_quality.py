@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stampbook.dq import checks, metrics, rollup
 from stampbook.dq.registry import CHECKS, check
+from stampbook.plans import jobs
 
 # newest first, from 2024-02-05 back to 2024-01-17
 COUNTS = [17, 2301, 1370, 1266, 1125, 1604, 1179, 1163, 1311, 1508, 1455, 1554, 878, 745, 577, 716, 792, 787, 826, 826]
@@ -82,10 +83,41 @@ def test_history_passes_when_near_and_fails_when_far(spark):
     assert verdict(rule, tables, history=history(spark, mean="2"))["passed"] is False
 
 
-def test_history_with_other_types_raises(spark):
+def test_history_with_other_types_fails_with_a_message(spark):
     rule = checks.History("scans", "event_ts", 0.01, check_id=3)
-    with pytest.raises(Exception, match="history types do not match"):
-        verdict(rule, {"scans": scans(spark)}, history=history(spark, keys=checks.HISTORY_TYPES[:4]))
+    row = verdict(rule, {"scans": scans(spark)}, history=history(spark, keys=checks.HISTORY_TYPES[:4]))
+    assert row["passed"] is False and row["message"] == "history types do not match"
+
+
+def test_a_check_that_fails_at_run_time_leaves_the_others_standing(spark):
+    bad = spark.range(3).select(F.expr("raise_error('broken file')").cast("date").alias("dt"))
+    specs = [
+        checks.CheckSpec(1, "good", (checks.HasRows("good"),)),
+        checks.CheckSpec(2, "bad", (checks.Newest("bad", "dt"),)),
+        checks.CheckSpec(3, "missing", (checks.HasRows("nowhere"),)),
+    ]
+    tables, context = {"good": spark.range(1), "bad": bad}, checks.Context(as_of=date(2024, 2, 7))
+    found = {r["check_id"]: r for r in checks.collected_checks(spark, specs, tables, context)}
+    assert {i: r["status"] for i, r in found.items()} == {1: True, 2: False, 3: False}
+    assert "broken file" in found[2]["error_message"] and found[3]["error_message"]
+
+
+def test_a_table_that_cannot_be_counted_reports_its_error(spark):
+    bad = spark.range(3).select(F.expr("raise_error('broken file')").alias("x")).filter("x is not null")
+    rows = jobs.counted_rows(spark, {"good": lambda: spark.range(4), "bad": lambda: bad}, datetime(2024, 2, 7)).collect()
+    found = {r["table_name"]: r for r in rows}
+    assert found["good"]["row_count"] == 4 and found["good"]["error"] is None
+    assert found["bad"]["row_count"] is None and "broken file" in found["bad"]["error"]
+
+
+def test_unknown_schedules_are_errors(spark):
+    def due(schedule):
+        row = spark.range(1).select(rollup.run_required(F.lit(schedule), F.lit(datetime(2024, 2, 7, 5)), F.lit(True), datetime(2024, 2, 7, 6)).alias("x"))
+        return row.first()["x"]
+
+    assert due("") is True and due("Daily") is False
+    with pytest.raises(Exception, match="unexpected schedule type"):
+        due("Hourly")
 
 
 def test_no_history_passes_with_a_message(spark):

@@ -105,6 +105,13 @@ def test_outlier_replacement(spark):
     assert row["sales"] == 1010.0 and row["new_sales"] == pytest.approx(10 + mean) and row["analysis_type"] == "Post"
 
 
+def test_channel_orders_count_repeated_rows_once(spark):
+    rows = [(1, 10, ago(50), 2, 10), (1, 10, ago(50), 2, 10), (1, 10, ago(50), 1, 4), (1, 11, ago(200), 1, 5)]
+    orders = spark.createDataFrame(rows, "wallet long, id long, day date, items int, sales int")
+    found = crm.channel_orders(orders, "id", "wallet", "day", "items", "sales", (ago(60), ago(50)))
+    assert [tuple(r) for r in found.collect()] == [(1, ago(50), 1, 3, 14)]
+
+
 def test_crm_counts_orders_per_send_and_handles_no_orders(spark):
     sends = spark.createDataFrame(
         [(1, "J", "Emailed", ago(50)), (1, "J", "Emailed", ago(50)), (2, "J", "Control", ago(50))],

@@ -71,6 +71,17 @@ def test_versioned_table_reads_while_rewriting(spark, tmp_path):
     assert table.write(frame(spark, [(8, "y", 8)])) == 3 and rows(table.read()) == [(8, "y", 8)]
 
 
+def test_partitioned_versions_are_committed_and_replaced(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "p"))
+    assert table.write(frame(spark, [(1, "a", 1), (2, "b", 2)]), ("d",)) == 1
+    assert table.exists() and table.write(frame(spark, [(3, "c", 3)]), ("d",)) == 2
+    assert rows(table.read().select("k", "d", "v")) == [(3, "c", 3)]
+    # what a write left without its commit marker is replaced whole
+    (tmp_path / "p" / "v=2" / "_SUCCESS").unlink()
+    assert table.write(frame(spark, [(4, "d", 4)]), ("d",)) == 2
+    assert rows(table.read().select("k", "d", "v")) == [(4, "d", 4)]
+
+
 def test_stage_uses_the_folder_of_the_session(spark, tmp_path):
     from stampbook.sources import shared_folder, stage
 
