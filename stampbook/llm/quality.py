@@ -58,8 +58,8 @@ def _normal(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(F.regexp_replace(F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))), BLANKS, " "), "[0-9]+", "0"))
 
 
-def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE, left: float = FEWEST_LEFT) -> DataFrame:
-    """All columns of docs, and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_common_words, kept.
+def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE, left: float = FEWEST_LEFT, with_text: bool = False) -> DataFrame:
+    """All columns of docs but text (unless with_text), and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_common_words, kept.
 
     A line is common in its host (the column source) if more than ``documents`` documents of the host and
     more than ``share`` of them hold it, in any case, spacing and digits. n_common_words counts the words
@@ -78,7 +78,7 @@ def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LIN
     common = holding.join(hosts, ["_host", "_none"]).where(F.col("n") > F.col("of") * share).select(*place)
     lost = per_line.join(common, place).groupBy(*KEY).agg(F.sum("words").alias("n_common_words"))
 
-    base = docs.select(F.struct("*").alias("_row"), *row_key(), let(words_of(text), lambda w: F.struct(
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if with_text or c != "text"]).alias("_row"), *row_key(), let(words_of(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).alias("n_repeat_words"),
     )).alias("_w"), F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(_lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"))
@@ -92,4 +92,4 @@ def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LIN
 
 
 def op9(docs: DataFrame) -> DataFrame:
-    return quality(docs.select("doc_id", "text", "source")).drop("text", "source")
+    return quality(docs.select("doc_id", "text", "source")).drop("source")
