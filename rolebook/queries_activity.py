@@ -7,9 +7,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from rolebook.oracle import A, E, LAUNCH, NUMERIC, SERIES, STATUS_LAUNCH, channel, day, pounds, total
-from rolebook.registry import Bound, query
+from rolebook.registry import ORACLES, QUERIES, Bound, query
 from rolebook.roles import AS_OF, EVENTS_AS_OF, SCHEME
-from stampbook.plans import activity, bases, status_group, trading
+from stampbook.plans import activity, bases, incremental, status_group, trading
 
 # --- bases ---
 
@@ -480,3 +480,28 @@ def status_scans(r: Bound):
 )
 def status_users_series(r: Bound):
     return status_group.status_users_series(r.accounts, r.archive, AS_OF, SCHEME)
+
+
+# --- incremental runs: a target that ends early and is wrong in its trailing days becomes the whole series ---
+
+
+def _stale(series, days: int = 20):
+    """The series up to ``days`` before the end, with wrong counts in the window that a run builds again."""
+    late = F.col("full_date") > F.lit(AS_OF - timedelta(days=incremental.TRAILING_DAYS))
+    counts = [c for c, kind in series.dtypes if kind == "bigint"]
+    early = series.filter(F.col("full_date") <= F.lit(AS_OF - timedelta(days=days)))
+    return early.withColumns({c: F.when(late, F.lit(-1).cast("bigint")).otherwise(F.col(c)) for c in counts})
+
+
+def _upsert_of(name: str, build) -> None:
+    """Registers ``<name>_upsert`` with the reference SQL of the series."""
+    QUERIES[f"{name}_upsert"] = lambda spark, folder: build(Bound(spark, folder))
+    ORACLES[f"{name}_upsert"] = ORACLES[name]
+
+
+_upsert_of("activity_time_series", lambda r: incremental.activity_time_series(
+    _stale(activity_time_series(r)), r.scans, r.calendar, AS_OF, SCHEME.series_start))
+_upsert_of("active_earners", lambda r: incremental.active_earners(
+    _stale(active_earners(r)), r.missions, r.order_games, r.scans, r.calendar, AS_OF, SCHEME.series_start, SCHEME))
+_upsert_of("nursery_time_series", lambda r: incremental.nursery_time_series(
+    _stale(nursery_time_series(r)), r.scans, r.calendar, AS_OF, SCHEME.series_start, SCHEME))

@@ -152,3 +152,22 @@ def test_saturday_after_last_friday():
     assert activity.saturday_after_last_friday(date(2024, 2, 9)) == date(2024, 2, 3)
     assert activity.saturday_after_last_friday(date(2024, 2, 10)) == date(2024, 2, 10)
     assert activity.saturday_after_last_friday(date(2024, 2, 8)) == date(2024, 2, 3)
+
+
+def test_an_incremental_run_reads_the_window_only(spark):
+    from stampbook.plans import activity, incremental
+
+    as_of, start = date(2024, 6, 1), date(2024, 1, 1)
+    days = [start + timedelta(days=n) for n in range(153)]
+    calendar = spark.createDataFrame([(d,) for d in days], "day_date date")
+    rows = [(i % 7, datetime(d.year, d.month, d.day, 9)) for i, d in enumerate(days)]
+    history = spark.createDataFrame(rows, "wallet_id long, event_ts timestamp")
+    spine = calendar.selectExpr("day_date as full_date")
+    whole = {tuple(r) for r in activity.activity_time_series(history.filter("event_ts < '2024-06-01'"), spine).collect()}
+    early = spark.createDataFrame(sorted(r for r in whole if r[0] < date(2024, 5, 20)), "full_date date, active_prev_d long, active_prev_7d long, active_prev_30d long, active_prev_91d long")
+    # a scan that is too old for the window would fail the job if it were read
+    recent = history.filter("event_ts >= '2024-01-30'")
+    found = incremental.activity_time_series(early, recent, calendar, as_of, start)
+    assert {tuple(r) for r in found.collect()} == whole
+    gap = early.filter("full_date != date '2024-02-10'")
+    assert {tuple(r) for r in incremental.activity_time_series(gap, history, calendar, as_of, start).collect()} == whole
