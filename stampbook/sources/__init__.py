@@ -7,7 +7,7 @@ from stampbook.sources.maintenance import (
     sync_replace,
     upsert,
 )
-from stampbook.sources.staging import shared_folder, stage
+from stampbook.sources.staging import shared_folder, staged
 from stampbook.sources.versioned import VersionedTable
 
 __all__ = [
@@ -21,7 +21,7 @@ __all__ = [
     "read_newest",
     "read_table",
     "shared_folder",
-    "stage",
+    "staged",
     "sync_replace",
     "upsert",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,20 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; ``fallback`` only where it is unset."""
-    folder = spark.conf.get(SHARED_FOLDER, None) or fallback
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; never one of this machine alone."""
+    folder = spark.conf.get(SHARED_FOLDER, None)
     if not folder:
         raise ValueError(f"{SHARED_FOLDER} is not set")
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
-    """``df`` written as a Parquet table in the shared folder and read back.
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written as a Parquet table in the shared folder and read back, for as long as the block lasts.
 
     Use it for a frame that several reports read. It runs a job, cuts the
-    lineage and survives the loss of executors.
+    lineage and survives the loss of executors; the table goes when the block ends.
     """
-    path = f"{shared_folder(df.sparkSession, fallback)}/{name}-{uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

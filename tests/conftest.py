@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ def spark():
         "unit_tests",
         master="local[8]",
         shuffle_partitions=8,
-        extra={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"},
+        extra={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checkpoint-")},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -82,15 +82,17 @@ def test_partitioned_versions_are_committed_and_replaced(spark, tmp_path):
     assert rows(table.read().select("k", "d", "v")) == [(4, "d", 4)]
 
 
-def test_stage_uses_the_folder_of_the_session(spark, tmp_path):
-    from stampbook.sources import shared_folder, stage
-
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        with pytest.raises(ValueError):
-            shared_folder(spark)
-    staged = stage(frame(spark, [(1, "a", 1)]), "probe", str(tmp_path))
-    assert rows(staged) == [(1, "a", 1)]
-    assert "FileScan parquet" in staged._jdf.queryExecution().executedPlan().toString()
+def test_staged_tables_last_for_their_block(spark):
+    import os
+
+    from stampbook.sources import shared_folder, staged
+
+    folder = shared_folder(spark).removeprefix("file://")
+    with staged(frame(spark, [(1, "a", 1)]), "probe") as table:
+        assert rows(table) == [(1, "a", 1)]
+        assert "FileScan parquet" in table._jdf.queryExecution().executedPlan().toString()
+        assert [x for x in os.listdir(folder) if x.startswith("probe-")]
+    assert not [x for x in os.listdir(folder) if x.startswith("probe-")]
 
 
 def test_newest_file_decides_the_format(spark, tmp_path):
