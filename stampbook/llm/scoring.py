@@ -9,6 +9,7 @@ so gets the part of the automaton that its texts can walk.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
 from stampbook.llm.blocks import BLOCK, ROW, TEXT, blocked, parts, text_bytes
+from stampbook.llm.columns import spread
 from stampbook.llm.repeats import _bucket_edges
 from stampbook.llm.working import kept
 
@@ -26,6 +28,9 @@ ORDER = 2
 PRIOR = 100.0  # what the shorter context weighs, in occurrences
 
 BLOCK_BYTES = 8 << 20
+#: Bits of a hash that don't travel, of single words and of longer n-grams; with those that a bucket has in common,
+#: 60 and more bits tell words apart, and about 54 n-grams, of which a collision changes one probability.
+DROPPED_BITS = {1: 2, 2: 10}
 
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 _FIRST = A.mix(np.array([BEGIN]))[0]
@@ -36,12 +41,35 @@ _FLAG = "_train"
 
 
 def _planes(counts: np.ndarray) -> bytes:
-    """Counts with their bytes of equal weight side by side, which compress well."""
-    return counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Counts with their bytes of equal weight side by side, which are mostly zeros, compressed."""
+    return zlib.compress(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def _from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _start(bucket: int, buckets: int) -> int:
+    return -(-(bucket << 64) // buckets)
+
+
+def _relative(keys: np.ndarray, bucket: int, buckets: int, size: int) -> np.ndarray:
+    """Keys from the bucket's start on, without their lowest bits."""
+    return (keys - np.uint64(_start(bucket, buckets))) >> np.uint64(DROPPED_BITS[min(size, 2)])
+
+
+def _steps(ascending: np.ndarray) -> bytes:
+    """Ascending numbers as the steps between them, in as few bytes each as the largest step needs."""
+    steps = np.diff(ascending, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _from_steps(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
 @dataclass
@@ -81,7 +109,7 @@ def _asks(order: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
             edges = _bucket_edges(keys, buckets)
             for b in np.flatnonzero(np.diff(edges)):
                 own = slice(edges[b], edges[b + 1])
-                rows.append((int(b), size, block, A.packed(keys[own]), _planes(counts[own])))
+                rows.append((int(b), size, block, _steps(_relative(keys[own], int(b), buckets, size)), _planes(counts[own])))
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         return pa.table({n: pa.array(c, k) for n, c, k in zip(["bucket", "size", "block", "keys", "counts"], columns, kinds, strict=True)})
@@ -89,17 +117,19 @@ def _asks(order: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
     return ask
 
 
-def _replies(table: pa.Table) -> pa.Table:
-    """The training counts of each block's n-grams; with single words also what the whole bucket has, once."""
-    own = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
+def _replies(table: pa.Table, buckets: int) -> pa.Table:
+    """What other blocks add to the training counts of each block's n-grams; with single words also what the bucket has, once."""
+    own = [_from_steps(x) for x in table["keys"].to_pylist()]
     every = np.concatenate(own)
     counts = np.concatenate([_from_planes(x) for x in table["counts"].to_pylist()])
     keys, back = np.unique(every, return_inverse=True)
     total = np.zeros(len(keys), np.int64)
     np.add.at(total, back, counts)
-    size, n = table["size"][0].as_py(), table.num_rows
-    parts = np.split(total[back], np.cumsum([len(x) for x in own])[:-1])
-    seen = total[(keys != _FIRST) & (total > 0)] if size == 1 else total[:0]
+    size, n, bucket = table["size"][0].as_py(), table.num_rows, table["bucket"][0].as_py()
+    mark = _FIRST >= np.uint64(_start(bucket, buckets)) and int(_FIRST) < _start(bucket + 1, buckets)
+    plain = keys != _relative(_FIRST, bucket, buckets, 1) if mark else np.ones(len(keys), bool)
+    parts = np.split(total[back] - counts, np.cumsum([len(x) for x in own])[:-1])
+    seen = total[plain & (total > 0)] if size == 1 else total[:0]
     facts = {"tokens": seen.sum(), "types": len(seen), "once": (seen == 1).sum(), "twice": (seen == 2).sum()}
     reply = {"block": table["block"], "bucket": table["bucket"], "size": table["size"], "counts": pa.array([_planes(x) for x in parts], pa.binary())}
     return pa.table(reply | {k: pa.array([int(v)] + [0] * (n - 1), pa.int64()) for k, v in facts.items()})
@@ -168,9 +198,10 @@ def _scores(order: int, prior: float, buckets: int, facts: Facts) -> Callable[[p
         grams = _grams(table, order)
         counts = []
         found = {(s, b): x for s, b, x in zip(replies["size"].to_pylist(), replies["bucket"].to_pylist(), replies["counts"].to_pylist(), strict=True)}
-        for size, keys in enumerate(grams.keys, 1):
-            parts = [_from_planes(found[size, int(b)]) for b in np.flatnonzero(np.diff(_bucket_edges(keys, buckets)))]
-            counts.append(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+        train = np.repeat(np.asarray(table[_FLAG].combine_chunks().cast(pa.int8())) > 0, np.diff(grams.first))
+        for size, (keys, number) in enumerate(zip(grams.keys, grams.number, strict=True), 1):
+            added = [_from_planes(found[size, int(b)]) for b in np.flatnonzero(np.diff(_bucket_edges(keys, buckets)))]
+            counts.append(np.bincount(number[train & (number >= 0)], minlength=len(keys)) + np.concatenate([*added, np.zeros(0, np.int64)]))
         single = counts[0][grams.number[0]]
         chance = np.log10((single + 1) / (facts.tokens + facts.types + 1))
         inner = grams.first[:-1] + 1  # after the begin mark
@@ -199,11 +230,12 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, prior: float
     buckets = parts(docs, text_bytes(docs), BLOCK_BYTES)
     texts = blocked(docs, buckets, {_FLAG: F.coalesce(train, F.lit(False))})
     dealt = texts.groupBy(BLOCK)
-    replies = kept(dealt.applyInArrow(_asks(order, buckets), _ASK).groupBy("bucket", "size").applyInArrow(lambda t: _replies(t), _REPLY))
+    replies = kept(dealt.applyInArrow(_asks(order, buckets), _ASK).groupBy("bucket", "size").applyInArrow(lambda t: _replies(t, buckets), _REPLY))
     row = replies.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "once", "twice")]).first()
     kind = texts.schema[ROW].dataType.simpleString()
     answers = replies.select("block", "bucket", "size", "counts").groupBy("block")
-    return dealt.cogroup(answers).applyInArrow(_scores(order, prior, buckets, Facts(*row)), f"{ROW} {kind}, {_OUT}").select(f"{ROW}.*", *[c.split()[0] for c in _OUT.split(", ")])
+    out = dealt.cogroup(answers).applyInArrow(_scores(order, prior, buckets, Facts(*row)), f"{ROW} {kind}, {_OUT}")
+    return spread(out, ROW, *[c.split()[0] for c in _OUT.split(", ")])
 
 
 def op1(docs: DataFrame) -> DataFrame:
