@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
 from stampbook.llm.columns import spread
+from stampbook.llm.working import kept
 
 MOST_FIT_ROWS = 20_000  # labelled rows the classifier is fitted on, those with the smallest hash of doc_id
 FEWEST_DOCUMENTS = 5  # of the fitted rows that hold a feature,
@@ -54,20 +55,48 @@ def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _term_hashes() -> list[np.ndarray]:
-    return [_word_hashes(*A.texts(pa.array([t.encode() for t in group], pa.binary())))[0][: len(group)] for group in IDENTITY_GROUPS]
+    return [_all_hashes(group)[: len(group)] for group in IDENTITY_GROUPS]
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _all_hashes(terms: tuple[str, ...]) -> np.ndarray:
+    """Of the terms, then of their beginnings."""
+    return _word_hashes(*A.texts(pa.array([t.encode() for t in terms], pa.binary())))[0]
+
+
+def _present(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of each text, and the numbers of the texts."""
+    words, text = _word_hashes(*A.texts(batch["text"]))
+    order = np.lexsort((words, text))
+    words, text = words[order], text[order]
+    fresh = np.ones(len(words), bool)
+    fresh[1:] = (words[1:] != words[:-1]) | (text[1:] != text[:-1])
+    return words[fresh], text[fresh]
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each hash, the texts that hold it and the toxic ones among them."""
     for batch in batches:
-        words, text = _word_hashes(*A.texts(batch["text"]))
-        order = np.lexsort((words, text))
-        words, text = words[order], text[order]
-        fresh = np.ones(len(words), bool)
-        fresh[1:] = (words[1:] != words[:-1]) | (text[1:] != text[:-1])
-        words, text = words[fresh], text[fresh]
-        ends = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(words.view(np.int64)))
-        yield pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "words": lists})
+        for part in A.slices(batch, "text"):
+            words, text = _present(part)
+            keys, back, often = np.unique(words, return_inverse=True, return_counts=True)
+            toxic = np.bincount(back, weights=A.numbers(part["toxic"], 0)[text], minlength=len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": often, "toxic": toxic})
+
+
+def _rows(keys: np.ndarray):
+    """Labels and the numbers of the features (sorted keys) of each text."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in A.slices(batch, "text"):
+                words, text = _present(part)
+                at = np.minimum(np.searchsorted(keys, words), max(0, len(keys) - 1))
+                known = keys[at] == words if len(keys) else np.zeros(len(words), bool)
+                ends = np.searchsorted(text[known], np.arange(part.num_rows + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(at[known].astype(np.int32)))
+                yield pa.RecordBatch.from_pydict({"toxic": part["toxic"], "features": lists})
+
+    return rows
 
 
 @dataclass
@@ -87,35 +116,22 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-def _fit(rows: pa.Table, fewest: int, most: int, shrinkage: float, penalty: float, steps: int) -> Model:
-    """Logistic regression on the presence of words, by gradient steps with momentum and a scale for each weight.
+def _fit(rows: pa.Table, own: np.ndarray, shrinkage: float, penalty: float, steps: int) -> Model:
+    """Logistic regression on the presence of features (own, sorted hashes), by gradient steps with momentum and
+    a scale for each weight.
 
     loss = sum of log losses + shrinkage / 2 * |w|^2 + penalty / 2 * sum of (score of a text - score with one
     identity term swapped)^2, over all texts and swaps. A score's change is a difference of two weights, or one
     weight where the term is left out, so the swaps of all texts are counted by pairs of weights.
     """
     label = A.numbers(rows["toxic"], 0).astype(float)
-    lists = rows["words"].combine_chunks()
-    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks)
-    words = np.asarray(lists.flatten()).view(np.uint64)
+    lists = pa.concat_arrays([*rows["features"].chunks, pa.array([], pa.list_(pa.int32()))])
+    feature = np.asarray(lists.flatten())
     row = np.repeat(np.arange(len(label)), np.asarray(lists.value_lengths()))
-    keys, feature, often = np.unique(words, return_inverse=True, return_counts=True)
-    terms = [t for t in _term_hashes()]
-    identity = np.isin(keys, np.concatenate(terms))
     rate = min(max(label.mean(), 1e-3), 1 - 1e-3) if len(label) else 0.5
-    with_label = np.bincount(feature, weights=label[row], minlength=len(keys))
-    deviation = np.abs(with_label - often * rate) / np.sqrt(often * rate * (1 - rate))
-    chosen = np.flatnonzero(((often >= fewest) & (deviation >= FEWEST_DEVIATIONS)) | identity)
-    if len(chosen) > most:
-        chosen = np.sort(chosen[np.argsort(-np.where(identity, np.inf, deviation)[chosen], kind="stable")[:most]])
-    number = np.full(len(keys), -1)
-    number[chosen] = np.arange(len(chosen))
-    feature, row = number[feature], row[number[feature] >= 0]
-    feature = feature[feature >= 0]
-    count = np.bincount(feature, minlength=len(chosen))
+    count = np.bincount(feature, minlength=len(own))
     left, right, times = [], [], []
-    own = keys[chosen]
-    for group in terms:
+    for group in _term_hashes():
         place = np.searchsorted(own, group)
         place = np.where((place < len(own)) & (own[np.minimum(place, max(0, len(own) - 1))] == group), place, -1) if len(own) else np.full(len(group), -1)
         for i, p in enumerate(place):
@@ -125,7 +141,7 @@ def _fit(rows: pa.Table, fewest: int, most: int, shrinkage: float, penalty: floa
                     right.append(q)
                     times.append(count[p])
     left, right, times = (np.array(x, np.int64) for x in (left, right, times))
-    weights, bias = np.zeros(len(chosen) + 1), 0.0  # the last weight stays 0
+    weights = np.zeros(len(own) + 1)  # the last weight stays 0
     momentum, scale, b_momentum, b_scale = np.zeros_like(weights), np.zeros_like(weights), 0.0, 0.0
     bias = float(np.log(rate / (1 - rate)))
     for step in range(1, steps + 1 if len(label) else 1):
@@ -146,27 +162,40 @@ def _fit(rows: pa.Table, fewest: int, most: int, shrinkage: float, penalty: floa
     return Model(own, weights[:-1], bias)
 
 
+def _chosen(texts: DataFrame) -> np.ndarray:
+    """Hashes of the features: those whose share of toxic texts differs clearly, and identity terms, but not the
+    beginnings of these, which a swap would change as well; sorted."""
+    total = texts.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
+    rate = min(max((total["toxic"] or 0) / max(total["n"], 1), 1e-3), 1 - 1e-3)
+    counts = texts.mapInArrow(_counts, "key long, n long, toxic long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    deviation = F.abs(F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
+    clear = counts.where(F.col("n") >= FEWEST_DOCUMENTS).select("key", deviation.alias("deviation")).where(F.col("deviation") >= FEWEST_DEVIATIONS)
+    best = clear.orderBy(F.desc("deviation"), "key").limit(MOST_FEATURES).select("key").toArrow()["key"]
+    clear_keys = np.asarray(best.combine_chunks()).view(np.uint64)
+    beginnings = np.concatenate([_all_hashes(group)[len(group) :] for group in IDENTITY_GROUPS])
+    return np.union1d(np.setdiff1d(clear_keys, beginnings), np.concatenate(_term_hashes()))
+
+
 def fit(labelled: DataFrame, rows: int = MOST_FIT_ROWS, penalty: float = SWAP_PENALTY, shrinkage: float = SHRINKAGE) -> Model:
     """The classifier of labelled texts (doc_id, text, toxic), from at most ``rows`` of them.
 
-    Rows without a label don't count. Features are chosen and weights fitted in one task, whose input
-    ``rows`` bounds; the model has at most MOST_FEATURES weights.
+    Rows without a label don't count. Features are chosen from counts, and weights are fitted in one task
+    that holds the few chosen features of the texts, which ``rows`` bounds.
     """
     chosen = labelled.where("toxic is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = labelled.where("toxic is not null").join(F.broadcast(chosen), "doc_id", "left_semi")
-    words = texts.select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("binary").alias("text")).mapInArrow(_features, "toxic int, words array<long>")
+    texts = kept(texts.select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("binary").alias("text")))
+    keys = _chosen(texts)
+    lists = texts.mapInArrow(_rows(keys), "toxic int, features array<int>")
 
     def fitted(table: pa.Table) -> pa.Table:
-        model = _fit(table, FEWEST_DOCUMENTS, MOST_FEATURES, shrinkage, penalty, STEPS)
-        return pa.table({"key": np.append(model.keys, np.uint64(0)).view(np.int64), "weight": np.append(model.weights, model.bias), "bias": [False] * len(model.keys) + [True]})
+        model = _fit(table.drop_columns("all"), keys, shrinkage, penalty, STEPS)
+        return pa.table({"weight": model.weights, "bias": np.full(len(model.weights), model.bias)})
 
-    found = words.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fitted, "key long, weight double, bias boolean").toArrow().sort_by("bias")
+    found = lists.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fitted, "weight double, bias double").toArrow()
     if not found.num_rows:
         return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
-    keys, weights, bias = (np.asarray(found[c].combine_chunks().cast(t)) for c, t in (("key", pa.int64()), ("weight", pa.float64()), ("bias", pa.int8())))
-    own = bias == 0
-    order = np.argsort(keys[own].view(np.uint64))
-    return Model(keys[own].view(np.uint64)[order], weights[own][order], float(weights[~own][0]))
+    return Model(keys, np.asarray(found["weight"].combine_chunks()), found["bias"][0].as_py())
 
 
 def toxicity(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
@@ -181,7 +210,8 @@ def toxicity(docs: DataFrame, model: Model, with_text: bool = False) -> DataFram
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "score": model.scores(*A.texts(batch["_text"]))})
+            for part in A.slices(batch, "_text"):
+                yield pa.RecordBatch.from_pydict({"_row": part["_row"], "score": model.scores(*A.texts(part["_text"]))})
 
     kind = rows.schema["_row"].dataType.simpleString()
     return spread(rows.mapInArrow(scored, f"_row {kind}, score double"), "_row", "score")
