@@ -19,15 +19,17 @@ from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
 from stampbook.llm.blocks import BLOCK, ID, ROW, TEXT, blocked, parts, text_bytes
-from stampbook.llm.columns import let
+from stampbook.llm.columns import let, spread
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20  # of text; the edges of its words are sorted in memory
 UNKNOWN_PENALTY = 10.0  # below the lowest piece, for a character that no piece is
 
 SPACE = "▁"
 _BPE = 2  # the model_type of a model file's trainer settings
 LONG_WORD = 64  # characters; longer ones are merged with a heap
+ID_BITS = 20
+PLACE_BITS = 22  # above a rank and an id, for a start and an end
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,12 @@ class Vocabulary:
         rows = [(p, i, s) for i, (p, s) in enumerate(zip(self.pieces, self.scores, strict=True)) if p]
         return spark.createDataFrame(rows, "piece string, id int, score double")
 
+    def joins(self, spark: SparkSession) -> DataFrame:
+        """Pieces of several characters, and the rank of their score above their id in one number."""
+        order = {x: i for i, x in enumerate(sorted(set(self.scores), reverse=True))}
+        rows = [(p, order[s] << ID_BITS | i) for i, (p, s) in enumerate(zip(self.pieces, self.scores, strict=True)) if len(p) > 1]
+        return spark.createDataFrame(rows, "piece string, value long")
+
     def raw(self) -> list[bytes]:
         out = [p.encode() for p in self.pieces]
         for byte, i in enumerate(self.byte_ids):
@@ -107,8 +115,8 @@ def _marked(text: Column) -> Column:
     return F.when(F.length(plain) > 0, F.concat(F.lit(" "), plain)).otherwise("")
 
 
-def _best_path(edges: Column, n: Column, unknown: float) -> Column:
-    """The ids on the best way through edges (sorted by end, then start) of a word of n characters.
+def _best_path(edges: Column, n: Column) -> Column:
+    """The ids on the best way through edges (an array for each end) of a word of n characters.
 
     One fold over the edges keeps the best score and last edge up to each end. A character that no piece
     is gets an edge with the id -1 - its place. Of equal scores the longer last piece wins.
@@ -132,28 +140,36 @@ def _best_path(edges: Column, n: Column, unknown: float) -> Column:
     return let(reached, back)
 
 
-def _merged(edges: Column, n: Column) -> Column:
-    """The ids that merging leaves of a word of n characters: of neighbours that a piece joins, the best score
-    first, of equal ones the leftmost. The fold's state is the ends of the symbols so far."""
+def _merged(edges: Column, word: Column) -> Column:
+    """What merging leaves of a word: of neighbours that a piece joins, the best rank first, of equal ones the
+    leftmost. Pieces of one character are left as that character's negative code point.
+
+    An edge is its place (start and end) above its rank and id; the fold's state is the ends of the symbols so far.
+    """
+    n = F.length(word)
 
-    def key(start: Column, end: Column) -> Column:
-        return start * (LONG_WORD + 1) + end
+    def place(start: Column, end: Column) -> Column:
+        return (start * (LONG_WORD + 1) + end).cast("long")
 
     def with_pieces(pieces: Column) -> Column:
         def step(a: Column, _: Column) -> Column:
             def merge(ends: Column) -> Column:
-                pairs = F.transform(F.sequence(F.lit(1), F.size(ends) - 2), lambda i: F.struct(F.element_at(pieces, key(F.get(ends, i - 1), F.get(ends, i + 1)))["score"].alias("score"), (-i).alias("back")))
-                best = F.array_max(F.filter(pairs, lambda p: p["score"].isNotNull()))
-                return let(best, lambda b: F.when(b.isNull(), F.struct(ends.alias("ends"), F.lit(True).alias("done"))).otherwise(
-                    F.struct(F.filter(ends, lambda e, i: i != -b["back"]).alias("ends"), F.lit(False).alias("done"))))
+                ranks = F.transform(F.sequence(F.lit(1), F.size(ends) - 2), lambda i: F.shiftright(F.element_at(pieces, place(F.get(ends, i - 1), F.get(ends, i + 1))), ID_BITS))
+                return let(ranks, lambda r: let(F.array_position(r, F.array_min(r)), lambda at: F.when(at.isNull(), F.struct(ends.alias("ends"), F.lit(True).alias("done"))).otherwise(
+                    F.struct(F.filter(ends, lambda e, i: i != at).alias("ends"), F.lit(False).alias("done")))))
 
             return F.when(a["done"] | (F.size(a["ends"]) < 3), a).otherwise(merge(a["ends"]))
 
+        def symbol(start: Column, end: Column) -> Column:
+            joined = F.element_at(pieces, place(start, end)).bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int")
+            return F.when(end - start == 1, -F.ascii(F.substring(word, end, F.lit(1)))).otherwise(joined)
+
         begin = F.struct(F.sequence(F.lit(0), n).alias("ends"), F.lit(False).alias("done"))
         ends = F.aggregate(F.sequence(F.lit(1), n), begin, step, lambda a: a["ends"])
-        return let(ends, lambda e: F.transform(F.sequence(F.lit(1), F.size(e) - 1), lambda i: F.element_at(pieces, key(F.get(e, i - 1), F.get(e, i)))["id"]))
+        return let(ends, lambda e: F.transform(F.sequence(F.lit(1), F.size(e) - 1), lambda i: symbol(F.get(e, i - 1), F.get(e, i))))
 
-    entries = F.transform(edges, lambda e: F.struct(key(e["start"], e["end"]), F.struct(F.when(e["id"] >= 0, e["score"]).alias("score"), e["id"].alias("id"))))
+    value = (1 << (64 - PLACE_BITS)) - 1
+    entries = F.transform(edges, lambda e: F.struct(F.shiftrightunsigned(e, 64 - PLACE_BITS), e.bitwiseAND(F.lit(value))))
     return let(F.map_from_entries(entries), with_pieces)
 
 
@@ -196,23 +212,24 @@ def _bytes(ids: Column, word: Column, byte_ids: list[int]) -> Column:
     return F.when(F.exists(ids, lambda i: i < 0), F.flatten(F.transform(ids, lambda i: F.when(i >= 0, F.array(i)).otherwise(of_character(i))))).otherwise(ids)
 
 
-def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> DataFrame:
-    """keys, word and its ids, for distinct words (with keys). Words have spaces where pieces have marks.
+def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary, rest: list[str] | None = None) -> DataFrame:
+    """keys, word, its ids and other columns (rest), for distinct words (with keys). Words have spaces where pieces have marks.
 
     Each substring of up to the longest piece's length meets the piece table; the table is broadcast, as a
     model file bounds it. Grouping the edges by word needs no exchange beyond that of the words.
     """
-    sized = words.select(*keys, "word", F.length("word").alias("n"))
+    n, rest = F.length("word"), rest or []
     if vocabulary.merges:
-        sized = sized.where(F.col("n") <= LONG_WORD)
-    starts = sized.select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
-    spans = starts.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.col("n") - F.col("at") + 1))).alias("long"))
+        return _merge_words(words, keys, rest, vocabulary)
+    starts = words.select(*keys, "word", *rest, F.explode(F.sequence(F.lit(1), n)).alias("at"))
+    spans = starts.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), n - F.col("at") + 1))).alias("long"))
     piece = F.substring(F.col("word"), F.col("at"), F.col("long"))
     table = F.broadcast(vocabulary.table(words.sparkSession))
     unit = (F.col("long") == 1) & F.col("id").isNull()
     joined = spans.withColumn("piece", piece).join(table, "piece", "left").where(F.col("id").isNotNull() | unit)
-    edge = F.struct((F.col("at") + F.col("long") - 1).alias("end"), (F.col("at") - 1).alias("start"), F.when(unit, -F.col("at")).otherwise(F.col("id")).alias("id"), F.when(unit, F.lit(vocabulary.unknown)).otherwise(F.col("score")).alias("score"))
-    grouped = joined.groupBy(*keys, "word", "n").agg(F.collect_list(edge).alias("edges"))
+    end = F.col("at") + F.col("long") - 1
+    edge = F.struct(end.alias("end"), (F.col("at") - 1).alias("start"), F.when(unit, -F.col("at")).otherwise(F.col("id")).alias("id"), F.when(unit, F.lit(vocabulary.unknown)).otherwise(F.col("score")).alias("score"))
+    grouped = joined.groupBy(*keys, "word").agg(F.collect_list(edge).alias("edges"), *[F.first(c).alias(c) for c in rest])
 
     def by_end(edges: Column) -> Column:
         """One array for each end; every end has the edge of its single character."""
@@ -222,8 +239,21 @@ def encode_words(words: DataFrame, keys: list[str], vocabulary: Vocabulary) -> D
             lambda cuts: F.transform(cuts, lambda c, k: F.slice(s, c + 1, F.coalesce(F.get(cuts, k + 1), F.size(s)) - c)),
         ))
 
-    ids = _merged(F.col("edges"), F.col("n")) if vocabulary.merges else _best_path(by_end(F.col("edges")), F.col("n"), vocabulary.unknown)
-    return grouped.select(*keys, "word", let(ids, lambda i: _bytes(i, F.col("word"), vocabulary.byte_ids)).alias("ids"))
+    ids = _best_path(by_end(F.col("edges")), n)
+    return grouped.select(*keys, "word", *rest, let(ids, lambda i: _bytes(i, F.col("word"), vocabulary.byte_ids)).alias("ids"))
+
+
+def _merge_words(words: DataFrame, keys: list[str], rest: list[str], vocabulary: Vocabulary) -> DataFrame:
+    """The same by merges, for words of up to LONG_WORD characters with a joinable part; negative ids are code points."""
+    n = F.length("word")
+    some = words.where((n > 1) & (n <= LONG_WORD)).select(*keys, "word", *rest, F.explode(F.sequence(F.lit(1), n - 1)).alias("at"))
+    spans = some.select("*", F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.least(F.lit(vocabulary.longest), n - F.col("at") + 1)))).alias("long"))
+    spans = spans.withColumn("piece", F.substring(F.col("word"), F.col("at"), F.col("long")))
+    joined = spans.join(F.broadcast(vocabulary.joins(words.sparkSession)), "piece")
+    start = F.col("at") - 1
+    edge = F.shiftleft((start * (LONG_WORD + 1) + start + F.col("long")).cast("long"), 64 - PLACE_BITS).bitwiseOR(F.col("value"))
+    grouped = joined.groupBy(*keys, "word").agg(F.collect_list(edge).alias("edges"), *[F.first(c).alias(c) for c in rest])
+    return grouped.select(*keys, "word", *rest, _merged(F.col("edges"), F.col("word")).alias("ids"))
 
 
 def _assemble(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -232,6 +262,25 @@ def _assemble(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
     by_piece = {p: (i, s) for i, (p, s) in enumerate(zip(vocab.pieces, vocab.scores, strict=True)) if p}
     joined, begins = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum(sizes)))[:-1]
 
+    def of_character(code: int) -> list[int]:
+        found = by_piece.get(chr(code))
+        return [found[0]] if found else [vocab.byte_ids[b] for b in chr(code).encode()]
+
+    def _spelt(ids: pa.ChunkedArray) -> pa.Array:
+        """Lists of ids with the ids of characters for negative code points."""
+        lists = pa.concat_arrays([*ids.chunks, pa.array([], pa.list_(pa.int32()))])
+        flat, ends = np.asarray(lists.flatten()), np.concatenate(([0], np.cumsum(np.asarray(lists.value_lengths()))))
+        codes, back = np.unique(flat[flat < 0], return_inverse=True)
+        spelt = [of_character(-c) for c in codes.tolist()]
+        first = np.concatenate(([0], np.cumsum([len(x) for x in spelt]))).astype(np.int64)
+        every = np.array([i for x in spelt for i in x], np.int64)
+        counts = np.ones(len(flat), np.int64)
+        counts[flat < 0] = np.diff(first)[back]
+        out = np.repeat(flat, counts).astype(np.int64)
+        out[np.repeat(flat < 0, counts)] = every[A.ranges(first[:-1][back], np.diff(first)[back])] if len(every) else 0
+        upto = np.concatenate(([0], np.cumsum(counts)))[ends]
+        return pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(out.astype(np.int32)))
+
     def assemble(table: pa.Table, encoded: pa.Table) -> pa.Table:
         data, offsets = A.texts(table[TEXT])
         _, word_ends, first = A.words(data, offsets, A.separators(b" "))
@@ -244,13 +293,15 @@ def _assemble(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
         starts = np.maximum(np.concatenate(([0], ends[:-1])), offsets[:-1][text]) if len(ends) else ends
         names = A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends)
         words = encoded.select(["word", "ids"]).cast(pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))]))
-        long, where = np.unique(names[ends - starts > LONG_WORD], return_index=True)
-        if vocab.merges and len(long):
-            where = np.flatnonzero(ends - starts > LONG_WORD)[where]
-            spelt = [data[a:b].tobytes() for a, b in zip(starts[where], ends[where], strict=True)]
-            spelt = [w for w in spelt if len(w.decode("utf-8", "replace")) > LONG_WORD]
-            merged = [_merge_word(w.decode("utf-8", "replace"), by_piece, vocab.byte_ids) for w in spelt]
-            words = pa.concat_tables([words, pa.table([pa.array(spelt, pa.binary()), pa.array(merged, pa.list_(pa.int32()))], words.schema)])
+        words = pa.table([words["word"], _spelt(words["ids"])], words.schema)
+        word_data, word_offsets = A.texts(words["word"])
+        known = A.span_hashes(A.prefix_sums(word_data, A.byte_values()), word_offsets[:-1], word_offsets[1:])
+        missing, where = np.unique(names, return_index=True)
+        where = where[~np.isin(missing, known)]
+        if vocab.merges and len(where):
+            others = [data[a:b].tobytes() for a, b in zip(starts[where], ends[where], strict=True)]
+            merged = [_merge_word(w.decode("utf-8", "replace"), by_piece, vocab.byte_ids) for w in others]
+            words = pa.concat_tables([words, pa.table([pa.array(others, pa.binary()), pa.array(merged, pa.list_(pa.int32()))], words.schema)])
         word_data, word_offsets = A.texts(words["word"])
         known = A.span_hashes(A.prefix_sums(word_data, A.byte_values()), word_offsets[:-1], word_offsets[1:])
         by_name = np.argsort(known, kind="stable")
@@ -283,18 +334,18 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     marked = docs.withColumn("text", _marked(F.col("text")))
     size = text_bytes(docs)
     spark = docs.sparkSession
-    texts = blocked(marked, max(2 * spark.sparkContext.defaultParallelism, parts(docs, size, BLOCK_BYTES)))
-    texts = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), BLOCK)  # words stay with their block
+    blocks = parts(docs, size, BLOCK_BYTES)
+    texts = blocked(marked, blocks).repartition(blocks, BLOCK)  # words stay with their block
     words = F.regexp_extract_all(F.col(TEXT).cast("string"), F.lit(" *[^ ]+| +"), F.lit(0))
     # a hash of the row rides along, so that both uses of the exchange need the same columns and it runs once
     texts = texts.drop(ID)
     rows = texts.select(F.col(BLOCK).alias("block"), F.xxhash64(ROW).alias("some"), F.explode(words).alias("word"))
     distinct = rows.groupBy("block", "word").agg(F.max("some").alias("some"))
-    encoded = encode_words(distinct, ["block", "some"], vocab)
+    encoded = encode_words(distinct, ["block"], vocab, ["some"])
     kind = texts.schema[ROW].dataType.simpleString()
     schema = f"{ROW} {kind}, ids array<int>, n_tokens long, round_trip boolean"
     dealt = texts.groupBy(BLOCK).cogroup(encoded.groupBy("block"))
-    return dealt.applyInArrow(_assemble(vocab), schema).select(f"{ROW}.*", "ids", "n_tokens", "round_trip")
+    return spread(dealt.applyInArrow(_assemble(vocab), schema), ROW, "ids", "n_tokens", "round_trip")
 
 
 def decode(rows: DataFrame, vocab: Vocabulary, column: str = "ids") -> DataFrame:
@@ -307,7 +358,7 @@ def decode(rows: DataFrame, vocab: Vocabulary, column: str = "ids") -> DataFrame
             yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "text": pa.array(found, pa.string())})
 
     rest = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "text"]).alias("_row"), F.col(f"`{column}`").alias("_ids"))
-    return rest.mapInArrow(texts, f"_row {rest.schema['_row'].dataType.simpleString()}, text string").select("_row.*", "text")
+    return spread(rest.mapInArrow(texts, f"_row {rest.schema['_row'].dataType.simpleString()}, text string"), "_row", "text")
 
 
 def op7(docs: DataFrame) -> DataFrame:
