@@ -61,8 +61,8 @@ def _hits(rows: DataFrame, items: DataFrame, length: int) -> DataFrame:
     return found.join(_bounded(items.select("one", "two").distinct()), ["one", "two"]).select(*KEY, "start", F.lit(length).alias("length"), "one", "two")
 
 
-def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS) -> DataFrame:
-    """All columns of docs, and n_words, n_hit, items (sorted ids as strings), contaminated.
+def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, with_text: bool = False) -> DataFrame:
+    """All columns of docs but text (unless with_text), and n_words, n_hit, items (sorted ids as strings), contaminated.
 
     Words are lower-cased (A-Z) runs of digits, letters and characters beyond ASCII. A window is ``window``
     words; an item with fewer, but some, is one window. Documents whose winnowed fingerprints meet the
@@ -94,7 +94,7 @@ def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     of_items = every.select(*KEY, "one", "two").distinct().join(_bounded(reduce(DataFrame.unionByName, items)), ["one", "two"])
     named = of_items.select(*KEY, "item").distinct().groupBy(*KEY).agg(F.array_sort(F.collect_list("item")).alias("items"))
     found = n_hit.join(named, KEY)
-    base = docs.select(F.struct("*").alias("_row"), *row_key(), F.size(_words(F.col("text"))).cast("long").alias("n_words"))
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if with_text or c != "text"]).alias("_row"), *row_key(), F.size(_words(F.col("text"))).cast("long").alias("n_words"))
     joined = base.join(found, KEY, "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
     joined = joined.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     judged = joined.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words")))
