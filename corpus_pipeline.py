@@ -31,7 +31,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated with passages of the benchmark."""
-    found = decontamination.benchmark_overlap(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontamination.benchmark_overlap(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), with_text=True)
     return found.where(~F.col("contaminated")).select(docs.columns)
 
 
