@@ -296,6 +296,15 @@ def test_common_lines_deplete_documents_of_their_host_only(spark):
     assert {r.n_common_words for i, r in found.items() if i < 100} == {80} and found[100].n_common_words == 0
 
 
+def test_repeated_rows_count_their_common_words_once(spark):
+    menu = " ".join(f"menu{chr(97 + j)}" for j in range(26)) + " one two three four"
+    own = {i: " ".join(f"{chr(97 + i)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(70)) for i in range(25)}
+    data = [(i, f"{menu}\n{own[i]}", "a") for i in range(25)]
+    docs = spark.createDataFrame([*data, data[0], data[0], (0, data[0][1], "b"), (1, f"{menu}\n{menu}\n{own[1]}", "a")], "doc_id long, text string, source string")
+    found = sorted((r.doc_id, r.source, r.n_words, r.n_common_words, r.kept) for r in quality.quality(docs).collect() if r.doc_id < 3)
+    assert found == [*[(0, "a", 100, 30, True)] * 3, (0, "b", 100, 0, True), (1, "a", 100, 30, True), (1, "a", 130, 60, True), (2, "a", 100, 30, True)]
+
+
 def test_toxicity_learns_words_and_ignores_identity(spark):
     rng = random.Random(4)
     plain = [f"plain{i}" for i in range(200)]
