@@ -16,10 +16,15 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates, once."""
-    groups = simhash.near_duplicate_groups(docs.select("doc_id", "text"))
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near duplicates, that with the smallest doc_id (and hash of the text, if several have it).
+
+    Rows are told apart by doc_id and text: different texts under one doc_id, or without any, are different
+    documents, and a text without a doc_id gives way to its copy that has one.
+    """
+    first = simhash.first_rows(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_first"), F.col("text_hash").alias("_first_hash"))
+    hashed = docs.withColumn("_hash", simhash.text_hash())
+    same = F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("_hash") == F.col("_first_hash"))
+    return hashed.join(first, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

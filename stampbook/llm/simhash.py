@@ -9,7 +9,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.llm.components import smallest_labels
@@ -40,16 +40,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * bits.sum(0, dtype=np.int64) > len(values), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fingerprint (its 64 bits as a long) of each row."""
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, hashed: bool = False) -> DataFrame:
+    """doc_id and fingerprint (its 64 bits as a long) of each row, and text_hash if hashed."""
+    also = ["text_hash"] if hashed else []
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in batch["text"]), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "fingerprint": found.view(np.int64)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "fingerprint": found.view(np.int64)} | {c: batch[c] for c in also})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(each, "doc_id long, fingerprint long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *[text_hash().alias(c) for c in also])
+    return rows.mapInArrow(each, "doc_id long, fingerprint long" + "".join(f", {c} long" for c in also))
 
 
 def _distance(points: np.ndarray, one: int) -> np.ndarray:
@@ -221,5 +226,20 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, bits: i
     return found.join(labels, "fingerprint").select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def first_rows(docs: DataFrame, shingle: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
+    """doc_id and text_hash of one row for each component of near_duplicate_groups, by smallest doc_id.
+
+    Components are told by a fingerprint of theirs, so those whose doc_ids are all null, and those that share
+    their smallest doc_id, stay apart. A row with a doc_id comes before one without.
+    """
+    last = F.lit((1 << 63) - 1)
+    found = kept(fingerprints(docs, shingle, hashed=True))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", last).alias("doc_id"), "text_hash")
+    points = kept(found.groupBy(F.col("fingerprint").alias("item")).agg(F.min(row).alias("row")))
+    labels = linked_fingerprints(points.select("item", F.struct("row", "item").alias("label")), bits)
+    first = labels.where("label.item = item").select("label.row.*")
+    return first.select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "text_hash").distinct()
+
+
 def op2(docs: DataFrame) -> DataFrame:
     return near_duplicate_groups(docs.select("doc_id", "text"))

@@ -72,6 +72,16 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     assert {r.doc_id: r.text for r in back.collect()} == {i: t.replace("▁", " ") for i, t in texts.items()}
 
 
+def test_pipeline_keeps_one_row_of_each_near_duplicate_group(spark):
+    text = {c: " ".join(f"{c}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)) for c in "pqrstu"}
+    rows = [(None, text["p"]), (None, text["q"]), (None, text["q"]), (7, text["r"]), (7, text["s"]), (7, text["s"]), (8, text["r"]), (3, text["t"]), (None, text["t"]), (9, text["u"])]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, extra int")
+    found = corpus_pipeline.without_near_duplicates(spark, docs, FOLDER)
+    assert found.columns == docs.columns
+    want = [(None, text["p"]), (None, text["q"]), (7, text["r"]), (7, text["s"]), (3, text["t"]), (9, text["u"])]
+    assert sorted((str(r.doc_id), r.text) for r in found.collect()) == sorted((str(i), t) for i, t in want)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run_over_whole_tables(spark, name):
     found = QUERIES[name](spark, FOLDER).collect()
