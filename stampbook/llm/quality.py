@@ -1,4 +1,4 @@
-"""Quality rules and lines that many documents of a host share, in DataFrame functions only."""
+"""Quality rules, and texts without the lines that many documents of a host share, in DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -58,51 +58,45 @@ def _normal(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(F.regexp_replace(F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))), BLANKS, " "), "[0-9]+", "0"))
 
 
-def _line_words(text: Column) -> Column:
-    """Each different line of a text (its hash) once, with the words of all its repeats."""
-    every = F.sort_array(F.transform(_lines(text), lambda x: F.struct(_normal(x).alias("line"), F.size(words_of(x)).cast("long").alias("words"))))
-
-    def runs(s: Column) -> Column:
-        starts = F.filter(F.transform(s, lambda x, i: F.when(x["line"].eqNullSafe(F.get(s, i - 1)["line"]), -1).otherwise(i)), lambda i: i >= 0)
-        return let(starts, lambda at: F.transform(at, lambda p, k: F.struct(
-            F.get(s, p)["line"].alias("line"), F.aggregate(F.slice(s, p + 1, F.coalesce(F.get(at, k + 1), F.size(s)) - p), F.lit(0).cast("long"), lambda n, x: n + x["words"]).alias("words"),
-        )))
-
-    return let(every, runs)
+def _without(text: Column, common: Column) -> Column:
+    """The text without its lines whose hash is in common; all other lines stay as they are."""
+    return F.when(common.isNull(), text).otherwise(F.array_join(F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(common, _normal(line))), "\n"))
 
 
 def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE, left: float = FEWEST_LEFT, with_text: bool = False) -> DataFrame:
-    """All columns of docs but text (unless with_text), and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_common_words, kept.
+    """All columns of docs but text (unless with_text), and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_common_words, kept_text, kept.
 
     A line is common in its host (the column source) if more than ``documents`` documents of the host and
-    more than ``share`` of them hold it, in any case, spacing and digits. n_common_words counts the words
-    of a document's common lines. A document is kept if it passes the base rules and at least ``left`` of
-    its words are in other lines. Nulls and empty texts have no words and fail the base rules. Rows with
-    the same doc_id count as one document, and repeated rows get the counts of one row; a null source is a host of its own; an empty table gives no
-    rows; extra columns pass through.
+    more than ``share`` of them hold it, in any case, spacing and digits. kept_text is the text without its
+    common lines, n_common_words counts the words that went with them. A document is kept if it passes the
+    base rules and at least ``left`` of its words are in kept_text. Nulls and empty texts have no words and
+    fail the base rules. Rows with the same doc_id count as one document, and repeated rows get the counts of
+    one row; a null source is a host of its own; an empty table gives no rows; extra columns pass through.
     """
     text = F.coalesce("text", F.lit(""))
     host = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    line_rows = docs.select(*row_key(), F.coalesce(host, F.lit("")).alias("_host"), host.isNull().alias("_none"), F.explode(_line_words(text)).alias("l")).select(*KEY, "_host", "_none", "l.*")
+    line_rows = docs.select(*row_key(), F.coalesce(host, F.lit("")).alias("_host"), host.isNull().alias("_none"), F.explode(F.array_distinct(F.transform(_lines(text), _normal))).alias("line"))
     place = ["_host", "_none", "line"]
-    per_line = line_rows.groupBy(*KEY, *place).agg(F.max("words").alias("words"))  # repeated rows agree
-    holding = per_line.select("_id", *place).distinct().groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > documents)
+    holding = line_rows.select("_id", *place).distinct().groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > documents)
     hosts = docs.select(F.coalesce(host, F.lit("")).alias("_host"), host.isNull().alias("_none"), F.col("doc_id")).distinct().groupBy("_host", "_none").agg(F.count("*").alias("of"))
     common = holding.join(hosts, ["_host", "_none"]).where(F.col("n") > F.col("of") * share).select(*place)
-    lost = per_line.join(common, place).groupBy(*KEY, "_host", "_none").agg(F.sum("words").alias("n_common_words"))
+    lost = line_rows.join(common, place).groupBy(*KEY, "_host", "_none").agg(F.collect_set("line").alias("_common"))
 
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if with_text or c != "text"]).alias("_row"), *row_key(), F.coalesce(host, F.lit("")).alias("_host"), host.isNull().alias("_none"), let(words_of(text), lambda w: F.struct(
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if with_text or c != "text"]).alias("_row"), *row_key(), F.coalesce(host, F.lit("")).alias("_host"), host.isNull().alias("_none"), *([] if with_text else [text.alias("_text")]), let(words_of(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).alias("n_repeat_words"),
     )).alias("_w"), F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(_lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"))
     found = base.join(lost, [*KEY, "_host", "_none"], "left")
     failed = (F.col("n_words") < FEWEST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    common_words = F.coalesce("n_common_words", F.lit(0)).cast("long")
-    named = found.select("_row", "_w.*", "n_symbols", "n_dup_lines", common_words.alias("n_common_words"))
+    whole = F.coalesce("_row.text", F.lit("")) if with_text else F.col("_text")
+    fewer = let(_without(whole, F.col("_common")), lambda kept: F.struct(
+        kept.alias("kept_text"), F.when(F.col("_common").isNull(), F.lit(0)).otherwise(F.col("_w.n_words") - F.size(words_of(kept))).cast("long").alias("n_common_words"),
+    ))
+    named = found.select("_row", "_w.*", "n_symbols", "n_dup_lines", fewer.alias("_k")).select("*", "_k.*")
     depleted = F.col("n_words") - F.col("n_common_words") < left * F.col("n_words")
     judged = named.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
-    return spread(judged, "_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "kept")
+    return spread(judged, "_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "kept_text", "kept")
 
 
 def op9(docs: DataFrame) -> DataFrame:
-    return quality(docs.select("doc_id", "text", "source")).drop("source")
+    return quality(docs.select("doc_id", "text", "source")).drop("source", "kept_text")

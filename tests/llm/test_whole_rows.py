@@ -305,6 +305,16 @@ def test_repeated_rows_count_their_common_words_once(spark):
     assert found == [*[(0, "a", 100, 30, True)] * 3, (0, "b", 100, 0, True), (1, "a", 100, 30, True), (1, "a", 130, 60, True), (2, "a", 100, 30, True)]
 
 
+@pytest.mark.parametrize("with_text", [False, True])
+def test_kept_texts_lack_the_common_lines_of_their_host(spark, with_text):
+    own = {i: f"  Title {chr(97 + i)}\n\nbody\tof {chr(97 + i)} " for i in range(25)}
+    data = [(i, f"Menu 1{i} | Home\n{own[i]}\n  MENU  7 | home ", "a") for i in range(25)] + [(90, "Menu 1 | Home\nx\n", "b"), (91, None, "a"), (92, "", "a")]
+    found = by_id(quality.quality(spark.createDataFrame(data, "doc_id long, text string, source string"), with_text=with_text))
+    assert {i: r.kept_text for i, r in found.items()} == {**own, 90: "Menu 1 | Home\nx\n", 91: "", 92: ""}
+    assert {r.n_common_words for i, r in found.items() if i < 25} == {8} and {found[i].n_common_words for i in (90, 91, 92)} == {0}
+    assert not with_text or {i: r.text for i, r in found.items()} == {i: t for i, t, _ in data}
+
+
 def test_toxicity_learns_words_and_ignores_identity(spark):
     rng = random.Random(4)
     plain = [f"plain{i}" for i in range(200)]
