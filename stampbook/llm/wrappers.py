@@ -1,8 +1,8 @@
 """HTML extraction with wrappers: a union-free expression for each host, aligned from its pages' token streams.
 
 A page's stream has its block tags and one slot for each run of text between them. Repeats
-in a stream become repeated groups; where two streams differ, what only one has becomes an
-optional group. Streams are counted before they meet, and a host's distinct streams are
+in a stream become repeated groups of whole elements; where two streams differ, what only
+one has becomes an optional group. Streams are counted before they meet, and a host's distinct streams are
 aligned in several tasks first, so a host's size doesn't matter. The wrapper says which
 slots hold the article; where no part of a page is marked as its main one, slots whose
 texts the host's pages share are the template's.
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from stampbook.llm.columns import spread
 
 SALTS = 16  # tasks that align a host's streams before their wrappers meet
-LONGEST_REPEAT = 32  # tokens of a repeated group
+LONGEST_REPEAT = 32  # neighbours in a repeated group
+DEEPEST = 256  # nested elements; those further in count as part of the last one
 CONSTANT_PAGES = 5  # a slot is the template's if at least so many pages have it,
 CONSTANT_SHARE = 0.5  # and one text is in more than this share of them
 MOST_LINKED = 0.5  # of a slot's characters; slots with more are menus
@@ -82,6 +83,7 @@ def _name(tag: str, attributes: str) -> str:
 def parse(source: str) -> Page:
     """The block tokens and text blocks of a page. Inline elements and line breaks belong to the text around them."""
     page, stack, text, linked, links = Page(), [], [], 0, 0
+    deeper: list[str] = []  # open elements beyond the deepest
 
     def flush() -> None:
         nonlocal linked
@@ -117,14 +119,21 @@ def parse(source: str) -> Page:
         flush()
         links = 0
         if found[1]:
+            if tag in deeper:
+                del deeper[len(deeper) - 1 - deeper[::-1].index(tag) :]
+                continue
             place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if place is not None:
+                deeper.clear()
                 close(place)
             continue
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
             at = over.end() if over else end
             continue
+        if deeper or len(stack) >= DEEPEST and tag not in VOID and stack[-1][0] != "p":
+            deeper += [] if tag in VOID or deeper[-1:] == [tag] == ["p"] else [tag]
+            continue
         if stack and stack[-1][0] == "p":
             close(len(stack) - 1)
         for i in range(len(stack) - 1, -1, -1):
@@ -143,60 +152,130 @@ def parse(source: str) -> Page:
     return page
 
 
-# A wrapper is a tuple of tokens, ("+", body) for a repeated and ("?", body) for an optional group.
+# A wrapper is a tuple of tokens, ("+", body) for a repeated and ("?", body) for an optional group. To be folded
+# and aligned it is a tree: "#", or (element, inside), or a group of whole neighbours. So a group never opens an
+# element without closing it, and each slot keeps the path it has in its pages.
 
 
-def fold_repeats(items: tuple) -> tuple:
-    """Neighbouring repeats become repeated groups, short ones first."""
-    for size in range(1, LONGEST_REPEAT + 1):
+def _tree(items: tuple) -> tuple:
+    names, inside = [], [[]]
+    for item in items:
+        if isinstance(item, tuple):
+            inside[-1].append((item[0], _tree(item[1])))
+        elif item == "#":
+            inside[-1].append(item)
+        elif item.startswith("/"):
+            nodes = tuple(inside.pop())
+            inside[-1].append((names.pop(), nodes))
+        else:
+            names.append(item)
+            inside.append([])
+    return tuple(inside[0])
+
+
+def _flat(nodes: tuple) -> tuple:
+    out: list = []
+
+    def walk(nodes: tuple) -> None:
+        for node in nodes:
+            if node == "#":
+                out.append(node)
+            elif node[0] in ("+", "?"):
+                out.append((node[0], _flat(node[1])))
+            else:
+                out.append(node[0])
+                walk(node[1])
+                out.append("/" + re.match(r"[^.!~*]+", node[0])[0])
+
+    walk(nodes)
+    return tuple(out)
+
+
+def _fold_neighbours(nodes: tuple) -> tuple:
+    size = 1
+    while size <= min(LONGEST_REPEAT, len(nodes) // 2):
         out, i = [], 0
-        while i < len(items):
-            body, n = items[i : i + size], 1
-            while len(body) == size and items[i + n * size : i + (n + 1) * size] == body:
+        while i < len(nodes):
+            body, n = nodes[i : i + size], 1
+            while len(body) == size and nodes[i + n * size : i + (n + 1) * size] == body:
                 n += 1
-            if n > 1 and not (size == 1 and isinstance(body[0], tuple)):
-                out.append(("+", body))
+            if n > 1:
+                out.append(body[0] if size == 1 and body[0][0] == "+" else ("+", body))
                 i += n * size
             else:
-                out.append(items[i])
+                out.append(nodes[i])
                 i += 1
-        items = tuple(out)
-    return items
+        nodes = tuple(out)
+        size += 1
+    return nodes
 
 
-def _with_groups_of(items: tuple, other: tuple) -> tuple:
-    """items, where they hold the body of a group of other (one pass is enough for the group), as that group."""
-    for kind, body in [x for x in other if isinstance(x, tuple)]:
-        out, i = [], 0
-        while i < len(items):
-            if items[i : i + len(body)] == body:
-                out.append((kind, body))
+def _fold(nodes: tuple) -> tuple:
+    return _fold_neighbours(tuple([n if n == "#" else (n[0], _fold(n[1])) for n in nodes]))
+
+
+def fold_repeats(items: tuple) -> tuple:
+    """Neighbouring repeats become repeated groups, inner and short ones first."""
+    return _flat(_fold(_tree(items)))
+
+
+def _core(node: tuple | str) -> tuple:
+    """The groups around a single node, and the node."""
+    kinds = set()
+    while node[0] in ("+", "?") and len(node[1]) == 1:
+        kinds.add(node[0])
+        node = node[1][0]
+    return kinds, node
+
+
+def _key(node: tuple | str):
+    """Nodes with the same key are merged: elements by their name, longer groups by those of their nodes."""
+    core = _core(node)[1]
+    return core if core == "#" else (core[0], *[_key(n) for n in core[1]]) if core[0] in ("+", "?") else core[0]
+
+
+def _merged(a: tuple | str, b: tuple | str) -> tuple | str:
+    if a == b:
+        return a
+    (kinds, x), (others, y) = _core(a), _core(b)
+    if x != "#":
+        x = (x[0], tuple([_merged(m, n) for m, n in zip(x[1], y[1], strict=True)]) if x[0] in ("+", "?") else _align(x[1], y[1]))
+    for kind in sorted(kinds | others):
+        x = (kind, (x,))
+    return x
+
+
+def _with_groups_of(nodes: tuple, other: tuple) -> tuple:
+    """nodes, where they hold the body of a longer group of other (one pass is enough for the group), as that group."""
+    for group in [x for x in other if x[0] in ("+", "?") and len(x[1]) > 1]:
+        out, i, body = [], 0, group[1]
+        while i < len(nodes):
+            if nodes[i : i + len(body)] == body:
+                out.append(group)
                 i += len(body)
             else:
-                out.append(items[i])
+                out.append(nodes[i])
                 i += 1
-        items = tuple(out)
-    return items
+        nodes = tuple(out)
+    return nodes
 
 
-def align(a: tuple, b: tuple) -> tuple:
-    """The expression of both: equal items stay, others become optional groups."""
+def _align(a: tuple, b: tuple) -> tuple:
     if a == b:
         return a
     a, b = _with_groups_of(a, b), _with_groups_of(b, a)
     out: list = []
-
-    def optional(part: tuple) -> None:
-        if part:
-            out.append(part[0] if len(part) == 1 and part[0][0] == "?" and isinstance(part[0], tuple) else ("?", part))
-
-    for kind, a0, a1, b0, b1 in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+    for kind, a0, a1, b0, b1 in SequenceMatcher(None, [_key(n) for n in a], [_key(n) for n in b], autojunk=False).get_opcodes():
         if kind == "equal":
-            out += a[a0:a1]
+            out += [_merged(m, n) for m, n in zip(a[a0:a1], b[b0:b1], strict=True)]
         else:
-            optional(a[a0:a1])
-            optional(b[b0:b1])
-    return fold_repeats(tuple(out))
+            out += [n if n[0] == "?" else ("?", (n,)) for n in (*a[a0:a1], *b[b0:b1])]
+    return _fold_neighbours(tuple(out))
+
+
+def align(a: tuple, b: tuple) -> tuple:
+    """The expression of both: elements with one name are merged, others become optional groups."""
+    return _flat(_align(_tree(a), _tree(b)))
 
 
 def _load(text: str) -> tuple:
@@ -251,10 +330,10 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _aligned(table: pa.Table) -> pa.Table:
     """One wrapper for the streams or wrappers of a group: the most frequent first."""
     rows = sorted(zip(table["stream"].to_pylist(), table["pages"].to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
-    wrapper = _load(rows[0][0])
+    wrapper = _tree(_load(rows[0][0]))
     for stream, _ in rows[1:]:
-        wrapper = align(wrapper, _load(stream))
-    return pa.table({"host": table["host"][:1], "stream": [json.dumps(wrapper)], "pages": [sum(r[1] for r in rows)]})
+        wrapper = _align(wrapper, _tree(_load(stream)))
+    return pa.table({"host": table["host"][:1], "stream": [json.dumps(_flat(wrapper))], "pages": [sum(r[1] for r in rows)]})
 
 
 def infer_wrappers(pages: DataFrame, html_column: str = "html") -> DataFrame:

@@ -359,6 +359,27 @@ def test_wrappers_extract_articles(spark):
     assert [found[i] for i in (20, 21, 22, 23)] == ["", "", "plain & simple", "deep"]
 
 
+def _extracted(spark, *pages, host="h.example"):
+    docs = spark.createDataFrame([(i, f"http://{host}/{i}", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in wrappers.op8(docs).orderBy("page_id").collect()]
+
+
+def test_wrappers_hold_every_slot_of_their_pages(spark):
+    deep = ["<article><div><div><p>x</div></div></article>", "<article><ul><li>a<ul><li>b<li>c</ul><li>d</ul></article>"]
+    cats = "<html><body class=post-cats><article><h1>C</h1><p>one<p>two</article>"
+    dogs = "<html><body class=post-dogs><div><div><article><p>three<h2>D</h2><div><div><p>four</div></div></article></div></div>"
+    assert _extracted(spark, deep[0]) == ["x"] and _extracted(spark, deep[1]) == ["a\nb\nc\nd"]
+    assert _extracted(spark, cats, dogs, *deep) == ["C\none\ntwo", "three\nD\nfour", "x", "a\nb\nc\nd"]
+    rng = random.Random(5)
+    for _ in range(200):
+        pages = [wrappers.parse("".join(rng.choice(("<div>", "</div>", "<ul>", "<li>", "</ul>", "<p>", "x", "<div class=a>", "<h2>", "</h2>", "<hr>")) for _ in range(40))) for _ in range(4)]
+        whole = wrappers.fold_repeats(tuple(pages[0].tokens))
+        for page in pages[1:]:
+            whole = wrappers.align(whole, wrappers.fold_repeats(tuple(page.tokens)))
+        assert {b.path for page in pages for b in page.blocks} == wrappers.slots(whole)
+    assert _extracted(spark, "<div>" * 3000 + "<p>deep") == ["deep"]
+
+
 def test_alignment_makes_optional_and_repeated_groups():
     one = wrappers.fold_repeats(("div", "p", "#", "/p", "p", "#", "/p", "/div"))
     assert one == ("div", ("+", ("p", "#", "/p")), "/div")
