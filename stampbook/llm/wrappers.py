@@ -28,6 +28,8 @@ LONGEST_REPEAT = 32  # neighbours in a repeated group
 DEEPEST = 256  # nested elements; those further in count as part of the last one
 CONSTANT_PAGES = 5  # a slot is the template's if at least so many pages have it,
 CONSTANT_SHARE = 0.5  # and one text is in more than this share of them
+LARGE_SHARE = 0.8  # of a page's characters; a container with more isn't aside for words of its class alone
+LARGE_CHARS = 250  # if it has at least so many
 MOST_LINKED = 0.5  # of a slot's characters; slots with more are menus
 
 # Elements by what they are, and words in class, id and role that mark what is no article.
@@ -44,6 +46,7 @@ ASIDE_WORDS = frozenset(
     " signup skip social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
 MAIN_TAGS = frozenset("article main".split())
+HEAD_TAGS = frozenset("html head base link meta".split()) | RAW  # what doesn't end a head
 MAIN_WORDS = frozenset("main articlebody".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(?=[a-zA-Z/])[^<>]*\Z|[^<]+|<""", re.S)
@@ -54,7 +57,7 @@ _SPACES = re.compile(r"\s+")
 
 @dataclass
 class Block:
-    path: str  # elements around it, outermost first; "!" marks what is no article, "*" the main part
+    path: str  # elements around it, outermost first; "!" marks what is no article, "~" what may be none, "*" the main part
     text: str
     linked: int  # characters of links
 
@@ -67,6 +70,8 @@ class Page:
 
 def _name(tag: str, attributes: str) -> str:
     """The element with its marks and the words of its class and id."""
+    if tag in ("html", "body"):  # they hold all of the page, whatever their class
+        return tag
     words, hidden, main = [], False, tag in MAIN_TAGS
     for key, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         value = value.strip("\"'")
@@ -76,8 +81,8 @@ def _name(tag: str, attributes: str) -> str:
             found = [w.lower() for w in _WORDS.findall(value)]
             main |= key.lower() in ("role", "itemprop") and not MAIN_WORDS.isdisjoint([value.lower()])
             words += found
-    aside = tag in ASIDE_TAGS or hidden or not ASIDE_WORDS.isdisjoint(words)
-    return tag + "".join("." + w for w in words[:4] if not w.isdigit()) + ("!" if aside else "*" if main else "")
+    mark = "!" if tag in ASIDE_TAGS or hidden else "*" if main else "~" if not ASIDE_WORDS.isdisjoint(words) else ""
+    return tag + "".join("." + w for w in words[:4] if not w.isdigit()) + mark
 
 
 def parse(source: str) -> Page:
@@ -89,6 +94,7 @@ def parse(source: str) -> Page:
         nonlocal linked
         whole = _SPACES.sub(" ", html.unescape("".join(text))).strip()
         if whole:
+            end_head()
             page.tokens.append("#")
             page.blocks.append(Block("/".join(name for _, name in stack), whole, linked))
         text.clear()
@@ -98,6 +104,11 @@ def parse(source: str) -> Page:
         while len(stack) > upto:
             page.tokens.append("/" + stack.pop()[0])
 
+    def end_head() -> None:
+        place = next((i for i, (tag, _) in enumerate(stack[:2]) if tag == "head"), None)
+        if place is not None:
+            close(place)
+
     at, end = 0, len(source)
     while at < end:
         found = _TOKEN.match(source, at)
@@ -131,6 +142,8 @@ def parse(source: str) -> Page:
             over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
             at = over.end() if over else end
             continue
+        if tag not in HEAD_TAGS:
+            end_head()
         if deeper or len(stack) >= DEEPEST and tag not in VOID and stack[-1][0] != "p":
             deeper += [] if tag in VOID or deeper[-1:] == [tag] == ["p"] else [tag]
             continue
@@ -305,6 +318,30 @@ def slots(wrapper: tuple) -> set[str]:
     return found
 
 
+def _containers(path: str) -> list[str]:
+    """The path of each element in path that is aside by words of its class alone."""
+    return [path[: m.end()] for m in re.finditer(r"~(?=/|\Z)", path)] if "~" in path else []
+
+
+def _believed(blocks: list[Block]) -> list[str]:
+    """The path of each block, without the marks "~" that aren't believed; the others become "!".
+
+    Where a main part is free of such marks, all are believed. Elsewhere those are not whose element has
+    nearly all text of the page that is not aside by tag: that is the page's frame, or the article itself.
+    """
+    if any("*" in b.path and "!" not in b.path and "~" not in b.path for b in blocks):
+        return [b.path.replace("~", "!") for b in blocks]
+    inside: dict[str, int] = {}
+    every = 0
+    for b in blocks:
+        if "!" not in b.path:
+            every += len(b.text)
+            for c in _containers(b.path):
+                inside[c] = inside.get(c, 0) + len(b.text)
+    frames = {c for c, n in inside.items() if n >= LARGE_CHARS and n > LARGE_SHARE * every}
+    return [b.path + "!" if any(c not in frames for c in _containers(b.path)) else b.path for b in blocks]
+
+
 def _is_aside(path: str) -> bool:
     return "!" in path
 
@@ -351,8 +388,9 @@ def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, paths, texts = [], [], []
         for host, source in zip(_column(batch, "host"), _column(batch, "html"), strict=True):
             blocks = parse(source).blocks
-            if not any(_is_main(b.path) for b in blocks):
-                for path, text in {(b.path, b.text) for b in blocks if not _is_aside(b.path)}:
+            marked = _believed(blocks)
+            if not any(_is_main(m) for m in marked):
+                for path, text in {(b.path, b.text) for b, m in zip(blocks, marked, strict=True) if not _is_aside(m)}:
                     hosts.append(host)
                     paths.append(path)
                     texts.append(text)
@@ -369,10 +407,10 @@ def template_slots(pages: DataFrame) -> DataFrame:
 
 def article(page: Page, wrapper_slots: set[str], template: set[str]) -> str:
     """The text of the slots that hold the article, by the wrapper of the page's host."""
-    own = [b for b in page.blocks if b.path in wrapper_slots or not wrapper_slots]
-    main = [b for b in own if _is_main(b.path)]
+    own = [(b, m) for b, m in zip(page.blocks, _believed(page.blocks), strict=True) if b.path in wrapper_slots or not wrapper_slots]
+    main = [b for b, m in own if _is_main(m)]
     if not main:
-        main = [b for b in own if not _is_aside(b.path) and b.path not in template and b.linked <= MOST_LINKED * len(b.text)]
+        main = [b for b, m in own if not _is_aside(m) and b.path not in template and b.linked <= MOST_LINKED * len(b.text)]
     return "\n".join(b.text for b in main)
 
 

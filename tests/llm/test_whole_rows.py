@@ -380,6 +380,25 @@ def test_wrappers_hold_every_slot_of_their_pages(spark):
     assert _extracted(spark, "<div>" * 3000 + "<p>deep") == ["deep"]
 
 
+def test_layout_classes_and_an_open_head_lose_nothing(spark):
+    story = "<h1>Title</h1><p>" + "long story " * 40
+    text = "Title\n" + ("long story " * 40).strip()
+    side = "<div class=sidebar><p>aside</div>"
+    pages = [
+        f"<html><head><title>T</title><meta charset=utf-8><body>{story}",
+        "<head><link rel=x><title>T</title>" + story,
+        f"<body class='has-sidebar'>{story}</p>{side}</body>",
+        f"<body><main class='with-sidebar'>{story}</main>{side}",
+        f"<body><article class='post promoted'>{story}</article>{side}",
+        f"<body><div id='search-results-widget'>{story}</p>{side}</div>",
+        f"<body><div class='has-sidebar'><main>{story}</main>{side}</div><footer>us</footer>",
+    ]
+    for page in pages:
+        assert _extracted(spark, page) == [text], page
+    comments = "<div id=comments><article class=comment><p>" + "I disagree " * 100 + "</article></div>"
+    assert _extracted(spark, f"<body><article>{story}</article>{comments}", "<body><div class=cookie-notice>We use</div>") == [text, ""]
+
+
 def test_alignment_makes_optional_and_repeated_groups():
     one = wrappers.fold_repeats(("div", "p", "#", "/p", "p", "#", "/p", "/div"))
     assert one == ("div", ("+", ("p", "#", "/p")), "/div")
