@@ -10,6 +10,7 @@ texts the host's pages share are the template's.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -383,23 +384,26 @@ def infer_wrappers(pages: DataFrame, html_column: str = "html") -> DataFrame:
 
 
 def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of slots in pages without a main part, by a hash of the text."""
+    """Texts of slots in pages without a main part, and a hash of all such texts of the page, which its copies share."""
     for batch in batches:
-        hosts, paths, texts = [], [], []
+        hosts, paths, texts, pages = [], [], [], []
         for host, source in zip(_column(batch, "host"), _column(batch, "html"), strict=True):
             blocks = parse(source).blocks
             marked = _believed(blocks)
             if not any(_is_main(m) for m in marked):
-                for path, text in {(b.path, b.text) for b, m in zip(blocks, marked, strict=True) if not _is_aside(m)}:
+                found = {(b.path, b.text) for b, m in zip(blocks, marked, strict=True) if not _is_aside(m)}
+                page = int.from_bytes(hashlib.blake2b(json.dumps(sorted(found)).encode(), digest_size=8).digest(), "little", signed=True)
+                for path, text in found:
                     hosts.append(host)
                     paths.append(path)
                     texts.append(text)
-        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.string()), "text": pa.array(texts, pa.string())})
+                    pages.append(page)
+        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.string()), "text": pa.array(texts, pa.string()), "page": pa.array(pages, pa.int64())})
 
 
 def template_slots(pages: DataFrame) -> DataFrame:
-    """host and its slots (path) with a text that most pages share, among pages without a main part."""
-    texts = pages.mapInArrow(_open_texts, "host string, path string, text string").select("host", "path", F.xxhash64("text").alias("text"))
+    """host and its slots (path) with a text that most different pages share, among pages without a main part."""
+    texts = pages.mapInArrow(_open_texts, "host string, path string, text string, page long").select("host", "path", F.xxhash64("text").alias("text"), "page").distinct()
     counts = texts.groupBy("host", "path", "text").agg(F.count("*").alias("n"))
     slot = counts.groupBy("host", "path").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
     return slot.where((F.col("n") >= CONSTANT_PAGES) & (F.col("most") > F.col("n") * CONSTANT_SHARE)).select("host", "path")

@@ -399,6 +399,12 @@ def test_layout_classes_and_an_open_head_lose_nothing(spark):
     assert _extracted(spark, f"<body><article>{story}</article>{comments}", "<body><div class=cookie-notice>We use</div>") == [text, ""]
 
 
+def test_copies_of_a_page_are_not_its_hosts_template(spark):
+    page = "<body><div class=top>Header text</div><h1>{0}</h1><div class=story>Story {0} begins here.</div>"
+    found = _extracted(spark, *[page.format(i) for i in range(6)], *[page.format(0)] * 20)
+    assert found == [f"{i}\nStory {i} begins here." for i in (*range(6), *[0] * 20)]
+
+
 def test_alignment_makes_optional_and_repeated_groups():
     one = wrappers.fold_repeats(("div", "p", "#", "/p", "p", "#", "/p", "/div"))
     assert one == ("div", ("+", ("p", "#", "/p")), "/div")
