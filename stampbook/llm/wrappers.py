@@ -3,9 +3,9 @@
 A page's stream has its block tags and one slot for each run of text between them. Repeats
 in a stream become repeated groups of whole elements; where two streams differ, what only
 one has becomes an optional group. Streams are counted before they meet, and a host's distinct streams are
-aligned in several tasks first, so a host's size doesn't matter. The wrapper says which
-slots hold the article; where no part of a page is marked as its main one, slots whose
-texts the host's pages share are the template's.
+aligned in several tasks first, so a host's size doesn't matter. The wrapper doesn't decide
+what is article yet: marks of the elements do, and where no part of a page is marked as its
+main one, slots whose texts the host's pages share are the template's.
 """
 
 from __future__ import annotations
@@ -410,7 +410,7 @@ def template_slots(pages: DataFrame) -> DataFrame:
 
 
 def article(page: Page, wrapper_slots: set[str], template: set[str]) -> str:
-    """The text of the slots that hold the article, by the wrapper of the page's host."""
+    """The text of the slots that hold the article, by their marks and the template of the page's host."""
     own = [(b, m) for b, m in zip(page.blocks, _believed(page.blocks), strict=True) if b.path in wrapper_slots or not wrapper_slots]
     main = [b for b, m in own if _is_main(m)]
     if not main:
