@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stampbook.llm.licences import TEMPLATES
+
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 _LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -45,3 +47,41 @@ QUALITY = f"""WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text, rege
     FROM t LEFT JOIN rep ON rep.doc_id = t.doc_id LEFT JOIN dup ON dup.doc_id = t.doc_id LEFT JOIN lost ON lost.doc_id = t.doc_id)
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * (n_words - n_common_words) >= n_words AS kept FROM f"""
+
+
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(repr(x) for x in row) + ")" for row in rows)
+
+
+_NEEDED = [(k, t.label, t.base, p, w, any(a <= p < b for a, b in t.phrases)) for k, t in enumerate(TEMPLATES) for p, w in enumerate(t.words)]
+
+LICENCES = f"""WITH t AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS w FROM documents),
+  x AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM t),
+  tw(template, label, base, place, word, needed) AS (VALUES {_values(_NEEDED)}),
+  idf AS (SELECT v.word, ln(((SELECT COUNT(*) FROM documents) + 1.0) / (COUNT(DISTINCT x.doc_id) + 1.0)) AS idf
+    FROM (SELECT DISTINCT word FROM tw) v LEFT JOIN x ON x.word = v.word GROUP BY v.word),
+  m AS (SELECT doc_id, template, any_value(label) AS label, any_value(base) AS base, p - place AS start, SUM(idf) AS weight
+    FROM x JOIN tw ON tw.word = x.word JOIN idf ON idf.word = x.word GROUP BY doc_id, template, p - place
+    HAVING COUNT(*) FILTER (WHERE needed) = (SELECT COUNT(*) FROM tw y WHERE y.template = tw.template AND needed)),
+  f AS (SELECT doc_id, COUNT(*) FILTER (WHERE base) AS n_base, MIN(start) FILTER (WHERE base) AS first_word, MAX(start) FILTER (WHERE base) AS last_word,
+      string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, MAX(weight) AS weight FROM m GROUP BY doc_id)
+SELECT t.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  round(coalesce(weight, 0) / (coalesce(weight, 0) + 10), 6) AS score FROM t LEFT JOIN f ON f.doc_id = t.doc_id"""
+
+COLLOCATIONS = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  t AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+  word AS (SELECT lang, unnest(w) AS s FROM t),
+  total AS (SELECT lang, COUNT(*) AS n FROM word GROUP BY lang),
+  gram AS (SELECT lang, 1 AS k, s, COUNT(*) AS a FROM word GROUP BY lang, s HAVING COUNT(*) >= 100
+    UNION ALL SELECT lang, k, s, COUNT(*) AS a FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM t, (SELECT unnest([2, 3, 4, 5]) AS k) WHERE len(w) >= k)) GROUP BY lang, k, s HAVING COUNT(*) >= 100),
+  cand AS (SELECT lang, k, s, a, string_split(s, ' ') AS w FROM gram WHERE k > 1),
+  inner_ AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS s, MAX(a) AS longer
+    FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand)) GROUP BY ALL),
+  free AS (SELECT cand.* FROM cand LEFT JOIN inner_ USING (lang, s) WHERE longer IS NULL OR longer < a),
+  cut AS (SELECT lang, s, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM free)),
+  scored AS (SELECT cut.lang, cut.s, cut.a, j, x.a AS l, y.a AS r, n, (1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a) AS score
+    FROM cut JOIN gram x ON x.lang = cut.lang AND x.s = cut.x JOIN gram y ON y.lang = cut.lang AND y.s = cut.y JOIN total ON total.lang = cut.lang),
+  lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank, s AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM lowest QUALIFY rank <= 2000"""
