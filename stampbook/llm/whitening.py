@@ -18,12 +18,12 @@ from stampbook.llm.columns import spread
 
 COMPONENTS = 8
 SCALE, SHIFT = 1024, 100_000
-LARGEST = float(1 << 40)  # entries beyond it can't be counted in exact integers
+LARGEST = float(1 << 24)  # larger entries could leave the exact integers
 MOST_STEPS = 30
 WIDE = np.longdouble
 
 _EXACT = 1 << 53  # a product of doubles below it is exact
-_LIMB = 24
+_LIMB = 48
 _GROUPS = 256
 
 
@@ -34,7 +34,7 @@ def _integers(column: pa.Array) -> np.ndarray:
 
 
 def _limbs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two longs for each integer, value = high * 2^24 + low, so that sums of either never overflow."""
+    """Two longs for each integer, value = high * 2^48 + low, so that sums of a group of either never overflow."""
     return (values >> _LIMB).astype(np.int64), (values & ((1 << _LIMB) - 1)).astype(np.int64)
 
 
@@ -56,7 +56,6 @@ def _added(parts: DataFrame) -> DataFrame:
 
     def add(table: pa.Table) -> pa.Table:
         total = {c: np.sum([np.asarray(x.values) for chunk in table[c].chunks for x in chunk], axis=0) for c in ("high", "low")}
-        # carried, so that the limbs of any number of sums stay small
         carry = total["low"] >> _LIMB
         record = {"key": table["key"][0].as_py(), "high": total["high"] + carry, "low": total["low"] - (carry << _LIMB)}
         return pa.Table.from_pylist([record], _SUMS_ARROW)
@@ -76,9 +75,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records = []
         for size in np.unique(sizes):
             x = _integers(batch["v"].filter(pa.array(sizes == size)))
-            high, low = _limbs(x)
-            total = high.sum(axis=0).astype(object) * (1 << _LIMB) + low.sum(axis=0).astype(object)
-            records.append(_record(int(size), np.append(total, len(x))))
+            records.append(_record(int(size), np.append(x.sum(axis=0), len(x))))
         yield _batch(records)
 
 
@@ -171,7 +168,7 @@ def _projected(middle: np.ndarray, rest: np.ndarray, exact_rest: np.ndarray, n:
             largest = n * int(np.abs(y).max(initial=0)) + max(int(abs(x)) for x in exact_rest)
             from_mean = y * n - exact_rest.astype(np.int64) if largest * largest * len(middle) < 1 << 63 else y.astype(object) * n - exact_rest
             deviation = (from_mean * from_mean).sum(axis=1)
-            wide = pa.array(deviation).cast(pa.decimal128(38, 0)) if deviation.dtype == np.int64 else pa.array([int(v) for v in deviation], pa.decimal128(38, 0))
+            wide = pa.array(deviation).cast(pa.decimal128(38, 0)) if deviation.dtype == np.int64 else pa.array([int(v) if v < 10**38 else None for v in deviation], pa.decimal128(38, 0))
             z = (y - rest) @ axes
             lists = pa.FixedSizeListArray.from_arrays(pa.array(z.ravel()), z.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "deviation": wide, "z": lists})
@@ -187,9 +184,9 @@ def whiten(vectors: DataFrame, column: str = "embedding", components: int = COMP
     """All columns but the vector, and n, deviation, components: an array of (component, whitened, explained), identity_error.
 
     Each entry c counts as the integer floor(1024 c) + 100000. deviation is the exact sum of (n x - S)^2 over the
-    dimensions. whitened is the distance from the mean along a component, over its standard deviation; all rows
+    dimensions (null from 10^38). whitened is the distance from the mean along a component, over its standard deviation; all rows
     use the same components, numbered by falling eigenvalue, whose entry of greatest size is positive.
-    Rows without a vector, or with null, infinite or NaN entries, or entries beyond 2^40 in size, are dropped
+    Rows without a vector, or with null, infinite or NaN entries, or entries beyond 2^24 in size, are dropped
     and count for nothing; so are vectors of another length than the most frequent one (the shorter of two as
     frequent). Directions in which the vectors don't differ have no component; if they differ in none, and for
     an empty table, there are no rows. Repeated rows count and are returned as often as they occur.
@@ -201,7 +198,7 @@ def whiten(vectors: DataFrame, column: str = "embedding", components: int = COMP
     schema = f"_row {kind}, deviation decimal(38,0), z array<double>"
     names = ("n", "deviation", "components", "identity_error")
 
-    totals = _added(rows.select("v").mapInArrow(_sums, _SUMS)).select("*", F.element_at("high", -1) * F.lit(1 << _LIMB) + F.element_at("low", -1))
+    totals = _added(rows.select("v").mapInArrow(_sums, _SUMS)).select("*", F.element_at("low", -1))
     found = totals.withColumnRenamed(totals.columns[-1], "n").where("key > 0").orderBy(F.desc("n"), "key").limit(1).collect()
     axes = np.zeros((0, 0))
     if found:
