@@ -25,92 +25,136 @@ _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _BREAKS + b"\t", b"abcd
 class DoubleArray:
     """A trie of phrases over word numbers, as arrays that all positions of a text walk at once.
 
-    Symbols are the ranks of the words in ``alphabet``. State 0 is dead; states up to len(alphabet) stand for
-    first words; the others are len(alphabet) + 1 + slot. The child of state s by symbol x has the slot
-    (base[s] + x) modulo the table's size, and is there if check[slot] is s. The size is at least that of the
-    alphabet, so two symbols never share a slot. ``phrases`` has the words of each state (0 after the last).
+    A word is two symbols: its rank in ``alphabet`` divided by ``radix``, and the rest, so no state has more than
+    ``radix`` children. The child of state s by symbol x is the state t = base[s] + x, and is there if check[t] is s.
+    State 0 is dead, the last one is the root. ``row`` is the number of the state's phrase in ``phrases`` (one row
+    each, ending in zeros), counted from 1; 0 for states within a word, and after one word.
     """
 
     def __init__(self, phrases: np.ndarray):
-        """phrases: one row each, ending in zeros; with a phrase all its beginnings of two words and more."""
-        width = phrases.shape[1]
+        """phrases: different rows, and with each all its beginnings of two words and more."""
         length = (phrases > 0).sum(axis=1)
-        self.alphabet = np.unique(phrases[phrases > 0])
-        self.size = 1 << max(4, int(max(len(self.alphabet), 4 * len(phrases))).bit_length())
-        first = len(self.alphabet) + 1
-        self.base = np.zeros(first + self.size, np.int64)
-        self.check = np.zeros(self.size, np.int64)
-        self.phrases = np.zeros((first + self.size, width), np.int32)
-        self.phrases[1:first, 0] = self.alphabet
-        random = np.random.default_rng(0)
-        for k in range(2, width + 1):
-            rows = phrases[length == k]
-            parents, symbols = self._walk(rows[:, : k - 1]), np.searchsorted(self.alphabet, rows[:, k - 1])
-            order = np.lexsort((symbols, parents))
-            rows, parents, symbols = rows[order], parents[order], symbols[order]
-            if not parents.all():
-                raise ValueError("a phrase's beginning is not among the phrases")
-            starts = np.flatnonzero(np.diff(parents, prepend=0))
-            sizes = np.diff(np.append(starts, len(parents)))
-            for at in sorted(np.flatnonzero(sizes > 1).tolist(), key=lambda g: -sizes[g]):
-                a, b = starts[at], starts[at] + sizes[at]
-                self._place(parents[a], symbols[a:b], random)
-            single = starts[sizes == 1]
-            free = np.flatnonzero(self.check == 0)[: len(single)]
-            self.base[parents[single]] = (free - symbols[single]) % self.size
-            self.check[free] = parents[single]
-            slots = (self.base[parents] + symbols) % self.size
-            self.phrases[first + slots] = rows
-
-    def _place(self, parent: int, symbols: np.ndarray, random: np.random.Generator) -> None:
-        while True:  # at most a quarter of the slots is taken, so a fit is found
-            tries = random.integers(0, self.size, 16) if len(symbols) < 64 else random.integers(0, self.size, 1)
-            fits = np.flatnonzero((self.check[(tries[:, None] + symbols) % self.size] == 0).all(axis=1))
-            if not len(fits) and len(symbols) >= 64:  # large sets: slide to the first fit
-                taken = self.check != 0
-                clash = np.zeros(self.size, bool)
-                for x in symbols.tolist():
-                    clash |= np.roll(taken, -x)
-                tries, fits = np.flatnonzero(~clash)[:1], np.array([0])
-                if not len(tries):
-                    raise ValueError("the table is too full")
-            if len(fits):
-                self.base[parent] = tries[fits[0]]
-                self.check[(self.base[parent] + symbols) % self.size] = parent
-                return
-
-    def _walk(self, rows: np.ndarray) -> np.ndarray:
-        states = np.searchsorted(self.alphabet, rows[:, 0]) + 1
-        for k in range(1, rows.shape[1]):
-            states = self._step(states, np.searchsorted(self.alphabet, rows[:, k]))
-        return states
-
-    def _step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """The states after one more word each; a symbol below 0 leads nowhere."""
-        slots = (self.base[states] + symbols) % self.size
-        return np.where((states > 0) & (symbols >= 0) & (self.check[slots] == states), slots + len(self.alphabet) + 1, 0)
-
-    def arrays(self) -> dict[str, np.ndarray]:
+        self.phrases, self.alphabet = phrases, np.unique(phrases[phrases > 0])
+        self.radix = max(2, int(np.ceil(np.sqrt(len(self.alphabet)))))
+        parents, symbols, children = [], [], []
+        nodes, of_row = 1, np.zeros(len(phrases), np.int64)  # node 0 is the root; the node of each phrase so far
+        rank = np.searchsorted(self.alphabet, phrases)
+        last = np.zeros(len(phrases), np.int64)
+        for k in range(phrases.shape[1]):
+            alive = np.flatnonzero(length > k)
+            for symbol in (rank[:, k] // self.radix, rank[:, k] % self.radix):
+                keys, first, back = np.unique(of_row[alive] * self.radix + symbol[alive], return_index=True, return_inverse=True)
+                parents.append(of_row[alive][first])
+                symbols.append(symbol[alive][first])
+                children.append(nodes + np.arange(len(keys)))
+                of_row[alive] = nodes + back
+                nodes += len(keys)
+            last[alive[length[alive] == k + 1]] = of_row[alive[length[alive] == k + 1]]
+        parent, symbol, child = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (parents, symbols, children))
+        order = np.lexsort((symbol, parent))
+        parent, symbol, child = parent[order], symbol[order], child[order]
+        starts = np.flatnonzero(np.diff(parent, prepend=-1))
+        base, size = _placed(symbol, starts, self.radix)
+        root = size + 1
+        state = np.zeros(nodes, np.int64)
+        edge_base = np.repeat(base, np.diff(np.append(starts, len(parent))))
+        state[child] = edge_base + symbol
+        state[0] = root
+        self.base, self.check = np.zeros(root + 1, np.int32), np.full(root + self.radix + 1, -1, np.int32)
+        self.base[state[parent]] = edge_base
+        self.check[state[child]] = state[parent]
+        self.row = np.zeros(root + 1, np.int32)
+        many = length > 1
+        self.row[state[last[many]]] = np.flatnonzero(many) + 1
+
+    def arrays(self) -> dict:
         """What a task needs to walk the trie, as plain arrays."""
-        return {"alphabet": self.alphabet, "base": self.base, "check": self.check, "phrases": self.phrases}
+        return dict(self.__dict__)
 
     @classmethod
-    def of(cls, arrays: dict[str, np.ndarray]) -> DoubleArray:
+    def of(cls, arrays: dict) -> DoubleArray:
         trie = cls.__new__(cls)
-        trie.__dict__ |= arrays | {"size": len(arrays["check"])}
+        trie.__dict__ |= arrays
         return trie
 
-    def levels(self, words: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-        """For 1, 2, ... words: the state of the phrase that begins at each position, 0 if there is none."""
+    def _step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        following = self.base[states] + symbols
+        following[self.check[following] != states] = 0
+        return following
+
+    def levels(self, words: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1, 2, ... words: the positions where phrases go on, and the states that are reached there."""
         if not len(self.alphabet):
             return
-        symbols = np.minimum(np.searchsorted(self.alphabet, words), len(self.alphabet) - 1)
-        symbols[self.alphabet[symbols] != words] = -1
-        states = symbols + 1
-        yield states
-        for k in range(1, depth):
-            states = self._step(states[: len(words) - k], symbols[k:]) if len(words) > k else states[:0]
-            yield states
+        rank = np.minimum(np.searchsorted(self.alphabet, words), len(self.alphabet) - 1).astype(np.int32)
+        known = self.alphabet[rank] == words
+        high, low = np.where(known, rank // self.radix, self.radix), np.where(known, rank % self.radix, self.radix)
+        at = np.arange(len(words))
+        states = np.full(len(words), len(self.base) - 1, np.int32)
+        for k in range(depth):
+            if k:
+                inside = at < len(words) - k
+                at, states = at[inside], states[inside]
+            states = self._step(self._step(states, high[at + k]), low[at + k])
+            alive = np.flatnonzero(states)
+            at, states = at[alive], states[alive]
+            yield at, states
+
+
+def _placed(symbols: np.ndarray, starts: np.ndarray, radix: int, rounds: int = 24, large: int = 8) -> tuple[np.ndarray, int]:
+    """A base for each group of symbols (groups begin at ``starts``), so that no two share a slot; and the last slot.
+
+    Groups of more than ``large`` symbols get a span of their own. The others look for gaps: all still without a
+    place try a base at random at once, and those that meet no other take it; what is left gets a span at the end.
+    Groups of one symbol fill single gaps.
+    """
+    sizes = np.diff(np.append(starts, len(symbols)))
+    if not len(sizes):
+        return np.zeros(0, np.int64), 0
+    least, most = np.minimum.reduceat(symbols, starts), np.maximum.reduceat(symbols, starts)
+    base = np.zeros(len(sizes), np.int64)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    random = np.random.default_rng(0)
+    end = 1
+
+    def spans(groups: np.ndarray) -> None:
+        nonlocal end
+        widths = most[groups] - least[groups] + 1
+        base[groups] = end + np.cumsum(widths) - widths - least[groups]
+        end += int(widths.sum())
+
+    spans(np.flatnonzero(sizes > large))
+    few = np.flatnonzero((sizes > 1) & (sizes <= large))
+    room = end + int(2 * len(symbols)) + radix + 1
+    taken = np.zeros(room + radix, bool)
+    placed = sizes > large
+    taken[(base[group] + symbols)[placed[group]]] = True
+    for _ in range(rounds):
+        if not len(few):
+            break
+        base[few] = random.integers(1, room, len(few)) - least[few]
+        edge = np.flatnonzero(np.isin(group, few)) if len(few) < len(sizes) else np.arange(len(group))
+        edge = edge[base[group[edge]] + symbols[edge] < len(taken)]
+        slots = base[group[edge]] + symbols[edge]
+        claim = np.full(len(taken), -1, np.int64)
+        claim[slots] = group[edge]
+        lost = np.zeros(len(sizes), bool)
+        lost[group[edge[taken[slots] | (claim[slots] != group[edge])]]] = True
+        lost[few[base[few] + most[few] >= len(taken)]] = True
+        won = few[~lost[few]]
+        placed[won] = True
+        mine = edge[placed[group[edge]] & ~lost[group[edge]]]
+        taken[base[group[mine]] + symbols[mine]] = True
+        few = few[lost[few]]
+    end = int(np.flatnonzero(taken)[-1]) + 1 if taken.any() else 1
+    spans(few)
+    taken = np.concatenate([taken[:end], np.zeros(max(0, end - len(taken)), bool)])
+    taken[(base[group] + symbols)[np.isin(group, few)]] = True
+    one = np.flatnonzero(sizes == 1)
+    gaps = np.flatnonzero(~taken[1:]) + 1
+    gaps = np.concatenate([gaps, end + np.arange(max(0, len(one) - len(gaps)))])[: len(one)]
+    base[one] = gaps - least[one]
+    return base, max(end - 1, int(gaps.max(initial=0)))
 
 
 class Tally:
@@ -233,15 +277,19 @@ def _extended(trie, k: int, alone: bool):
         for batch in batches:
             for value in batch["ids"]:
                 words = np.frombuffer(value.as_buffer(), np.int32)
-                states = words.astype(np.int64) if tree is None else np.zeros(len(words), np.int64)
+                at, states = np.flatnonzero(words), words[words > 0]
                 if tree is not None:
-                    for states in tree.levels(words, k - 1):  # noqa: B007 - the last one stays
+                    at, states = at[:0], states[:0]
+                    for at, states in tree.levels(words, k - 1):  # noqa: B007 - the last ones stay
                         pass
-                states, after = states[: len(words) - k + 1], words[k - 1 :]
-                both = (states > 0) & (after > 0)
-                if tree is not None and alone and len(states):
-                    both[:-1] &= states[1:] > 0
-                for full in tally.add((states[both] << 32) | after[both]):
+                inside = at < len(words) - k + 1
+                inside[inside] = words[at[inside] + k - 1] > 0
+                if tree is not None and alone:
+                    reached = np.zeros(len(words) + 1, bool)
+                    reached[at] = True
+                    inside &= reached[at + 1]
+                at, states = at[inside], states[inside].astype(np.int64)
+                for full in tally.add((states << 32) | words[at + k - 1]):
                     yield out(*full)
         yield out(*tally.rest())
 
@@ -256,7 +304,7 @@ def _spelt(trie, k: int):
             keys = np.asarray(batch["key"])
             before = keys >> 32
             rows = np.zeros((len(keys), k), np.int32)
-            rows[:, : k - 1] = trie.value["phrases"][before][:, : k - 1] if trie is not None else before[:, None]
+            rows[:, : k - 1] = trie.value["phrases"][trie.value["row"][before] - 1][:, : k - 1] if trie is not None else before[:, None]
             rows[:, k - 1] = keys & 0xFFFFFFFF
             yield pa.RecordBatch.from_pydict({"words": _lists(rows)})
 
@@ -276,10 +324,9 @@ def _counted(trie, longest: int):
         total = np.zeros(len(tree.base), np.int64)
         for batch in batches:
             for value in batch["ids"]:
-                for k, states in enumerate(tree.levels(np.frombuffer(value.as_buffer(), np.int32), longest)):
+                for k, (_, states) in enumerate(tree.levels(np.frombuffer(value.as_buffer(), np.int32), longest)):
                     if k:
                         total += np.bincount(states, minlength=len(total))
-        total[0] = 0
         reached = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"key": reached, "n": total[reached]})
 
@@ -289,7 +336,7 @@ def _counted(trie, longest: int):
 def _named(trie):
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"words": _lists(trie.value["phrases"][np.asarray(batch["key"])]), "a": batch["n"]})
+            yield pa.RecordBatch.from_pydict({"words": _lists(trie.value["phrases"][trie.value["row"][np.asarray(batch["key"])] - 1]), "a": batch["n"]})
 
     return named
 

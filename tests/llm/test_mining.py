@@ -117,21 +117,23 @@ def test_collocations_are_those_of_brute_force(spark, least, longest, top, words
 
 def test_double_array_walks_all_phrases():
     rng = np.random.default_rng(1)
-    for many, last in ((0, 5), (3, 5), (400, 20), (4000, 3000)):
+    for many, last in ((0, 5), (3, 5), (400, 20), (4000, 3000), (20_000, 150)):
         rows = rng.integers(1, last, (many, 4)).astype(np.int32)
         rows[:, 2:] *= rng.random((many, 1)) < 0.5
         rows[:, 3] *= (rows[:, 2] > 0) & (rng.random(many) < 0.5)
         prefixes = {tuple(r[:k]) + (0,) * (4 - k) for r in rows.tolist() for k in range(2, 5) if r[k - 1]}
         table = np.array(sorted(prefixes), np.int32).reshape(-1, 4)
         trie = collocations.DoubleArray(table)
-        assert (trie.check != 0).sum() * 2 <= trie.size
-        text = np.concatenate([table.ravel(), rng.integers(0, last + 5, 500)]).astype(np.int32)
-        for k, states in enumerate(collocations.DoubleArray.of(trie.arrays()).levels(text, 4), 1):
-            for i, s in enumerate(states.tolist()):
-                p = tuple(text[i : i + k].tolist())
-                known = all(p) and (p + (0,) * (4 - k) in prefixes if k > 1 else p[0] in trie.alphabet)
-                assert bool(s) == bool(known)
-                assert not s or tuple(trie.phrases[s][:k].tolist()) == p
+        assert len(trie.base) < 8 * len(table) + 3 * trie.radix + 9
+        text = np.concatenate([table.ravel()[:4000], rng.integers(0, last + 5, 500)]).astype(np.int32)
+        words = set(trie.alphabet.tolist())
+        firsts = {p[0] for p in prefixes}
+        assert firsts <= words
+        for k, (at, states) in enumerate(collocations.DoubleArray.of(trie.arrays()).levels(text, 4), 1):
+            windows = [tuple(text[i : i + k].tolist()) for i in range(len(text) - k + 1)]
+            assert at.tolist() == [i for i, p in enumerate(windows) if (p[0] in firsts if k == 1 else all(p) and p + (0,) * (4 - k) in prefixes)]
+            if k > 1:
+                assert [tuple(r[:k]) for r in trie.phrases[trie.row[states] - 1].tolist()] == [windows[i] for i in at]
 
 
 def test_a_tally_that_overflows_loses_nothing():
