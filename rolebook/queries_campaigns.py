@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rolebook.oracle import A, COUPONS, LAUNCH, MISSION_PENCE, NUMERIC, SCANNERS, TRADING, channel, day, pounds, total
 from rolebook.registry import Bound, query
 from rolebook.roles import AS_OF, SCHEME
@@ -105,17 +107,39 @@ def mission_participation(r: Bound):
     return campaigns.mission_participation(r.missions_with_progress, r.campaign_versions, active, AS_OF)
 
 
+# campaigns that begin and end within a day, some within one; versions with other names run at other times
+
+
+def timed(rows):
+    """The rows with starts and ends moved by some minutes, and by 40 or 80 days where the name's length says so."""
+    name = F.length("cmpgn_nm")
+    days, early, late = name % 3 * 40, F.col("cmpgn_id") * 13 % 1440, F.col("cmpgn_id") * 29 % 1440 + name
+    return rows.withColumns(
+        {
+            "cmpgn_start_ts": F.col("cmpgn_start_ts") + F.make_dt_interval(days, mins=early),
+            "cmpgn_end_ts": F.col("cmpgn_end_ts") + F.make_dt_interval(days - F.when(F.col("cmpgn_id") % 2 == 0, 12).otherwise(0), mins=late),
+        }
+    )
+
+
+def _timed(column: str) -> str:
+    minutes = "cmpgn_id * 13 % 1440" if column == "cmpgn_start_ts" else "cmpgn_id * 29 % 1440 + length(cmpgn_nm)"
+    back = "0" if column == "cmpgn_start_ts" else "CASE WHEN cmpgn_id % 2 = 0 THEN 12 ELSE 0 END"
+    return f"{column} + INTERVAL 1 DAY * CAST(length(cmpgn_nm) % 3 * 40 - {back} AS INT) + INTERVAL 1 MINUTE * CAST({minutes} AS INT)"
+
+
 @query(
     "mission_scanners",
-    f""", c AS (SELECT DISTINCT cmpgn_id, {day('cmpgn_start_ts')} AS s, {day('cmpgn_end_ts')} AS e FROM mission_campaign_v),
-    p AS (SELECT DISTINCT wallet_id, visit_dt FROM scans WHERE visit_dt >= {SCANNERS} AND visit_dt < {A}),
+    f""", c AS (SELECT DISTINCT cmpgn_id, {_timed('cmpgn_start_ts')} AS s, {_timed('cmpgn_end_ts')} AS e FROM setup_v WHERE upper(activity_type) IN ('ACCA', 'MISSION')
+      AND upper(cmpgn_status_desc) IN ('ACTIVE', 'EXPIRED') AND CAST({_timed('cmpgn_start_ts')} AS DATE) >= {TRADING}),
+    p AS (SELECT DISTINCT wallet_id, event_ts FROM timed_scans WHERE {day('event_ts')} >= {SCANNERS} AND {day('event_ts')} < {A}),
     w AS (SELECT DISTINCT wallet_id, cmpgn_id FROM missions WHERE rec_status_ind = 'CURRENT' AND cmpgn_seen_ts IS NOT NULL
       AND {day('event_ts')} >= {TRADING})
     SELECT c.cmpgn_id, COUNT(DISTINCT p.wallet_id) AS rewards_swipers, COUNT(DISTINCT w.wallet_id) AS rewards_swipers_delivered
-    FROM c JOIN p ON visit_dt BETWEEN s AND e LEFT JOIN w ON w.wallet_id = p.wallet_id AND w.cmpgn_id = c.cmpgn_id GROUP BY c.cmpgn_id""",
+    FROM c JOIN p ON event_ts BETWEEN s AND e LEFT JOIN w ON w.wallet_id = p.wallet_id AND w.cmpgn_id = c.cmpgn_id GROUP BY c.cmpgn_id""",
 )
 def mission_scanners(r: Bound):
-    return campaigns.mission_scanners(r.setup, r.scans, r.missions, AS_OF, SCHEME)
+    return campaigns.mission_scanners(timed(r.setup), r.timed_scans, r.missions, AS_OF, SCHEME)
 
 
 @query(
@@ -315,25 +339,25 @@ def sp_redeemers(r: Bound):
 
 def _sp_scanners_sql(label: str) -> str:
     only = "TRUE" if label == "All" else f"{channel('chnl_nm')} = '{label}'"
-    return f""", p AS (SELECT DISTINCT cmpgn_id, {day('cmpgn_start_ts')} AS s, {day('cmpgn_end_ts')} AS e FROM star_v)
+    return f""", p AS (SELECT DISTINCT cmpgn_id, {_timed('cmpgn_start_ts')} AS s, {_timed('cmpgn_end_ts')} AS e FROM star_v)
     SELECT cmpgn_id, '{label}' AS chnl_nm, COUNT(DISTINCT wallet_id) AS rewards_swipers FROM p
-    JOIN (SELECT DISTINCT wallet_id, visit_dt FROM scans WHERE visit_dt >= {SCANNERS} AND visit_dt < {A} AND {only}) x
-      ON visit_dt BETWEEN s AND e GROUP BY cmpgn_id"""
+    JOIN (SELECT DISTINCT wallet_id, event_ts FROM timed_scans WHERE {day('event_ts')} >= {SCANNERS} AND {day('event_ts')} < {A} AND {only}) x
+      ON event_ts BETWEEN s AND e GROUP BY cmpgn_id"""
 
 
 @query("sp_scanners", _sp_scanners_sql("All"))
 def sp_scanners(r: Bound):
-    return trading.sp_scanners(r.star_products, r.scans, AS_OF, SCHEME)
+    return trading.sp_scanners(timed(r.star_products), r.timed_scans, AS_OF, SCHEME)
 
 
 @query("sp_scanners_online", _sp_scanners_sql("Online Only"))
 def sp_scanners_online(r: Bound):
-    return trading.sp_scanners(r.star_products, r.scans, AS_OF, SCHEME, "Online Only")
+    return trading.sp_scanners(timed(r.star_products), r.timed_scans, AS_OF, SCHEME, "Online Only")
 
 
 @query("sp_scanners_store", _sp_scanners_sql("In-store Only"))
 def sp_scanners_store(r: Bound):
-    return trading.sp_scanners(r.star_products, r.scans, AS_OF, SCHEME, "In-store Only")
+    return trading.sp_scanners(timed(r.star_products), r.timed_scans, AS_OF, SCHEME, "In-store Only")
 
 
 @query(

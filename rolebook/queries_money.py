@@ -254,11 +254,11 @@ MIN_CUSTOMERS = 12
 _FRAMES = (("Pre", 42, "o.d >= s.d - 42 AND o.d < s.d"), ("Post", 15, "o.d >= s.d AND o.d <= s.d + 14"))
 
 
-def _crm_sql(key: str, channels: dict[str, str]) -> str:
-    """``channels`` maps a name to a SELECT of k, d, id, items, sales."""
+def crm_sql(key: str, channels: dict[str, str], span: tuple[date, date]) -> str:
+    """All groups of the sends in a span; ``channels`` maps a name to a SELECT of k, d, id, items, sales."""
     ctes = [
         f""", s AS (SELECT {day('eventdate')} AS d, campaignname AS j, CASE sendtype WHEN 'Send' THEN 'Emailed' ELSE sendtype END AS g, {key} AS k
-        FROM sends WHERE {day('eventdate')} BETWEEN DATE '{SEND_START}' AND DATE '{SEND_END}' AND campaignname NOT LIKE '%CashpotExpiry%'
+        FROM sends WHERE {day('eventdate')} BETWEEN DATE '{span[0]}' AND DATE '{span[1]}' AND campaignname NOT LIKE '%CashpotExpiry%'
           AND campaignname NOT LIKE '%Abandoned%' AND campaignname NOT LIKE '%Triggers%')"""
     ]
     halves = []
@@ -284,7 +284,12 @@ def _crm_sql(key: str, channels: dict[str, str]) -> str:
             f"""SELECT '{frame}' AS type, {days} AS days_analysed, 1234 AS journey_id, j AS journey_name, g AS groups, d AS journey_date,
             {lead}.customers AS customers, {', '.join(columns)} FROM {' '.join(parts)}"""
         )
-    return f"""{', '.join(ctes)}, r AS ({' UNION ALL '.join(halves)}), k2 AS (SELECT * FROM r WHERE customers >= {MIN_CUSTOMERS})
+    return f"{', '.join(ctes)}, r AS ({' UNION ALL '.join(halves)}) SELECT * FROM r"
+
+
+def _crm_sql(key: str, channels: dict[str, str]) -> str:
+    whole = crm_sql(key, channels, (SEND_START, SEND_END)).removesuffix(" SELECT * FROM r")
+    return f"""{whole}, k2 AS (SELECT * FROM r WHERE customers >= {MIN_CUSTOMERS})
     SELECT * FROM k2 WHERE journey_name NOT IN (SELECT journey_name FROM k2 GROUP BY journey_date, journey_name HAVING COUNT(DISTINCT groups) <> 2)"""
 
 
@@ -346,16 +351,16 @@ _PHASE = "CASE WHEN w BETWEEN 199540 AND 199552 THEN 'Pre' WHEN w > 199552 THEN
 PRE_WEEKS = (199540, 199552)
 
 
-def _monthly_sql(channel_name: str, orders: str) -> str:
+def monthly_sql(channel_name: str, orders: str, condition: str = "TRUE") -> str:
     return f"""SELECT control_group, segment, w AS week_id, {_PERIODS} AS periods, '{channel_name}' AS channel, {_PHASE} AS analysis_type,
     COUNT(DISTINCT k) AS orderers, COUNT(id) AS orders, CAST(SUM(sales) AS DOUBLE) AS sales
-    FROM control_population c JOIN (SELECT x.*, retail_week AS w FROM ({orders}) x JOIN calendar ON d = day_date WHERE retail_week > 199539) o
+    FROM control_population c JOIN (SELECT x.*, retail_week AS w FROM ({orders}) x JOIN calendar ON d = day_date WHERE retail_week > 199539 AND {condition}) o
       ON o.k = c.spid GROUP BY control_group, segment, w"""
 
 
 @query(
     "crm_monthly_online",
-    _monthly_sql("online", "SELECT order_id AS id, spid AS k, sales, order_day AS d FROM week_orders"),
+    monthly_sql("online", "SELECT order_id AS id, spid AS k, sales, order_day AS d FROM week_orders"),
 )
 def crm_monthly_online(r: Bound):
     return crm.crm_monthly(r.control_population, r.week_orders, r.calendar, "online", 199539, PRE_WEEKS)
@@ -363,19 +368,10 @@ def crm_monthly_online(r: Bound):
 
 @query(
     "crm_monthly_fashion",
-    _monthly_sql(
-        "fashion",
-        f"SELECT trans_rcpt_nbr AS id, 'P' || CAST(wallet_id AS VARCHAR) AS k, sale_amt_inc_vat AS sales, visit_dt AS d FROM scans WHERE chnl_nm = 'pfs'",
-    ),
+    monthly_sql("fashion", "SELECT order_id AS id, spid AS k, sales, order_day AS d FROM fashion_weeks"),
 )
 def crm_monthly_fashion(r: Bound):
-    orders = r.scans.filter("chnl_nm = 'pfs'").select(
-        F.col("trans_rcpt_nbr").alias("order_id"),
-        F.concat(F.lit("P"), F.col("wallet_id").cast("string")).alias("spid"),
-        F.col("sale_amt_inc_vat").alias("sales"),
-        F.col("visit_dt").alias("order_day"),
-    )
-    return crm.crm_monthly(r.control_population, orders, r.calendar, "fashion", 199539, PRE_WEEKS)
+    return crm.crm_monthly(r.control_population, r.fashion_weeks, r.calendar, "fashion", 199539, PRE_WEEKS)
 
 
 @query(
@@ -480,25 +476,25 @@ REGIONS = (
 DEFAULT_REGION = ("Main launch", date(1996, 8, 10), date(1996, 8, 10))
 
 
-@query(
-    "order_participation",
-    f""", t AS (SELECT dlvr_dt AS delivery_dt, {day('order_sbmtd_ts')} AS order_dt, outbase_store_id AS store_id,
+def participation_sql(delivered: str) -> str:
+    return f""", t AS (SELECT dlvr_dt AS delivery_dt, {day('order_sbmtd_ts')} AS order_dt, outbase_store_id AS store_id,
         COUNT(DISTINCT web_order_id) AS total_orders, COUNT(DISTINCT trans_rcpt_nbr) AS reward_orders, COUNT(DISTINCT singl_profl_id) AS total_customers,
         COUNT(DISTINCT wallet_id) AS reward_customers, CAST(SUM(pos_tot_amt) AS DOUBLE) AS total_sales,
         CAST(SUM(CASE WHEN trans_rcpt_nbr IS NOT NULL THEN pos_tot_amt ELSE 0 END) AS DOUBLE) AS reward_sales,
         CASE WHEN outbase_store_id IN ('1', '2', '3', '5', '8', '13') THEN 'West' WHEN outbase_store_id IN ('8', '21', '34') THEN 'North' ELSE 'Main launch' END AS region
-      FROM online_orders LEFT JOIN (SELECT trans_rcpt_nbr, wallet_id FROM scans WHERE chnl_nm = 'store') s ON trans_rcpt_nbr = web_order_id
-      WHERE order_sbmtd_ts >= DATE '1996-01-01' AND dlvr_dt >= DATE '1996-02-01' AND dlvr_dt < {A} GROUP BY 1, 2, 3)
+      FROM online_orders LEFT JOIN (SELECT trans_rcpt_nbr, wallet_id FROM order_scans) s ON trans_rcpt_nbr = web_order_id
+      WHERE order_sbmtd_ts >= DATE '1996-01-01' AND dlvr_dt >= DATE '1996-02-01' AND dlvr_dt < {A} AND {delivered} GROUP BY 1, 2, 3)
     SELECT t.*, b.retail_week AS delivery_wk, c.retail_week AS order_wk FROM t JOIN calendar b ON b.day_date = delivery_dt JOIN calendar c ON c.day_date = order_dt
     WHERE (region = 'Main launch' AND order_dt > DATE '1996-08-10' AND delivery_dt > DATE '1996-08-10')
       OR (region = 'West' AND order_dt > DATE '1996-06-23' AND delivery_dt > DATE '1996-06-23')
-      OR (region = 'North' AND order_dt > DATE '1996-05-27' AND delivery_dt > DATE '1996-06-23')""",
-)
+      OR (region = 'North' AND order_dt > DATE '1996-05-27' AND delivery_dt > DATE '1996-06-23')"""
+
+
+@query("order_participation", participation_sql("TRUE"))
 def order_participation(r: Bound):
     return jobs.order_participation(
-        r.online_orders, r.scans.filter("chnl_nm = 'store'"), r.calendar, REGIONS, DEFAULT_REGION,
-        date(1996, 1, 1), date(1996, 2, 1), AS_OF,
-    )
+        r.online_orders, r.order_scans, r.calendar, REGIONS, DEFAULT_REGION, date(1996, 1, 1), date(1996, 2, 1), AS_OF
+    )
 
 
 @query(

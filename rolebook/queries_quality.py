@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from rolebook.oracle import A, E, LAUNCH, SERIES, day
-from rolebook.queries_activity import _spine
-from rolebook.registry import Bound, query
+from rolebook.oracle import A, E, LAUNCH, day
+from rolebook.queries_activity import active_earners, activity_time_series, nursery_time_series
+from rolebook.registry import ORACLES, Bound, query
 from rolebook.roles import AS_OF, EVENTS_AS_OF, SCHEME
 from stampbook.dq import checks, metrics, rollup
-from stampbook.dq.registry import check
+from stampbook.dq.registry import CHECKS, check
 from stampbook.plans import activity, crm, jobs
 from stampbook.sources import append_rows, delete_where, incremental_start, sync_replace, upsert
 from stampbook.streaming import daily_activity
@@ -229,104 +230,209 @@ def dq_rejected_share(r: Bound):
     return metrics.rejected_share(cutoffs).withColumn("rejected_percent", F.round("rejected_percent", 6))
 
 
-# --- the numbered checks on the bound tables ---
-
-
-def _tables(r: Bound) -> dict:
-    spine = _spine(r, SCHEME.series_start, AS_OF)
-    return {
-        "missions": r.missions,
-        "scans": r.scans,
-        "credits": r.credits,
-        "external_credits": r.external_credits.withColumn("upd_ts", F.col("event_ts")),
-        "reward_wallets": r.reward_wallets,
-        "orders": r.online_orders,
-        "order_items": r.order_promos,
-        "activity_time_series": activity.activity_time_series(r.scans, spine),
-        "nursery_time_series": activity.nursery_time_series(r.scans, spine, SCHEME, AS_OF),
-        "store_visits": r.store_visits,
-        "supplier_bill": r.supplier_bill,
-        "basket_items": r.basket_items.withColumn("visit_ts", F.col("visit_dt")),
-        "visits": r.scans,
-        "visit_history": r.scans,
-        "refunds": r.refunds.withColumn("src_create_ts", F.col("upd_ts")),
-        "account_archive": r.archive,
-        "campaign_versions": r.campaign_versions,
-        "fuel_visit_level": r.scans.select(
-            F.lit("4582").alias("store_nbr"),
-            "visit_dt",
-            F.col("reg_nbr").alias("earn"),
-            F.col("sale_amt_inc_vat").alias("ar_sales"),
-        ),
-        "customer_summary": r.scans.withColumnRenamed("visit_dt", "week_end_dt"),
-        "rewards_burn": r.scans.withColumnRenamed("visit_dt", "burn_dt"),
-        "week_finder": r.calendar.groupBy(F.col("retail_week").alias("week")).agg(
-            F.min("day_date").alias("week_start_day"), F.max("day_date").alias("week_end_day")
-        ),
-        "weekly_customer_summary": r.scans.join(
-            r.calendar.select(F.col("day_date").alias("visit_dt"), F.col("retail_week").alias("week")), "visit_dt"
-        ),
-    }
-
-
-def _run_log(r: Bound):
-    """Two jobs that run per order: one on the order day, one a day later."""
-    return r.scans.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("summary_activity").alias("job_name"), F.col("visit_dt").alias("start_ts")),
-                F.struct(F.lit("crm_send_level").alias("job_name"), F.date_add("visit_dt", 1).alias("start_ts")),
-            )
-        ).alias("run")
-    ).select("run.*", F.lit(True).alias("succeeded"))
-
-
-RUN_CHECKS = (1, 3, 5, 8, 11, 14, 18, 19, 20, 24, 25, 26, 29, 33, 34, 37, 39, 44, 45, 46, 47, 48, 54, 66, 67)
-
-
-def _count_sql(source: str, d: str, window: int, tolerance: float, lag: int, value: str = "COUNT(*)") -> str:
-    return f"""COALESCE((SELECT bool_or(dt = {A} - {lag} AND n >= c) FROM (SELECT {d} AS dt, {value} AS n, median({value}) OVER () * {tolerance} AS c
-      FROM {source} WHERE {d} > {A} - {window} GROUP BY 1)), FALSE)"""
-
-
-_LAST_FRIDAY = activity.saturday_after_last_friday(AS_OF) - timedelta(days=1)
-_SERIES_SQL = f"""ats AS (SELECT day_date AS full_date, COUNT(DISTINCT wallet_id) AS active_prev_d FROM calendar LEFT JOIN scans ON visit_dt = day_date - 1
-    WHERE day_date BETWEEN {SERIES} AND {A} GROUP BY 1)"""
+# --- the numbered checks on the bound tables, in the SQL that both sides read ---
+
+_JOBS = ("summary_activity", "crm_send_level", "key_objectives", "order_participation", "voucher_shortfall", "fuel_cross_shop",
+         "opt_in_figures", "app_usage", "control_groups", "crm_monthly_online", "crm_monthly_fashion", "store_test_vs_control")
+RUN_LOG = f"""SELECT CASE basket_id % {len(_JOBS)} {' '.join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(_JOBS))} END AS job_name,
+    CAST(visit_dt + CAST(basket_id % 2 AS INT) AS DATE) AS start_ts, reg_nbr <> 3 AS succeeded FROM scans"""
+_WEEKLY = "SELECT retail_week AS week FROM scans JOIN calendar ON visit_dt + {} = day_date"
+CHECK_TABLES: dict[str, str] = {
+    "missions": "SELECT * FROM missions",
+    "scans": "SELECT * FROM scans",
+    "credits": "SELECT * FROM credits",
+    "external_credits": "SELECT *, event_ts AS upd_ts FROM external_credits",
+    "reward_wallets": "SELECT * FROM reward_wallets",
+    "accounts": "SELECT wallet_id, src_modfd_ts AS event_ts FROM accounts",
+    "campaign_versions": "SELECT * FROM campaign_versions",
+    "games": "SELECT *, CAST(game_start_ts AS DATE) AS game_start_dt FROM order_games",
+    "coupons": "SELECT *, event_ts AS load_ts, CASE WHEN coupn_redm_ts IS NULL THEN 'OPEN' ELSE 'USED' END AS coupn_status_desc FROM coupons",
+    "account_archive": "SELECT * FROM archive",
+    "consent_accounts": "SELECT * FROM accounts",
+    "customers": "SELECT regtn_ts AS ingest_ts FROM accounts",
+    "order_promos": "SELECT order_id, upd_ts AS src_modfd_ts FROM refunds",
+    "refunds": "SELECT *, upd_ts AS src_create_ts FROM refunds",
+    "app_usage": """SELECT CAST(year(visit_dt) * 10000 + month(visit_dt) * 100 + day(visit_dt) AS STRING) AS date, COUNT(DISTINCT wallet_id) AS activeUsers
+        FROM scans GROUP BY visit_dt""",
+    "orders": "SELECT * FROM online_orders",
+    "fashion_orders": "SELECT *, CASE WHEN sum_order_quantity > 2 THEN 'Y' ELSE 'N' END AS order_complete FROM fashion_orders",
+    "order_items": "SELECT * FROM order_promos",
+    "fuel_lines": "SELECT visit_dt, '4582' AS store_nbr, upc_nbr, wallet_id FROM fuel_lines",
+    "fuel_visit_level": "SELECT '4582' AS store_nbr, visit_dt, reg_nbr AS earn, sale_amt_inc_vat AS ar_sales FROM scans",
+    "store_visits": "SELECT * FROM store_visits",
+    "supplier_bill": "SELECT * FROM supplier_bill",
+    "scans_domain": "SELECT * FROM scans WHERE chnl_nm <> 'pfs' OR reg_nbr > 1",
+    "items": "SELECT CAST(visit_dt + 1 AS TIMESTAMP) AS load_ts FROM scans",
+    "basket_items": "SELECT *, CAST(visit_dt AS TIMESTAMP) AS visit_ts FROM basket_items",
+    "campaign_products": "SELECT event_ts AS load_ts FROM scans",
+    "visits": "SELECT * FROM scans",
+    "visit_history": "SELECT * FROM scans",
+    "customer_summary": "SELECT visit_dt AS week_end_dt FROM scans",
+    "rewards_burn": "SELECT visit_dt AS burn_dt FROM scans",
+    "last_week_helper": "SELECT day_date FROM calendar",
+    "week_finder": "SELECT retail_week AS week, MIN(day_date) AS week_start_day, MAX(day_date) AS week_end_day FROM calendar GROUP BY retail_week",
+    "earning": "SELECT * FROM missions",
+    "attributes": "SELECT region FROM store_regions WHERE region = 'nowhere'",
+    "campaign_setup_copy": "SELECT load_ts FROM campaign_versions",
+    "weekly_customer_summary": _WEEKLY.format(0),
+    "weekly_segment_summary": _WEEKLY.format(-7),
+    "weekly_reward_summary": _WEEKLY.format(-21),
+    "weekly_channel_summary": _WEEKLY.format(7),
+    "store_visit_flags": "SELECT * FROM store_visits",
+    "tracker": "SELECT CAST(event_ts AS DATE) AS dt FROM missions",
+    "date_hierarchy": "SELECT day_date FROM calendar",
+    "store_sales": "SELECT * FROM scans",
+    "earning_completions": "SELECT visit_dt - 1 AS cmplt_dt FROM scans",
+    "accounts_domain": "SELECT wallet_id, src_modfd_ts AS event_ts FROM accounts",
+}
+_SERIES_TABLES = {"activity_time_series": activity_time_series, "nursery_time_series": nursery_time_series, "active_earners": active_earners}
+HISTORY_DAY = AS_OF - timedelta(days=30)  # the snapshots describe the day before
+# what was recorded: near the counts, far from them, or with another type; the other checks have no snapshot
+_NEAR, _FAR, _OTHER = (1, 2, 5, 6, 9, 13, 35), (3, 4, 11, 19, 37), (12, 23)
+
+
+def _sql_tables(r: Bound) -> dict:
+    return {name: r.select(sql) for name, sql in CHECK_TABLES.items()} | {name: build(r) for name, build in _SERIES_TABLES.items()}
+
+
+def _history_log(r: Bound, tables: dict):
+    """Snapshots taken a month ago, some of them changed since, older ones that they replace, and later ones."""
+    context = checks.Context(as_of=HISTORY_DAY)
+    rules = [x for spec in CHECKS for x in spec.rules if isinstance(x, checks.History) and spec.check_id in (*_NEAR, *_FAR, *_OTHER)]
+    taken = checks.snapshots(rules, tables, context).filter(~(F.col("check_id").isin(*_OTHER) & (F.col("history_type") == "max_daily_row_count")))
+    factor = F.when(F.col("check_id").isin(*_FAR), 1.9).otherwise(1.0002)
+    value = (F.col("historical_value").cast("double") * factor).cast("string")
+
+    def row(dts, value):
+        return F.struct(value.alias("historical_value"), dts.alias("dts"))
+
+    older, later = F.col("dts") - F.expr("INTERVAL 9 DAYS"), F.lit(AS_OF + timedelta(days=3)).cast("timestamp")
+    each = F.inline(F.array(row(F.col("dts"), value), row(older, F.lit("-1")), row(later, F.lit("-2"))))
+    return taken.select("check_id", "history_type", each)
+
+
+def _source(table: str) -> str:
+    return f"({CHECK_TABLES[table]})" if table in CHECK_TABLES else f"({ORACLES[table]})"
+
+
+def _count_sql(rule: checks.DailyCount) -> str:
+    d = f"CAST({rule.day} AS DATE)" if not rule.day_format else f"CAST(strptime({rule.day}, '%Y%m%d') AS DATE)"
+    value = re.sub("bigint", "BIGINT", rule.value or "COUNT(*)")
+    return f"""COALESCE((SELECT bool_or(dt = DATE '{rule.checked_day(CONTEXT)}' AND n >= c) FROM (SELECT {d} AS dt, {value} AS n, median({value}) OVER () * {rule.tolerance} AS c
+      FROM {_source(rule.table)} WHERE {d} > {A} - {rule.window} AND {d} <= {A} AND ({rule.where or 'TRUE'}) GROUP BY 1)), FALSE)"""
+
+
+def _duplicates_sql(rule: checks.Duplicates) -> str:
+    d = day(rule.day)
+    rows = f"(SELECT *, {d} AS _d FROM {_source(rule.table)} WHERE {d} > {A} - {rule.scope} AND {d} < {A} AND ({rule.where or 'TRUE'}))"
+    columns = ", ".join(rule.distinct_on) if rule.distinct_on else "*"
+    return f"""COALESCE((SELECT bool_and(CAST(n AS DOUBLE) / u <= {1 + rule.tolerance}) FROM (SELECT _d, COUNT(*) AS n FROM {rows} GROUP BY 1) x
+      JOIN (SELECT _d, COUNT(*) AS u FROM (SELECT DISTINCT _d, {columns} FROM {rows}) GROUP BY 1) y USING (_d)), TRUE)"""
+
+
+def _now_sql(rule: checks.History) -> str:
+    """The rule's five statistics, as they are now of the days that the snapshot describes, as history_type and value."""
+    until = f"DATE '{HISTORY_DAY - timedelta(days=1)}'"
+    rows = f"{_source(rule.table)} WHERE ({rule.where or 'TRUE'})"
+    if rule.first_per:
+        rows = f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY {', '.join(rule.first_per)} ORDER BY {rule.by}) = 1) WHERE TRUE"
+    limits = " ".join(f"AND {day(c)} <= {until}" for c in (rule.by, *rule.up_to))
+    names = [("mean", "AVG(n)"), ("max", "MAX(n)"), ("min", "MIN(n)"), ("stddev", "stddev_samp(n)")]
+    parts = [f"SELECT '{a}_daily_row_count' AS history_type, CAST({f} AS DOUBLE) AS value FROM d" for a, f in names]
+    return f"""WITH d AS (SELECT {day(rule.by)} AS dt, COUNT(*) AS n FROM {rows} {limits} GROUP BY 1)
+      SELECT * FROM ({' UNION ALL '.join(parts)} UNION ALL SELECT 'total_row_count', CAST(SUM(n) AS DOUBLE) FROM d) WHERE value IS NOT NULL"""
+
+
+def _compared_sql(rule: checks.History) -> str:
+    """history_type, value, reference: both sides of the comparison."""
+    factor = 1.9 if rule.check_id in _FAR else 1.0002
+    gone = "history_type <> 'max_daily_row_count'" if rule.check_id in _OTHER else "TRUE"
+    return f"""WITH now_ AS ({_now_sql(rule)}), then_ AS (SELECT history_type, value * {factor} AS reference FROM now_ WHERE {gone})
+      SELECT history_type, value, reference FROM now_ FULL JOIN then_ USING (history_type)"""
+
+
+def _history_sql(rule: checks.History) -> str:
+    if rule.check_id not in (*_NEAR, *_FAR, *_OTHER):
+        return f"(SELECT COUNT(*) >= 0 FROM {_source(rule.table)})"  # no snapshot, so nothing to compare with
+    low, high = f"reference * {1 - rule.tolerance}", f"reference * {1 + rule.tolerance}"
+    return f"COALESCE((SELECT bool_and(COALESCE(value > {low} AND value < {high}, FALSE)) FROM ({_compared_sql(rule)})), TRUE)"  # no row at all: nothing was recorded
+
+
+def _newest_sql(rule: checks.Newest) -> str:
+    newest = f"(SELECT MAX({day(rule.day)}) FROM {_source(rule.table)} WHERE ({rule.where or 'TRUE'}))"
+    if rule.mode == "since_last_friday":
+        return f"COALESCE({newest} >= DATE '{activity.saturday_after_last_friday(AS_OF) - timedelta(days=1)}', FALSE)"
+    return f"COALESCE({newest} IN ({', '.join(f'{A} - {lag}' for lag in rule.lags)}), FALSE)"
+
+
+def _week_sql(rule: checks.WeekLoaded) -> str:
+    expected = f"(SELECT MAX(week) FROM {_source(rule.finder)} WHERE week_start_day < {A} - 7 AND week_end_day > {A} - 7)"
+    return f"COALESCE((SELECT MAX({rule.week}) FROM {_source(rule.table)}) = {expected}, FALSE)"
+
+
+def _ratio_sql(rule: checks.RatioAgainstMedian) -> str:
+    d = day(rule.day)
+    return f"""COALESCE((SELECT MAX(q) FILTER (WHERE d = {A} - 1) >= {rule.tolerance} * median(q) FILTER (WHERE d < {A} - 1) FROM (SELECT {d} AS d,
+        SUM({rule.numerator}) * 100.0 / NULLIF(SUM({rule.denominator}), 0) AS q FROM {_source(rule.table)} WHERE {d} > {A} - {rule.window} AND ({rule.where or 'TRUE'}) GROUP BY 1)), FALSE)"""
+
+
+def _per_group_sql(rule: checks.PerGroupCount) -> str:
+    d = day(rule.day)
+    return f"""(SELECT COUNT(*) = 0 FROM (SELECT g, MAX(CASE WHEN d = {A} - 1 THEN n END) AS n1, median(CASE WHEN d <> {A} - 1 THEN n END) * {rule.tolerance} AS c
+      FROM (SELECT {rule.group} AS g, {d} AS d, COUNT(*) AS n FROM {_source(rule.table)} WHERE {d} > {A} - {rule.window} AND {d} < {A} GROUP BY 1, 2) GROUP BY 1) WHERE NOT n1 > c)"""
+
+
+def _iso_week_sql(rule: checks.RecentIsoWeek) -> str:
+    newest = f"(SELECT date_trunc('week', MAX({rule.day})) FROM {_source(rule.table)})"
+    return f"COALESCE({newest} IN (date_trunc('week', {A}), date_trunc('week', {A} - 7)), FALSE)"
+
+
+_RULE_SQL = {
+    checks.DailyCount: _count_sql,
+    checks.Duplicates: _duplicates_sql,
+    checks.History: _history_sql,
+    checks.Newest: _newest_sql,
+    checks.RanToday: lambda rule: f"COALESCE((SELECT MAX(start_ts) = {A} FROM ({RUN_LOG}) WHERE succeeded AND job_name = '{rule.job}'), FALSE)",
+    checks.HasRows: lambda rule: f"(SELECT COUNT(*) >= {rule.minimum} FROM {_source(rule.table)} WHERE ({rule.where or 'TRUE'}))",
+    checks.RecentIsoWeek: _iso_week_sql,
+    checks.WeekLoaded: _week_sql,
+    checks.PerGroupCount: _per_group_sql,
+    checks.RatioAgainstMedian: _ratio_sql,
+}
+
+
+def _status_sql(spec: checks.CheckSpec) -> str:
+    return f"SELECT {spec.check_id} AS check_id, {' AND '.join(_RULE_SQL[type(rule)](rule) for rule in spec.rules)} AS status"
+
+
+@query("dq_check_results", "\nUNION ALL ".join(map(_status_sql, CHECKS)))
+def dq_check_results(r: Bound):
+    """All 69 checks in one run."""
+    tables = _sql_tables(r)
+    context = checks.Context(as_of=AS_OF, run_log=r.select(RUN_LOG), history=_history_log(r, tables))
+    return checks.run_checks(r.spark, CHECKS, tables, context).select("check_id", "status")
+
+
+_HISTORY_RULES = [x for spec in CHECKS for x in spec.rules if isinstance(x, checks.History) and spec.check_id in (*_NEAR, *_FAR, *_OTHER)]
 
 
 @query(
-    "dq_check_results",
-    f""", {_SERIES_SQL}, nur AS (SELECT full_date, CASE WHEN n > 0 THEN n END AS nursery FROM (SELECT day_date AS full_date, (SELECT COUNT(*) FROM
-        (SELECT wallet_id FROM scans WHERE visit_dt >= {LAUNCH} AND visit_dt <= day_date + 1 GROUP BY 1
-         HAVING COUNT(*) < 4 AND day_date + 1 - MAX(visit_dt) <= 30)) AS n FROM calendar WHERE day_date BETWEEN {A} - 8 AND {A}))
-    SELECT * FROM (VALUES
-      (1, {_count_sql('missions', day('event_ts'), 40, 0.25, 1)} AND COALESCE((SELECT bool_and(CAST(a.n AS DOUBLE) / b.n <= 1.005) FROM
-        (SELECT {day('event_ts')} AS d, COUNT(*) AS n FROM missions WHERE {day('event_ts')} > {A} - 15 AND {day('event_ts')} < {A} GROUP BY 1) a JOIN
-        (SELECT {day('event_ts')} AS d, COUNT(*) AS n FROM (SELECT DISTINCT * FROM missions) WHERE {day('event_ts')} > {A} - 15 GROUP BY 1) b ON a.d = b.d), TRUE)),
-      (3, {_count_sql('scans', 'visit_dt', 15, 0.55, 1)} AND (SELECT COUNT(*) <= 1.001 * COUNT(DISTINCT trans_rcpt_nbr) FROM scans)),
-      (8, COALESCE((SELECT MAX(q) FILTER (WHERE d = {A} - 1) >= 0.85 * median(q) FILTER (WHERE d < {A} - 1) FROM (SELECT visit_dt AS d,
-        SUM(reg_nbr) * 100.0 / SUM(sale_amt_inc_vat) AS q FROM scans WHERE visit_dt > {A} - 10 GROUP BY 1)), FALSE)), (11, TRUE),
-      (25, (SELECT MAX(visit_dt) = {A} FROM scans)), (26, (SELECT MAX(visit_dt) + 1 = {A} FROM scans)),
-      (47, (SELECT date_trunc('week', MAX(visit_dt)) IN (date_trunc('week', {A}), date_trunc('week', {A} - 7)) FROM scans)),
-      (48, (SELECT MAX(visit_dt) >= DATE '{_LAST_FRIDAY}' FROM scans)),
-      (54, (SELECT MAX(retail_week) FROM scans JOIN calendar ON visit_dt = day_date) = (SELECT MAX(retail_week) FROM calendar WHERE day_date = {A} - 7)),
-      (5, {_count_sql('credits', day('event_ts'), 15, 0.25, 1)}), (14, (SELECT COUNT(*) FROM archive) >= 2339190),
-      (18, {_count_sql('ats', 'full_date', 20, 0.5, 0, 'max(active_prev_d)')}),
-      (19, {_count_sql('refunds', day('upd_ts'), 25, 0.3, 2)}), (20, {_count_sql('nur', 'full_date', 8, 0.8, 1, 'max(nursery)')}),
-      (24, {_count_sql('missions', day('event_ts'), 40, 0.4, 1)}), (29, (SELECT COUNT(*) FROM order_promos) > 0),
-      (33, {_count_sql('store_visits', 'visit_dt', 20, 0.6, 1)}), (34, {_count_sql('supplier_bill', 'visit_dt', 20, 0.3, 3)}), (37, FALSE),
-      (39, {_count_sql('basket_items', 'visit_dt', 30, 0.4, 1)}),
-      (44, (SELECT MAX(visit_dt) IN ({A} - 1, {A} - 2) FROM scans)), (45, (SELECT MAX(visit_dt) IN ({A} - 1, {A} - 2) FROM scans)),
-      (46, (SELECT MAX(visit_dt) IN ({A} - 1, {A} - 2) FROM scans WHERE chnl_nm = 'ecom')),
-      (66, (SELECT COUNT(*) = 0 FROM (SELECT store_nbr, MAX(CASE WHEN visit_dt = {A} - 1 THEN n END) AS n1,
-         median(CASE WHEN visit_dt <> {A} - 1 THEN n END) * 0.5 AS c FROM (SELECT store_nbr, visit_dt, COUNT(*) AS n FROM scans
-           WHERE visit_dt > {A} - 10 AND visit_dt < {A} GROUP BY 1, 2) GROUP BY 1) WHERE NOT n1 > c)),
-      (67, {_count_sql('scans', 'visit_dt', 20, 0.25, 1)})) AS v(check_id, status)""",
+    "dq_history_compare",
+    "\nUNION ALL ".join(
+        f"""SELECT {x.check_id} AS check_id, history_type, round(value, 6) AS value, round(reference, 4) AS reference,
+        COALESCE(value > reference * {1 - x.tolerance} AND value < reference * {1 + x.tolerance}, FALSE) AS inside FROM ({_compared_sql(x)})"""
+        for x in _HISTORY_RULES
+    ),
 )
-def dq_check_results(r: Bound):
-    specs = [check(i) for i in RUN_CHECKS]
-    context = checks.Context(as_of=AS_OF, run_log=_run_log(r))
-    return checks.run_checks(r.spark, specs, _tables(r), context).select("check_id", "status")
+def dq_history_compare(r: Bound):
+    """Every type of every check with a snapshot, near it, far from it, or missing on one side."""
+    tables = _sql_tables(r)
+    context = checks.Context(as_of=AS_OF, history=_history_log(r, tables))
+    found = checks.history_values(CHECKS, tables, context)
+    inside = checks.within_tolerance(F.col("value"), F.col("reference"), F.col("tolerance"))
+    return found.select(
+        "check_id", "history_type", F.round("value", 6).alias("value"), F.round("reference", 4).alias("reference"), F.coalesce(inside, F.lit(False)).alias("inside")
+    )
 
 
 # --- roll-up, pass rates, run log, schedules ---

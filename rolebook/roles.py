@@ -2,8 +2,9 @@
 
 Each role is one SELECT in the SQL that Spark and DuckDB share, so both sides
 of the correctness check read the same rows; the reports themselves are
-written twice, as DataFrame operators and as independent SQL. Every role
-covers its source tables whole. Money is in pence unless a role says otherwise.
+written twice, as DataFrame operators and as independent SQL. Roles of a kind of
+row (orders that went through, app views, device files) hold the rows of that kind; all
+others cover their source tables whole. Money is in pence unless a role says otherwise.
 """
 
 from __future__ import annotations
@@ -66,6 +67,8 @@ ROLES: dict[str, str] = {
     CAST(o_orderkey % 1000 AS INT) AS trans_nbr, o_orderkey AS basket_id,
     CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS sale_amt_inc_vat
     FROM orders""",
+    "timed_scans": f"""SELECT o_custkey AS wallet_id, {_CHANNEL} AS chnl_nm,
+    o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey * 37 % 1440 AS INT) AS event_ts FROM orders""",
     "event_scans": """SELECT user_id AS wallet_id, ts AS event_ts, event_id AS basket_id,
     CASE event_type WHEN 'purchase' THEN 'store' WHEN 'view' THEN 'ecom' ELSE event_type END AS chnl_nm,
     CAST(FLOOR(value * 100 + 0.5) AS BIGINT) AS sale_amt_inc_vat
@@ -213,6 +216,9 @@ ROLES: dict[str, str] = {
     CAST(o_totalprice AS DECIMAL(12, 2)) AS pos_tot_amt, CAST(o_totalprice AS DECIMAL(12, 2)) AS web_order_tot_amt,
     CAST(1 + o_custkey % 40 AS STRING) AS outbase_store_id, CAST(1 + o_custkey % 40 AS STRING) AS store_nbr,
     CAST(FLOOR(o_totalprice / 100) AS BIGINT) AS evouch_tot_amt, o_orderdate AS src_create_ts FROM orders""",
+    "order_scans": f"""SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(o_orderkey AS STRING)
+         ELSE 'T' || CAST(o_orderkey AS STRING) END AS trans_rcpt_nbr, o_custkey AS wallet_id, o_orderdate AS event_ts,
+    {_CHANNEL} AS chnl_nm FROM orders""",
     "order_promos": """SELECT CAST(l_orderkey AS STRING) AS web_order_id, l_partkey AS promo_id, l_linenumber AS seq_nbr,
     CASE WHEN l_discount > 0 THEN 'C' || CAST(l_suppkey AS STRING) END AS disc_coupn_cd,
     'PROMO ' || l_returnflag AS promo_nm FROM lineitem""",
@@ -227,6 +233,8 @@ ROLES: dict[str, str] = {
     "fashion_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS creation_date, o_orderkey AS order_id,
     CAST(o_orderkey % 6 AS INT) + 1 AS sum_order_quantity, CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS total_order_value
     FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 9 = 0) WHERE o_orderstatus = 'F'""",
+    "fashion_weeks": f"""SELECT CAST(o_orderkey AS STRING) AS order_id, 'P' || CAST(o_custkey AS STRING) AS spid,
+    {_PENCE.format('o_totalprice / 2')} AS sales, CAST(o_orderdate AS DATE) AS order_day FROM orders""",
     "grocery_orders": """SELECT o_custkey AS walletid, 'P' || CAST(o_custkey AS STRING) AS spid, o_orderdate AS order_sbmtd_ts,
     o_orderkey AS web_order_id, CAST(SUM(l_quantity) AS INT) AS item_qty,
     CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS pos_tot_amt
@@ -328,6 +336,13 @@ class Roles:
         self._built[name] = self.spark.sql(sql, **{t: self.table(t) for t in used})
         return self._built[name]
 
+    def select(self, sql: str) -> DataFrame:
+        """A SELECT over roles and the calendar."""
+        used = [name for name in (*ROLES, "calendar") if re.search(rf"\b(FROM|JOIN) {name}\b", sql)]
+        for name in used:
+            sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
+        return self.spark.sql(sql, **{name: getattr(self, name) for name in used})
+
     @property
     def calendar(self) -> DataFrame:
         return retail_calendar(self.spark, CALENDAR_START, CALENDAR_END)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stampbook.dq.metrics import PercentageOfMedian, daily_counts
 from stampbook.functions import on_days
 from stampbook.operators import first_per_key, latest_per_key
-from stampbook.sources import VersionedTable, append_rows, upsert
+from stampbook.sources import PeriodTable, VersionedTable, upsert
 
 Tables = Mapping[str, DataFrame]
 HISTORY_TYPES = (
@@ -171,6 +171,17 @@ def history_statistics(daily: DataFrame) -> DataFrame:
     return stats.select(F.inline(F.array(*rows)))
 
 
+def snapshots_as_of(history: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Newest value per check and history type taken up to the end of ``as_of``, with the day it describes."""
+    taken = history if as_of is None else history.filter(F.col("dts") < F.lit(as_of + timedelta(days=1)))
+    return latest_per_key(taken, ["check_id", "history_type"], "dts").select(
+        "check_id",
+        "history_type",
+        F.col("historical_value").cast("double").alias("reference"),
+        F.date_sub(F.to_date("dts"), 1).alias("snapshot_day"),
+    )
+
+
 def latest_snapshot(history: DataFrame, check_id: int) -> DataFrame:
     """Newest value per history type of a check, with the day it describes."""
     newest = latest_per_key(history.filter(F.col("check_id") == check_id), ["history_type"], "dts")
@@ -215,7 +226,7 @@ class History:
     def snapshot(self, tables: Tables, context: Context) -> DataFrame:
         """Rows to append to the history after a pass."""
         target = F.lit(context.as_of - timedelta(days=1))
-        return history_statistics(self.daily(tables, target)).select(
+        return history_statistics(self.daily(tables, target)).filter("value is not null").select(
             F.lit(self.check_id).alias("check_id"),
             "history_type",
             F.col("value").cast("string").alias("historical_value"),
@@ -375,61 +386,232 @@ class CheckSpec:
     rules: Sequence[object] = field(default_factory=tuple)
 
 
-def shared_daily_verdicts(
-    rows: DataFrame, day: str, rules: Sequence[tuple[int, DailyCount]], context: Context
+@dataclass(frozen=True)
+class Snapshot:
+    """The values a history rule compares with, and the day they describe."""
+
+    day: date
+    values: Mapping[str, float]
+
+
+def read_snapshots(history: DataFrame | None, as_of: date | None = None) -> dict[int, Snapshot]:
+    """The newest snapshot of each check: at most one row per check and history type reaches the driver."""
+    found: dict[int, dict] = {}
+    days: dict[int, date] = {}
+    for row in [] if history is None else snapshots_as_of(history, as_of).collect():
+        found.setdefault(row["check_id"], {})[row["history_type"]] = row["reference"]
+        days[row["check_id"]] = max(days.get(row["check_id"], row["snapshot_day"]), row["snapshot_day"])
+    return {check_id: Snapshot(days[check_id], values) for check_id, values in found.items()}
+
+
+def _shareable(rule: object) -> bool:
+    if isinstance(rule, DailyCount):
+        return rule.value is None and rule.day_format is None
+    return isinstance(rule, Duplicates) or (isinstance(rule, History) and not rule.first_per)
+
+
+def _rule_day(rule) -> str:
+    return rule.by if isinstance(rule, History) else rule.day
+
+
+def _rows_of(rule, context: Context, snapshot: Snapshot | None) -> Column:
+    """Which rows of its table a shared rule counts."""
+    if isinstance(rule, DailyCount):
+        wanted = on_days(rule.day, context.as_of - timedelta(days=rule.window - 1), context.as_of + timedelta(days=1))
+    elif isinstance(rule, Duplicates):
+        wanted = on_days(rule.day, context.as_of - timedelta(days=rule.scope - 1), context.as_of)
+    else:
+        wanted = on_days(rule.by, None, snapshot.day + timedelta(days=1))
+        for column in rule.up_to:
+            wanted = wanted & on_days(column, None, snapshot.day + timedelta(days=1))
+    return wanted & F.expr(rule.where) if rule.where else wanted
+
+
+def shared_daily_counts(
+    rows: DataFrame, day: str, rules: Sequence[tuple[int, object]], context: Context, snapshots: Mapping[int, Snapshot]
 ) -> DataFrame:
-    """Verdicts of many plain daily-count rules from one read of their table.
+    """rule (its place in ``rules``), dt, n, distinct: what all rules on a table and day column need, from one fold.
 
-    Each row is repeated once per rule it belongs to and folded at once to a
-    count per rule and day, so only rules x days rows are shuffled.
+    Rows fold to one per day and distinct key, with a count per rule; rows that no duplicate rule asks about have no
+    key and so fold to one per day and task. ``distinct`` is the number of keys a rule meets on a day. All duplicate
+    rules among ``rules`` have the same key columns. A rule without rows has none here.
     """
-    numbered, after = [], context.as_of + timedelta(days=1)
-    for i, (_, rule) in enumerate(rules):
-        inside = on_days(day, context.as_of - timedelta(days=rule.window - 1), after)
-        numbered.append(F.when(inside & F.expr(rule.where) if rule.where else inside, F.lit(i)))
-    widest = max(rule.window for _, rule in rules)
-    counts = (
-        rows.filter(on_days(day, context.as_of - timedelta(days=widest - 1), after))
-        .select(_day(day).alias("dt"), F.explode(F.array_compact(F.array(*numbered))).alias("rule"))
-        .groupBy("rule", "dt")
-        .agg(F.count(F.lit(1)).alias("n"))
+    wanted = [_rows_of(rule, context, snapshots.get(check_id)) for check_id, rule in rules]
+    keyed = [w for w, (_, rule) in zip(wanted, rules, strict=True) if isinstance(rule, Duplicates)]
+    columns = next((list(rule.distinct_on or rows.columns) for _, rule in rules if isinstance(rule, Duplicates)), [])
+    some = wanted[0]
+    for w in wanted[1:]:
+        some = some | w
+    key = F.lit(0)
+    if keyed:
+        asked = keyed[0]
+        for w in keyed[1:]:
+            asked = asked | w
+        key = F.when(asked, F.struct(*[F.col(f"`{c}`") for c in columns]))
+    flags = [F.coalesce(w, F.lit(False)).alias(f"w{i}") for i, w in enumerate(wanted)]
+    folded = (
+        rows.filter(some)
+        .select(_day(day).alias("dt"), key.alias("key"), *flags)
+        .groupBy("dt", "key")
+        .agg(*[F.count_if(f"w{i}").alias(f"n{i}") for i in range(len(rules))])
     )
-    checked = [F.when(F.col("rule") == i, F.lit(r.checked_day(context))) for i, (_, r) in enumerate(rules)]
-    share = [F.when(F.col("rule") == i, F.lit(r.tolerance)) for i, (_, r) in enumerate(rules)]
-    ids = [F.when(F.col("rule") == i, F.lit(check_id)) for i, (check_id, _) in enumerate(rules)]
-    return (
-        counts.groupBy("rule")
-        .agg(F.median("n").alias("median"), F.max(F.when(F.col("dt") == F.coalesce(*checked), F.col("n"))).alias("n"))
-        .select(
-            F.coalesce(*ids).alias("check_id"),
-            F.coalesce(F.col("n") >= F.col("median") * F.coalesce(*share), F.lit(False)).alias("passed"),
-            F.lit(None).cast("string").alias("message"),
-        )
+    per_day = folded.groupBy("dt").agg(
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(rules))],
+        *[F.count_if(F.col(f"n{i}") > 0).alias(f"d{i}") for i in range(len(rules))],
+    )
+    each = [F.struct(F.lit(i).alias("rule"), F.col(f"n{i}").alias("n"), F.col(f"d{i}").alias("distinct")) for i in range(len(rules))]
+    return per_day.select("dt", F.inline(F.array(*each))).filter("n > 0")
+
+
+def _statistics() -> list[Column]:
+    n = F.col("n")
+    values = (F.avg(n), F.max(n).cast("double"), F.min(n).cast("double"), F.stddev_samp(n), F.sum(n).cast("double"))
+    return [value.alias(name) for name, value in zip(HISTORY_TYPES, values, strict=True)]
+
+
+def shared_daily_verdicts(
+    rows: DataFrame,
+    day: str,
+    rules: Sequence[tuple[int, object]],
+    context: Context,
+    snapshots: Mapping[int, Snapshot] | None = None,
+) -> DataFrame:
+    """Verdicts of the daily-count, duplicate and history rules on one table and day column, from one read of it."""
+    snapshots = snapshots or {}
+    spark = rows.sparkSession
+    silent = [(c, True, NO_HISTORY) for c, rule in rules if isinstance(rule, History) and c not in snapshots]
+    rules = [(c, rule) for c, rule in rules if not (isinstance(rule, History) and c not in snapshots)]
+    without = spark.createDataFrame(silent, "check_id int, passed boolean, message string")
+    if not rules:
+        return without
+    counts = shared_daily_counts(rows, day, rules, context, snapshots)
+    tolerances = {i: rule.tolerance for i, (_, rule) in enumerate(rules)}
+    checked = {i: rule.checked_day(context) for i, (_, rule) in enumerate(rules) if isinstance(rule, DailyCount)}
+
+    def per_rule(values: Mapping[int, object]) -> Column:
+        return F.coalesce(F.lit(None), *[F.when(F.col("rule") == i, F.lit(v)) for i, v in values.items()])
+
+    tolerance = per_rule(tolerances)
+    on_day = F.col("dt") == (per_rule(checked) if checked else F.lit(None).cast("date"))
+    found = counts.groupBy("rule").agg(
+        F.median("n").alias("median"),
+        F.max(F.when(on_day, F.col("n"))).alias("checked"),
+        F.bool_and(F.col("n") / F.col("distinct") <= 1 + tolerance).alias("no_copies"),
+        *_statistics(),
     )
+    listed = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(rules)], "rule int, check_id int")
+    passed, message = F.lit(None).cast("boolean"), F.lit(None).cast("string")
+    for i, (check_id, rule) in enumerate(rules):
+        mine = F.col("rule") == i
+        if isinstance(rule, DailyCount):
+            verdict = F.coalesce(F.col("checked") >= F.col("median") * rule.tolerance, F.lit(False))
+        elif isinstance(rule, Duplicates):
+            verdict = F.coalesce("no_copies", F.lit(True))
+        else:
+            verdict, unmatched = F.lit(True), F.lit(False)
+            for name in HISTORY_TYPES:
+                reference = snapshots[check_id].values.get(name)
+                if reference is None:
+                    unmatched = unmatched | F.col(name).isNotNull()
+                else:
+                    unmatched = unmatched | F.col(name).isNull()
+                    verdict = verdict & F.coalesce(within_tolerance(F.col(name), F.lit(reference), rule.tolerance), F.lit(False))
+            unmatched = unmatched | F.lit(bool(set(snapshots[check_id].values) - set(HISTORY_TYPES)))
+            verdict = verdict & ~unmatched
+            message = F.when(mine & unmatched, F.lit("history types do not match")).otherwise(message)
+        passed = F.when(mine, verdict).otherwise(passed)
+    joined = listed.join(found, "rule", "left")
+    return joined.select("check_id", passed.alias("passed"), message.alias("message")).unionByName(without)
+
+
+def _statistics_of(rules: Sequence[tuple[int, History]], tables: Tables, context: Context, snapshots: Mapping[int, Snapshot]) -> DataFrame:
+    """check_id, history_type, value of history rules, each up to its snapshot's day; one read for a table and day column."""
+    shared, parts = {}, []
+    for check_id, rule in rules:
+        if rule.first_per:
+            found = history_statistics(rule.daily(tables, F.lit(snapshots[check_id].day)))
+            parts.append(found.select(F.lit(check_id).alias("check_id"), "history_type", "value"))
+        else:
+            shared.setdefault((rule.table, rule.by), []).append((check_id, rule))
+    for (table, day), of in shared.items():
+        counts = shared_daily_counts(_rows(tables, table, None), day, of, context, snapshots)
+        values = F.inline(F.array(*[F.struct(F.lit(t).alias("history_type"), F.col(t).alias("value")) for t in HISTORY_TYPES]))
+        ids = F.get(F.array(*[F.lit(check_id) for check_id, _ in of]), F.col("rule")).alias("check_id")
+        parts.append(counts.groupBy("rule").agg(*_statistics()).select(ids, values))
+    spark = next(iter(tables.values())).sparkSession
+    return _stacked([spark.createDataFrame([], "check_id int, history_type string, value double"), *parts]).filter("value is not null")
+
+
+def snapshots(rules: Sequence[History], tables: Tables, context: Context) -> DataFrame:
+    """The rows to append to the history for several rules at once, as ``History.snapshot`` has them for one."""
+    until = {rule.check_id: Snapshot(context.as_of - timedelta(days=1), {}) for rule in rules}
+    found = _statistics_of([(rule.check_id, rule) for rule in rules], tables, context, until)
+    return found.select("check_id", "history_type", F.col("value").cast("string").alias("historical_value"), F.lit(context.clock).alias("dts"))
+
+
+def history_values(
+    specs: Sequence[CheckSpec], tables: Tables, context: Context
+) -> DataFrame:
+    """check_id, history_type, value, reference, tolerance of each type that a check's snapshot or its table has now.
+
+    The checks on one table and day column share one read; a check without a snapshot has no rows.
+    """
+    known = read_snapshots(context.history, context.as_of)
+    rules = [(spec.check_id, rule) for spec in specs for rule in spec.rules if isinstance(rule, History) and spec.check_id in known]
+    now = _statistics_of(rules, tables, context, known)
+    spark = now.sparkSession
+    tolerances = spark.createDataFrame([(c, rule.tolerance) for c, rule in rules], "check_id int, tolerance double")
+    then = [(c, t, v) for c, snapshot in known.items() for t, v in snapshot.values.items()]
+    references = spark.createDataFrame(then, "check_id int, history_type string, reference double")
+    return now.join(references, ["check_id", "history_type"], "full").join(tolerances, "check_id", "left")
+
+
+def _folds(shared: Mapping[tuple, list]) -> dict[tuple, list]:
+    """Rules by ((table, number), day): those without a key join the first fold of their table and day."""
+    folds: dict[tuple, list] = {}
+    for (table, day, key), rules in sorted(shared.items(), key=lambda item: -len(item[0][2])):
+        if not key and ((table, 0), day) in folds:
+            folds[(table, 0), day] += rules
+            continue
+        number = sum(1 for (t, _), d in folds if t == table and d == day)
+        folds[(table, number), day] = list(rules)
+    return folds
+
+
+def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    """All rows of frames with the same columns, in one statement: the plan is analysed once, not once a frame."""
+    names = {f"f{i}": df.select(*frames[0].columns) for i, df in enumerate(frames)}
+    return frames[0].sparkSession.sql(" UNION ALL ".join(f"SELECT * FROM {{{name}}}" for name in names), **names)
 
 
 def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables, context: Context) -> DataFrame:
     """One status row per check, as a single lazy plan.
 
-    Plain daily counts on the same table and day column are read together. A
-    rule whose table or columns are missing, or that yields no row at all,
-    fails its check; the error text is kept.
+    Daily counts, duplicates and history on the same table and day column are
+    read together. A rule whose table or columns are missing, or that yields no row at all,
+    fails its check; the error text is kept. The history's newest snapshots are
+    read in a job of their own, so that their days reach the tables as literals.
     """
-    shared: dict[tuple[str, str], list[tuple[int, DailyCount]]] = {}
+    snapshots = read_snapshots(context.history, context.as_of)
+    shared: dict[tuple, list[tuple[int, object]]] = {}
     verdicts, errors = [], []
 
-    def attempt(check_ids: Sequence[int], build) -> None:
+    def attempt(check_ids: Sequence[int], build, alone: bool = True) -> bool:
         try:
             df = build()
             df.schema  # resolves the plan, so that one broken rule does not stop the others
             verdicts.append(df)
+            return True
         except Exception as e:  # noqa: BLE001
-            errors.extend((check_id, False, str(e).split("\n")[0]) for check_id in check_ids)
+            if alone:
+                errors.extend((check_id, False, str(e).split("\n")[0]) for check_id in check_ids)
+            return alone
 
     for spec in specs:
         for rule in spec.rules:
-            if isinstance(rule, DailyCount) and rule.value is None and rule.day_format is None:
-                shared.setdefault((rule.table, rule.day), []).append((spec.check_id, rule))
+            if _shareable(rule):
+                key = tuple(rule.distinct_on or ("*",)) if isinstance(rule, Duplicates) else ()
+                shared.setdefault((rule.table, _rule_day(rule), key), []).append((spec.check_id, rule))
             else:
                 attempt(
                     [spec.check_id],
@@ -437,17 +619,15 @@ def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables,
                         F.lit(spec.check_id).alias("check_id"), "passed", "message"
                     ),
                 )
-    for (table, day), rules in shared.items():
-        attempt(
-            [check_id for check_id, _ in rules],
-            lambda table=table, day=day, rules=rules: shared_daily_verdicts(
-                _rows(tables, table, None), day, rules, context
-            ),
-        )
+    for (table, day), rules in _folds(shared).items():
+        def together(rules, table=table[0], day=day) -> DataFrame:
+            return shared_daily_verdicts(_rows(tables, table, None), day, rules, context, snapshots)
+
+        if not attempt([check_id for check_id, _ in rules], lambda rules=rules: together(rules), alone=len(rules) == 1):
+            for rule in rules:  # one bad rule leaves the others standing
+                attempt([rule[0]], lambda rule=rule: together([rule]))
     schema = "check_id int, passed boolean, message string"
-    combined = spark.createDataFrame(errors, schema)
-    for df in verdicts:
-        combined = combined.unionByName(df)
+    combined = _stacked([spark.createDataFrame(errors, schema), *verdicts])
     listed = spark.createDataFrame(
         [(s.check_id, s.definition, len(s.rules)) for s in specs], "check_id int, definition string, rules int"
     )
@@ -486,14 +666,26 @@ def collected_checks(
 NOT_COMPLETED = "Check did not complete."
 
 
+def _merged(log: VersionedTable | PeriodTable, rows: DataFrame, keys: Sequence[str] = ("check_id", "dts")) -> None:
+    if isinstance(log, PeriodTable):
+        log.merge(rows, keys)
+    else:
+        log.write(upsert(log.read(), rows, keys) if log.exists() else rows)
+
+
+def clear_history(history_log: PeriodTable, check_id: int) -> list[str]:
+    """Forgets all snapshots of a check, whose next pass records a new one. Returns the periods rewritten."""
+    return history_log.delete(F.col("check_id") == check_id)
+
+
 def record_checks(
     spark: SparkSession,
     specs: Sequence[CheckSpec],
     tables: Tables,
     context: Context,
-    log: VersionedTable,
+    log: VersionedTable | PeriodTable,
     run_url: str | None = None,
-    history_log: VersionedTable | None = None,
+    history_log: VersionedTable | PeriodTable | None = None,
 ) -> DataFrame:
     """Run the checks and keep their results in ``log``.
 
@@ -516,21 +708,14 @@ def record_checks(
         "check_id int, definition string, status boolean, error_message string",
     ).withColumn("dts", F.lit(context.clock))
     first = stamped(pessimistic, None)
-    log.write(append_rows(log.read(), first) if log.exists() else first)
+    _merged(log, first)
     # one row per check: the statuses fit the driver
     found = collected_checks(spark, specs, tables, context)
     results = stamped(spark.createDataFrame(found, schema=pessimistic.schema), monotonic() - began)
-    log.write(upsert(log.read(), results, ["check_id", "dts"]))
+    _merged(log, results)
     if history_log is not None:
         passed = {row["check_id"] for row in found if row["status"]}
-        snapshots = [
-            rule.snapshot(tables, context)
-            for spec in specs
-            for rule in spec.rules
-            if isinstance(rule, History) and spec.check_id in passed
-        ]
-        for i, snapshot in enumerate(snapshots):
-            merged = snapshot if i == 0 else merged.unionByName(snapshot)
-        if snapshots:
-            history_log.write(append_rows(history_log.read(), merged) if history_log.exists() else merged)
+        due = [rule for spec in specs for rule in spec.rules if isinstance(rule, History) and spec.check_id in passed]
+        if due:
+            _merged(history_log, snapshots(due, tables, context), ["check_id", "history_type", "dts"])
     return results

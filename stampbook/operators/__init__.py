@@ -1,3 +1,4 @@
+from stampbook.operators.intervals import merged_intervals, met_in_intervals, reach_in_intervals
 from stampbook.operators.keyed import attach_scan, first_per_key, latest_per_key, scan_points
 from stampbook.operators.median import exact_median
 from stampbook.operators.skew import salted_join
@@ -12,7 +13,10 @@ __all__ = [
     "first_per_key",
     "latest_per_key",
     "metric_grid",
+    "merged_intervals",
+    "met_in_intervals",
     "next_event_day",
+    "reach_in_intervals",
     "reach_in_windows",
     "rolling_distinct",
     "running_totals",

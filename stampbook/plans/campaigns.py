@@ -19,8 +19,9 @@ from stampbook.functions import (
 from stampbook.operators import (
     attach_scan,
     latest_per_key,
+    met_in_intervals,
     next_event_day,
-    reach_in_windows,
+    reach_in_intervals,
     scan_points,
     with_total_row,
 )
@@ -402,24 +403,15 @@ def mission_campaigns(setup: DataFrame, scheme: Scheme) -> DataFrame:
 def mission_scanners(
     setup: DataFrame, scans: DataFrame, missions: DataFrame, as_of: date, scheme: Scheme = Scheme()
 ) -> DataFrame:
-    """Per mission: wallets that scanned on a campaign day, and those that also saw it.
+    """Per mission: wallets that scanned while it ran, and those that also saw it.
 
-    Campaign windows are whole days. No scan is paired with a campaign: the
-    first count works on day-gap totals, the second on the next scan day after
-    the campaign start of each (wallet, campaign) that saw it.
+    A mission runs from its start to its end, to the timestamp; if several versions of it are the latest, over the
+    union of their times. No scan is paired with a campaign but on the days it begins and ends.
     """
-    spans = (
-        mission_campaigns(setup, scheme)
-        .groupBy("cmpgn_id")
-        .agg(
-            F.to_date(F.min("cmpgn_start_ts")).alias("start_dt"), F.to_date(F.max("cmpgn_end_ts")).alias("end_dt")
-        )
-    )
-    days = scans.filter(on_days("event_ts", scheme.scanners_start, as_of)).select(
-        "wallet_id", F.to_date("event_ts").alias("scan_day")
-    )
-    reach = reach_in_windows(
-        days, "wallet_id", "scan_day", spans, "cmpgn_id", "start_dt", "end_dt", alias="rewards_swipers", before=as_of
+    spans = mission_campaigns(setup, scheme).select("cmpgn_id", "cmpgn_start_ts", "cmpgn_end_ts").distinct()
+    times = scans.filter(on_days("event_ts", scheme.scanners_start, as_of)).select("wallet_id", "event_ts")
+    reach = reach_in_intervals(
+        times, "wallet_id", "event_ts", spans, "cmpgn_id", "cmpgn_start_ts", "cmpgn_end_ts", alias="rewards_swipers", before=as_of
     )
     seen = (
         missions.filter(
@@ -430,10 +422,9 @@ def mission_scanners(
         .join(spans, "cmpgn_id")
     )
     delivered = (
-        scanned_in_window(seen, days)
-        .filter("scanned")
+        met_in_intervals(seen, times, "wallet_id", "event_ts", "cmpgn_start_ts", "cmpgn_end_ts", before=as_of)
         .groupBy("cmpgn_id")
-        .agg(F.count(F.lit(1)).alias("rewards_swipers_delivered"))
+        .agg(F.countDistinct("wallet_id").alias("rewards_swipers_delivered"))
     )
     return reach.join(delivered, "cmpgn_id", "left").withColumn(
         "rewards_swipers_delivered", F.coalesce("rewards_swipers_delivered", F.lit(0).cast("long"))

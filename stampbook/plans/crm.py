@@ -123,14 +123,18 @@ def crm_send_level(sends: DataFrame, channels: dict[str, DataFrame]) -> DataFram
 def prune_journeys(results: DataFrame, min_customers: int = 500, groups_needed: int = 2) -> DataFrame:
     """Drop small groups, then every journey name that lacks a group on any of its days."""
     large = results.filter(F.col("customers") >= min_customers)
-    incomplete = (
-        large.groupBy("journey_date", "journey_name")
+    return large.join(incomplete_journeys(large, groups_needed), "journey_name", "left_anti")
+
+
+def incomplete_journeys(results: DataFrame, groups_needed: int = 2) -> DataFrame:
+    """The journey names that have another number of groups on any of their days."""
+    return (
+        results.groupBy("journey_date", "journey_name")
         .agg(F.countDistinct("groups").alias("n"))
         .filter(F.col("n") != groups_needed)
         .select("journey_name")
         .distinct()
     )
-    return large.join(incomplete, "journey_name", "left_anti")
 
 
 def period_of_week(week: str = "week_id") -> Column:

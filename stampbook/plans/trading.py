@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.functions import minor_to_major, on_days, strip_check_digit
-from stampbook.operators import first_days, reach_in_windows, salted_join, scan_points, with_total_row
+from stampbook.operators import first_days, reach_in_intervals, salted_join, scan_points, with_total_row
 from stampbook.plans.campaigns import (
     STAR_TYPES,
     item_columns,
@@ -211,12 +211,6 @@ def sp_details(star_products: DataFrame, scheme: Scheme = Scheme()) -> DataFrame
     )
 
 
-def _spans(star_products: DataFrame) -> DataFrame:
-    return star_products.groupBy("cmpgn_id").agg(
-        F.to_date(F.min("cmpgn_start_ts")).alias("start_dt"), F.to_date(F.max("cmpgn_end_ts")).alias("end_dt")
-    )
-
-
 def sp_redeemers(
     star_products: DataFrame, missions: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()
 ) -> DataFrame:
@@ -252,22 +246,22 @@ def sp_redeemers(
 def sp_scanners(
     star_products: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme(), channel: str | None = None
 ) -> DataFrame:
-    """Distinct scanning wallets in each star campaign's window.
+    """Distinct wallets that scanned while each star campaign ran, to the timestamp.
 
     ``channel`` is None for all channels, or 'Online Only' / 'In-store Only'.
     """
     rows = scans.filter(on_days("event_ts", scheme.scanners_start, as_of))
     if channel is not None:
         rows = rows.filter(online_or_store() == channel)
-    days = rows.select("wallet_id", F.to_date("event_ts").alias("scan_day"))
-    reach = reach_in_windows(
-        days,
+    spans = star_products.select("cmpgn_id", "cmpgn_start_ts", "cmpgn_end_ts").distinct()
+    reach = reach_in_intervals(
+        rows.select("wallet_id", "event_ts"),
         "wallet_id",
-        "scan_day",
-        _spans(star_products),
+        "event_ts",
+        spans,
         "cmpgn_id",
-        "start_dt",
-        "end_dt",
+        "cmpgn_start_ts",
+        "cmpgn_end_ts",
         alias="rewards_swipers",
         before=as_of,
     )

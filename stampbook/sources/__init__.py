@@ -7,10 +7,12 @@ from stampbook.sources.maintenance import (
     sync_replace,
     upsert,
 )
+from stampbook.sources.partitions import PeriodTable
 from stampbook.sources.staging import shared_folder, staged
 from stampbook.sources.versioned import VersionedTable
 
 __all__ = [
+    "PeriodTable",
     "VersionedTable",
     "add_columns",
     "append_rows",

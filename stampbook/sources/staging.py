@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="shared-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; never one of this machine alone."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    A folder of this machine alone is used only where driver and executors are one process
+    (master ``local``); on a cluster without the setting this raises.
+    """
     folder = spark.conf.get(SHARED_FOLDER, None)
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.isLocal:
         raise ValueError(f"{SHARED_FOLDER} is not set")
-    return folder.rstrip("/")
+    return _own_folder()
 
 
 @contextmanager

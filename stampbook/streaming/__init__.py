@@ -1,3 +1,3 @@
-from stampbook.streaming.activity_stream import daily_activity, stream_into
+from stampbook.streaming.activity_stream import daily_activity, day_counts, recounted_days, stream_into
 
-__all__ = ["daily_activity", "stream_into"]
+__all__ = ["daily_activity", "day_counts", "recounted_days", "stream_into"]

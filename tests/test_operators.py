@@ -181,3 +181,40 @@ def test_midnight_bounds_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([(datetime(2024, 1, 2, 3),)], "ts timestamp").write.parquet(path)
     plan = spark.read.parquet(path).filter(on_days("ts", D0, d(5)))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_reach_and_meeting_in_intervals_are_exact_to_the_timestamp(spark, seed):
+    """Windows within a day, across days, of several overlapping or disjoint intervals, beyond the events; hot key."""
+    from stampbook.operators import merged_intervals, met_in_intervals, reach_in_intervals
+
+    rng = random.Random(seed)
+    start = datetime(2024, 1, 1)
+
+    def moment(days):
+        return start + timedelta(hours=rng.randint(0, 24 * days), minutes=rng.choice((0, 0, 30)))
+
+    events = [(rng.choice((0, 0, rng.randint(1, 25))), moment(20)) for _ in range(150)]
+    windows = []
+    for w in range(60):
+        for _ in range(rng.choice((1, 1, 1, 2, 3))):
+            s = moment(22)
+            windows.append((w, s, s + timedelta(hours=rng.choice((0, 3, 10, 30, 60, 200)), minutes=rng.choice((0, 29)))))
+    windows += [(99, moment(5), start - timedelta(days=1)), (98, start, start + timedelta(days=400))]
+    before = date(2024, 1, 19)
+    events = [e for e in events if e[1].date() < before]
+    e = spark.createDataFrame(events, "k int, ts timestamp")
+    w = spark.createDataFrame(windows, "w int, s timestamp, e timestamp")
+    got = {r.w: r.reach for r in reach_in_intervals(e, "k", "ts", w, "w", "s", "e", before=before).collect()}
+    want = {}
+    for k, t in events:
+        for i, s, end in windows:
+            if s <= t <= end:
+                want.setdefault(i, set()).add(k)
+    assert got == {i: len(keys) for i, keys in want.items()}
+    targets = [(k, i, s, end) for k in range(0, 27) for i, s, end in windows]
+    t = spark.createDataFrame(targets, "k int, w int, s timestamp, e timestamp")
+    met = sorted(tuple(r) for r in met_in_intervals(t, e, "k", "ts", "s", "e", before=before).collect())
+    assert met == sorted(x for x in targets if any(k == x[0] and x[2] <= at <= x[3] for k, at in events))
+    for r in merged_intervals(w, "w", "s", "e").collect():
+        assert r.intervals >= 1 and r.s <= r.e
