@@ -17,6 +17,7 @@ UNKNOWN = "und"
 MOST_WORDS, MOST_WORD_BYTES = 500_000, 16 << 20  # of one broadcast vocabulary; more words make more of them
 MOST_PHRASES = 1_000_000  # of one broadcast trie (about 100 MB); more phrases make more tries
 CHUNK_BYTES = 2 << 20
+COUNT_BYTES = 64 << 20  # of word numbers that one task counts: each task hands out a sum for every phrase it meets
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _BREAKS + b"\t", b"abcdefghijklmnopqrstuvwxyz" + b"," * len(_BREAKS) + b" ")
@@ -407,8 +408,10 @@ def frequent_phrases(encoded: DataFrame, least: int, longest: int, most: int) ->
         if not found or not any(f.limit(1).count() for f in found):
             break
     counted = none.withColumn("a", F.lit(0).cast("long"))
+    size = encoded.agg(F.sum(F.octet_length("ids")).alias("bytes")).first()["bytes"] or 0
+    shards = encoded.coalesce(max(1, -(-size // COUNT_BYTES)))
     for trie, _ in _tries(spark, before, longest, most):
-        sums = encoded.mapInArrow(_counted(trie, longest), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        sums = shards.mapInArrow(_counted(trie, longest), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         counted = counted.unionByName(kept(sums.mapInArrow(_named(trie), "words array<int>, a long")))
     return counted
 
