@@ -52,6 +52,19 @@ def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
+def _loose_type(kind: pa.DataType) -> pa.DataType:
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _loose_type(f.type)) for f in kind])
+    if pa.types.is_list(kind):
+        return pa.list_(pa.field(kind.value_field.name, _loose_type(kind.value_type)))
+    return kind
+
+
+def loose(column: pa.Array | pa.ChunkedArray) -> pa.Array | pa.ChunkedArray:
+    """A column of rows whose fields may all be null, as the type that a task's result is declared with."""
+    return column.cast(_loose_type(column.type))
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about so many bytes in a binary column, one row at least."""
     ends = texts(batch[column])[1]

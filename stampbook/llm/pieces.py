@@ -14,15 +14,17 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
-from stampbook.llm.blocks import BLOCK, ID, ROW, TEXT, blocked, parts, text_bytes
+from stampbook.llm.blocks import BLOCK, ROW, TEXT
 from stampbook.llm.columns import let, spread
+from stampbook.llm.working import kept
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20  # of text; the edges of its words are sorted in memory
+BLOCK_BYTES = 4 << 20  # of text
 UNKNOWN_PENALTY = 10.0  # below the lowest piece, for a character that no piece is
 
 SPACE = "▁"
@@ -256,24 +258,119 @@ def _merge_words(words: DataFrame, keys: list[str], rest: list[str], vocabulary:
     return grouped.select(*keys, "word", *rest, _merged(F.col("edges"), F.col("word")).alias("ids"))
 
 
-def _assemble(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    raw = vocab.raw()
-    sizes = np.array([len(x) for x in raw])
+def _letter_or_symbol(vocab: Vocabulary) -> np.ndarray:
+    """For each byte 1 (an ASCII letter), 2 (another visible or control ASCII character) or 0; all 0 if a piece joins both."""
+    kind = np.zeros(256, np.int8)
+    kind[:128] = 2
+    kind[[*range(65, 91), *range(97, 123)]] = 1
+    kind[32] = 0
+    for piece in vocab.pieces:
+        found = kind[np.frombuffer(piece.encode(), np.uint8)]
+        if (found[1:] + found[:-1] == 3).any():
+            return np.zeros(256, np.int8)
+    return kind
+
+
+def _units(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the parts that no piece goes beyond, and the text of each: words with the spaces before
+    them, cut between letters and symbols if no piece joins these, and spaces at a text's end."""
+    word_ends = A.words(data, offsets, A.separators(b" "))[1]
+    found = kind[data]
+    cuts = np.flatnonzero(found[1:] + found[:-1] == 3) + 1
+    last = offsets[1:][np.diff(offsets) > 0]
+    ends = np.unique(np.concatenate((word_ends, cuts, last)))
+    text = np.searchsorted(offsets[1:], ends)
+    starts = np.maximum(np.concatenate(([0], ends[:-1])), offsets[:-1][text]) if len(ends) else ends
+    return starts, ends, text
+
+
+def _asked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different units: place of the first of each, bucket, and for every unit the number of its kind; by bucket and hash."""
+    names = A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends)
+    kinds, first, back = np.unique(names, return_index=True, return_inverse=True)
+    bucket = (kinds % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return first[order], bucket[order], number[back], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _packed(*arrays: np.ndarray) -> tuple[bytes, int]:
+    raw = b"".join(A.packed(x) for x in arrays)
+    return pa.compress(raw, codec="zstd", asbytes=True), len(raw)
+
+
+def _unpacked(payload: pa.Scalar, size: pa.Scalar) -> bytes:
+    return pa.decompress(payload.as_py(), decompressed_size=size.as_py(), codec="zstd", asbytes=True)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in blocks of BLOCK_BYTES of text, compressed; numbered by task and place."""
+    number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+    for batch in batches:
+        for part in A.slices(batch, TEXT, BLOCK_BYTES):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
+                writer.write_batch(part)
+            yield pa.RecordBatch.from_pydict({BLOCK: pa.array([number], pa.int64()), "payload": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+            number += 1
+
+
+def _opened(payload: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(payload.as_py()).read_all()
+
+
+def _asking(kind: np.ndarray, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each block and bucket the different units of the block, in the order of their hashes."""
+
+    def asking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, payload in zip(batch[BLOCK], batch["payload"], strict=True):
+                data, offsets = A.texts(_opened(payload)[TEXT])
+                starts, ends, _ = _units(data, offsets, kind)
+                first, _, _, edges = _asked(data, starts, ends, buckets)
+                rows = []
+                for b in np.flatnonzero(np.diff(edges)):
+                    own = first[edges[b] : edges[b + 1]]
+                    packed, size = _packed((ends - starts)[own].astype(np.int32), A.gather(data, starts[own], ends[own]))
+                    rows.append({"bucket": int(b), BLOCK: block.as_py(), "units": len(own), "size": size, "payload": packed})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int32()), (BLOCK, pa.int64()), ("units", pa.int32()), ("size", pa.int64()), ("payload", pa.binary())]))
+
+    return asking
+
+
+def _words_of(units: pa.Scalar, size: pa.Scalar, payload: pa.Scalar) -> pa.Array:
+    raw, n = _unpacked(payload, size), units.as_py()
+    offsets = np.concatenate(([0], np.cumsum(np.frombuffer(raw, np.int32, n)))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw[4 * n :])])
+
+
+def _different(table: pa.Table) -> pa.Table:
+    """bucket, word: the different units that the blocks ask of a bucket."""
+    words = pa.array([], pa.binary())
+    for row in range(table.num_rows):
+        words = pa.concat_arrays([words, _words_of(*(table[c][row] for c in ("units", "size", "payload")))]).unique()
+    return pa.table({"bucket": pa.array(np.full(len(words), table["bucket"][0].as_py()), pa.int32()), "word": words.cast(pa.string())})
+
+
+def _replying(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For each block and bucket the ids of the units it asked for, in that order."""
     by_piece = {p: (i, s) for i, (p, s) in enumerate(zip(vocab.pieces, vocab.scores, strict=True)) if p}
-    joined, begins = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    schema = pa.schema([(BLOCK, pa.int64()), ("bucket", pa.int32()), ("units", pa.int32()), ("size", pa.int64()), ("payload", pa.binary())])
 
     def of_character(code: int) -> list[int]:
         found = by_piece.get(chr(code))
         return [found[0]] if found else [vocab.byte_ids[b] for b in chr(code).encode()]
 
-    def _spelt(ids: pa.ChunkedArray) -> pa.Array:
+    def spelt(ids: pa.ChunkedArray) -> pa.Array:
         """Lists of ids with the ids of characters for negative code points."""
         lists = pa.concat_arrays([*ids.chunks, pa.array([], pa.list_(pa.int32()))])
         flat, ends = np.asarray(lists.flatten()), np.concatenate(([0], np.cumsum(np.asarray(lists.value_lengths()))))
         codes, back = np.unique(flat[flat < 0], return_inverse=True)
-        spelt = [of_character(-c) for c in codes.tolist()]
-        first = np.concatenate(([0], np.cumsum([len(x) for x in spelt]))).astype(np.int64)
-        every = np.array([i for x in spelt for i in x], np.int64)
+        each = [of_character(-c) for c in codes.tolist()]
+        first = np.concatenate(([0], np.cumsum([len(x) for x in each]))).astype(np.int64)
+        every = np.array([i for x in each for i in x], np.int64)
         counts = np.ones(len(flat), np.int64)
         counts[flat < 0] = np.diff(first)[back]
         out = np.repeat(flat, counts).astype(np.int64)
@@ -281,46 +378,67 @@ def _assemble(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
         upto = np.concatenate(([0], np.cumsum(counts)))[ends]
         return pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(out.astype(np.int32)))
 
-    def assemble(table: pa.Table, encoded: pa.Table) -> pa.Table:
-        data, offsets = A.texts(table[TEXT])
-        _, word_ends, first = A.words(data, offsets, A.separators(b" "))
-        word_text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        blank_end = np.flatnonzero((np.diff(offsets) > 0) & (data[np.maximum(offsets[1:] - 1, 0)] == 32)) if len(data) else np.zeros(0, np.int64)
-        ends = np.concatenate((word_ends, offsets[1:][blank_end]))
-        text = np.concatenate((word_text, blank_end))
-        order = np.argsort(ends, kind="stable")
-        ends, text = ends[order], text[order]
-        starts = np.maximum(np.concatenate(([0], ends[:-1])), offsets[:-1][text]) if len(ends) else ends
-        names = A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends)
+    def hashes(words: pa.Array) -> np.ndarray:
+        data, offsets = A.texts(words)
+        return A.span_hashes(A.prefix_sums(data, A.byte_values()), offsets[:-1], offsets[1:])
+
+    def replying(asks: pa.Table, encoded: pa.Table) -> pa.Table:
         words = encoded.select(["word", "ids"]).cast(pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))]))
-        words = pa.table([words["word"], _spelt(words["ids"])], words.schema)
-        word_data, word_offsets = A.texts(words["word"])
-        known = A.span_hashes(A.prefix_sums(word_data, A.byte_values()), word_offsets[:-1], word_offsets[1:])
-        missing, where = np.unique(names, return_index=True)
-        where = where[~np.isin(missing, known)]
-        if vocab.merges and len(where):
-            others = [data[a:b].tobytes() for a, b in zip(starts[where], ends[where], strict=True)]
-            merged = [_merge_word(w.decode("utf-8", "replace"), by_piece, vocab.byte_ids) for w in others]
-            words = pa.concat_tables([words, pa.table([pa.array(others, pa.binary()), pa.array(merged, pa.list_(pa.int32()))], words.schema)])
-        word_data, word_offsets = A.texts(words["word"])
-        known = A.span_hashes(A.prefix_sums(word_data, A.byte_values()), word_offsets[:-1], word_offsets[1:])
+        names = pa.concat_arrays([*words["word"].chunks, pa.array([], pa.binary())])
+        lists = spelt(words["ids"])
+        asked = [_words_of(*(asks[c][row] for c in ("units", "size", "payload"))) for row in range(asks.num_rows)]
+        wanted = [hashes(x) for x in asked]
+        every = pa.concat_arrays([*asked, pa.array([], pa.binary())])
+        missing, where = np.unique(np.concatenate([*wanted, np.zeros(0, np.uint64)]), return_index=True)
+        where = where[~np.isin(missing, hashes(names))]
+        if vocab.merges and len(where):  # words that the lattice leaves out: long ones, and those that no piece joins
+            others = every.take(pa.array(where))
+            merged = [_merge_word(w.decode("utf-8", "replace"), by_piece, vocab.byte_ids) for w in others.to_pylist()]
+            names, lists = pa.concat_arrays([names, others]), pa.concat_arrays([lists, pa.array(merged, pa.list_(pa.int32()))])
+        known = hashes(names)
         by_name = np.argsort(known, kind="stable")
-        lists = pa.concat_arrays([*words["ids"].chunks, pa.array([], pa.list_(pa.int32()))])
-        flat = np.asarray(lists.flatten())
-        counts = np.asarray(lists.value_lengths())
+        flat, counts = np.asarray(lists.flatten()), np.asarray(lists.value_lengths())
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        rows = []
+        for row, w in enumerate(wanted):
+            at = by_name[np.searchsorted(known, w, sorter=by_name)]
+            packed, size = _packed(counts[at].astype(np.int32), flat[A.ranges(upto[:-1][at], counts[at])].astype(np.int32))
+            rows.append({BLOCK: asks[BLOCK][row].as_py(), "bucket": asks["bucket"][row].as_py(), "units": len(w), "size": size, "payload": packed})
+        return pa.Table.from_pylist(rows, schema)
+
+    return replying
+
+
+def _assembling(vocab: Vocabulary, kind: np.ndarray, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The ids of the texts of a block, from the replies of the buckets."""
+    raw = vocab.raw()
+    sizes = np.array([len(x) for x in raw])
+    joined, begins = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum(sizes)))[:-1]
+
+    def assembling(block: pa.Table, replies: pa.Table) -> pa.Table:
+        table = _opened(block["payload"][0])
+        data, offsets = A.texts(table[TEXT])
+        starts, ends, text = _units(data, offsets, kind)
+        _, _, number, _ = _asked(data, starts, ends, buckets)
+        counts, ids = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for row in np.argsort(np.asarray(replies["bucket"])):
+            values = np.frombuffer(_unpacked(replies["payload"][row], replies["size"][row]), np.int32)
+            n = replies["units"][row].as_py()
+            counts.append(values[:n])
+            ids.append(values[n:])
+        counts, flat = np.concatenate(counts), np.concatenate(ids)
         upto = np.concatenate(([0], np.cumsum(counts)))
-        at = by_name[np.searchsorted(known, names, sorter=by_name)] if len(names) else np.zeros(0, np.int64)
-        ids = flat[A.ranges(upto[:-1][at], counts[at])] if len(names) else np.zeros(0, np.int32)
-        per_unit = counts[at] if len(names) else np.zeros(0, np.int64)
+        per_unit = counts[number]
+        ids = flat[A.ranges(upto[:-1][number], per_unit)]
         token_upto = np.concatenate(([0], np.cumsum(per_unit)))
         edges = token_upto[np.searchsorted(text, np.arange(len(offsets)))].astype(np.int32)
         back = joined[A.ranges(begins[ids], sizes[ids])] if len(ids) else data[:0]
         byte_upto = np.concatenate(([0], np.cumsum(sizes[ids])))[edges]
         same = [bool(b1 - b0 == e - s) and np.array_equal(back[b0:b1], data[s:e]) for s, e, b0, b1 in zip(offsets[:-1], offsets[1:], byte_upto[:-1], byte_upto[1:], strict=True)]
         out = pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.astype(np.int32)))
-        return pa.table({ROW: table[ROW], "ids": out, "n_tokens": np.diff(edges).astype(np.int64), "round_trip": pa.array(same, pa.bool_())})
+        return pa.table({ROW: A.loose(table[ROW]), "ids": out, "n_tokens": np.diff(edges).astype(np.int64), "round_trip": pa.array(same, pa.bool_())})
 
-    return assemble
+    return assembling
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -328,24 +446,23 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     Texts get a space before them, spaces become marks, and words are taken with the spaces before them (no
     piece has a mark after another character) and cut into pieces as the model's kind says; characters
-    without a piece are cut into bytes. Nulls and empty texts have no ids. Repeated rows
-    give repeated rows; an empty table gives no rows; extra columns pass through.
+    without a piece are cut into bytes. Each different word of the table meets the pieces once: blocks of texts ask
+    buckets of words, which send the ids back. Nulls and empty texts have no ids. Repeated rows
+    give repeated rows; an empty table gives no rows; extra columns pass through; those with a name of the result give way.
     """
-    marked = docs.withColumn("text", _marked(F.col("text")))
-    size = text_bytes(docs)
-    spark = docs.sparkSession
-    blocks = parts(docs, size, BLOCK_BYTES)
-    texts = blocked(marked, blocks).repartition(blocks, BLOCK)  # words stay with their block
-    words = F.regexp_extract_all(F.col(TEXT).cast("string"), F.lit(" *[^ ]+| +"), F.lit(0))
-    # a hash of the row rides along, so that both uses of the exchange need the same columns and it runs once
-    texts = texts.drop(ID)
-    rows = texts.select(F.col(BLOCK).alias("block"), F.xxhash64(ROW).alias("some"), F.explode(words).alias("word"))
-    distinct = rows.groupBy("block", "word").agg(F.max("some").alias("some"))
-    encoded = encode_words(distinct, ["block"], vocab, ["some"])
-    kind = texts.schema[ROW].dataType.simpleString()
-    schema = f"{ROW} {kind}, ids array<int>, n_tokens long, round_trip boolean"
-    dealt = texts.groupBy(BLOCK).cogroup(encoded.groupBy("block"))
-    return spread(dealt.applyInArrow(_assemble(vocab), schema), ROW, "ids", "n_tokens", "round_trip")
+    spark, kind = docs.sparkSession, _letter_or_symbol(vocab)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).cast("int").alias("_none")]
+    rows = docs.select(F.struct(*rest).alias(ROW), _marked(F.col("text")).cast("binary").alias(TEXT))
+    blocks = kept(rows.mapInArrow(_blocks, f"{BLOCK} long, payload binary"))
+    message = f"bucket int, {BLOCK} long, units int, size long, payload binary"
+    asks = blocks.mapInArrow(_asking(kind, buckets), message).repartition(buckets, "bucket")
+    different = asks.groupBy("bucket").applyInArrow(_different, "bucket int, word string")
+    encoded = encode_words(different.repartition(buckets, "bucket"), ["bucket"], vocab)
+    replies = asks.groupBy("bucket").cogroup(encoded.groupBy("bucket")).applyInArrow(_replying(vocab), f"{BLOCK} long, bucket int, units int, size long, payload binary")
+    schema = f"{ROW} {rows.schema[ROW].dataType.simpleString()}, ids array<int>, n_tokens long, round_trip boolean"
+    out = blocks.groupBy(BLOCK).cogroup(replies.groupBy(BLOCK)).applyInArrow(_assembling(vocab, kind, buckets), schema)
+    return spread(out, ROW, "ids", "n_tokens", "round_trip")
 
 
 def decode(rows: DataFrame, vocab: Vocabulary, column: str = "ids") -> DataFrame:
@@ -355,7 +472,7 @@ def decode(rows: DataFrame, vocab: Vocabulary, column: str = "ids") -> DataFrame
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [b"".join(raw[i] for i in ids or ()).decode("utf-8", "replace")[1:] for ids in batch["_ids"].to_pylist()]
-            yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "text": pa.array(found, pa.string())})
+            yield pa.RecordBatch.from_pydict({"_row": A.loose(batch["_row"]), "text": pa.array(found, pa.string())})
 
     rest = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "text"]).alias("_row"), F.col(f"`{column}`").alias("_ids"))
     return spread(rest.mapInArrow(texts, f"_row {rest.schema['_row'].dataType.simpleString()}, text string"), "_row", "text")

@@ -210,7 +210,7 @@ def _scores(order: int, prior: float, buckets: int, facts: Facts) -> Callable[[p
             return np.add.reduceat(np.append(x, 0), np.stack((inner, grams.first[1:]), 1).ravel())[::2]
 
         return pa.table({
-            ROW: table[ROW], "n_tokens": np.diff(grams.first) - 1, "n_known": per_text((single > 0).astype(np.int64)),
+            ROW: A.loose(table[ROW]), "n_tokens": np.diff(grams.first) - 1, "n_known": per_text((single > 0).astype(np.int64)),
             "train_tokens": np.full(table.num_rows, facts.tokens), "base_score": per_text(chance), "score": _walk(grams, counts, facts, prior),
         })
 

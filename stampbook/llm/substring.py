@@ -73,7 +73,7 @@ def _rows(table: pa.Table, seq: Sequence, gone: np.ndarray, data: np.ndarray, st
     total = np.concatenate(([0], np.cumsum(gone)))
     raw = data.tobytes()
     kept = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    return pa.table({ROW: table[ROW], "kept_text": pa.array(kept, pa.string()), "n_words": np.diff(seq.first), "n_removed": total[seq.first[1:]] - total[seq.first[:-1]]})
+    return pa.table({ROW: A.loose(table[ROW]), "kept_text": pa.array(kept, pa.string()), "n_words": np.diff(seq.first), "n_removed": total[seq.first[1:]] - total[seq.first[:-1]]})
 
 
 def remove_repeated_passages(docs: DataFrame, window: int = WINDOW_WORDS, minimiser: int = MINIMISER_WORDS, in_place: bool = False) -> DataFrame:

@@ -248,7 +248,7 @@ def _result(table: pa.Table, seq: Sequence, gone: np.ndarray) -> pa.Table:
     upto = (seq.first - total[seq.first]).tolist()
     kept = pa.array([raw[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)], pa.binary())
     lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), spans)
-    return pa.table({ROW: table[ROW], "kept": kept, "n_bytes": np.diff(seq.first), "n_removed": removed, "spans": lists})
+    return pa.table({ROW: A.loose(table[ROW]), "kept": kept, "n_bytes": np.diff(seq.first), "n_removed": removed, "spans": lists})
 
 
 def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW_BYTES, minimiser: int = MINIMISER_BYTES) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,13 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.llm import arrays as A
-from stampbook.llm.columns import spread
 from stampbook.llm.working import kept
 
 MOST_FIT_ROWS = 20_000  # labelled rows the classifier is fitted on, those with the smallest hash of doc_id
 FEWEST_DOCUMENTS = 5  # of the fitted rows that hold a feature,
 FEWEST_DEVIATIONS = 5.0  # and by how many standard deviations its share of toxic rows must differ
-MOST_FEATURES = 50_000
+MOST_FEATURES = 50_000  # those whose share of toxic rows differs most
 PREFIXES = (4, 5, 6)  # bytes; inflected words share their beginnings
 SHRINKAGE = 0.5  # weight of the squared weights
 SWAP_PENALTY = 5.0  # weight of the squared changes of score under swaps
@@ -162,7 +161,7 @@ def _fit(rows: pa.Table, own: np.ndarray, shrinkage: float, penalty: float, step
     return Model(own, weights[:-1], bias)
 
 
-def _chosen(texts: DataFrame) -> np.ndarray:
+def _chosen(texts: DataFrame, most: int) -> np.ndarray:
     """Hashes of the features: those whose share of toxic texts differs clearly, and identity terms, but not the
     beginnings of these, which a swap would change as well; sorted."""
     total = texts.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
@@ -170,14 +169,14 @@ def _chosen(texts: DataFrame) -> np.ndarray:
     counts = texts.mapInArrow(_counts, "key long, n long, toxic long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
     deviation = F.abs(F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
     clear = counts.where(F.col("n") >= FEWEST_DOCUMENTS).select("key", deviation.alias("deviation")).where(F.col("deviation") >= FEWEST_DEVIATIONS)
-    best = clear.orderBy(F.desc("deviation"), "key").limit(MOST_FEATURES).select("key").toArrow()["key"]
+    best = clear.orderBy(F.desc("deviation"), "key").limit(most).select("key").toArrow()["key"]
     clear_keys = np.asarray(best.combine_chunks()).view(np.uint64)
     beginnings = np.concatenate([_all_hashes(group)[len(group) :] for group in IDENTITY_GROUPS])
     return np.union1d(np.setdiff1d(clear_keys, beginnings), np.concatenate(_term_hashes()))
 
 
-def fit(labelled: DataFrame, rows: int = MOST_FIT_ROWS, penalty: float = SWAP_PENALTY, shrinkage: float = SHRINKAGE) -> Model:
-    """The classifier of labelled texts (doc_id, text, toxic), from at most ``rows`` of them.
+def fit(labelled: DataFrame, rows: int = MOST_FIT_ROWS, penalty: float = SWAP_PENALTY, shrinkage: float = SHRINKAGE, features: int = MOST_FEATURES) -> Model:
+    """The classifier of labelled texts (doc_id, text, toxic), from at most ``rows`` of them and with at most ``features`` words.
 
     Rows without a label don't count. Features are chosen from counts, and weights are fitted in one task
     that holds the few chosen features of the texts, which ``rows`` bounds.
@@ -185,7 +184,7 @@ def fit(labelled: DataFrame, rows: int = MOST_FIT_ROWS, penalty: float = SWAP_PE
     chosen = labelled.where("toxic is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = labelled.where("toxic is not null").join(F.broadcast(chosen), "doc_id", "left_semi")
     texts = kept(texts.select(F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("binary").alias("text")))
-    keys = _chosen(texts)
+    keys = _chosen(texts, features)
     lists = texts.mapInArrow(_rows(keys), "toxic int, features array<int>")
 
     def fitted(table: pa.Table) -> pa.Table:
@@ -198,23 +197,26 @@ def fit(labelled: DataFrame, rows: int = MOST_FIT_ROWS, penalty: float = SWAP_PE
     return Model(keys, np.asarray(found["weight"].combine_chunks()), found["bias"][0].as_py())
 
 
+def scorer(model: Model) -> Callable[[Column], Column]:
+    """The score (0 to 1) of a column of texts. Only the texts go to Python, in Arrow batches that are read in slices."""
+
+    def score(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text.cast(pa.large_binary())], ["text"])
+        found = [model.scores(*A.texts(part["text"])) for part in A.slices(batch, "text")]
+        return pa.array(np.concatenate([*found, np.zeros(0)]))
+
+    return F.arrow_udf(score, "double")
+
+
 def toxicity(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
     """All columns of docs but text (unless with_text), and score (0 to 1).
 
     A text is judged by the different words and beginnings of words in it, whole. Nulls and empty texts get the score of a text
-    without known words. Repeated rows get the same score; an empty table gives no rows; extra columns
-    pass through. A model fitted on no rows gives 0.5 throughout.
+    without known words; so do texts of any length without one. Repeated rows get the same score; an empty table gives no rows; extra columns
+    pass through, one named score gives way. A model fitted on no rows gives 0.5 throughout.
     """
-    rest = [F.col(f"`{c}`") for c in docs.columns if with_text or c != "text"]
-    rows = docs.select(F.struct(*rest).alias("_row"), F.col("text").cast("binary").alias("_text"))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in A.slices(batch, "_text"):
-                yield pa.RecordBatch.from_pydict({"_row": part["_row"], "score": model.scores(*A.texts(part["_text"]))})
-
-    kind = rows.schema["_row"].dataType.simpleString()
-    return spread(rows.mapInArrow(scored, f"_row {kind}, score double"), "_row", "score")
+    rest = [F.col(f"`{c}`") for c in docs.columns if (with_text or c != "text") and c.lower() != "score"]
+    return docs.select(*rest, scorer(model)(F.col("text")).alias("score"))
 
 
 def held_out() -> Column:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stampbook.llm import arrays as A
 from stampbook.llm.columns import spread
 
 COMPONENTS = 8
@@ -171,7 +172,7 @@ def _projected(middle: np.ndarray, rest: np.ndarray, exact_rest: np.ndarray, n:
             wide = pa.array(deviation).cast(pa.decimal128(38, 0)) if deviation.dtype == np.int64 else pa.array([int(v) if v < 10**38 else None for v in deviation], pa.decimal128(38, 0))
             z = (y - rest) @ axes
             lists = pa.FixedSizeListArray.from_arrays(pa.array(z.ravel()), z.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "deviation": wide, "z": lists})
+            yield pa.RecordBatch.from_pydict({"_row": A.loose(batch["_row"]), "deviation": wide, "z": lists})
 
     return of
 

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared(spark: SparkSession) -> None:
-    """Uses the folder the cluster names in spark.checkpoint.dir; sets one of its own only where it names none."""
+    """Uses the folder the cluster names in spark.checkpoint.dir; one of this machine's only where master is local."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.isLocal:
+            raise ValueError("spark.checkpoint.dir is not set")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
 
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stampbook.llm import arrays as A
 from stampbook.llm.columns import spread
 
 SALTS = 16  # tasks that align a host's streams before their wrappers meet
@@ -427,7 +428,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known.clear() if len(known) > 1000 else None
                 known[stream] = slots(_load(stream)) if stream else set()
             out.append(article(parse(source), known[stream], set(template or ())))
-        yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "text": pa.array(out, pa.string())})
+        yield pa.RecordBatch.from_pydict({"_row": A.loose(batch["_row"]), "text": pa.array(out, pa.string())})
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rolebook.compare import connect, differences
-from stampbook.llm import decontamination, pieces, quality, scoring, simhash, substring, suffix, tokens, toxicity, wrappers
+from stampbook.llm import decontamination, licences, pieces, quality, scoring, simhash, substring, suffix, tokens, toxicity, wrappers
 from stampbook.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,6 +25,7 @@ OPERATORS = {
     "pieces": lambda spark, docs: pieces.encode(docs, pieces.vocabulary()),
     "quality": lambda spark, docs: quality.quality(docs),
     "toxicity": lambda spark, docs: toxicity.toxicity(docs, toxicity.fit(docs.select("doc_id", "text", F.lit(0).alias("toxic")))),
+    "licences": lambda spark, docs: licences.licence_scan(docs),
     "wrappers": lambda spark, docs: wrappers.extract_text(docs),
 }
 
@@ -82,11 +83,30 @@ def test_pipeline_keeps_one_row_of_each_near_duplicate_group(spark):
     assert sorted((str(r.doc_id), r.text) for r in found.collect()) == sorted((str(i), t) for i, t in want)
 
 
+def test_pipeline_stages_keep_columns_of_any_name_and_odd_rows(spark):
+    """Columns named like the stages' own results, null ids, null and empty texts, repeated rows, no n_chars; an empty table."""
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").limit(60)
+    odd = spark.createDataFrame([(None, None), (None, ""), (1, "one two"), (1, "one two"), (None, "z " * 4000)], "doc_id long, text string")
+    extra = {c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in ("score", "n_words", "n_hit", "contaminated", "items", "_hash", "_whole", "kept_text", "_first", "_in_doc_id")}
+    docs = rows.unionByName(odd).withColumns(extra)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, FOLDER).cache()
+        assert found.columns == docs.columns, name
+        for r in found.collect():
+            assert r.score == f"score of {'none' if r.doc_id is None else r.doc_id}" and r._hash.startswith("_hash of") and r.n_words.startswith("n_words of"), name
+        assert stage(spark, docs.where("false"), FOLDER).collect() == [], name
+        docs = found
+    last = corpus_pipeline.encoded(spark, docs.withColumn("ids", F.lit("mine")), FOLDER)
+    assert last.columns.count("ids") == 1 and "contaminated" in last.columns
+    assert last.count() == docs.count() > 30
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run_over_whole_tables(spark, name):
     found = QUERIES[name](spark, FOLDER).collect()
-    table = "pages" if name.startswith("op8") else "documents"
-    assert len(found) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count() or name.startswith("op5")
+    table = "pages" if name.startswith("op8") else "embeddings" if name.startswith("op13") else "documents"
+    size = spark.read.parquet(f"{FOLDER}/{table}.parquet").count() * (8 if name.startswith("op13") else 1)
+    assert len(found) == size or name.startswith(("op5", "op12"))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
