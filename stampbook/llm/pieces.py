@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,9 @@ from pyspark.sql import functions as F
 from stampbook.llm import arrays as A
 from stampbook.llm.blocks import BLOCK, ROW, TEXT
 from stampbook.llm.columns import let, spread
-from stampbook.llm.working import kept
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20  # of text
+BLOCK_BYTES = 8 << 20  # of text
 UNKNOWN_PENALTY = 10.0  # below the lowest piece, for a character that no piece is
 
 SPACE = "▁"
@@ -358,6 +358,7 @@ def _replying(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """For each block and bucket the ids of the units it asked for, in that order."""
     by_piece = {p: (i, s) for i, (p, s) in enumerate(zip(vocab.pieces, vocab.scores, strict=True)) if p}
     schema = pa.schema([(BLOCK, pa.int64()), ("bucket", pa.int32()), ("units", pa.int32()), ("size", pa.int64()), ("payload", pa.binary())])
+    wide = len(vocab.pieces) > 1 << 16
 
     def of_character(code: int) -> list[int]:
         found = by_piece.get(chr(code))
@@ -402,7 +403,8 @@ def _replying(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
         rows = []
         for row, w in enumerate(wanted):
             at = by_name[np.searchsorted(known, w, sorter=by_name)]
-            packed, size = _packed(counts[at].astype(np.int32), flat[A.ranges(upto[:-1][at], counts[at])].astype(np.int32))
+            told = np.asarray(pc.binary_length(asked[row])).astype(np.uint8)  # the length's last byte, as a check
+            packed, size = _packed(told, counts[at].astype(np.int32), flat[A.ranges(upto[:-1][at], counts[at])].astype(np.int32 if wide else np.uint16))
             rows.append({BLOCK: asks[BLOCK][row].as_py(), "bucket": asks["bucket"][row].as_py(), "units": len(w), "size": size, "payload": packed})
         return pa.Table.from_pylist(rows, schema)
 
@@ -414,19 +416,23 @@ def _assembling(vocab: Vocabulary, kind: np.ndarray, buckets: int) -> Callable[[
     raw = vocab.raw()
     sizes = np.array([len(x) for x in raw])
     joined, begins = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    wide = len(raw) > 1 << 16
 
     def assembling(block: pa.Table, replies: pa.Table) -> pa.Table:
         table = _opened(block["payload"][0])
         data, offsets = A.texts(table[TEXT])
         starts, ends, text = _units(data, offsets, kind)
-        _, _, number, _ = _asked(data, starts, ends, buckets)
-        counts, ids = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        first, _, number, _ = _asked(data, starts, ends, buckets)
+        asked = (ends - starts)[first].astype(np.uint8)
+        counts, ids, told = [np.zeros(0, np.uint16)], [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)]
         for row in np.argsort(np.asarray(replies["bucket"])):
-            values = np.frombuffer(_unpacked(replies["payload"][row], replies["size"][row]), np.int32)
-            n = replies["units"][row].as_py()
-            counts.append(values[:n])
-            ids.append(values[n:])
+            values, n = _unpacked(replies["payload"][row], replies["size"][row]), replies["units"][row].as_py()
+            told.append(np.frombuffer(values, np.uint8, n))
+            counts.append(np.frombuffer(values, np.int32, n, n))
+            ids.append(np.frombuffer(values, np.int32, -1, 5 * n) if wide else np.frombuffer(values, np.uint16, -1, 5 * n))
         counts, flat = np.concatenate(counts), np.concatenate(ids)
+        if len(counts) != len(first) or not np.array_equal(asked, np.concatenate(told)):
+            raise ValueError("the texts of a block changed between two readings of the table")
         upto = np.concatenate(([0], np.cumsum(counts)))
         per_unit = counts[number]
         ids = flat[A.ranges(upto[:-1][number], per_unit)]
@@ -447,14 +453,16 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     Texts get a space before them, spaces become marks, and words are taken with the spaces before them (no
     piece has a mark after another character) and cut into pieces as the model's kind says; characters
     without a piece are cut into bytes. Each different word of the table meets the pieces once: blocks of texts ask
-    buckets of words, which send the ids back. Nulls and empty texts have no ids. Repeated rows
+    buckets of words, which send the ids back. ``docs`` must give the same rows in the same order when Spark reads lost
+    parts again, as a table does; otherwise the job fails rather than mix texts up. Nulls and empty texts have no ids. Repeated rows
     give repeated rows; an empty table gives no rows; extra columns pass through; those with a name of the result give way.
     """
-    spark, kind = docs.sparkSession, _letter_or_symbol(vocab)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = _letter_or_symbol(vocab)
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).cast("int").alias("_none")]
     rows = docs.select(F.struct(*rest).alias(ROW), _marked(F.col("text")).cast("binary").alias(TEXT))
-    blocks = kept(rows.mapInArrow(_blocks, f"{BLOCK} long, payload binary"))
+    # dealt once; both uses read the same exchange
+    blocks = rows.mapInArrow(_blocks, f"{BLOCK} long, payload binary").repartition(buckets, BLOCK)
     message = f"bucket int, {BLOCK} long, units int, size long, payload binary"
     asks = blocks.mapInArrow(_asking(kind, buckets), message).repartition(buckets, "bucket")
     different = asks.groupBy("bucket").applyInArrow(_different, "bucket int, word string")
