@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import re
 from datetime import date, datetime, timedelta
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from rolebook.oracle import A, E, LAUNCH, day
+from rolebook.oracle import A, E, LAUNCH, day, oracle
 from rolebook.queries_activity import active_earners, activity_time_series, nursery_time_series
 from rolebook.registry import ORACLES, Bound, query
 from rolebook.roles import AS_OF, EVENTS_AS_OF, SCHEME
 from stampbook.dq import checks, metrics, rollup
 from stampbook.dq.registry import CHECKS, check
 from stampbook.plans import activity, crm, jobs
-from stampbook.sources import append_rows, delete_where, incremental_start, sync_replace, upsert
+from stampbook.sources import PeriodTable, append_rows, applied, delete_where, incremental_start, row_changes, shared_folder, sync_replace, upsert
 from stampbook.streaming import daily_activity
 
 # --- table maintenance: a target as of an older load, and the newest slice ---
@@ -137,6 +138,67 @@ def row_count_monitor(r: Bound):
     return counts.withColumn("failed", F.col("error").isNotNull()).drop("error")
 
 
+_MONITORED = {"orders": "SELECT * FROM {t}", "customer": "SELECT * FROM {t}", "part": "SELECT * FROM {t} WHERE p_size > 10", "lineitem": "SELECT * FROM {t} WHERE raise_error('cannot be read') IS NULL"}
+
+
+@query(
+    "row_count_catalog",
+    """SELECT 'spark_catalog' AS table_catalog, 'default' AS table_schema, 'monitored_orders' AS table_name, CAST(NULL AS VARCHAR) AS table_filter,
+      COUNT(*) AS row_count, TIMESTAMP '2001-08-02 06:00:00' AS checked_at, FALSE AS failed FROM orders
+    UNION ALL SELECT 'spark_catalog', 'default', 'monitored_customer', 'c_acctbal > 100', COUNT(*), TIMESTAMP '2001-08-02 06:00:00', FALSE FROM customer WHERE c_acctbal > 100
+    UNION ALL SELECT 'spark_catalog', 'default', 'monitored_part', NULL, COUNT(*), TIMESTAMP '2001-08-02 06:00:00', FALSE FROM part WHERE p_size > 10
+    UNION ALL SELECT 'spark_catalog', 'default', 'monitored_lineitem', NULL, NULL, TIMESTAMP '2001-08-02 06:00:00', TRUE FROM (SELECT 1)""",
+)
+def row_count_catalog(r: Bound):
+    """Of what the catalog lists, one view fails only when it is read."""
+    for name, sql in _MONITORED.items():
+        r.spark.sql(sql.format(t="{t}"), t=r.table(name)).createOrReplaceTempView(f"monitored_{name}")
+    counts = jobs.catalog_row_counts(r.spark, "default", datetime(2001, 8, 2, 6), {"monitored_customer": "c_acctbal > 100"}, "monitored_*")
+    return counts.withColumn("failed", F.col("error").isNotNull()).drop("error")
+
+
+# --- definitions and mappings follow their source as row changes ---
+
+_OLD_MAPPING = "SELECT check_id, dependency_id, CASE WHEN check_id % 5 = 0 THEN 'Old' ELSE severity END AS severity FROM check_mapping WHERE check_id % 7 <> 3"
+_NEW_MAPPING = "SELECT check_id, dependency_id, severity FROM check_mapping WHERE check_id % 11 <> 4"
+_CHANGES = f"""SELECT COALESCE(n.check_id, o.check_id) AS check_id, COALESCE(n.dependency_id, o.dependency_id) AS dependency_id,
+    CASE WHEN n.check_id IS NULL THEN o.severity ELSE n.severity END AS severity,
+    CASE WHEN o.check_id IS NULL THEN 'insert' WHEN n.check_id IS NULL THEN 'delete' ELSE 'update' END AS change
+    FROM ({_NEW_MAPPING}) n FULL JOIN ({_OLD_MAPPING}) o ON n.check_id = o.check_id AND n.dependency_id = o.dependency_id
+    WHERE o.check_id IS NULL OR n.check_id IS NULL OR n.severity <> o.severity"""
+
+
+def _mapping_changes(r: Bound):
+    return row_changes(r.select(_OLD_MAPPING), r.select(_NEW_MAPPING), ["check_id", "dependency_id"])
+
+
+@query("dq_mapping_changes", _CHANGES)
+def dq_mapping_changes(r: Bound):
+    return _mapping_changes(r)
+
+
+@query("dq_mapping_sync", _NEW_MAPPING)
+def dq_mapping_sync(r: Bound):
+    return applied(r.select(_OLD_MAPPING), _mapping_changes(r), ["check_id", "dependency_id"])
+
+
+# --- the log of checks and their history, as a run leaves them ---
+
+_LOGGED = (5, 14, 29, 67)
+
+
+@query("dq_check_log")
+def dq_check_log(r: Bound):
+    """Two runs: the failed rows that each writes first are replaced by its results."""
+    log = PeriodTable(r.spark, f"{shared_folder(r.spark)}/tables/check_log-{uuid4().hex}", "dts", "month")
+    history = PeriodTable(r.spark, f"{shared_folder(r.spark)}/tables/history-{uuid4().hex}", "dts", "month")
+    tables = {name: r.select(CHECK_TABLES[name]) for name in ("credits", "account_archive", "order_items", "visits")}
+    for _ in range(2):
+        context = checks.Context(as_of=AS_OF, history=history.read() if history.exists() else None)
+        checks.record_checks(r.spark, [check(i) for i in _LOGGED], tables, context, log, "run", history)
+    return log.read().drop("definition", "run_duration_seconds").withColumn("error_message", F.lit(None).cast("string"))
+
+
 # --- daily counts, duplicates, history ---
 
 CONTEXT = checks.Context(as_of=AS_OF)
@@ -405,6 +467,15 @@ def _status_sql(spec: checks.CheckSpec) -> str:
     return f"SELECT {spec.check_id} AS check_id, {' AND '.join(_RULE_SQL[type(rule)](rule) for rule in spec.rules)} AS status"
 
 
+ORACLES["dq_check_log"] = oracle(
+    "\nUNION ALL ".join(
+        f"""SELECT check_id, status, CAST(NULL AS VARCHAR) AS error_message, TIMESTAMP '{AS_OF} 06:00:00' AS dts, 'run' AS run_url
+        FROM ({_status_sql(check(i))})"""
+        for i in _LOGGED
+    )
+)
+
+
 @query("dq_check_results", "\nUNION ALL ".join(map(_status_sql, CHECKS)))
 def dq_check_results(r: Bound):
     """All 69 checks in one run."""

@@ -70,6 +70,20 @@ for _name in ("activity_time_series", "active_earners", "nursery_time_series"):
     ORACLES[f"{_name}_upsert"] = ORACLES[_name]
 
 
+# --- the nursery series from a kept state of each wallet: a first run a while ago, then one that reads no older scan ---
+
+
+@query("nursery_time_series_state")
+def nursery_time_series_state(r: Bound):
+    series, state = _table(r, "nursery", "full_date"), _table(r, "nursery_state", "state_day")
+    for as_of in (AS_OF - timedelta(days=45), AS_OF - timedelta(days=20), AS_OF):
+        incremental.nursery_with_state(series, state, r.scans.filter(F.col("visit_dt") < F.lit(as_of)), r.calendar, as_of, SCHEME.series_start, SCHEME)
+    return series.read()
+
+
+ORACLES["nursery_time_series_state"] = ORACLES["nursery_time_series"]
+
+
 # --- order participation: the first run lacks every fifth order; the second reads the last seven days ---
 
 FIRST_RUN = AS_OF - timedelta(days=3)

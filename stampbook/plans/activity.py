@@ -256,11 +256,29 @@ def nursery_time_series(
     than 92 days back, nursery with fewer than four scans and the last at most
     30 days back, reactivated when D itself follows a gap of more than 92 days.
     """
-    per_day = (
-        scans.filter(on_days("event_ts", scheme.launch, as_of))
-        .groupBy("wallet_id", F.to_date("event_ts").alias("scan_day"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return nursery_from_days(scan_counts(scans, scheme.launch, as_of), spine, scheme)
+
+
+def scan_counts(scans: DataFrame, first: date | None, before: date | None) -> DataFrame:
+    """wallet_id, scan_day and n, the scans of a wallet on a day."""
+    per_day = scans.filter(on_days("event_ts", first, before)).groupBy("wallet_id", F.to_date("event_ts").alias("scan_day"))
+    return per_day.agg(F.count(F.lit(1)).alias("n"))
+
+
+def last_scans(state: DataFrame | None, counts: DataFrame) -> DataFrame:
+    """The state of each wallet, its last scan_day and its number of scans so far (n), moved on by later ``scan_counts``.
+
+    The state has the columns of ``scan_counts``: a wallet's past is one day with all its scans.
+    """
+    rows = counts if state is None else state.select(*counts.columns).unionByName(counts)
+    return rows.groupBy("wallet_id").agg(F.max("scan_day").alias("scan_day"), F.sum("n").alias("n"))
+
+
+def nursery_from_days(per_day: DataFrame, spine: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
+    """``nursery_time_series`` from ``scan_counts``, or from a wallets' state (``last_scans``) and the counts after it.
+
+    With a state, the days of ``spine`` must lie after the day before the state's last.
+    """
     history = Window.partitionBy("wallet_id").orderBy("scan_day")
     days = per_day.select(
         "scan_day",

@@ -18,6 +18,7 @@ from stampbook.functions import (
 )
 from stampbook.operators import (
     attach_scan,
+    distinct_by_fold,
     latest_per_key,
     met_in_intervals,
     next_event_day,
@@ -620,17 +621,24 @@ def _redeeming_channel(coupons: DataFrame, scans: DataFrame, as_of: date, scheme
     return attach_scan(coupons, points, "coupn_redm_ts")
 
 
-def _coupon_measures() -> list[Column]:
+COUPON_MONEY = ("redemption_value", "cost_store", "cost_online")
+
+
+def _coupon_sums() -> dict[str, Column]:
     online, store = F.col("_channel") == "ECOM", F.col("_channel") != "ECOM"
     count, value = F.col("rdmpt_cnt"), F.col("rdmpt_val")
-    return [
-        F.sum(count).alias("redemption_count"),
-        minor_to_major(F.sum(value)).alias("redemption_value"),
-        F.sum(F.when(store, count)).alias("redemptions_store"),
-        F.sum(F.when(online, count)).alias("redemptions_online"),
-        minor_to_major(F.sum(F.when(store, value))).alias("cost_store"),
-        minor_to_major(F.sum(F.when(online, value))).alias("cost_online"),
-    ]
+    return {
+        "redemption_count": count,
+        "redemption_value": value,
+        "redemptions_store": F.when(store, count),
+        "redemptions_online": F.when(online, count),
+        "cost_store": F.when(store, value),
+        "cost_online": F.when(online, value),
+    }
+
+
+def _coupon_measures() -> list[Column]:
+    return [(minor_to_major(F.sum(v)) if name in COUPON_MONEY else F.sum(v)).alias(name) for name, v in _coupon_sums().items()]
 
 
 def coupon_daily_redemptions(
@@ -669,14 +677,15 @@ def coupon_summary(
     scanned = scanned_in_window(targets, days).filter("scanned").select("cmpgn_id", "wallet_id", "scanned")
     rows = _redeeming_channel(current, scans, as_of, scheme).join(scanned, ["cmpgn_id", "wallet_id"], "left")
     redeemed = F.col("coupn_redm_ts").isNotNull()
-    totals = rows.groupBy("cmpgn_id").agg(
-        F.countDistinct("acct_id").alias("allocated"),
-        F.countDistinct(F.when(F.col("scanned"), F.col("acct_id"))).alias("allocated_scanned"),
-        F.lit(0).alias("wallets"),
-        F.count(F.when(redeemed, F.col("acct_id"))).alias("redemptions"),
-        F.countDistinct(F.when(redeemed, F.col("wallet_id"))).alias("redeemers"),
-        *_coupon_measures(),
-    )
+    totals = distinct_by_fold(
+        rows,
+        ["cmpgn_id"],
+        {
+            "acct": (F.col("acct_id"), {"allocated": None, "allocated_scanned": F.col("scanned")}),
+            "wallet": (F.col("wallet_id"), {"redeemers": redeemed}),
+        },
+        {"redemptions": (redeemed & F.col("acct_id").isNotNull()).cast("long"), **_coupon_sums()},
+    ).withColumns({"wallets": F.lit(0), **{name: minor_to_major(F.col(name)) for name in COUPON_MONEY}})
     listed = details.filter(
         ((F.col("prime_win") == F.col("win")) | F.col("win").isNull()) & on_days("cmpgn_start_ts", None, as_of)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stampbook.functions import day_window, first_match, ratio
-from stampbook.operators import first_per_key, window_sums
+from stampbook.operators import distinct_by_fold, first_per_key, window_sums
 
 RECEIPT = ("visit_dt", "trans_nbr", "reg_nbr", "store_nbr")
 # fixed values: store-visit offsets from the fuel day, nearest first, in days
@@ -209,25 +209,12 @@ def _customer_level(rows: DataFrame, as_of: date) -> DataFrame:
 def _visit_level(rows: DataFrame, start: date) -> DataFrame:
     keys = ["store_nbr", "visit_dt", "prod_type"]
     since = rows.filter(F.col("visit_dt") >= F.lit(start))
-    receipt = F.struct(*RECEIPT)
-
-    def receipts(condition: Column | None = None) -> Column:
-        return F.countDistinct(receipt if condition is None else F.when(condition, receipt))
-
-    return since.groupBy(*keys).agg(
-        F.countDistinct("wallet_id").alias("eof_custs"),
-        F.countDistinct(F.when(F.col("first_fuel") == 1, F.col("wallet_id"))).alias("dist_eof_custs"),
-        receipts().alias("visits"),
-        F.sum("total_sales").cast("double").alias("total_sales"),
-        F.sum("total_units").cast("double").alias("total_units"),
-        receipts(F.col("ar_visit") == 1).alias("ar_visits"),
-        F.sum("ar_sales").cast("double").alias("ar_sales"),
-        F.sum("ar_units").cast("double").alias("ar_units"),
-        receipts(F.col("ar_visit") == 0).alias("non_ar_visits"),
-        F.sum("non_ar_sales").cast("double").alias("non_ar_sales"),
-        F.sum("non_ar_units").cast("double").alias("non_ar_units"),
-        F.sum("earn").alias("earn"),
-        F.sum("first_ar_visit").alias("new_signup"),
-        *[F.sum(f"sv_{f}_flag").alias(f"cross_shop_{f}") for f in CROSS_SHOP_FRAMES],
-        *[F.sum(f"cs_spv_{f}").alias(f"cs_spv_{f}") for f in CROSS_SHOP_FRAMES],
-    )
+    ids = {
+        "receipt": (F.struct(*RECEIPT), {"visits": None, "ar_visits": F.col("ar_visit") == 1, "non_ar_visits": F.col("ar_visit") == 0}),
+        "wallet": (F.col("wallet_id"), {"eof_custs": None, "dist_eof_custs": F.col("first_fuel") == 1}),
+    }
+    doubles = [f"{kind}_{what}" for kind in ("total", "ar", "non_ar") for what in ("sales", "units")]
+    sums = {c: F.col(c) for c in (*doubles, "earn")} | {"new_signup": F.col("first_ar_visit")}
+    for f in CROSS_SHOP_FRAMES:
+        sums |= {f"cross_shop_{f}": F.col(f"sv_{f}_flag"), f"cs_spv_{f}": F.col(f"cs_spv_{f}")}
+    return distinct_by_fold(since, keys, ids, sums).withColumns({c: F.col(c).cast("double") for c in doubles})

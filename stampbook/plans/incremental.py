@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stampbook.functions import on_days
 from stampbook.plans import activity, crm, jobs
 from stampbook.scheme import Scheme
-from stampbook.sources import PeriodTable, incremental_start, upsert
+from stampbook.sources import PeriodTable, incremental_start, staged, upsert
 
 TRAILING_DAYS = 31
 
@@ -96,6 +96,45 @@ def nursery_time_series(
     return refreshed(target, calendar_days, as_of, full_start, build)
 
 
+def nursery_with_state(
+    series: PeriodTable,
+    state: PeriodTable,
+    scans: DataFrame,
+    calendar_days: DataFrame,
+    as_of: date,
+    full_start: date,
+    scheme: Scheme = Scheme(),
+    trailing_days: int = TRAILING_DAYS,
+) -> list[str]:
+    """``activity.nursery_time_series`` brought up to date from a kept state of each wallet, without the scan history.
+
+    ``state`` holds a row per wallet in one folder: its last scan and number of scans up to the column ``state_day``.
+    A run moves it on by the scans before the series' trailing window, builds the window's days from
+    the state and the scans since, and merges them. Only the first run, without a state, reads the history, and builds the
+    whole series; a state that is already beyond the window (a run for an earlier day) raises.
+    """
+    fresh = not state.exists()
+    window = as_of - timedelta(days=trailing_days - 1)
+    until = window - timedelta(days=1)  # a row for a day looks at the scans of the next one
+    since, before = scheme.launch, None
+    if not fresh:
+        held = state.read().agg(F.max("state_day").alias("day")).first()["day"]
+        if held > until:
+            raise ValueError(f"the state is of {held}, after {until}")
+        before, since = state.read().drop("state_day"), held + timedelta(days=1)
+    moved = activity.last_scans(before, activity.scan_counts(scans, since, until + timedelta(days=1)))
+    with staged(moved.withColumn("state_day", F.lit(until)), "state") as now:
+        if fresh:
+            past, first = activity.scan_counts(scans, scheme.launch, as_of), full_start
+        else:
+            past, first = now.drop("state_day").unionByName(activity.scan_counts(scans, until + timedelta(days=1), as_of)), window
+        days = calendar_days.filter(F.col("day_date").between(F.lit(first), F.lit(as_of))).select(F.col("day_date").alias("full_date"))
+        touched = series.merge(activity.nursery_from_days(past, days, scheme), ("full_date",))
+        # the next run moves on from here; the series does not depend on this write
+        state.write(now)
+    return touched
+
+
 # --- jobs that take their lower bound from what the target holds, merge on several keys and prune ---
 
 PARTICIPATION_KEYS = ("delivery_dt", "order_dt", "store_id")

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stampbook.functions import on_days, profile_or_wallet, ratio
+from stampbook.operators import distinct_by_fold
 from stampbook.plans.bases import new_to_brand
 from stampbook.scheme import Scheme
+from stampbook.sources import catalog_tables
 
 
 def order_participation(
@@ -55,14 +57,16 @@ def order_participation(
         .join(matched, "web_order_id", "left")
     )
     amount = F.coalesce(F.col("pos_tot_amt"), F.lit(0))
-    totals = rows.groupBy("delivery_dt", "order_dt", "store_id").agg(
-        F.countDistinct("web_order_id").alias("total_orders"),
-        F.countDistinct(F.when(F.col("_scanned"), F.col("web_order_id"))).alias("reward_orders"),
-        F.countDistinct("singl_profl_id").alias("total_customers"),
-        F.countDistinct("wallet_id").alias("reward_customers"),
-        F.sum(amount).cast("double").alias("total_sales"),
-        F.sum(F.when(F.col("_scanned"), amount).otherwise(0)).cast("double").alias("reward_sales"),
-    )
+    totals = distinct_by_fold(
+        rows,
+        ["delivery_dt", "order_dt", "store_id"],
+        {
+            "order": (F.col("web_order_id"), {"total_orders": None, "reward_orders": F.col("_scanned")}),
+            "customer": (F.col("singl_profl_id"), {"total_customers": None}),
+            "wallet": (F.col("wallet_id"), {"reward_customers": None}),
+        },
+        {"total_sales": amount, "reward_sales": F.when(F.col("_scanned"), amount).otherwise(0)},
+    ).withColumns({c: F.col(c).cast("double") for c in ("total_sales", "reward_sales")})
 
     def weeks(day: str, alias: str) -> DataFrame:
         return calendar_days.select(F.col("day_date").alias(day), F.col("retail_week").alias(alias))
@@ -213,6 +217,21 @@ def counted_rows(
         return spark.createDataFrame([row], columns)
 
 
+def catalog_row_counts(
+    spark: SparkSession,
+    database: str,
+    checked_at: datetime,
+    filters: Mapping[str, str] | None = None,
+    pattern: str | None = None,
+    catalog: str = "spark_catalog",
+) -> DataFrame:
+    """``counted_rows`` of all tables and views that the catalog lists for a database.
+
+    A count without a filter has no columns to read: of Parquet files Spark reads the row counts in their footers.
+    """
+    return counted_rows(spark, catalog_tables(spark, database, pattern), checked_at, filters, catalog, database)
+
+
 def row_count_monitor(
     spark: SparkSession,
     tables: Mapping[str, Callable[[], DataFrame]],

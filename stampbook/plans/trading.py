@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stampbook.functions import minor_to_major, on_days, strip_check_digit
-from stampbook.operators import first_days, reach_in_intervals, salted_join, scan_points, with_total_row
+from stampbook.operators import first_days, hot_split_join, reach_in_intervals, scan_points, with_total_by_fold, with_total_row
 from stampbook.plans.campaigns import (
     STAR_TYPES,
     item_columns,
@@ -74,7 +74,7 @@ def epos_items_daily(
     """Baskets, items and spend on star products per campaign, day and channel.
 
     A best-selling item can hold a large share of all basket lines, so the join
-    on the item number is salted by basket.
+    on the item number splits such items by basket.
     """
     products = star_products.select(
         "activity_type",
@@ -94,24 +94,19 @@ def epos_items_daily(
         "sale_amt_inc_vat",
         F.when(F.col("channel_src_id") == 2, "Online Only").otherwise("In-store Only").alias("chnl_nm"),
     )
-    sold = salted_join(lines, products, ["cons_item_nbr"], ["basket_id"]).filter(
+    sold = hot_split_join(lines, products, ["cons_item_nbr"], ["basket_id"]).filter(
         F.col("visit_dt").between(F.col("_from"), F.col("_to"))
     )
     keys = ["activity_type", "cmpgn_nm", "cmpgn_id", "visit_dt"]
-    # lines of one basket fold together before the rows are expanded for the total
-    baskets = sold.groupBy(*keys, "chnl_nm", "basket_id").agg(
-        F.sum("unmeasured_qty").alias("qty"), F.sum("sale_amt_inc_vat").alias("amt")
-    )
-    return with_total_row(
-        baskets,
+    totals = with_total_by_fold(
+        sold,
         keys,
         "chnl_nm",
-        [
-            F.countDistinct("basket_id").alias("customers_proxy"),
-            F.sum("qty").alias("items"),
-            F.round(F.sum("amt"), 2).cast("double").alias("spend"),
-        ],
+        "basket_id",
+        {"customers_proxy": None},
+        {"items": F.col("unmeasured_qty"), "spend": F.col("sale_amt_inc_vat")},
     )
+    return totals.withColumn("spend", F.round(F.col("spend"), 2).cast("double"))
 
 
 def star_products_daily(
@@ -137,22 +132,16 @@ def star_products_daily(
         .withColumn("pence", mission_value_pence(scheme))
     )
     keys = ["activity_type", "cmpgn_nm", "cmpgn_id", "visit_dt"]
-    per_wallet = redemptions.groupBy(*keys, "chnl_nm", "wallet_id").agg(
-        F.max(F.when(F.col("visit_dt") == F.col("first_swipe"), F.col("wallet_id"))).alias("first_wallet"),
-        F.sum("rdmpt_cnt").alias("cnt"),
-        F.sum("pence").alias("pence"),
-    )
-    return with_total_row(
-        per_wallet,
+    first = F.col("visit_dt") == F.col("first_swipe")
+    totals = with_total_by_fold(
+        redemptions,
         keys,
         "chnl_nm",
-        [
-            F.countDistinct("wallet_id").alias("customers"),
-            F.countDistinct("first_wallet").alias("first_swipe_customers"),
-            F.sum("cnt").alias("items"),
-            minor_to_major(F.sum("pence")).alias("cashpot"),
-        ],
+        "wallet_id",
+        {"customers": None, "first_swipe_customers": first},
+        {"items": F.col("rdmpt_cnt"), "cashpot": F.col("pence")},
     )
+    return totals.withColumn("cashpot", minor_to_major(F.col("cashpot")))
 
 
 def sp_details(star_products: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
@@ -239,7 +228,7 @@ def sp_redeemers(
         .select("cmpgn_id", "chnl_nm", "wallet_id")
         .distinct()
     )
-    counts = with_total_row(redeemers, ["cmpgn_id"], "chnl_nm", [F.countDistinct("wallet_id").alias("customers")])
+    counts = with_total_by_fold(redeemers, ["cmpgn_id"], "chnl_nm", "wallet_id", {"customers": None})
     return counts.filter("chnl_nm is not null")
 
 

@@ -1,3 +1,4 @@
+from stampbook.sources.changes import applied, row_changes
 from stampbook.sources.files import catalog_tables, newest_file, read_newest, read_table
 from stampbook.sources.maintenance import (
     add_columns,
@@ -13,6 +14,8 @@ from stampbook.sources.versioned import VersionedTable
 
 __all__ = [
     "PeriodTable",
+    "applied",
+    "row_changes",
     "VersionedTable",
     "add_columns",
     "append_rows",

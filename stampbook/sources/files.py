@@ -13,10 +13,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def catalog_tables(spark: SparkSession, database: str) -> dict[str, Callable[[], DataFrame]]:
-    """Loader per table and view of a database, for the row-count monitor."""
-    names = [t.name for t in spark.catalog.listTables(database)]
-    return {name: (lambda name=name: spark.table(f"{database}.{name}")) for name in names}
+def catalog_tables(spark: SparkSession, database: str, pattern: str | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """Loader per table and view of a database, for the row-count monitor; ``pattern`` limits their names (``a*|b*``)."""
+    tables = spark.catalog.listTables(database, pattern) if pattern else spark.catalog.listTables(database)
+    paths = {t.name: f"`{t.name}`" if t.isTemporary else f"`{database}`.`{t.name}`" for t in tables}
+    return {name: (lambda path=path: spark.table(path)) for name, path in paths.items()}
 
 
 def newest_file(spark: SparkSession, folder: str) -> str:
