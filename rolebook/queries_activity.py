@@ -174,7 +174,7 @@ def _spine(r: Bound, start, end):
     WHERE day_date BETWEEN {SERIES} AND {A} GROUP BY day_date""",
 )
 def activity_time_series(r: Bound):
-    return activity.activity_time_series(r.scans, _spine(r, SCHEME.series_start, AS_OF))
+    return activity.activity_time_series(r.scans, _spine(r, SCHEME.series_start, AS_OF), first=SCHEME.series_start, as_of=AS_OF)
 
 
 @query(
@@ -458,7 +458,7 @@ def status_earns(r: Bound):
     UNION ALL SELECT 'Users Not Scanned', COUNT(*) FILTER (WHERE old AND scan IS NULL), COUNT(*) FILTER (WHERE NOT old AND scan IS NULL) FROM b""",
 )
 def status_breakdown(r: Bound):
-    return status_group.status_breakdown(r.accounts, r.scans, SCHEME)
+    return status_group.status_breakdown(r.accounts, r.scans, SCHEME, AS_OF)
 
 
 @query(

@@ -107,7 +107,7 @@ REPORT_SCHEMA = (
 
 
 def run_succeeded_in_schedule(status: Column, schedule: Column, start: Column, now: datetime) -> Column:
-    """Whether the latest run finished and falls in the current schedule slot."""
+    """Whether the latest run finished and falls in the current schedule slot; a finished run of an unknown schedule raises."""
     finished = status.isin("Refresh Successful", "Run Completed")
     today = F.lit(now.date())
     same_half = (F.hour(start) <= 12) == F.lit(now.hour <= 12)
@@ -116,10 +116,11 @@ def run_succeeded_in_schedule(status: Column, schedule: Column, start: Column, n
             (schedule == "Daily", F.to_date(start) == today),
             (schedule == "Weekly", F.datediff(today, F.to_date(start)) < 7),
             (schedule == "Twice Daily", same_half),
+            (schedule == "", F.lit(False)),
         ],
-        F.lit(False),
+        F.raise_error(F.concat(F.lit("unexpected schedule type: "), F.coalesce(schedule, F.lit("none")))).cast("boolean"),
     )
-    return F.coalesce(finished & in_slot & start.isNotNull(), F.lit(False))
+    return F.coalesce(F.when(finished & start.isNotNull(), in_slot), F.lit(False))
 
 
 def run_log(info: DataFrame, definitions: DataFrame, now: datetime) -> DataFrame:

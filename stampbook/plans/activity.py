@@ -85,15 +85,22 @@ def active_time_series(
 # --- rolling distinct counts -------------------------------------------------
 
 
-def activity_time_series(scans: DataFrame, spine: DataFrame, spine_day: str = "full_date") -> DataFrame:
-    """Distinct active wallets in the 1, 7, 30 and 91 days before each spine day."""
+def activity_time_series(
+    scans: DataFrame, spine: DataFrame, spine_day: str = "full_date", first: date | None = None, as_of: date | None = None
+) -> DataFrame:
+    """Distinct active wallets in the 1, 7, 30 and 91 days before each spine day.
+
+    With the spine's ``first`` day and ``as_of``, scans are read from 91 days before it to the day before ``as_of``.
+    """
     windows = {
         "active_prev_d": (1, 1),
         "active_prev_7d": (7, 1),
         "active_prev_30d": (30, 1),
         "active_prev_91d": (91, 1),
     }
-    days = scans.select("wallet_id", F.to_date("event_ts").alias("scan_day"))
+    since = None if first is None else first - timedelta(days=91)
+    read = scans if since is None and as_of is None else scans.filter(on_days("event_ts", since, as_of))
+    days = read.select("wallet_id", F.to_date("event_ts").alias("scan_day"))
     return rolling_distinct(days, "wallet_id", "scan_day", windows, spine, spine_day)
 
 
@@ -108,7 +115,9 @@ def rolling_quarter_active(
         .filter(F.col("month_end") <= F.lit(as_of))
         .select("month_end")
     )
-    seen = scans.select("wallet_id", F.to_date("event_ts").alias("scan_day"))
+    # the last month end may be as_of itself
+    read = scans.filter(on_days("event_ts", start - timedelta(days=days), as_of + timedelta(days=1)))
+    seen = read.select("wallet_id", F.to_date("event_ts").alias("scan_day"))
     return rolling_distinct(
         seen, "wallet_id", "scan_day", {"active_quarter": (days - 1, 0)}, month_ends, "month_end"
     ).filter("active_quarter > 0")

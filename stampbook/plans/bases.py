@@ -78,9 +78,9 @@ def ever_guest() -> Column:
 
 def account_base(accounts: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()) -> DataFrame:
     """One row per account with activity, guest, expiry and balance-band flags."""
-    scan_days = scans.select("wallet_id", F.to_date("event_ts").alias("reg_dt")).distinct().withColumn(
-        "active_ind", F.lit(1)
-    )
+    # only scans of the registration day count, which lies in the same span
+    days = scans.filter(on_days("event_ts", scheme.launch, as_of)).select("wallet_id", F.to_date("event_ts").alias("reg_dt"))
+    scan_days = days.distinct().withColumn("active_ind", F.lit(1))
     registered = (
         accounts.filter(on_days("regtn_ts", scheme.launch, as_of))
         .select(

@@ -68,9 +68,9 @@ def status_earns(missions: DataFrame, scans: DataFrame, as_of: date, scheme: Sch
     )
 
 
-def status_breakdown(accounts: DataFrame, scans: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
-    """Existing against new members: total, scanned since launch, before it, and never."""
-    last = scans.groupBy("wallet_id").agg(F.to_date(F.max("event_ts")).alias("scan"))
+def status_breakdown(accounts: DataFrame, scans: DataFrame, scheme: Scheme = Scheme(), as_of: date | None = None) -> DataFrame:
+    """Existing against new members: total, scanned since launch, before it, and never; by scans before ``as_of``."""
+    last = scans.filter(on_days("event_ts", None, as_of)).groupBy("wallet_id").agg(F.to_date(F.max("event_ts")).alias("scan"))
     rows = (
         accounts.filter("status_id_last_upd_ts is not null")
         .select("wallet_id", F.to_date("regtn_ts").alias("reg_dt"))

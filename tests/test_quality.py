@@ -234,6 +234,17 @@ def test_run_status_flag(spark, status, schedule, start, flag):
     assert flagged.first()["r"] is flag
 
 
+def test_a_finished_run_of_an_unknown_schedule_is_an_error(spark):
+    def flag(status, schedule):
+        df = spark.createDataFrame([(status, schedule, NOW)], "s string, c string, t timestamp")
+        return df.select(rollup.run_succeeded_in_schedule(F.col("s"), F.col("c"), F.col("t"), NOW).alias("r")).first()["r"]
+
+    assert flag("Run Completed", "") is False and flag("Run Failed", "Hourly") is False
+    for schedule in ("Hourly", None):
+        with pytest.raises(Exception, match="unexpected schedule type"):
+            flag("Run Completed", schedule)
+
+
 def test_run_log_states(spark):
     info = spark.createDataFrame(
         [(1, '{"run_id": "7", "state": {"life_cycle_state": "RUNNING"}, "start_time": 1707264000000, "end_time": 0}', NOW),
