@@ -13,6 +13,7 @@ from heapq import heapify, heappop, heappush
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -274,25 +275,29 @@ def _letter_or_symbol(vocab: Vocabulary) -> np.ndarray:
 def _units(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the parts that no piece goes beyond, and the text of each: words with the spaces before
     them, cut between letters and symbols if no piece joins these, and spaces at a text's end."""
-    word_ends = A.words(data, offsets, A.separators(b" "))[1]
+    space = data == 32
+    last = np.zeros(len(data) + 1, bool)
+    last[1 : len(data)] = ~space[:-1] & space[1:]
     found = kind[data]
-    cuts = np.flatnonzero(found[1:] + found[:-1] == 3) + 1
-    last = offsets[1:][np.diff(offsets) > 0]
-    ends = np.unique(np.concatenate((word_ends, cuts, last)))
-    text = np.searchsorted(offsets[1:], ends)
+    last[1 : len(data)] |= found[1:] + found[:-1] == 3
+    last[offsets[1:][np.diff(offsets) > 0]] = True
+    ends = np.flatnonzero(last)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(ends, offsets, "right")))
     starts = np.maximum(np.concatenate(([0], ends[:-1])), offsets[:-1][text]) if len(ends) else ends
     return starts, ends, text
 
 
-def _asked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The different units: place of the first of each, bucket, and for every unit the number of its kind; by bucket and hash."""
+def _asked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different units: place of the first of each, by bucket and hash, for every unit the number of its kind, and where each bucket begins."""
     names = A.span_hashes(A.prefix_sums(data, A.byte_values()), starts, ends)
-    kinds, first, back = np.unique(names, return_index=True, return_inverse=True)
+    codes, kinds = pd.factorize(names)
+    first = np.empty(len(kinds), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
     bucket = (kinds % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((kinds, bucket))
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
-    return first[order], bucket[order], number[back], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return first[order], number[codes], np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
 def _packed(*arrays: np.ndarray) -> tuple[bytes, int]:
@@ -328,12 +333,13 @@ def _asking(kind: np.ndarray, buckets: int) -> Callable[[Iterator[pa.RecordBatch
             for block, payload in zip(batch[BLOCK], batch["payload"], strict=True):
                 data, offsets = A.texts(_opened(payload)[TEXT])
                 starts, ends, _ = _units(data, offsets, kind)
-                first, _, _, edges = _asked(data, starts, ends, buckets)
-                rows = []
+                first, _, edges = _asked(data, starts, ends, buckets)
+                sizes = (ends - starts)[first].astype(np.int32)
+                words, upto, rows = A.gather(data, starts[first], ends[first]), np.concatenate(([0], np.cumsum(sizes))), []
                 for b in np.flatnonzero(np.diff(edges)):
-                    own = first[edges[b] : edges[b + 1]]
-                    packed, size = _packed((ends - starts)[own].astype(np.int32), A.gather(data, starts[own], ends[own]))
-                    rows.append({"bucket": int(b), BLOCK: block.as_py(), "units": len(own), "size": size, "payload": packed})
+                    x, y = edges[b], edges[b + 1]
+                    packed, size = _packed(sizes[x:y], words[upto[x] : upto[y]])
+                    rows.append({"bucket": int(b), BLOCK: block.as_py(), "units": int(y - x), "size": size, "payload": packed})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int32()), (BLOCK, pa.int64()), ("units", pa.int32()), ("size", pa.int64()), ("payload", pa.binary())]))
 
@@ -388,9 +394,11 @@ def _replying(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
         names = pa.concat_arrays([*words["word"].chunks, pa.array([], pa.binary())])
         lists = spelt(words["ids"])
         asked = [_words_of(*(asks[c][row] for c in ("units", "size", "payload"))) for row in range(asks.num_rows)]
-        wanted = [hashes(x) for x in asked]
         every = pa.concat_arrays([*asked, pa.array([], pa.binary())])
-        missing, where = np.unique(np.concatenate([*wanted, np.zeros(0, np.uint64)]), return_index=True)
+        wanted = hashes(every)
+        codes, missing = pd.factorize(wanted)
+        where = np.empty(len(missing), np.int64)
+        where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
         where = where[~np.isin(missing, hashes(names))]
         if vocab.merges and len(where):  # words that the lattice leaves out: long ones, and those that no piece joins
             others = every.take(pa.array(where))
@@ -400,12 +408,13 @@ def _replying(vocab: Vocabulary) -> Callable[[pa.Table, pa.Table], pa.Table]:
         by_name = np.argsort(known, kind="stable")
         flat, counts = np.asarray(lists.flatten()), np.asarray(lists.value_lengths())
         upto = np.concatenate(([0], np.cumsum(counts)))
-        rows = []
-        for row, w in enumerate(wanted):
-            at = by_name[np.searchsorted(known, w, sorter=by_name)]
+        places = by_name[np.searchsorted(known, missing, sorter=by_name)][codes] if len(codes) else codes
+        edges, rows = np.cumsum([0, *map(len, asked)]), []
+        for row, n in enumerate(map(len, asked)):
+            at = places[edges[row] : edges[row + 1]]
             told = np.asarray(pc.binary_length(asked[row])).astype(np.uint8)  # the length's last byte, as a check
             packed, size = _packed(told, counts[at].astype(np.int32), flat[A.ranges(upto[:-1][at], counts[at])].astype(np.int32 if wide else np.uint16))
-            rows.append({BLOCK: asks[BLOCK][row].as_py(), "bucket": asks["bucket"][row].as_py(), "units": len(w), "size": size, "payload": packed})
+            rows.append({BLOCK: asks[BLOCK][row].as_py(), "bucket": asks["bucket"][row].as_py(), "units": n, "size": size, "payload": packed})
         return pa.Table.from_pylist(rows, schema)
 
     return replying
@@ -422,7 +431,7 @@ def _assembling(vocab: Vocabulary, kind: np.ndarray, buckets: int) -> Callable[[
         table = _opened(block["payload"][0])
         data, offsets = A.texts(table[TEXT])
         starts, ends, text = _units(data, offsets, kind)
-        first, _, number, _ = _asked(data, starts, ends, buckets)
+        first, number, _ = _asked(data, starts, ends, buckets)
         asked = (ends - starts)[first].astype(np.uint8)
         counts, ids, told = [np.zeros(0, np.uint16)], [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)]
         for row in np.argsort(np.asarray(replies["bucket"])):

@@ -14,6 +14,7 @@ import hashlib
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
@@ -27,7 +28,7 @@ from stampbook.llm.columns import spread
 
 SALTS = 16  # tasks that align a host's streams before their wrappers meet
 LONGEST_REPEAT = 32  # neighbours in a repeated group
-DEEPEST = 256  # nested elements; those further in count as part of the last one
+DEEPEST = 256  # elements named in a path; of those further in a path has the marks
 CONSTANT_PAGES = 5  # a slot is the template's if at least so many pages have it,
 CONSTANT_SHARE = 0.5  # and one text is in more than this share of them
 LARGE_SHARE = 0.8  # of a page's characters; a container with more isn't aside for words of its class alone
@@ -51,7 +52,8 @@ MAIN_TAGS = frozenset("article main".split())
 HEAD_TAGS = frozenset("html head base link meta".split()) | RAW  # what doesn't end a head
 MAIN_WORDS = frozenset("main articlebody".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(?=[a-zA-Z/])[^<>]*\Z|[^<]+|<""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)|[^<]+|<""", re.S)
+_SPECIAL = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=\s|/|\Z)""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
 _SPACES = re.compile(r"\s+")
@@ -62,6 +64,7 @@ class Block:
     path: str  # elements around it, outermost first; "!" marks what is no article, "~" what may be none, "*" the main part
     text: str
     linked: int  # characters of links
+    slot: str = ""  # the path's named elements, which the wrapper has too
 
 
 @dataclass
@@ -87,10 +90,46 @@ def _name(tag: str, attributes: str) -> str:
     return tag + "".join("." + w for w in words[:4] if not w.isdigit()) + mark
 
 
+class _TagEnds:
+    """Where tags end: at the first ">" outside quotes, found once for every place that a search goes on from."""
+
+    def __init__(self, source: str):
+        self.source, self.known = source, {}
+        self.last = {c: source.rfind(c) for c in ">\"'"}
+
+    def after(self, at: int) -> int:
+        """The place of that ">", or -1."""
+        passed, end = [], -1
+        while at not in self.known:
+            passed.append(at)
+            if at > max(self.last.values()):
+                break
+            found = _SPECIAL.search(self.source, at)
+            if found[0] == ">":
+                end = found.start()
+                break
+            if self.last[found[0]] < found.end():  # a quote that nothing closes
+                break
+            at = self.source.index(found[0], found.end()) + 1
+        else:
+            end = self.known[at]
+        self.known.update(dict.fromkeys(passed, end))
+        return end
+
+
+def _marks(name: str) -> set[str]:
+    return {name[-1]} & set("!*~")
+
+
 def parse(source: str) -> Page:
-    """The block tokens and text blocks of a page. Inline elements and line breaks belong to the text around them."""
+    """The block tokens and text blocks of a page. Inline elements and line breaks belong to the text around them.
+
+    The work is in proportion to the page's length, however broken or deep it is.
+    """
     page, stack, text, linked, links = Page(), [], [], 0, 0
-    deeper: list[str] = []  # open elements beyond the deepest
+    paths: list[str] = []  # of the open elements
+    opened: Counter[str] = Counter()
+    ends = _TagEnds(source)
 
     def flush() -> None:
         nonlocal linked
@@ -98,31 +137,58 @@ def parse(source: str) -> Page:
         if whole:
             end_head()
             page.tokens.append("#")
-            page.blocks.append(Block("/".join(name for _, name in stack), whole, linked))
+            page.blocks.append(Block(paths[-1] if paths else "", whole, linked, paths[min(len(paths), DEEPEST) - 1] if paths else ""))
         text.clear()
         linked = 0
 
+    def start(tag: str, name: str) -> None:
+        if len(stack) < DEEPEST:
+            page.tokens.append(name)
+            paths.append(f"{paths[-1]}/{name}" if paths else name)
+        else:
+            named = paths[DEEPEST - 1]
+            marks = "".join(sorted(set(paths[-1][len(named) + 1 :]) | _marks(name)))
+            paths.append(f"{named}/{marks}" if marks else named)
+        stack.append(tag)
+        opened[tag] += 1
+
     def close(upto: int) -> None:
         while len(stack) > upto:
-            page.tokens.append("/" + stack.pop()[0])
+            tag = stack.pop()
+            paths.pop()
+            opened[tag] -= 1
+            if len(stack) < DEEPEST:
+                page.tokens.append("/" + tag)
 
     def end_head() -> None:
-        place = next((i for i, (tag, _) in enumerate(stack[:2]) if tag == "head"), None)
+        place = next((i for i, tag in enumerate(stack[:2]) if tag == "head"), None)
         if place is not None:
             close(place)
 
     at, end = 0, len(source)
     while at < end:
         found = _TOKEN.match(source, at)
-        at = found.end()
         tag = found[2]
         if tag is None:
+            after = found.end()
+            if found[0] == "<" and source[after : after + 1] == "/" and _rest_is_text(source, after):
+                break
             if found[0][0] != "<" or found[0] == "<":
                 text.append(found[0])
                 linked += len(found[0]) if links else 0
             elif found[0].startswith("<![CDATA["):
                 text.append(html.escape(found[0][9:].removesuffix("]]>")))
+            at = after
             continue
+        stop = ends.after(found.end())
+        if stop < 0:  # a tag without an end: the end of the page, or a plain "<"
+            if _rest_is_text(source, at + 1):
+                break
+            text.append("<")
+            linked += 1 if links else 0
+            at += 1
+            continue
+        attributes, at = source[found.end() : stop], stop + 1
         tag = tag.lower()
         if tag in INLINE:
             links = max(0, links + (-1 if found[1] else 1)) if tag == "a" else links
@@ -132,41 +198,38 @@ def parse(source: str) -> Page:
         flush()
         links = 0
         if found[1]:
-            if tag in deeper:
-                del deeper[len(deeper) - 1 - deeper[::-1].index(tag) :]
-                continue
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if place is not None:
-                deeper.clear()
-                close(place)
+            if opened[tag]:
+                close(len(stack) - 1 - stack[::-1].index(tag) if stack[-1] != tag else len(stack) - 1)
             continue
         if tag in RAW:
-            over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
-            at = over.end() if over else end
+            over = re.compile(rf"</{re.escape(tag)}(?![\w-])", re.I).search(source, at)
+            close_at = source.find(">", over.end()) if over else -1
+            at = close_at + 1 if close_at >= 0 else end
             continue
         if tag not in HEAD_TAGS:
             end_head()
-        if deeper or len(stack) >= DEEPEST and tag not in VOID and stack[-1][0] != "p":
-            deeper += [] if tag in VOID or deeper[-1:] == [tag] == ["p"] else [tag]
-            continue
-        if stack and stack[-1][0] == "p":
+        if stack and stack[-1] == "p":
             close(len(stack) - 1)
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in CLOSES.get(tag, "").split():
+        closed = CLOSES.get(tag, "").split()
+        i = len(stack) - 1
+        while i >= 0 and any(opened[c] for c in closed) and stack[i] not in SCOPES.difference(closed):
+            if stack[i] in closed:
                 close(i)
-            elif stack[i][0] in SCOPES:
-                break
-        name = _name(tag, found[3])
-        page.tokens.append(name)
-        if tag in VOID:
-            page.tokens.append("/" + tag)
-        else:
-            stack.append((tag, name))
+            i -= 1
+        name = _name(tag, attributes)
+        if tag not in VOID:
+            start(tag, name)
+        elif len(stack) < DEEPEST:
+            page.tokens += [name, "/" + tag]
     flush()
     close(0)
     return page
 
 
+def _rest_is_text(source: str, at: int) -> bool:
+    return source.find("<", at) < 0 and source.find(">", at) < 0
+
+
 # A wrapper is a tuple of tokens, ("+", body) for a repeated and ("?", body) for an optional group. To be folded
 # and aligned it is a tree: "#", or (element, inside), or a group of whole neighbours. So a group never opens an
 # element without closing it, and each slot keeps the path it has in its pages.
@@ -328,19 +391,25 @@ def _containers(path: str) -> list[str]:
 def _believed(blocks: list[Block]) -> list[str]:
     """The path of each block, without the marks "~" that aren't believed; the others become "!".
 
-    Where a main part is free of such marks, all are believed. Elsewhere those are not whose element has
-    nearly all text of the page that is not aside by tag: that is the page's frame, or the article itself.
+    A mark inside a main part is not believed whose element has nearly all text of that part: it is the article
+    itself. Marks around or beside main parts are all believed where one main part is free of them; elsewhere those are not whose
+    element has nearly all text of the page that is not aside by tag: that is the page's frame, or the article.
     """
-    if any("*" in b.path and "!" not in b.path and "~" not in b.path for b in blocks):
-        return [b.path.replace("~", "!") for b in blocks]
-    inside: dict[str, int] = {}
-    every = 0
+    clean = any("*" in b.path and "!" not in b.path and "~" not in b.path.split("*")[0] for b in blocks)
+    inside: Counter[str] = Counter()
     for b in blocks:
         if "!" not in b.path:
-            every += len(b.text)
-            for c in _containers(b.path):
-                inside[c] = inside.get(c, 0) + len(b.text)
-    frames = {c for c, n in inside.items() if n >= LARGE_CHARS and n > LARGE_SHARE * every}
+            inside[""] += len(b.text)
+            mains = [b.path[: m.end()] for m in re.finditer(r"\*(?=/|\Z)", b.path)]
+            inside.update(dict.fromkeys({*_containers(b.path), *mains}, len(b.text)))
+
+    def frame(container: str) -> bool:
+        main = container.rfind("*/")
+        if main < 0 and clean:
+            return False
+        return inside[container] >= LARGE_CHARS and inside[container] > LARGE_SHARE * inside[container[: main + 1]]
+
+    frames = {c for c in inside if c.endswith("~") and frame(c)}
     return [b.path + "!" if any(c not in frames for c in _containers(b.path)) else b.path for b in blocks]
 
 
@@ -412,7 +481,7 @@ def template_slots(pages: DataFrame) -> DataFrame:
 
 def article(page: Page, wrapper_slots: set[str], template: set[str]) -> str:
     """The text of the slots that hold the article, by their marks and the template of the page's host."""
-    own = [(b, m) for b, m in zip(page.blocks, _believed(page.blocks), strict=True) if b.path in wrapper_slots or not wrapper_slots]
+    own = [(b, m) for b, m in zip(page.blocks, _believed(page.blocks), strict=True) if b.slot in wrapper_slots or not wrapper_slots]
     main = [b for b, m in own if _is_main(m)]
     if not main:
         main = [b for b, m in own if not _is_aside(m) and b.path not in template and b.linked <= MOST_LINKED * len(b.text)]

@@ -399,6 +399,36 @@ def test_layout_classes_and_an_open_head_lose_nothing(spark):
     assert _extracted(spark, f"<body><article>{story}</article>{comments}", "<body><div class=cookie-notice>We use</div>") == [text, ""]
 
 
+def test_class_words_inside_an_article_do_not_lose_it(spark):
+    body = "long story " * 40
+    for part in ("<div class='story share-enabled'><p>{}</p></div>", "<section class='search-engines'><p>{}</section>"):
+        assert _extracted(spark, f"<article><h1>Title</h1>{part.format(body)}</article>") == ["Title\n" + body.strip()], part
+    # a small part, and comments beside a main part however long, are no article
+    share = f"<article><p>{body}</p><div class=share><p>Share this</div></article><div id=comments><article><p>{'I disagree ' * 900}</article></div>"
+    assert _extracted(spark, share) == [body.strip()]
+
+
+def test_deep_elements_keep_their_marks(spark):
+    """A menu below 260 elements is a menu; an article there is one."""
+    deep = "<div>" * 260
+    assert _extracted(spark, f"{deep}<nav><ul><li>Menu item</ul></nav><p>Text of the page.", f"<p>Other text.") == ["Text of the page.", "Other text."]
+    assert _extracted(spark, f"{deep}<article><div><p>Deep</div></article><p>outside") == ["Deep"]
+    assert _extracted(spark, "<div>" * 300 + "<div class='cookie-notice'><p>We use</div>" + "<p>" + "words " * 90) == [("words " * 90).strip()]
+
+
+@pytest.mark.parametrize("broken", ["<a title=\"x ", "<a title=\"x>", "<a b='c\" ", "<div ", "</div", "<!-- x", "<script>", "</script ", "<li><x>", "<x></y>", "<p>t", "<", "<table><tr><td>", "<![CDATA[ ", "<textarea></textarea x"])
+def test_broken_markup_takes_time_in_proportion(broken):
+    """Twice the text takes about twice the time."""
+    import time
+
+    times = []
+    for size in (60_000, 120_000):
+        began = time.perf_counter()
+        wrappers.parse("<p>start</p>" + broken * (size // len(broken)))
+        times.append(time.perf_counter() - began)
+    assert times[1] < 3.2 * times[0] + 0.2, times
+
+
 def test_copies_of_a_page_are_not_its_hosts_template(spark):
     page = "<body><div class=top>Header text</div><h1>{0}</h1><div class=story>Story {0} begins here.</div>"
     found = _extracted(spark, *[page.format(i) for i in range(6)], *[page.format(0)] * 20)
