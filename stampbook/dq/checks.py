@@ -281,6 +281,17 @@ class RanToday:
         return _verdict(runs, F.max(F.to_date("start_ts")) == F.lit(context.as_of))
 
 
+def shared_run_verdicts(rules: Sequence[tuple[int, RanToday]], spark: SparkSession, context: Context) -> DataFrame:
+    """Verdicts of all job rules from one read of the run log."""
+    if context.run_log is None:
+        raise KeyError("no run log given")
+    listed = spark.createDataFrame([(check_id, rule.job) for check_id, rule in rules], "check_id int, job_name string")
+    runs = context.run_log.filter(F.col("succeeded") & F.col("job_name").isin(*{rule.job for _, rule in rules}))
+    newest = runs.groupBy("job_name").agg(F.max(F.to_date("start_ts")).alias("day"))
+    passed = F.coalesce(F.col("day") == F.lit(context.as_of), F.lit(False)).alias("passed")
+    return listed.join(newest, "job_name", "left").select("check_id", passed, F.lit(None).cast("string").alias("message"))
+
+
 @dataclass(frozen=True)
 class HasRows:
     """The table holds at least ``minimum`` rows."""
@@ -588,7 +599,7 @@ def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables,
     """One status row per check, as a single lazy plan.
 
     Daily counts, duplicates and history on the same table and day column are
-    read together. A rule whose table or columns are missing, or that yields no row at all,
+    read together, and so are all job rules. A rule whose table or columns are missing, or that yields no row at all,
     fails its check; the error text is kept. The history's newest snapshots are
     read in a job of their own, so that their days reach the tables as literals.
     """
@@ -607,8 +618,13 @@ def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], tables: Tables,
                 errors.extend((check_id, False, str(e).split("\n")[0]) for check_id in check_ids)
             return alone
 
+    ran = [(spec.check_id, rule) for spec in specs for rule in spec.rules if isinstance(rule, RanToday)]
+    if ran:
+        attempt([check_id for check_id, _ in ran], lambda: shared_run_verdicts(ran, spark, context))
     for spec in specs:
         for rule in spec.rules:
+            if isinstance(rule, RanToday):
+                continue
             if _shareable(rule):
                 key = tuple(rule.distinct_on or ("*",)) if isinstance(rule, Duplicates) else ()
                 shared.setdefault((rule.table, _rule_day(rule), key), []).append((spec.check_id, rule))
