@@ -202,9 +202,11 @@ def mission_completions(
         on_days("cmpgn_cmplt_ts", scheme.launch, as_of) & (always_on | (F.col("rec_status_ind") == CURRENT))
     ).select("wallet_id", "cmpgn_id", "cmpgn_seen_ts", "cmpgn_cmplt_ts", "rdmpt_cnt", "rdmpt_val", "rec_status_ind")
     points = scan_points(scans, ts_alias="cmpgn_cmplt_ts", first=scheme.launch, before=as_of).filter(is_numeric_store())
+    # tied versions of one type and value would repeat every completion of their campaign
+    values = setup.select("cmpgn_id", "activity_type", "value_pence").distinct()
     attributed = (
         completed.join(points, ["wallet_id", "cmpgn_cmplt_ts"])
-        .join(setup.select("cmpgn_id", "activity_type", "value_pence"), "cmpgn_id", "left")
+        .join(values, "cmpgn_id", "left")
         .withColumn("mission_value_pence", mission_value_pence(scheme))
         .select(
             "wallet_id",
