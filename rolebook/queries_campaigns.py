@@ -194,7 +194,7 @@ def _per_coupon(where: str, alias: str) -> str:
     FROM u JOIN d ON u.cmpgn_id = d.cmpgn_id GROUP BY ALL""",
 )
 def coupon_daily_items(r: Bound):
-    return campaigns.coupon_daily_items(r.coupon_adjustments, r.coupon_details, SCHEME)
+    return campaigns.coupon_daily_items(r.coupon_adjustments, r.coupon_sides, SCHEME)
 
 
 _COUPON_MEASURES = f"""{total('rdmpt_cnt')} AS redemption_count, {pounds('rdmpt_val')} AS redemption_value,
@@ -212,7 +212,7 @@ _COUPON_SCANS = f"s AS (SELECT DISTINCT wallet_id, event_ts, upper(chnl_nm) AS c
     WHERE rec_status_ind = 'CURRENT' AND {day('coupn_redm_ts')} < {A} GROUP BY ALL""",
 )
 def coupon_daily_redemptions(r: Bound):
-    return campaigns.coupon_daily_redemptions(r.coupons, r.coupon_details, r.scans, AS_OF, SCHEME)
+    return campaigns.coupon_daily_redemptions(r.coupons, r.coupon_sides, r.scans, AS_OF, SCHEME)
 
 
 @query(
@@ -229,7 +229,7 @@ def coupon_daily_redemptions(r: Bound):
     WHERE rec_status_ind = 'CURRENT' AND {day('c.event_ts')} < {A} GROUP BY ALL""",
 )
 def coupon_summary(r: Bound):
-    return campaigns.coupon_summary(r.coupons, r.coupon_details, r.scans, AS_OF, SCHEME)
+    return campaigns.coupon_summary(r.coupons, r.coupon_sides, r.scans, AS_OF, SCHEME)
 
 
 @query(

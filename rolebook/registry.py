@@ -56,6 +56,12 @@ class Bound(Roles):
     def star_products(self) -> DataFrame:
         return trading.star_product_list(self.campaign_products, self.items, self.setup, SCHEME)
 
+    @cached_property
+    def coupon_sides(self) -> campaigns.CouponSides:
+        return campaigns.coupon_sides(
+            self.campaign_versions, self.campaign_products, self.items, self.coupon_types, SCHEME
+        )
+
     @cached_property
     def coupon_details(self) -> DataFrame:
         return campaigns.coupon_details(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -181,6 +182,34 @@ def mission_value_pence(scheme: Scheme) -> Column:
     )
 
 
+def mission_sums(scheme: Scheme) -> dict[str, Column]:
+    """What ``summed_mission_value`` needs of each completion, to be summed (NULL where all are)."""
+    cnt, val = F.col("rdmpt_cnt"), F.col("rdmpt_val")
+    fixed_value = F.col("cmpgn_cmplt_ts") <= F.lit(scheme.star_value_change)
+    return {
+        "_fixed_cnt": F.when(fixed_value, cnt),
+        "_other_val": F.when(~fixed_value, val),
+        "_val_cnt": val * cnt,
+        "_val": val,
+        "_rows": F.lit(1).cast("long"),
+    }
+
+
+def summed_mission_value(scheme: Scheme) -> Column:
+    """The sum of ``mission_value_pence`` over completions of one campaign, from their ``mission_sums``."""
+    kind, value = F.col("activity_type"), F.col("value_pence")
+    fixed, other = value * F.col("_fixed_cnt"), F.col("_other_val")
+    return first_match(
+        [
+            (kind == "Star Product", F.coalesce(fixed + other, fixed, other)),
+            (kind == "Super Star Product", F.col("_val_cnt")),
+            (kind.isin(scheme.status_label, "Clubs"), F.col("_val")),
+            (kind.isin(*SIMPLE_MISSIONS), value * F.col("_rows")),
+        ],
+        F.lit(None).cast("long"),
+    )
+
+
 def mission_completions(
     missions: DataFrame,
     scans: DataFrame,
@@ -509,19 +538,15 @@ def mission_summary(
 
 
 def item_columns(items: DataFrame, obsolete_floor: date) -> DataFrame:
-    return (
-        items.filter(F.col("obsolete_dt") >= F.lit(obsolete_floor))
-        .select(
-            F.col("all_links_item_nbr").alias("prime_win"),
-            F.col("item_nbr").alias("win"),
-            "upc_nbr",
-            "cons_item_nbr",
-            "original_cin",
-            "dept_desc",
-            "catg_desc",
-            "vendor_nm",
-        )
-        .distinct()
+    return items.filter(F.col("obsolete_dt") >= F.lit(obsolete_floor)).select(
+        F.col("all_links_item_nbr").alias("prime_win"),
+        F.col("item_nbr").alias("win"),
+        "upc_nbr",
+        "cons_item_nbr",
+        "original_cin",
+        "dept_desc",
+        "catg_desc",
+        "vendor_nm",
     )
 
 
@@ -530,29 +555,31 @@ def live_item_number(scheme: Scheme) -> Column:
     return F.when(F.col("cons_item_nbr") == scheme.deleted_item, F.col("original_cin")).otherwise(F.col("cons_item_nbr"))
 
 
-def coupon_details(
+PRODUCT_COUPON = "Product Coupon"
+
+
+@dataclass(frozen=True)
+class CouponSides:
+    """What coupon details are made of, each with distinct rows and ``cmpgn_id``: versions, products with items, types.
+
+    Every version of a campaign meets every product of it, so reports that want one row per coupon
+    aggregate the sides and never pair them.
+    """
+
+    versions: DataFrame
+    products: DataFrame
+    types: DataFrame
+
+
+def coupon_sides(
     versions: DataFrame, campaign_products: DataFrame, items: DataFrame, type_map: DataFrame, scheme: Scheme = Scheme()
-) -> DataFrame:
-    """Coupons with their products and a coupon type from ``type_map(cmpgn_id, coupon_type)``."""
+) -> CouponSides:
+    """Coupon versions, their products and types from ``type_map(cmpgn_id, coupon_type)``, in the form of ``coupon_details``."""
+    start = F.col("cmpgn_start_ts")
     coupons = (
         versions.filter(
             F.upper("cmpgn_tag_array").contains("COUPON") & on_days("cmpgn_start_ts", scheme.coupon_start, None)
         )
-        .select(
-            "cmpgn_tag_array", "cmpgn_id", "cmpgn_nm", "cmpgn_start_ts", "cmpgn_end_ts", "cmpgn_status_desc", "disc_amt"
-        )
-        .distinct()
-    )
-    products = campaign_products.filter(F.col("cmpgn_status_desc").isin("ACTIVE", "EXPIRED")).select(
-        "cmpgn_id",
-        F.when(F.col("cmpgn_prod_level_nm") == "upc_nbr", strip_check_digit("cmpgn_prod_id")).alias("upc"),
-    )
-    start = F.col("cmpgn_start_ts")
-    item = item_columns(items, scheme.coupon_item_obsolete_floor)
-    return (
-        products.join(coupons.drop("cmpgn_status_desc"), "cmpgn_id")
-        .join(item.withColumn("upc", F.col("upc_nbr")), "upc", "left")
-        .join(type_map, "cmpgn_id", "left")
         .select(
             "cmpgn_tag_array",
             "cmpgn_id",
@@ -561,7 +588,21 @@ def coupon_details(
             F.when(F.hour(start) == 23, F.timestamp_add("HOUR", F.lit(1), start)).otherwise(start).alias("cmpgn_start_ts"),
             "cmpgn_end_ts",
             minor_to_major("disc_amt").alias("disc_amt"),
-            "upc",
+        )
+        .distinct()
+    )
+    products = (
+        campaign_products.filter(F.col("cmpgn_status_desc").isin("ACTIVE", "EXPIRED"))
+        .select(
+            "cmpgn_id",
+            F.when(F.col("cmpgn_prod_level_nm") == "upc_nbr", strip_check_digit("cmpgn_prod_id")).alias("upc"),
+        )
+        .distinct()
+    )
+    item = (
+        item_columns(items, scheme.coupon_item_obsolete_floor)
+        .select(
+            F.col("upc_nbr").alias("upc"),
             "upc_nbr",
             "win",
             live_item_number(scheme).alias("cons_item_nbr"),
@@ -569,27 +610,82 @@ def coupon_details(
             F.initcap("dept_desc").alias("dept_desc"),
             "catg_desc",
             F.initcap("vendor_nm").alias("supplier"),
-            F.coalesce("coupon_type", F.lit("Product Coupon")).alias("coupon_type"),
         )
         .distinct()
     )
+    listed = products.join(coupons.select("cmpgn_id").distinct(), "cmpgn_id", "left_semi").join(item, "upc", "left")
+    return CouponSides(coupons, listed, type_map.select("cmpgn_id", _coupon_type()).distinct())
+
+
+def _coupon_type() -> Column:
+    return F.coalesce("coupon_type", F.lit(PRODUCT_COUPON)).alias("coupon_type")
 
 
-def _per_coupon(details: DataFrame) -> DataFrame:
-    """One row per coupon campaign."""
-    return details.groupBy("cmpgn_id").agg(
+def coupon_details(
+    versions: DataFrame, campaign_products: DataFrame, items: DataFrame, type_map: DataFrame, scheme: Scheme = Scheme()
+) -> DataFrame:
+    """Coupons with their products and a coupon type from ``type_map(cmpgn_id, coupon_type)``.
+
+    The sides are distinct in the columns that are returned, and so are the joined rows.
+    """
+    sides = coupon_sides(versions, campaign_products, items, type_map, scheme)
+    return (
+        sides.products.join(sides.versions, "cmpgn_id")
+        .join(sides.types, "cmpgn_id", "left")
+        .select(
+            "cmpgn_tag_array",
+            "cmpgn_id",
+            "cmpgn_nm",
+            "cmpgn_start_ts",
+            "cmpgn_end_ts",
+            "disc_amt",
+            "upc",
+            "upc_nbr",
+            "win",
+            "cons_item_nbr",
+            "prime_win",
+            "dept_desc",
+            "catg_desc",
+            "supplier",
+            _coupon_type(),
+        )
+    )
+
+
+def _per_coupon(
+    details: DataFrame | CouponSides, version: Column | None = None, product: Column | None = None
+) -> DataFrame:
+    """One row per coupon campaign, of the versions and products that meet a condition.
+
+    The greatest value over all pairs of a version and a product is that of its own side.
+    """
+    of_version = [
         F.max("cmpgn_nm").alias("cmpgn_nm"),
         F.min("cmpgn_start_ts").alias("cmpgn_start_ts"),
         F.max("cmpgn_end_ts").alias("cmpgn_end_ts"),
         F.max("disc_amt").alias("disc_amt"),
+    ]
+    of_product = [
         F.max("supplier").alias("supplier"),
         F.initcap(F.max("dept_desc")).alias("department"),
         F.max("catg_desc").alias("category"),
-        F.max("coupon_type").alias("coupon_type"),
+    ]
+    of_type = F.max("coupon_type").alias("coupon_type")
+    every = F.lit(True)
+    version, product = every if version is None else version, every if product is None else product
+    if isinstance(details, DataFrame):
+        return details.filter(version & product).groupBy("cmpgn_id").agg(*of_version, *of_product, of_type)
+    return (
+        details.versions.filter(version)
+        .groupBy("cmpgn_id")
+        .agg(*of_version)
+        .join(details.products.filter(product).groupBy("cmpgn_id").agg(*of_product), "cmpgn_id")
+        .join(details.types.groupBy("cmpgn_id").agg(of_type), "cmpgn_id", "left")
+        .withColumn("coupon_type", _coupon_type())
     )
 
 
-def coupon_daily_items(adjustments: DataFrame, details: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
+def coupon_daily_items(adjustments: DataFrame, details: DataFrame | CouponSides, scheme: Scheme = Scheme()) -> DataFrame:
     """Coupon volume, value and spend per item, day and channel, with an all-channel row."""
     facts = (
         adjustments.filter(
@@ -613,7 +709,7 @@ def coupon_daily_items(adjustments: DataFrame, details: DataFrame, scheme: Schem
         ],
     )
     # the coupon attributes join the aggregate, not the facts
-    return totals.join(_per_coupon(details.filter("win is not null")).drop("coupon_type"), "cmpgn_id")
+    return totals.join(_per_coupon(details, product=F.col("win").isNotNull()).drop("coupon_type"), "cmpgn_id")
 
 
 def _redeeming_channel(coupons: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme) -> DataFrame:
@@ -644,7 +740,7 @@ def _coupon_measures() -> list[Column]:
 
 
 def coupon_daily_redemptions(
-    coupons: DataFrame, details: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()
+    coupons: DataFrame, details: DataFrame | CouponSides, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()
 ) -> DataFrame:
     """Redemptions per coupon and day, split by channel (redeemers are rows, not wallets)."""
     redeemed = coupons.filter(_is_current() & on_days("coupn_redm_ts", None, as_of)).select(
@@ -659,15 +755,15 @@ def coupon_daily_redemptions(
 
 
 def coupon_summary(
-    coupons: DataFrame, details: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()
+    coupons: DataFrame, details: DataFrame | CouponSides, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()
 ) -> DataFrame:
     """Allocation, reach and redemption totals per coupon.
 
     'Allocated and scanned' asks for a scan day inside the coupon's window; it is
     answered per (wallet, start day), so scans and coupons are never paired.
     """
-    spans = details.groupBy("cmpgn_id").agg(
-        F.to_date(F.min("cmpgn_start_ts")).alias("start_dt"), F.to_date(F.max("cmpgn_end_ts")).alias("end_dt")
+    spans = _per_coupon(details).select(
+        "cmpgn_id", F.to_date("cmpgn_start_ts").alias("start_dt"), F.to_date("cmpgn_end_ts").alias("end_dt")
     )
     days = scans.filter(on_days("event_ts", scheme.coupon_start, as_of)).select(
         "wallet_id", F.to_date("event_ts").alias("scan_day")
@@ -688,10 +784,8 @@ def coupon_summary(
         },
         {"redemptions": (redeemed & F.col("acct_id").isNotNull()).cast("long"), **_coupon_sums()},
     ).withColumns({"wallets": F.lit(0), **{name: minor_to_major(F.col(name)) for name in COUPON_MONEY}})
-    listed = details.filter(
-        ((F.col("prime_win") == F.col("win")) | F.col("win").isNull()) & on_days("cmpgn_start_ts", None, as_of)
-    )
-    return totals.join(_per_coupon(listed), "cmpgn_id")
+    listed = (F.col("prime_win") == F.col("win")) | F.col("win").isNull()
+    return totals.join(_per_coupon(details, on_days("cmpgn_start_ts", None, as_of), listed), "cmpgn_id")
 
 
 def coupon_alloc(coupons: DataFrame, as_of: date) -> DataFrame:
