@@ -13,8 +13,9 @@ from stampbook.plans.campaigns import (
     STAR_TYPES,
     item_columns,
     live_item_number,
-    mission_value_pence,
+    mission_sums,
     online_or_store,
+    summed_mission_value,
 )
 from stampbook.scheme import Scheme
 
@@ -32,20 +33,29 @@ def scanners_daily(scans: DataFrame, as_of: date, start: date | None = None) ->
 def star_product_list(
     campaign_products: DataFrame, items: DataFrame, setup: DataFrame, scheme: Scheme = Scheme()
 ) -> DataFrame:
-    """Products of star campaigns with item and campaign attributes."""
-    products = campaign_products.filter(
-        F.col("cmpgn_status_desc").isin("ACTIVE", "EXPIRED")
-        & (F.col("cmpgn_prod_level_nm") == "upc_nbr")
-        & ~F.col("cmpgn_id").isin(*scheme.excluded_star_campaigns)
-    ).select("cmpgn_id", strip_check_digit("cmpgn_prod_id").alias("upc"))
-    campaigns = setup.filter(
-        F.col("activity_type").isin(*STAR_TYPES) & (F.to_date("cmpgn_start_ts") >= F.lit(scheme.trading_start))
-    ).select("cmpgn_id", "cmpgn_nm", "cmpgn_start_ts", "cmpgn_end_ts", "pound_value", "value_pence", "activity_type")
+    """Products of star campaigns with item and campaign attributes.
+
+    Rows are distinct: each side is, in the form in which it is returned, before they meet. A campaign's
+    tied versions that agree in these columns therefore meet its products once.
+    """
+    products = (
+        campaign_products.filter(
+            F.col("cmpgn_status_desc").isin("ACTIVE", "EXPIRED")
+            & (F.col("cmpgn_prod_level_nm") == "upc_nbr")
+            & ~F.col("cmpgn_id").isin(*scheme.excluded_star_campaigns)
+        )
+        .select("cmpgn_id", strip_check_digit("cmpgn_prod_id").alias("upc"))
+        .distinct()
+    )
+    campaigns = (
+        setup.filter(F.col("activity_type").isin(*STAR_TYPES) & (F.to_date("cmpgn_start_ts") >= F.lit(scheme.trading_start)))
+        .select("cmpgn_id", "cmpgn_nm", "cmpgn_start_ts", "cmpgn_end_ts", "pound_value", "value_pence", "activity_type")
+        .distinct()
+    )
+    # products without an item have no number to compare, and are left out as deleted ones are
     deleted = (F.col("original_cin") == scheme.deleted_item) & (F.col("cons_item_nbr") == scheme.deleted_item)
-    item = item_columns(items, scheme.item_obsolete_floor)
-    return (
-        products.join(campaigns, "cmpgn_id")
-        .join(item.withColumn("upc", F.col("upc_nbr")), "upc", "left")
+    item = (
+        item_columns(items, scheme.item_obsolete_floor)
         .filter(~deleted)
         .select(
             "win",
@@ -55,6 +65,21 @@ def star_product_list(
             "dept_desc",
             "catg_desc",
             F.initcap("vendor_nm").alias("vendor_nm"),
+            F.col("upc_nbr").alias("upc"),
+        )
+        .distinct()
+    )
+    return (
+        products.join(item, "upc")
+        .join(campaigns, "cmpgn_id")
+        .select(
+            "win",
+            "prime_win",
+            "cons_item_nbr",
+            "upc_nbr",
+            "dept_desc",
+            "catg_desc",
+            "vendor_nm",
             "upc",
             "cmpgn_id",
             "cmpgn_nm",
@@ -64,7 +89,6 @@ def star_product_list(
             "value_pence",
             "activity_type",
         )
-        .distinct()
     )
 
 
@@ -73,17 +97,22 @@ def epos_items_daily(
 ) -> DataFrame:
     """Baskets, items and spend on star products per campaign, day and channel.
 
+    In ``star_product_list`` every tied version of a campaign has all its products. Lines are therefore summed per
+    campaign, over the days of any of its versions, before they meet the versions' names and spans.
     A best-selling item can hold a large share of all basket lines, so the join
     on the item number splits such items by basket.
     """
-    products = star_products.select(
+    versions = star_products.select(
         "activity_type",
         "cmpgn_nm",
         "cmpgn_id",
-        "cons_item_nbr",
         F.to_date("cmpgn_start_ts").alias("_from"),
         F.date_add(F.to_date("cmpgn_end_ts"), grace_days).alias("_to"),
     ).distinct()
+    products = star_products.groupBy("cmpgn_id", "cons_item_nbr").agg(
+        F.to_date(F.min("cmpgn_start_ts")).alias("_first"),
+        F.date_add(F.to_date(F.max("cmpgn_end_ts")), grace_days).alias("_last"),
+    )
     lines = basket_items.filter(
         (F.col("visit_dt") >= F.lit(scheme.trading_start)) & (F.col("visit_dt") < F.lit(as_of))
     ).select(
@@ -95,24 +124,36 @@ def epos_items_daily(
         F.when(F.col("channel_src_id") == 2, "Online Only").otherwise("In-store Only").alias("chnl_nm"),
     )
     sold = hot_split_join(lines, products, ["cons_item_nbr"], ["basket_id"]).filter(
-        F.col("visit_dt").between(F.col("_from"), F.col("_to"))
+        F.col("visit_dt").between(F.col("_first"), F.col("_last"))
     )
-    keys = ["activity_type", "cmpgn_nm", "cmpgn_id", "visit_dt"]
-    totals = with_total_by_fold(
+    per_campaign = with_total_by_fold(
         sold,
-        keys,
+        ["cmpgn_id", "visit_dt"],
         "chnl_nm",
         "basket_id",
         {"customers_proxy": None},
         {"items": F.col("unmeasured_qty"), "spend": F.col("sale_amt_inc_vat")},
     )
-    return totals.withColumn("spend", F.round(F.col("spend"), 2).cast("double"))
+    # spans of one name share its baskets, and each adds its items and spend
+    return (
+        per_campaign.join(versions, "cmpgn_id")
+        .filter(F.col("visit_dt").between(F.col("_from"), F.col("_to")))
+        .groupBy("activity_type", "cmpgn_nm", "cmpgn_id", "visit_dt", "chnl_nm")
+        .agg(
+            F.max("customers_proxy").alias("customers_proxy"),
+            F.sum("items").alias("items"),
+            F.round(F.sum("spend"), 2).cast("double").alias("spend"),
+        )
+    )
 
 
 def star_products_daily(
     star_products: DataFrame, missions: DataFrame, scans: DataFrame, as_of: date, scheme: Scheme = Scheme()
 ) -> DataFrame:
-    """Customers, first-scan customers, items and earn per star campaign, day and channel."""
+    """Customers, first-scan customers, items and earn per star campaign, day and channel.
+
+    Redemptions are summed per campaign before they meet its tied versions, which have names and values of their own.
+    """
     campaigns = star_products.select("activity_type", "cmpgn_nm", "cmpgn_id", "value_pence").distinct()
     points = scan_points(
         scans, [online_or_store().alias("chnl_nm")], first=scheme.trading_start, before=as_of
@@ -125,23 +166,32 @@ def star_products_daily(
             & on_days("event_ts", scheme.trading_start, as_of)
         )
         .select("wallet_id", "cmpgn_id", "event_ts", "cmpgn_cmplt_ts", "rdmpt_cnt", "rdmpt_val")
-        .join(campaigns, "cmpgn_id")
+        .join(campaigns.select("cmpgn_id").distinct(), "cmpgn_id", "left_semi")
         .join(points, ["wallet_id", "event_ts"])
         .join(firsts, "wallet_id", "left")
         .withColumn("visit_dt", F.to_date("event_ts"))
-        .withColumn("pence", mission_value_pence(scheme))
     )
-    keys = ["activity_type", "cmpgn_nm", "cmpgn_id", "visit_dt"]
     first = F.col("visit_dt") == F.col("first_swipe")
-    totals = with_total_by_fold(
+    sums = mission_sums(scheme)
+    per_campaign = with_total_by_fold(
         redemptions,
-        keys,
+        ["cmpgn_id", "visit_dt"],
         "chnl_nm",
         "wallet_id",
         {"customers": None, "first_swipe_customers": first},
-        {"items": F.col("rdmpt_cnt"), "cashpot": F.col("pence")},
+        {"items": F.col("rdmpt_cnt"), **sums},
+    )
+    # versions of one name share its customers, and each value adds its items and earn
+    return (
+        per_campaign.join(campaigns, "cmpgn_id")
+        .groupBy("activity_type", "cmpgn_nm", "cmpgn_id", "visit_dt", "chnl_nm")
+        .agg(
+            F.max("customers").alias("customers"),
+            F.max("first_swipe_customers").alias("first_swipe_customers"),
+            F.sum("items").alias("items"),
+            minor_to_major(F.sum(summed_mission_value(scheme))).alias("cashpot"),
+        )
     )
-    return totals.withColumn("cashpot", minor_to_major(F.col("cashpot")))
 
 
 def sp_details(star_products: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
