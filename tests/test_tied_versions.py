@@ -43,14 +43,14 @@ def _star_products(spark, names, items=30):
     )
     products = spark.range(items).select(
         F.lit(1).alias("cmpgn_id"),
-        F.concat((F.col("id") + 100).cast("string"), F.lit("9")).alias("cmpgn_prod_id"),
+        F.concat((F.col("id") + 1000000).cast("string"), F.lit("9")).alias("cmpgn_prod_id"),
         F.lit("upc_nbr").alias("cmpgn_prod_level_nm"),
         F.lit("ACTIVE").alias("cmpgn_status_desc"),
     )
     held = spark.range(items).select(
         F.col("id").alias("item_nbr"),
         F.col("id").alias("all_links_item_nbr"),
-        (F.col("id") + 100).cast("string").alias("upc_nbr"),
+        (F.col("id") + 1000000).cast("string").alias("upc_nbr"),
         F.col("id").alias("cons_item_nbr"),
         F.col("id").alias("original_cin"),
         *[F.lit("X").alias(c) for c in ("dept_desc", "catg_desc", "vendor_nm")],
@@ -130,11 +130,11 @@ def test_coupon_attributes_come_from_the_sides(spark, rows_of_joins):
         F.lit(start).alias("cmpgn_start_ts"), F.lit(datetime(2000, 9, 1)).alias("cmpgn_end_ts"), F.lit("ACTIVE").alias("cmpgn_status_desc"), F.col("id").alias("disc_amt"),
     )
     products = spark.range(30).select(
-        F.lit(1).alias("cmpgn_id"), F.concat(F.col("id").cast("string"), F.lit("9")).alias("cmpgn_prod_id"), F.when(F.col("id") < 20, "upc_nbr").otherwise("dept").alias("cmpgn_prod_level_nm"),
+        F.lit(1).alias("cmpgn_id"), F.concat((F.col("id") + 1000000).cast("string"), F.lit("9")).alias("cmpgn_prod_id"), F.when(F.col("id") < 20, "upc_nbr").otherwise("dept").alias("cmpgn_prod_level_nm"),
         F.lit("ACTIVE").alias("cmpgn_status_desc"),
     )
     items = spark.range(10).select(
-        F.col("id").alias("item_nbr"), F.lit(4).cast("long").alias("all_links_item_nbr"), F.col("id").cast("string").alias("upc_nbr"), F.col("id").alias("cons_item_nbr"), F.col("id").alias("original_cin"),
+        F.col("id").alias("item_nbr"), F.lit(4).cast("long").alias("all_links_item_nbr"), (F.col("id") + 1000000).cast("string").alias("upc_nbr"), F.col("id").alias("cons_item_nbr"), F.col("id").alias("original_cin"),
         *[F.concat(F.lit(c), F.col("id").cast("string")).alias(c) for c in ("dept_desc", "catg_desc", "vendor_nm")], F.lit(date(2099, 1, 1)).alias("obsolete_dt"),
     )
     types = spark.createDataFrame([(2, "Game")], "cmpgn_id int, coupon_type string")
