@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -24,14 +25,15 @@ SEQUENCE_TOKENS = 2048
 SHARD_SEQUENCES = 256
 KEY = 20240601
 ROUNDS = 4
-CACHED_PIECES = 200_000  # in a task, of words whose ids are known
+SLICE_CHARS = 1 << 16
 
 # Fixed value: the pattern that splits text before the merges of the rank file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# A piece of the pattern never goes from other characters on to white space (as the pattern understands it).
+# A piece of the pattern never goes from other characters on to white space (as the pattern understands it), so a text
+# may be cut there: a long one goes to the encoder in parts of about SLICE_CHARS, which bounds the lists of ids.
 _BLANK = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+_SLICE = re.compile(f"(?s:.{{{SLICE_CHARS}}})[{_BLANK}]*[^{_BLANK}]*|(?s:.+)")
 
 _TOKENS = "part int, start long, n long, tokens binary"
 _SHARD = "shard long, first_slot long, n_sequences int, stride int, payload binary"
@@ -79,21 +81,12 @@ def _token_rows(ranks: bytes, pattern: str, end: int):
         import tiktoken
 
         encoding = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={}, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())})
-        known: dict[str, bytes] = {}
         part, start, last = TaskContext.get().partitionId(), 0, np.array([end], np.uint16).tobytes()
         for batch in batches:
             starts, sizes, tokens = [], [], []
             for text in batch["text"].to_pylist():
-                found = []
-                for chunk in _CHUNK.findall(text or ""):
-                    ids = known.get(chunk)
-                    if ids is None:
-                        ids = np.array(encoding.encode_ordinary(chunk), np.uint16).tobytes()
-                        if len(known) >= CACHED_PIECES:
-                            known.clear()
-                        if len(chunk) <= 64:
-                            known[chunk] = ids
-                    found.append(ids)
+                # the encoder looks whole words up by itself: asking it word by word costs more than all of its work
+                found = [array("H", encoding.encode_ordinary(piece)).tobytes() for piece in _SLICE.findall(text or "")]
                 found.append(last)
                 tokens.append(b"".join(found))
                 starts.append(start)

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -211,6 +212,43 @@ def test_sequences_go_to_their_slots_and_back(spark, rows):
     assert {r.slot: bytes(r.tokens) for r in part} == {s: by_slot[s].tobytes() for s in range(20, 45)}
 
 
+def test_texts_go_to_the_encoder_whole_and_cut_where_pieces_end(monkeypatch):
+    with open(tokens.RANKS, "rb") as f:
+        raw = f.read()
+    plain, asked = tiktoken.Encoding, []
+
+    class Counted(plain):
+        def encode_ordinary(self, text):
+            asked.append(text)
+            return super().encode_ordinary(text)
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(tokens, "TaskContext", Context)
+    monkeypatch.setattr(tiktoken, "Encoding", Counted)
+
+    def ids(texts):
+        asked.clear()
+        found = tokens._token_rows(raw, tokens.PATTERN, tokens.END_OF_TEXT)(iter([pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})]))
+        return [np.frombuffer(t, np.uint16).tolist() for b in found for t in b["tokens"].to_pylist()]
+
+    encoding = plain("own", pat_str=tokens.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}, special_tokens={})
+    wild = "".join(random.Random(5).choices("ab'sé1\n\t  \x1c\x85\u00a0\u2003\u3000.", k=4000))
+    texts = ["plain words of a text " * 50, None, "", " ", "\n \n", wild, " " * 300 + wild + " " * 300]
+    whole = [[*encoding.encode_ordinary(t or ""), tokens.END_OF_TEXT] for t in texts]
+    assert ids(texts) == whole and len(asked) == 5  # one call a text, none for an empty one
+    small = tokens._SLICE.pattern.replace(str(tokens.SLICE_CHARS), "7")
+    monkeypatch.setattr(tokens, "_SLICE", re.compile(small))
+    assert ids(texts) == whole and len(asked) > 500
+
+
 def test_overlap_marks_every_shared_window(spark, rows):
     pairs, docs = rows
     texts = dict(pairs)
