@@ -480,7 +480,10 @@ ORACLES["dq_check_log"] = oracle(
 def dq_check_results(r: Bound):
     """All 69 checks in one run."""
     tables = _sql_tables(r)
-    context = checks.Context(as_of=AS_OF, run_log=r.select(RUN_LOG), history=_history_log(r, tables))
+    # a history is a recorded table: it is made once, at most three rows a check and type, and not again by each rule that reads it
+    log = _history_log(r, tables)
+    history = r.spark.createDataFrame(log.collect(), log.schema)
+    context = checks.Context(as_of=AS_OF, run_log=r.select(RUN_LOG), history=history)
     return checks.run_checks(r.spark, CHECKS, tables, context).select("check_id", "status")
 
 

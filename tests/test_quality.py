@@ -5,6 +5,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from rolebook import queries_quality
+from rolebook.registry import Bound
 from stampbook.dq import checks, metrics, rollup
 from stampbook.dq.registry import CHECKS, check
 from stampbook.plans import jobs
@@ -271,3 +273,12 @@ def test_rolling_cutoffs_window_of_four(spark):
     assert row["deviations_from_mean"] == pytest.approx(window.mean() - 3 * window.std(ddof=1))
     mad = np.median(np.abs(window - np.median(window)))
     assert row["median_absolute_deviation"] == pytest.approx(np.median(window) - 3 * mad)
+
+
+def test_check_results_make_their_history_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(queries_quality.checks, "run_checks", lambda spark, specs, tables, context: taken.append(context) or spark.createDataFrame([(1, True)], "check_id int, status boolean"))
+    queries_quality.dq_check_results(Bound(spark, "/root/testdata/sf0.001"))
+    history = taken[0].history
+    assert history.inputFiles() == []  # no table is read again wherever a rule looks into the history
+    assert history.count() == 3 * history.select("check_id", "history_type").where("historical_value = '-1'").count() > 0
