@@ -243,7 +243,7 @@ def _month(ts: str) -> str:
 )
 def liability(r: Bound):
     return money.liability(
-        r.completions, r.credits, r.external_credits, r.pot_expiries, r.account_rows, r.voucher_rows, AS_OF, SCHEME
+        r.completion_totals, r.credits, r.external_credits, r.pot_expiries, r.account_rows, r.voucher_totals, AS_OF, SCHEME
     )
 
 

@@ -52,6 +52,26 @@ class Bound(Roles):
             self.missions, self.scans, self.setup, self.calendar, self.last_week, self.account_rows, AS_OF, SCHEME
         )
 
+    @cached_property
+    def voucher_totals(self) -> DataFrame:
+        return campaigns.vouchers(
+            self.reward_wallets, self.scans, campaigns.summed_setup(self.setup), self.account_rows, AS_OF, SCHEME
+        )
+
+    @cached_property
+    def completion_totals(self) -> DataFrame:
+        return campaigns.mission_completions(
+            self.missions,
+            self.scans,
+            self.setup,
+            self.calendar,
+            self.last_week,
+            self.account_rows,
+            AS_OF,
+            SCHEME,
+            per_value=False,
+        )
+
     @cached_property
     def star_products(self) -> DataFrame:
         return trading.star_product_list(self.campaign_products, self.items, self.setup, SCHEME)

@@ -121,6 +121,21 @@ def campaign_setup(versions: DataFrame, as_of: date, scheme: Scheme = Scheme())
     )
 
 
+def summed_setup(setup: DataFrame) -> DataFrame:
+    """One row per campaign of ``campaign_setup``: the values of its tied versions, summed (NULL where all are)."""
+    pence = F.sum("value_pence")
+    summed = setup.groupBy("cmpgn_id").agg(minor_to_major(pence).alias("pound_value"), pence.alias("value_pence"))
+    return _sized(summed)
+
+
+def _sized(few: DataFrame) -> DataFrame:
+    """The rows after an exchange of their own: AQE then knows how few they are, not only how many they were made of.
+
+    Spark leaves out an exchange by the key that they are grouped by already, so it is by all columns.
+    """
+    return few.repartition(*few.columns)
+
+
 # --- vouchers ----------------------------------------------------------------
 
 
@@ -132,7 +147,10 @@ def vouchers(
     as_of: date,
     scheme: Scheme = Scheme(),
 ) -> DataFrame:
-    """Current vouchers with the store and channel of the scan that redeemed them."""
+    """Current vouchers with the store and channel of the scan that redeemed them.
+
+    A voucher comes once per tied version of its campaign. Reports that only sum values pass ``summed_setup``.
+    """
     redeemed = F.col("reward_redm_ts")
     rows = reward_wallets.filter(
         (F.col("rec_status_ind") == CURRENT)
@@ -219,11 +237,13 @@ def mission_completions(
     account_rows: DataFrame,
     as_of: date,
     scheme: Scheme = Scheme(),
+    per_value: bool = True,
 ) -> DataFrame:
     """Completed missions with value, store, channel, status and period flags.
 
     Always-on campaigns count in any record version, all others only in the
-    current one.
+    current one. A completion comes once per type and value of its campaign's tied
+    versions; without ``per_value`` once per type, with the values of all its rows summed.
     """
     always_on = F.col("cmpgn_id").isin(*scheme.always_on_campaigns)
     day = F.to_date("cmpgn_cmplt_ts")
@@ -233,10 +253,18 @@ def mission_completions(
     points = scan_points(scans, ts_alias="cmpgn_cmplt_ts", first=scheme.launch, before=as_of).filter(is_numeric_store())
     # tied versions of one type and value would repeat every completion of their campaign
     values = setup.select("cmpgn_id", "activity_type", "value_pence").distinct()
+    valued = completed.join(points, ["wallet_id", "cmpgn_cmplt_ts"])
+    if per_value:
+        valued = valued.join(values, "cmpgn_id", "left")
+    else:
+        # a mission is worth the campaign's value or its own, once for each row summed
+        per_type = values.groupBy("cmpgn_id", "activity_type").agg(
+            F.sum("value_pence").alias("value_pence"), F.count(F.lit(1)).alias("_values")
+        )
+        own = F.col("rdmpt_val") * F.col("_values")
+        valued = valued.join(_sized(per_type), "cmpgn_id", "left").withColumn("rdmpt_val", own)
     attributed = (
-        completed.join(points, ["wallet_id", "cmpgn_cmplt_ts"])
-        .join(values, "cmpgn_id", "left")
-        .withColumn("mission_value_pence", mission_value_pence(scheme))
+        valued.withColumn("mission_value_pence", mission_value_pence(scheme))
         .select(
             "wallet_id",
             "cmpgn_id",

@@ -404,7 +404,8 @@ def liability(
 ) -> DataFrame:
     """Monthly ledger of ten lines, and the liability left as line 11.
 
-    Amounts are summed in pence; each month's ledger is a handful of rows.
+    Amounts are summed in pence; each month's ledger is a handful of rows. Completions and
+    vouchers may hold the values of their campaign's tied versions summed, in one row.
     """
     status = scheme.status_campaign
 
